@@ -22,6 +22,34 @@ from pyspark.sql import types as T
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
 
 
+def assign_buckets(df: DataFrame, key: str, by: Sequence[str] = (),
+                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``_bucket``: value ranges of about ``rows_per_bucket`` rows of
+    ``key`` within ``by`` (cut points from ``percentile_approx``)."""
+    spark = df.sparkSession
+    by = list(by)
+    counts = ([tuple(r) for r in df.groupBy(*by).count().collect()] if by
+              else [(df.count(),)])
+    nb = {tuple(r[:-1]): max(1, math.ceil(r[-1] / rows_per_bucket)) for r in counts}
+    if all(v == 1 for v in nb.values()):
+        return df.withColumn("_bucket", F.lit(0))
+    multi = max(nb.values())
+    fracs = [i / multi for i in range(1, multi)]
+    kd = F.col(key).cast("double")
+    if by:
+        cuts_rows = df.groupBy(*by).agg(F.percentile_approx(kd, fracs, 10000).alias("_cuts")).collect()
+        cut_df = spark.createDataFrame(
+            [tuple(r[:-1]) + (sorted(set(r[-1] or [])),) for r in cuts_rows],
+            df.select(*by).schema.add("_cuts", "array<double>"))
+        bucketed = df.join(F.broadcast(cut_df), on=by, how="left")
+        cuts = F.col("_cuts")
+    else:
+        got = df.agg(F.percentile_approx(kd, fracs, 10000)).collect()[0][0] or []
+        cuts = F.array(*[F.lit(float(c)) for c in sorted(set(got))])
+        bucketed = df
+    return bucketed.withColumn("_bucket", F.size(F.filter(cuts, lambda c: c < kd))).drop("_cuts")
+
+
 def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[str] = (),
                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                    with_next_key: bool = False) -> DataFrame:
@@ -34,32 +62,7 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[st
     spark = df.sparkSession
     by = list(by)
     sums = list(sums)
-    counts = ([tuple(r) for r in df.groupBy(*by).count().collect()] if by
-              else [(df.count(),)])
-    nb = {tuple(r[:-1]): max(1, math.ceil(r[-1] / rows_per_bucket)) for r in counts}
-
-    if all(v == 1 for v in nb.values()):
-        bucketed = df.withColumn("_bucket", F.lit(0))
-    else:
-        multi = max(nb.values())
-        fracs = [i / multi for i in range(1, multi)]
-        cuts_rows = (df.groupBy(*by).agg(
-            F.percentile_approx(F.col(key).cast("double"), fracs, 10000).alias("_cuts"))
-            .collect() if by else
-            [(df.agg(F.percentile_approx(F.col(key).cast("double"), fracs, 10000)).collect()[0][0],)])
-        if by:
-            cut_df = spark.createDataFrame(
-                [tuple(r[:-1]) + (sorted(set(r[-1] or [])),) for r in cuts_rows],
-                df.select(*by).schema.add("_cuts", "array<double>"))
-            bucketed = df.join(F.broadcast(cut_df), on=by, how="left")
-            cuts = F.col("_cuts")
-        else:
-            cuts = F.array(*[F.lit(float(c)) for c in sorted(set(cuts_rows[0][0] or []))])
-            bucketed = df
-        kd = F.col(key).cast("double")
-        bucketed = bucketed.withColumn(
-            "_bucket", F.size(F.filter(cuts, lambda c: c < kd))).drop("_cuts")
-
+    bucketed = assign_buckets(df, key, by, rows_per_bucket)
     tot = (bucketed.groupBy(*by, "_bucket")
            .agg(*[F.sum(s).alias(s) for s in sums], F.min(key).alias("_min"))
            .collect())
@@ -74,8 +77,7 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[st
             nxt = rows[i + 1]["_min"] if i + 1 < len(rows) else None
             off_rows.append(g + (r["_bucket"],) + tuple(acc) + (nxt,))
             acc = [a + (r[s] or 0) for a, s in zip(acc, sums)]
-    off_schema = df.select(*by).schema if by else None
-    fields = list(off_schema.fields) if off_schema else []
+    fields = list(df.select(*by).schema.fields) if by else []
     fields.append(T.StructField("_bucket", T.IntegerType()))
     for s in sums:
         dt = df.schema[s].dataType
@@ -93,3 +95,33 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[st
     if with_next_key:
         sel.append(F.coalesce(F.lead(key).over(w), F.col("_next_min")).alias("next_key"))
     return out.select(*sel)
+
+
+def lag_within(df: DataFrame, key: str, value: str, by: Sequence[str] = (),
+               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``prev_<value>``: ``value`` of the row with the next smaller key
+    within ``by`` (keys unique within ``by``).  A series longer than
+    ``rows_per_bucket`` is split into key ranges; the first row of a range
+    takes the last value of the range before it from a #ranges-row table."""
+    spark = df.sparkSession
+    by = list(by)
+    bucketed = assign_buckets(df, key, by, rows_per_bucket)
+    last = (bucketed.groupBy(*by, "_bucket")
+            .agg(F.max_by(F.col(value), F.col(key)).alias("_last")).collect())
+    groups: dict[tuple, list] = {}
+    for r in last:
+        groups.setdefault(tuple(r[b] for b in by), []).append(r)
+    rows = []
+    for g, rs in groups.items():
+        rs.sort(key=lambda r: r["_bucket"])
+        for i, r in enumerate(rs):
+            rows.append(g + (r["_bucket"], rs[i - 1]["_last"] if i > 0 else None))
+    fields = list(df.select(*by).schema.fields) if by else []
+    fields += [T.StructField("_bucket", T.IntegerType()),
+               T.StructField("_carry", df.schema[value].dataType)]
+    carry = spark.createDataFrame(rows, T.StructType(fields))
+    w = Window.partitionBy(*by, "_bucket").orderBy(key)
+    out = bucketed.join(F.broadcast(carry), on=[*by, "_bucket"], how="left")
+    return out.select(*[F.col(c) for c in df.columns],
+                      F.coalesce(F.lag(value).over(w), F.when(F.row_number().over(w) == 1, F.col("_carry")))
+                      .alias(f"prev_{value}"))

@@ -505,3 +505,403 @@ def q_target_rate(spark, sf):
     lab = table(spark, sf, "labels")
     j = d.join(lab, "doc_id").select("lang", "source", "quality")
     return profile.target_rate(j, "quality", ["lang", "source"])
+
+
+# ---------------------------------------------------------------------------
+# Encoding and scaling
+# ---------------------------------------------------------------------------
+
+from ..operators import collinear, drift, encoding, evaluate, scaling, scoring, selection, split  # noqa: E402
+
+
+@query("one_hot", """
+SELECT c_custkey,
+       (CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END)::DOUBLE AS c_mktsegment_BUILDING,
+       (CASE WHEN c_mktsegment = 'FURNITURE' THEN 1 ELSE 0 END)::DOUBLE AS c_mktsegment_FURNITURE,
+       (CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END)::DOUBLE AS c_mktsegment_HOUSEHOLD,
+       (CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 0 END)::DOUBLE AS c_mktsegment_MACHINERY,
+       c_acctbal
+FROM customer""")
+def q_one_hot(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    st = encoding.fit_one_hot(c, ["c_mktsegment"], ordinal={})
+    return st.transform(c)
+
+
+PRIORITY_ORDER = ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]
+
+
+@query("ordinal_encode", """
+SELECT o_orderkey,
+       (CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '4-NOT SPECIFIED' THEN 1 WHEN '3-MEDIUM' THEN 2
+            WHEN '2-HIGH' THEN 3 WHEN '1-URGENT' THEN 4 END)::DOUBLE AS o_orderpriority
+FROM orders""")
+def q_ordinal_encode(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    st = encoding.fit_one_hot(o, [], ordinal={"o_orderpriority": PRIORITY_ORDER})
+    return st.transform(o).select("o_orderkey", "o_orderpriority")
+
+
+@query("target_encode", """
+WITH t AS (SELECT l_orderkey, l_linenumber, CAST(month(l_shipdate) AS VARCHAR) AS ship_month,
+                  CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem),
+p AS (SELECT avg(y) AS prior FROM t),
+s AS (SELECT ship_month, count(*) AS n, avg(y) AS m FROM t GROUP BY ship_month),
+e AS (SELECT ship_month, prior * (1 - 1 / (1 + exp(-(n - 20.0) / 20.0))) + m * (1 / (1 + exp(-(n - 20.0) / 20.0)))
+             AS enc FROM s, p)
+SELECT t.l_orderkey, t.l_linenumber, t.ship_month, round(e.enc, 6) AS ship_month_te
+FROM t JOIN e ON t.ship_month = e.ship_month""")
+def q_target_encode(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.month("l_shipdate").cast("string").alias("ship_month"),
+        (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    st = encoding.fit_target_encoder(li, ["ship_month"], "y", suffix="_te")
+    out = st.transform(li)
+    return out.select("l_orderkey", "l_linenumber", "ship_month", F.round("ship_month_te", 6).alias("ship_month_te"))
+
+
+def _scale_query(kind):
+    def run(spark, sf):
+        li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+        kw = {kind: ["l_quantity", "l_extendedprice"]}
+        st = scaling.fit_scaler(li, **kw)
+        out = st.transform(li)
+        return out.select("l_orderkey", "l_linenumber", F.round("l_quantity", 6).alias("l_quantity"),
+                          F.round("l_extendedprice", 6).alias("l_extendedprice"))
+    return run
+
+
+query("standard_scale", """
+WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq,
+                  avg(l_extendedprice) AS me, stddev_pop(l_extendedprice) AS se FROM lineitem)
+SELECT l_orderkey, l_linenumber, round((l_quantity - mq) / sq, 6) AS l_quantity,
+       round((l_extendedprice - me) / se, 6) AS l_extendedprice FROM lineitem, s""")(_scale_query("standard"))
+query("robust_scale", """
+WITH s AS (SELECT quantile_cont(l_quantity, 0.5) AS mq,
+                  quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) AS iq,
+                  quantile_cont(l_extendedprice, 0.5) AS me,
+                  quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS ie FROM lineitem)
+SELECT l_orderkey, l_linenumber, round((l_quantity - mq) / iq, 6) AS l_quantity,
+       round((l_extendedprice - me) / ie, 6) AS l_extendedprice FROM lineitem, s""")(_scale_query("robust"))
+query("minmax_scale", """
+WITH s AS (SELECT min(l_quantity) AS lq, max(l_quantity) - min(l_quantity) AS rq,
+                  min(l_extendedprice) AS le, max(l_extendedprice) - min(l_extendedprice) AS re FROM lineitem)
+SELECT l_orderkey, l_linenumber, round((l_quantity - lq) / rq, 6) AS l_quantity,
+       round((l_extendedprice - le) / re, 6) AS l_extendedprice FROM lineitem, s""")(_scale_query("minmax"))
+
+
+@query("skew_report", """
+SELECT column_name, round(s, 6) AS skew, abs(s) > 1.0 AS skewed FROM (
+  SELECT 'value' AS column_name, skewness(value) AS s FROM events UNION ALL
+  SELECT 'user_id', skewness(user_id) FROM events UNION ALL
+  SELECT 'event_id', skewness(event_id) FROM events)""")
+def q_skew_report(spark, sf):
+    e = table(spark, sf, "events").select("value", "user_id", "event_id")
+    sk = scaling.skewness_table(e)
+    rows = [(c, round(v, 6) if v is not None else None, bool(v is not None and abs(v) > 1.0)) for c, v in sk.items()]
+    return spark.createDataFrame(rows, "column_name string, skew double, skewed boolean")
+
+
+# ---------------------------------------------------------------------------
+# Collinearity
+# ---------------------------------------------------------------------------
+
+_VIF_SQL_BASE = """
+WITH x AS (SELECT l_quantity AS x1, l_extendedprice AS x2,
+                  CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_tax END AS x3 FROM lineitem),
+m AS (SELECT quantile_cont(x3, 0.5) AS m3 FROM x),
+f AS (SELECT x1, x2, coalesce(x3, m3) AS x3 FROM x, m),
+g AS (SELECT sum(x1*x1) AS a, sum(x1*x2) AS b, sum(x1*x3) AS c, sum(x2*x2) AS d, sum(x2*x3) AS e,
+             sum(x3*x3) AS ff FROM f),
+v AS (SELECT a, b, c, d, e, ff, a*(d*ff - e*e) - b*(b*ff - c*e) + c*(b*e - d*c) AS det FROM g)"""
+
+
+@query("vif_table", _VIF_SQL_BASE + """
+SELECT 'l_quantity' AS feature, round(a * (d*ff - e*e) / det, 6) AS vif FROM v UNION ALL
+SELECT 'l_extendedprice', round(d * (a*ff - c*c) / det, 6) FROM v UNION ALL
+SELECT 'l_tax', round(ff * (a*d - b*b) / det, 6) FROM v""")
+def q_vif_table(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        "l_quantity", "l_extendedprice",
+        F.when(F.col("l_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("l_tax")).alias("l_tax"))
+    t = collinear.vif_table(li, ["l_quantity", "l_extendedprice", "l_tax"])
+    return t.select("feature", F.round("vif", 6).alias("vif"))
+
+
+@query("vif_select")
+def q_vif_select(spark, sf):
+    """Greedy VIF removal over lineitem numerics plus a near-copy column."""
+    li = table(spark, sf, "lineitem").select(
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        (F.col("l_extendedprice") / F.col("l_quantity") + F.col("l_tax")).alias("unit_price"),
+        (F.col("l_extendedprice") * 1.01 + F.col("l_quantity")).alias("gross"))
+    st = collinear.fit_vif(li)
+    return spark.createDataFrame([(c, True, st.vif.get(c)) for c in st.selected] +
+                                 [(c, False, None) for c in st.dropped],
+                                 "feature string, kept boolean, vif double")
+
+
+# ---------------------------------------------------------------------------
+# Evaluation
+# ---------------------------------------------------------------------------
+
+_DOC_LABEL_SQL = """
+  SELECT l.doc_id, l.quality, l.toxic, d.n_chars,
+         CASE WHEN d.n_chars > 1000 THEN 1 ELSE 0 END AS pred
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+
+def _doc_labels(spark, sf):
+    lab = table(spark, sf, "labels")
+    d = table(spark, sf, "documents").select("doc_id", "n_chars")
+    return lab.join(d, "doc_id").select("doc_id", "quality", "toxic", "n_chars",
+                                       (F.col("n_chars") > 1000).cast("int").alias("pred"))
+
+
+@query("confusion_metrics", f"""
+WITH j AS ({_DOC_LABEL_SQL}),
+c AS (SELECT sum(CASE WHEN quality = 0 AND pred = 0 THEN 1 ELSE 0 END) AS tn,
+             sum(CASE WHEN quality = 0 AND pred = 1 THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN quality = 1 AND pred = 0 THEN 1 ELSE 0 END) AS fn,
+             sum(CASE WHEN quality = 1 AND pred = 1 THEN 1 ELSE 0 END) AS tp FROM j)
+SELECT tn, fp, fn, tp,
+       round((tp + tn) * 1.0 / (tp + tn + fp + fn), 6) AS accuracy,
+       round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp * 1.0 / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp * 1.0 / (tp + fn) END, 6) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END, 6) AS f1
+FROM c""")
+def q_confusion_metrics(spark, sf):
+    return evaluate.confusion_metrics(_doc_labels(spark, sf), "quality", "pred")
+
+
+@query("class_report", f"""
+WITH j AS ({_DOC_LABEL_SQL}),
+t AS (SELECT quality AS cls, 1 AS is_true, CASE WHEN pred = quality THEN 1 ELSE 0 END AS hit FROM j
+      UNION ALL SELECT pred, 0, CASE WHEN pred = quality THEN 1 ELSE 0 END FROM j),
+a AS (SELECT cls, sum(is_true) AS support, sum(is_true * hit) AS tp, sum(1 - is_true) AS predicted
+      FROM t GROUP BY cls)
+SELECT cls, round(CASE WHEN predicted = 0 THEN 0.0 ELSE tp * 1.0 / predicted END, 6) AS precision,
+       round(CASE WHEN support = 0 THEN 0.0 ELSE tp * 1.0 / support END, 6) AS recall,
+       round(CASE WHEN predicted + support = 0 THEN 0.0 ELSE 2.0 * tp / (predicted + support) END, 6) AS f1,
+       support::BIGINT AS support
+FROM a""")
+def q_class_report(spark, sf):
+    return evaluate.class_report(_doc_labels(spark, sf), "quality", "pred")
+
+
+@query("auc_exact", f"""
+WITH j AS ({_DOC_LABEL_SQL}),
+g AS (SELECT n_chars::DOUBLE AS s, sum(quality) AS pos, sum(1 - quality) AS neg FROM j GROUP BY 1),
+c AS (SELECT pos, neg, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg
+      FROM g)
+SELECT round(sum(pos * (cum_neg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc FROM c""")
+def q_auc_exact(spark, sf):
+    a = evaluate.auc_exact(_doc_labels(spark, sf), "quality", "n_chars")
+    return a.select(F.round("auc", 6).alias("auc"))
+
+
+_ORDER_EST_SQL = """
+  SELECT o.o_orderkey, o.o_custkey, o.o_totalprice AS y, e.est AS p
+  FROM orders o JOIN (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS est
+                      FROM lineitem GROUP BY l_orderkey) e ON o.o_orderkey = e.l_orderkey"""
+
+
+def _order_estimates(spark, sf):
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    est = li.groupBy("l_orderkey").agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("est"))
+    return o.join(est, o.o_orderkey == est.l_orderkey).select(
+        "o_orderkey", "o_custkey", F.col("o_totalprice").alias("y"), F.col("est").alias("p"))
+
+
+@query("regression_metrics", f"""
+WITH j AS ({_ORDER_EST_SQL})
+SELECT round(avg(abs(y - p)), 6) AS mae, round(avg((y - p) * (y - p)), 6) AS mse,
+       round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 6) AS r2
+FROM j""")
+def q_regression_metrics(spark, sf):
+    return evaluate.regression_metrics(_order_estimates(spark, sf), "y", "p")
+
+
+@query("mase", f"""
+WITH j AS ({_ORDER_EST_SQL}),
+d AS (SELECT y, p, abs(y - lag(y) OVER (PARTITION BY o_custkey ORDER BY o_orderkey)) AS dd FROM j)
+SELECT round(CASE WHEN avg(dd) = 0 THEN NULL ELSE avg(abs(y - p)) / avg(dd) END, 6) AS mase FROM d""")
+def q_mase(spark, sf):
+    return evaluate.mase(_order_estimates(spark, sf), "y", "p", order="o_orderkey", series="o_custkey")
+
+
+# ---------------------------------------------------------------------------
+# Drift: orders before 1999 (reference) vs from 1999 (current)
+# ---------------------------------------------------------------------------
+
+def _drift_sides(spark, sf):
+    o = table(spark, sf, "orders").select("o_totalprice", "o_orderpriority", "o_orderstatus", "o_orderdate")
+    ref = o.where(F.year("o_orderdate") < 1999).drop("o_orderdate")
+    cur = o.where(F.year("o_orderdate") >= 1999).drop("o_orderdate")
+    return ref, cur
+
+
+_SIDES_SQL = """
+  SELECT o_totalprice, o_orderpriority, o_orderstatus,
+         CASE WHEN year(o_orderdate) < 1999 THEN 0 ELSE 1 END AS side FROM orders"""
+
+_NUM_CUM_SQL = f"""
+t AS ({_SIDES_SQL}),
+g AS (SELECT o_totalprice AS v, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS n_ref,
+             sum(side) AS n_cur FROM t GROUP BY o_totalprice),
+tt AS (SELECT sum(n_ref) AS tr, sum(n_cur) AS tc FROM g),
+c AS (SELECT v, lead(v) OVER (ORDER BY v) AS nv,
+             sum(n_ref) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cr,
+             sum(n_cur) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cc FROM g)"""
+
+
+@query("ks_numeric", f"""
+WITH {_NUM_CUM_SQL}
+SELECT 'o_totalprice' AS "column", round(max(abs(cr / tr - cc / tc)), 6) AS ks FROM c, tt""")
+def q_ks_numeric(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    return drift.ks_numeric(ref, cur, ["o_totalprice"])
+
+
+_WASS_SQL = f"""
+WITH {_NUM_CUM_SQL},
+w AS (SELECT sum(coalesce(abs(cr / tr - cc / tc) * (nv - v), 0)) AS w FROM c, tt),
+sd AS (SELECT stddev_pop(o_totalprice) AS s FROM t WHERE side = 0)"""
+
+
+@query("wasserstein_numeric", _WASS_SQL + """
+SELECT 'o_totalprice' AS "column", round(w / s, 6) AS wasserstein FROM w, sd""")
+def q_wasserstein_numeric(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    return drift.wasserstein_numeric(ref, cur, ["o_totalprice"])
+
+
+@query("psi_numeric", f"""
+WITH t AS ({_SIDES_SQL}),
+q AS (SELECT {", ".join(f"quantile_cont(o_totalprice, {i / 10}) AS q{i}" for i in range(1, 10))}
+      FROM t WHERE side = 0),
+b AS (SELECT side, {" + ".join(f"(CASE WHEN q{i} < o_totalprice THEN 1 ELSE 0 END)" for i in range(1, 10))} AS bin
+      FROM t, q WHERE o_totalprice IS NOT NULL),
+c AS (SELECT bin, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS n_ref, sum(side) AS n_cur FROM b GROUP BY bin),
+tt AS (SELECT sum(n_ref) AS tr, sum(n_cur) AS tc FROM c)
+SELECT 'o_totalprice' AS "column",
+       round(sum((greatest(n_cur / tc, 0.0001) - greatest(n_ref / tr, 0.0001))
+                 * ln(greatest(n_cur / tc, 0.0001) / greatest(n_ref / tr, 0.0001))), 6) AS psi
+FROM c, tt""")
+def q_psi_numeric(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    return drift.psi_numeric(ref, cur, ["o_totalprice"])
+
+
+_CAT_COUNTS_SQL = f"""
+t AS ({_SIDES_SQL}),
+l AS (SELECT 'o_orderpriority' AS "column", o_orderpriority AS v, side FROM t UNION ALL
+      SELECT 'o_orderstatus', o_orderstatus, side FROM t),
+c AS (SELECT "column", v, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS n_ref, sum(side) AS n_cur
+      FROM l WHERE v IS NOT NULL GROUP BY "column", v),
+tt AS (SELECT "column", sum(n_ref) AS tr, sum(n_cur) AS tc FROM c GROUP BY "column"),
+pq AS (SELECT c."column", n_ref / tr AS p, n_cur / tc AS q FROM c JOIN tt USING ("column"))"""
+
+_JS_SQL = f"""
+WITH {_CAT_COUNTS_SQL},
+js AS (SELECT "column",
+         round(sqrt(greatest(sum((CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END)
+                               + (CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END)) / 2, 0)), 6) AS js
+       FROM pq GROUP BY "column")"""
+
+
+@query("js_categorical", _JS_SQL + "\nSELECT * FROM js")
+def q_js_categorical(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    return drift.js_categorical(ref, cur, ["o_orderpriority", "o_orderstatus"])
+
+
+@query("psi_categorical", f"""
+WITH {_CAT_COUNTS_SQL}
+SELECT "column", round(sum((greatest(q, 0.0001) - greatest(p, 0.0001)) * ln(greatest(q, 0.0001) / greatest(p, 0.0001))), 6)
+       AS psi FROM pq GROUP BY "column" """)
+def q_psi_categorical(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    return drift.psi_categorical(ref, cur, ["o_orderpriority", "o_orderstatus"])
+
+
+@query("drift_gate", f"""
+WITH {_CAT_COUNTS_SQL},
+js AS (SELECT "column",
+         round(sqrt(greatest(sum((CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END)
+                               + (CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END)) / 2, 0)), 6) AS score
+       FROM pq GROUP BY "column"),
+ng AS (SELECT o_totalprice AS v, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS n_ref,
+              sum(side) AS n_cur FROM t GROUP BY o_totalprice),
+ntt AS (SELECT sum(n_ref) AS tr, sum(n_cur) AS tc FROM ng),
+nc AS (SELECT v, lead(v) OVER (ORDER BY v) AS nv,
+              sum(n_ref) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cr,
+              sum(n_cur) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cc FROM ng),
+wn AS (SELECT sum(coalesce(abs(cr / tr - cc / tc) * (nv - v), 0)) AS w FROM nc, ntt),
+sd AS (SELECT stddev_pop(o_totalprice) AS s FROM t WHERE side = 0),
+scores AS (SELECT "column", score FROM js UNION ALL SELECT 'o_totalprice', round(w / s, 6) FROM wn, sd)
+SELECT sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) AS n_drifted, count(*) AS n_columns,
+       round(sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) * 1.0 / count(*), 6) AS share,
+       sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) * 1.0 / count(*) >= 0.5 AS drift_detected
+FROM scores""")
+def q_drift_gate(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    return drift.drift_summary(drift.drift_scores(ref, cur))
+
+
+@query("drift_sides", """
+SELECT CASE WHEN year(o_orderdate) < 1999 THEN 'reference' ELSE 'current' END AS side,
+       count(*) AS n_rows, 3 AS n_columns FROM orders GROUP BY 1""")
+def q_drift_sides(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    return drift.side_summary(ref, cur)
+
+
+# ---------------------------------------------------------------------------
+# Splits, scoring, selection
+# ---------------------------------------------------------------------------
+
+@query("strat_split")
+def q_strat_split(spark, sf):
+    """Per-class 80/20 hash split of labelled documents (hash differs from
+    DuckDB's, so rows-only)."""
+    lab = table(spark, sf, "labels")
+    train, test = split.stratified_split(lab, "quality", ["doc_id"])
+    return (train.select("doc_id", "quality", F.lit("train").alias("part"))
+            .unionByName(test.select("doc_id", "quality", F.lit("test").alias("part"))))
+
+
+@query("score_format", """
+SELECT l_orderkey, l_linenumber, (l_quantity / 50.0)::DOUBLE AS probability,
+       printf('%.2f%%', l_quantity / 50.0 * 100) AS conversion_probability,
+       CASE WHEN l_quantity / 50.0 > 0.5 THEN 1 ELSE 0 END AS predicted_label
+FROM lineitem""")
+def q_score_format(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
+                                              (F.col("l_quantity") / 50.0).alias("probability"))
+    return scoring.format_scores(li, "probability")
+
+
+@query("align_features", """
+SELECT l_orderkey, l_quantity, l_discount, 0.0::DOUBLE AS missing_feature FROM lineitem""")
+def q_align_features(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return scoring.align_features(li, ["l_quantity", "l_discount", "missing_feature"], keep=["l_orderkey"])
+
+
+@query("top_k_importance", """
+WITH t AS (SELECT l_quantity, l_extendedprice, l_discount, l_tax,
+                  CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS y FROM lineitem),
+i AS (SELECT 'l_quantity' AS feature, abs(corr(l_quantity, y)) AS importance FROM t UNION ALL
+      SELECT 'l_extendedprice', abs(corr(l_extendedprice, y)) FROM t UNION ALL
+      SELECT 'l_discount', abs(corr(l_discount, y)) FROM t UNION ALL
+      SELECT 'l_tax', abs(corr(l_tax, y)) FROM t)
+SELECT feature, round(importance, 6) AS importance FROM i ORDER BY importance DESC, feature LIMIT 2""")
+def q_top_k_importance(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                                              (F.col("l_returnflag") == "R").cast("double").alias("y"))
+    imp = selection.corr_importance(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "y")
+    return selection.top_k(imp, 2).select("feature", F.round("importance", 6).alias("importance"))

@@ -30,6 +30,8 @@ def norm(v):
         return float(f"{v:.9g}")
     if isinstance(v, int):
         return float(v)
+    if type(v).__name__ == "Decimal":
+        return float(f"{float(v):.9g}")
     if hasattr(v, "item"):
         return norm(v.item())
     return str(v)
