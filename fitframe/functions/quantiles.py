@@ -5,15 +5,21 @@ column in a single task, which does not survive a high-cardinality column at
 cluster scale; ``percentile_approx`` is bounded but not exact.  This module
 finds the exact order statistics by *bucket refinement*:
 
-1. one aggregation gives ``count/min/max`` of every requested column;
-2. each pass splits every still-open value interval into ``buckets``
-   equal-width buckets and aggregates ``count, min, max`` per bucket for all
-   columns at once (one shuffle of at most ``#intervals x buckets`` groups,
+1. one aggregation gives ``count/min/max`` of every requested column and a
+   ``percentile_approx`` bracket around every wanted probability (the rank
+   error of the sketch is at most ``n / accuracy``, so the exact order
+   statistic lies inside ``[approx(p - 3/acc), approx(p + 3/acc)]``);
+2. the next pass counts the rows below each bracket and, when the bracket
+   holds at most ``collect_rows`` rows (up to ~``collect_rows*acc/8`` rows in
+   the column), groups the bracket by value, which resolves the rank; larger
+   brackets are split into ``buckets`` equal-width buckets aggregated as
+   ``count, min, max`` (one shuffle of at most ``#brackets x buckets`` groups,
    map-side combined, so a hot value costs one row per map task);
 3. on the driver, the bucket that holds each wanted rank becomes the next
    interval ``[bucket min, bucket max]``; it is resolved when its min equals
-   its max, or when it holds at most ``collect_rows`` rows, in which case the
-   next pass groups that interval by value instead of by bucket.
+   its max, or by grouping by value once it holds at most ``collect_rows``
+   rows.  A bracket that misses its rank (not expected) falls back to the
+   whole column.
 
 The driver only ever sees ``#intervals x buckets`` (or ``collect_rows``)
 rows.  Interpolation is linear between the two neighbouring order
@@ -24,6 +30,8 @@ statistics, as in pandas ``quantile``, Spark ``percentile`` and DuckDB
 from __future__ import annotations
 
 import math
+import os
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -32,6 +40,8 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 1024
 DEFAULT_COLLECT_ROWS = 50_000
 DEFAULT_MAX_PASSES = 12
+DEFAULT_ACCURACY = 10_000
+_DEBUG = bool(os.environ.get("FITFRAME_DEBUG"))
 
 
 def _clean(c: str):
@@ -54,23 +64,51 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                     buckets: int = DEFAULT_BUCKETS,
                     collect_rows: int = DEFAULT_COLLECT_ROWS,
                     max_passes: int = DEFAULT_MAX_PASSES,
+                    accuracy: int = DEFAULT_ACCURACY,
                     stats: Mapping[str, tuple[int, float, float]] | None = None,
+                    extra_aggs: Mapping | None = None,
+                    extra_out: dict | None = None,
                     ) -> dict[str, list[float | None]]:
     """Return ``{col: [quantile(p) for p in probs[col]]}``; NULL/NaN ignored.
 
-    A column without values gets ``None`` for every probability.
+    A column without values gets ``None`` for every probability.  ``stats``
+    is accepted for API symmetry; the first pass always recomputes it together
+    with the approximate brackets.  ``extra_aggs`` (name -> aggregate Column)
+    ride along in that first pass; their values land in ``extra_out``.
     """
     cols = list(dict.fromkeys(cols))
     if not cols:
         return {}
     want = {c: list(probs[c]) if isinstance(probs, Mapping) else list(probs) for c in cols}
-    stats = dict(stats) if stats is not None else column_stats(df, cols)
+    margin = 3.0 / accuracy
+
+    # pass A: count / min / max and approximate brackets around every p
+    aggs = []
+    bracket_probs: dict[str, list[float]] = {}
+    for i, c in enumerate(cols):
+        x = _clean(c)
+        bp = sorted({min(1.0, max(0.0, p + d)) for p in want[c] for d in (-margin, margin)})
+        bracket_probs[c] = bp
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 F.percentile_approx(x, bp, accuracy).alias(f"b{i}")]
+    extra_aggs = dict(extra_aggs or {})
+    aggs += [e.alias(f"_e_{k}") for k, e in extra_aggs.items()]
+    _t = time.time()
+    row = df.agg(*aggs).collect()[0]
+    if extra_out is not None:
+        for k in extra_aggs:
+            extra_out[k] = row[f"_e_{k}"]
+    if _DEBUG:
+        print(f"pass A: {time.time() - _t:.2f}s")
+    st = {c: (int(row[f"n{i}"]), row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
+    brk = {c: dict(zip(bracket_probs[c], row[f"b{i}"] or [])) for i, c in enumerate(cols)}
 
-    # ranks to resolve per column
     plan: dict[str, list[tuple[int, int, float]]] = {}
     ranks: dict[tuple[str, int], float | None] = {}
+    # open target (col, rank) -> [lo, hi, expected rows in [lo, hi]]
+    open_t: dict[tuple[str, int], list] = {}
     for c in cols:
-        n, lo, hi = stats[c]
+        n, lo, hi = st[c]
         rows = []
         for p in want[c]:
             if n == 0:
@@ -80,63 +118,115 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
             r0 = int(math.floor(pos))
             r1 = min(r0 + 1, n - 1)
             rows.append((r0, r1, pos - r0))
+            blo = brk[c].get(min(1.0, max(0.0, p - margin)))
+            bhi = brk[c].get(min(1.0, max(0.0, p + margin)))
+            blo = lo if blo is None else max(lo, blo)
+            bhi = hi if bhi is None else min(hi, bhi)
+            expect = min(n, 2 * margin * n + 2 * n / accuracy + 1)
             for r in (r0, r1):
-                ranks[(c, r)] = lo if lo == hi else None
+                if lo == hi:
+                    ranks[(c, r)] = lo
+                elif (c, r) not in open_t:
+                    ranks[(c, r)] = None
+                    open_t[(c, r)] = [blo, bhi, expect]
         plan[c] = rows
 
-    # open targets: (col, rank) -> [lo, hi, below, mode]
-    open_t = {k: [stats[k[0]][1], stats[k[0]][2], 0,
-                  "collect" if stats[k[0]][0] <= collect_rows else "bucket"]
-              for k, v in ranks.items() if v is None}
-
     passes = 0
     while open_t:
         passes += 1
         force = passes >= max_passes
-        # one probe per distinct (col, lo, hi, mode)
-        probes: dict[tuple, int] = {}
-        for (c, _r), (lo, hi, _b, mode) in open_t.items():
-            key = (c, lo, hi, "collect" if force else mode)
-            if key not in probes:
-                probes[key] = len(probes)
+        # per column: disjoint sorted intervals (overlapping target intervals merged)
+        segs: dict[str, list[list]] = {}
+        for (c, _r), (lo, hi, size) in open_t.items():
+            segs.setdefault(c, []).append([lo, hi, size])
+        for c, ivs in segs.items():
+            ivs.sort()
+            merged = []
+            for lo, hi, size in ivs:
+                if merged and lo <= merged[-1][1]:
+                    m = merged[-1]
+                    if (lo, hi) != (m[0], m[1]):
+                        m[2] = m[2] + size
+                    m[1] = max(m[1], hi)
+                else:
+                    merged.append([lo, hi, size])
+            for m in merged:
+                m.append("collect" if force or m[2] <= collect_rows or m[0] == m[1] else "bucket")
+            segs[c] = merged
+        # compact per-row code: the segment of x is a sum of comparisons, the
+        # bucket reads its interval from literal arrays (no nested CASE, so
+        # whole-stage codegen stays within its method-size limits)
+        col_ids = {c: i for i, c in enumerate(segs)}
+        base = df.select(*[_clean(c).alias(f"_x{i}") for c, i in col_ids.items()])
+        seg_cols = []
+        for c, ivs in segs.items():
+            x = F.col(f"_x{col_ids[c]}")
+            seg = None
+            for lo, hi, _size, _mode in ivs:
+                term = (x >= F.lit(lo)).cast("int") + (x > F.lit(hi)).cast("int")
+                seg = term if seg is None else seg + term
+            seg_cols.append(seg.alias(f"_g{col_ids[c]}"))
+        # the segment is its own projection so it is computed once per row
+        base = base.select("*", *seg_cols)
         structs = []
-        for (c, lo, hi, mode), pid in probes.items():
-            x = _clean(c)
-            if mode == "collect":
-                k = x
-            else:
-                k = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets)),
-                            F.lit(buckets - 1)).cast("double")
-            structs.append(F.when(x.between(F.lit(lo), F.lit(hi)),
-                                  F.struct(F.lit(pid).alias("pid"), k.alias("k"), x.alias("x"))))
-        arr = F.filter(F.array(*structs), lambda s: s.isNotNull())
-        agg = (df.select(F.explode(arr).alias("s"))
-               .groupBy(F.col("s.pid").alias("pid"), F.col("s.k").alias("k"))
+        for c, ivs in segs.items():
+            i = col_ids[c]
+            x, seg = F.col(f"_x{i}"), F.col(f"_g{i}")
+            j = F.shiftright(seg, 1)
+            los = F.array(*[F.lit(float(iv[0])) for iv in ivs])
+            widths = F.array(*[F.lit(float(iv[1] - iv[0]) or 1.0) for iv in ivs])
+            flags = F.array(*[F.lit(iv[3] == "collect") for iv in ivs])
+            bucket = F.least(F.floor((x - F.get(los, j)) / F.get(widths, j) * F.lit(buckets)),
+                             F.lit(buckets - 1)).cast("double")
+            k = F.when(seg % 2 == 1, F.when(F.get(flags, j), x).otherwise(bucket))
+            structs.append(F.when(x.isNotNull(), F.struct(F.lit(i).alias("c"), seg.alias("g"),
+                                                          k.alias("k"), x.alias("x"))))
+        # explode, then drop NULL entries: a higher-order ``filter`` would
+        # leave whole-stage codegen for the interpreted path
+        agg = (base.select(F.explode(F.array(*structs)).alias("s")).where(F.col("s").isNotNull())
+               .groupBy(F.col("s.c").alias("c"), F.col("s.g").alias("g"), F.col("s.k").alias("k"))
                .agg(F.count(F.lit(1)).alias("cnt"), F.min("s.x").alias("mn"), F.max("s.x").alias("mx")))
-        by_pid: dict[int, list] = {}
-        for row in agg.collect():
-            by_pid.setdefault(row["pid"], []).append((row["k"], row["cnt"], row["mn"], row["mx"]))
-        for v in by_pid.values():
-            v.sort(key=lambda t: t[0])
-
+        got: dict[int, list] = {}
+        _t = time.time()
+        collected = agg.collect()
+        if _DEBUG:
+            print(f"pass {passes}: {len(collected)} rows in {time.time() - _t:.2f}s "
+                  f"modes={[iv[3] for ivs in segs.values() for iv in ivs]}")
+        for r in collected:
+            got.setdefault(r["c"], []).append((r["g"], r["k"] if r["k"] is not None else -math.inf,
+                                               r["cnt"], r["mn"], r["mx"]))
         nxt = {}
-        for (c, r), (lo, hi, below, mode) in open_t.items():
-            m = "collect" if force else mode
-            pid = probes[(c, lo, hi, m)]
-            cum = below
-            found = None
-            for _k, cnt, mn, mx in by_pid.get(pid, []):
-                if r < cum + cnt:
-                    found = (cum, cnt, mn, mx)
-                    break
-                cum += cnt
-            if found is None:  # cannot happen for consistent inputs
-                raise RuntimeError(f"rank {r} of column {c} not found")
-            cum, cnt, mn, mx = found
-            if m == "collect" or mn == mx:
-                ranks[(c, r)] = mn
-            else:
-                nxt[(c, r)] = [mn, mx, cum, "collect" if cnt <= collect_rows else "bucket"]
+        for c, ivs in segs.items():
+            rows_c = sorted(got.get(col_ids[c], []), key=lambda t: (t[0], t[1]))
+            below_seg: dict[int, int] = {}
+            acc = 0
+            for g in range(2 * len(ivs) + 1):
+                below_seg[g] = acc
+                acc += sum(t[2] for t in rows_c if t[0] == g)
+            for (cc, r), (lo, hi, _size) in open_t.items():
+                if cc != c:
+                    continue
+                j = next(i for i, iv in enumerate(ivs) if iv[0] <= lo and hi <= iv[1])
+                mode = ivs[j][3]
+                cum = below_seg[2 * j + 1]
+                found = None
+                for g, _k, cnt, mn, mx in rows_c:
+                    if g != 2 * j + 1:
+                        continue
+                    if r < cum + cnt:
+                        found = (cnt, mn, mx)
+                        break
+                    cum += cnt
+                if found is None:
+                    # the approximate bracket missed the rank: search the whole column
+                    n, clo, chi = st[c]
+                    nxt[(c, r)] = [clo, chi, n]
+                    continue
+                cnt, mn, mx = found
+                if mode == "collect" or mn == mx:
+                    ranks[(c, r)] = mn
+                else:
+                    nxt[(c, r)] = [mn, mx, cnt]
         open_t = nxt
 
     out: dict[str, list[float | None]] = {}

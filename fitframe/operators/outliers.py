@@ -40,9 +40,9 @@ class ClipState(Fitted):
         return inverse_log(df, self.log_columns)
 
 
-def iqr_bounds(df: DataFrame, cols: list[str], k: float = config.IQR_K) -> dict[str, list]:
+def iqr_bounds(df: DataFrame, cols: list[str], k: float = config.IQR_K, **kw) -> dict[str, list]:
     """O1: ``(Q1 - k*IQR, Q3 + k*IQR)`` with interpolated quartiles."""
-    q = exact_quantiles(df, cols, [0.25, 0.75])
+    q = exact_quantiles(df, cols, [0.25, 0.75], **kw)
     out = {}
     for c in cols:
         q1, q3 = q[c]
@@ -64,11 +64,13 @@ def fit_clip(df: DataFrame, columns: Iterable[str] | None = None, k: float = con
     """
     log_columns = [c for c in log_columns if c in df.columns]
     cols = list(columns) if columns is not None else exprs.numeric_columns(df, exclude)
-    if not include_binary and cols:
-        row = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).collect()[0]
-        cols = [c for i, c in enumerate(cols) if row[f"d{i}"] > 2]
     scaled = df.select(*[(exprs.log1p_floor0(c) if c in log_columns else F.col(c)).alias(c) for c in cols])
-    return ClipState(iqr_bounds(scaled, cols, k), list(log_columns))
+    distinct: dict = {}
+    extra = {} if include_binary else {f"d{i}": F.approx_count_distinct(c) for i, c in enumerate(cols)}
+    bounds = iqr_bounds(scaled, cols, k, extra_aggs=extra, extra_out=distinct)
+    if not include_binary:
+        bounds = {c: b for i, c in enumerate(cols) if distinct[f"d{i}"] > 2 for b in [bounds[c]]}
+    return ClipState(bounds, list(log_columns))
 
 
 def inverse_log(df: DataFrame, cols: Iterable[str]) -> DataFrame:

@@ -68,14 +68,13 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, digits: int =
     cols = exprs.numeric_columns(df) if cols is None else cols
     if not cols:
         return spark.createDataFrame([], _DESC_SCHEMA)
-    aggs = []
+    extra = {}
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    row = df.agg(*aggs).collect()[0]
-    stats = {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], stats=stats)
+        extra.update({f"n{i}": F.count(x), f"a{i}": F.avg(x), f"s{i}": F.stddev_samp(x),
+                      f"lo{i}": F.min(x), f"hi{i}": F.max(x)})
+    row: dict = {}
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], extra_aggs=extra, extra_out=row)
 
     def r(v):
         return None if v is None else round(float(v), digits)

@@ -93,11 +93,14 @@ def fit_rare(df: DataFrame, rules: Mapping | None = None) -> RareState:
         spark = df.sparkSession
         empty = spark.createDataFrame([], "c string, v string")
         return RareState(rules, SizedFrame(empty, 0, True), 0)
-    n = df.count()
     counts = label_shares(df, list(rules))
+    # every column sees every row, so the per-column total is the row count;
+    # the total comes from the same counts (one job, the shuffle is reused)
+    totals = counts.groupBy("c").agg(F.sum("cnt").alias("tot"))
     thr = F.create_map(*[x for c, r in rules.items() for x in (F.lit(c), F.lit(float(r["threshold"])))])
-    rare = counts.where((F.col("cnt") / F.lit(float(n))) < thr[F.col("c")]).select("c", "v")
-    return RareState(rules, materialize_state(rare), n)
+    rare = (counts.join(F.broadcast(totals), "c")
+            .where((F.col("cnt") / F.col("tot")) < thr[F.col("c")]).select("c", "v"))
+    return RareState(rules, materialize_state(rare), 0)
 
 
 def apply_rare_label_encoding(df: DataFrame, rules: Mapping | None = None) -> DataFrame:
