@@ -32,13 +32,18 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 8))
-    # warm the JVM and the parquet footers once
-    QUERIES["shape"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm the JVM (class loading, codegen caches) on the smallest tables, untimed
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir):
+        for n in ("prep_chain", "ks_numeric"):
+            QUERIES[n](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    spark.catalog.clearCache()
     times = {}
     for n in names:
         t0 = time.perf_counter()
         QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t0, 3)
+        spark.catalog.clearCache()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus}))

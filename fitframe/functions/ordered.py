@@ -1,13 +1,15 @@
-"""Running totals in key order without an unpartitioned window.
+"""Running totals and lags in key order without an unpartitioned window.
 
 AUC, KS and Wasserstein distances need cumulative sums over a table sorted by
-value.  ``Window.orderBy`` without ``partitionBy`` would put that table in one
-task.  Instead the (already pre-aggregated, one row per key) table is cut
-into value ranges of about ``rows_per_bucket`` rows each using approximate
-quantile cut points; each range gets its own window partition, and the
-totals of the ranges before it (a table of #ranges rows) are added back.
-The result is exact: approximate cuts only affect how balanced the ranges
-are.
+value; MASE needs the previous value of a series.  A window ordered over a
+whole table or over one huge series would put it in one task.  Instead, any
+group (or the whole table) larger than ``rows_per_bucket`` rows is cut into
+key ranges of about that many rows using ``percentile_approx`` cut points;
+each range is its own window partition, and what the ranges before it
+contribute (their totals, or the last value before the range) comes from a
+table with one row per range, computed with a window partitioned by group and
+joined back.  Nothing per group is collected to the driver.  The result is
+exact: approximate cuts only affect how balanced the ranges are.
 """
 
 from __future__ import annotations
@@ -17,37 +19,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
 
 
 def assign_buckets(df: DataFrame, key: str, by: Sequence[str] = (),
-                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``_bucket``: value ranges of about ``rows_per_bucket`` rows of
-    ``key`` within ``by`` (cut points from ``percentile_approx``)."""
-    spark = df.sparkSession
+                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, bool]:
+    """Add ``_bucket`` (key range id within ``by``); returns (frame, split?)."""
     by = list(by)
-    counts = ([tuple(r) for r in df.groupBy(*by).count().collect()] if by
-              else [(df.count(),)])
-    nb = {tuple(r[:-1]): max(1, math.ceil(r[-1] / rows_per_bucket)) for r in counts}
-    if all(v == 1 for v in nb.values()):
-        return df.withColumn("_bucket", F.lit(0))
-    multi = max(nb.values())
-    fracs = [i / multi for i in range(1, multi)]
-    kd = F.col(key).cast("double")
     if by:
-        cuts_rows = df.groupBy(*by).agg(F.percentile_approx(kd, fracs, 10000).alias("_cuts")).collect()
-        cut_df = spark.createDataFrame(
-            [tuple(r[:-1]) + (sorted(set(r[-1] or [])),) for r in cuts_rows],
-            df.select(*by).schema.add("_cuts", "array<double>"))
-        bucketed = df.join(F.broadcast(cut_df), on=by, how="left")
-        cuts = F.col("_cuts")
+        counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        top = counts.agg(F.max("_n").alias("m")).first()["m"] or 0
     else:
-        got = df.agg(F.percentile_approx(kd, fracs, 10000)).collect()[0][0] or []
-        cuts = F.array(*[F.lit(float(c)) for c in sorted(set(got))])
-        bucketed = df
-    return bucketed.withColumn("_bucket", F.size(F.filter(cuts, lambda c: c < kd))).drop("_cuts")
+        counts = None
+        top = df.count()
+    if top <= rows_per_bucket:
+        return df.withColumn("_bucket", F.lit(0)), False
+    nb = math.ceil(top / rows_per_bucket)
+    fracs = [i / nb for i in range(1, nb)]
+    kd = F.col(key).cast("double")
+    if not by:
+        cuts = sorted(set(df.agg(F.percentile_approx(kd, fracs, 10000)).first()[0] or []))
+        b = None
+        for c in cuts:
+            t = (kd > F.lit(float(c))).cast("int")
+            b = t if b is None else b + t
+        return df.withColumn("_bucket", b if b is not None else F.lit(0)), True
+    big = counts.where(F.col("_n") > rows_per_bucket).select(*by)
+    cut_tab = (df.join(big, by, "left_semi").groupBy(*by)
+               .agg(F.array_sort(F.array_distinct(F.percentile_approx(kd, fracs, 10000))).alias("_cuts")))
+    out = df.join(cut_tab, by, "left")
+    bucket = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter(F.col("_cuts"), lambda c: c < kd)))
+    return out.withColumn("_bucket", bucket).drop("_cuts"), True
 
 
 def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[str] = (),
@@ -59,37 +63,24 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[st
 
     ``df`` must hold one row per ``(by..., key)``.
     """
-    spark = df.sparkSession
     by = list(by)
     sums = list(sums)
-    bucketed = assign_buckets(df, key, by, rows_per_bucket)
-    tot = (bucketed.groupBy(*by, "_bucket")
-           .agg(*[F.sum(s).alias(s) for s in sums], F.min(key).alias("_min"))
-           .collect())
-    groups: dict[tuple, list] = {}
-    for r in tot:
-        groups.setdefault(tuple(r[b] for b in by), []).append(r)
-    off_rows = []
-    for g, rows in groups.items():
-        rows.sort(key=lambda r: r["_bucket"])
-        acc = [0] * len(sums)
-        for i, r in enumerate(rows):
-            nxt = rows[i + 1]["_min"] if i + 1 < len(rows) else None
-            off_rows.append(g + (r["_bucket"],) + tuple(acc) + (nxt,))
-            acc = [a + (r[s] or 0) for a, s in zip(acc, sums)]
-    fields = list(df.select(*by).schema.fields) if by else []
-    fields.append(T.StructField("_bucket", T.IntegerType()))
-    for s in sums:
-        dt = df.schema[s].dataType
-        if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            dt = T.LongType()
-        fields.append(T.StructField(f"_off_{s}", dt))
-    fields.append(T.StructField("_next_min", df.schema[key].dataType))
-    off_df = spark.createDataFrame(off_rows, T.StructType(fields))
-
+    bucketed, split = assign_buckets(df, key, by, rows_per_bucket)
     w = Window.partitionBy(*by, "_bucket").orderBy(key)
     wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = bucketed.join(F.broadcast(off_df), on=[*by, "_bucket"], how="left")
+    if not split:
+        sel = [F.col(c) for c in df.columns] + [F.sum(s).over(wc).alias(f"cum_{s}") for s in sums]
+        if with_next_key:
+            sel.append(F.lead(key).over(w).alias("next_key"))
+        return bucketed.select(*sel)
+    tot = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums],
+                                               F.min(key).alias("_min"))
+    wb = Window.partitionBy(*by).orderBy("_bucket")
+    off = tot.select(*by, "_bucket",
+                     *[F.coalesce(F.sum(f"_t_{s}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                  F.lit(0)).alias(f"_off_{s}") for s in sums],
+                     F.lead("_min").over(wb).alias("_next_min"))
+    out = bucketed.join(off, [*by, "_bucket"], "left")
     sel = [F.col(c) for c in df.columns]
     sel += [(F.sum(s).over(wc) + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums]
     if with_next_key:
@@ -100,28 +91,15 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[st
 def lag_within(df: DataFrame, key: str, value: str, by: Sequence[str] = (),
                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Add ``prev_<value>``: ``value`` of the row with the next smaller key
-    within ``by`` (keys unique within ``by``).  A series longer than
-    ``rows_per_bucket`` is split into key ranges; the first row of a range
-    takes the last value of the range before it from a #ranges-row table."""
-    spark = df.sparkSession
+    within ``by`` (keys unique within ``by``)."""
     by = list(by)
-    bucketed = assign_buckets(df, key, by, rows_per_bucket)
-    last = (bucketed.groupBy(*by, "_bucket")
-            .agg(F.max_by(F.col(value), F.col(key)).alias("_last")).collect())
-    groups: dict[tuple, list] = {}
-    for r in last:
-        groups.setdefault(tuple(r[b] for b in by), []).append(r)
-    rows = []
-    for g, rs in groups.items():
-        rs.sort(key=lambda r: r["_bucket"])
-        for i, r in enumerate(rs):
-            rows.append(g + (r["_bucket"], rs[i - 1]["_last"] if i > 0 else None))
-    fields = list(df.select(*by).schema.fields) if by else []
-    fields += [T.StructField("_bucket", T.IntegerType()),
-               T.StructField("_carry", df.schema[value].dataType)]
-    carry = spark.createDataFrame(rows, T.StructType(fields))
+    bucketed, split = assign_buckets(df, key, by, rows_per_bucket)
     w = Window.partitionBy(*by, "_bucket").orderBy(key)
-    out = bucketed.join(F.broadcast(carry), on=[*by, "_bucket"], how="left")
-    return out.select(*[F.col(c) for c in df.columns],
-                      F.coalesce(F.lag(value).over(w), F.when(F.row_number().over(w) == 1, F.col("_carry")))
-                      .alias(f"prev_{value}"))
+    if not split:
+        return bucketed.select(*[F.col(c) for c in df.columns], F.lag(value).over(w).alias(f"prev_{value}"))
+    last = bucketed.groupBy(*by, "_bucket").agg(F.max_by(F.col(value), F.col(key)).alias("_last"))
+    carry = last.select(*by, "_bucket", F.lag("_last").over(Window.partitionBy(*by).orderBy("_bucket"))
+                        .alias("_carry"))
+    out = bucketed.join(carry, [*by, "_bucket"], "left")
+    prev = F.when(F.row_number().over(w) == 1, F.col("_carry")).otherwise(F.lag(value).over(w))
+    return out.select(*[F.col(c) for c in df.columns], prev.alias(f"prev_{value}"))

@@ -5,16 +5,18 @@ column in a single task, which does not survive a high-cardinality column at
 cluster scale; ``percentile_approx`` is bounded but not exact.  This module
 finds the exact order statistics by *bucket refinement*:
 
-1. one aggregation gives ``count/min/max`` of every requested column and a
-   ``percentile_approx`` bracket around every wanted probability (the rank
-   error of the sketch is at most ``n / accuracy``, so the exact order
-   statistic lies inside ``[approx(p - 3/acc), approx(p + 3/acc)]``);
-2. the next pass counts the rows below each bracket and, when the bracket
-   holds at most ``collect_rows`` rows (up to ~``collect_rows*acc/8`` rows in
-   the column), groups the bracket by value, which resolves the rank; larger
-   brackets are split into ``buckets`` equal-width buckets aggregated as
-   ``count, min, max`` (one shuffle of at most ``#brackets x buckets`` groups,
-   map-side combined, so a hot value costs one row per map task);
+1. one aggregation gives ``count/min/max`` of every requested column (and,
+   with ``accuracy > 0``, a ``percentile_approx`` bracket around every wanted
+   probability: the sketch's rank error is at most ``n / accuracy``, so the
+   exact order statistic lies inside ``[approx(p - 3/acc), approx(p + 3/acc)]``;
+   cheaper in scans for very large columns, dearer in CPU);
+2. every pass handles all columns at once: each value falls in one segment of
+   its column (a gap or an open interval); gaps are only counted, intervals
+   holding at most ``collect_rows`` rows are grouped by value (which resolves
+   the rank), larger ones are split into ``buckets`` equal-width buckets
+   aggregated as ``count, min, max`` (one shuffle of at most
+   ``#intervals x buckets`` groups, map-side combined, so a hot value costs
+   one row per map task);
 3. on the driver, the bucket that holds each wanted rank becomes the next
    interval ``[bucket min, bucket max]``; it is resolved when its min equals
    its max, or by grouping by value once it holds at most ``collect_rows``
@@ -37,10 +39,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
+DEFAULT_BUCKETS = 4096
 DEFAULT_COLLECT_ROWS = 50_000
 DEFAULT_MAX_PASSES = 12
-DEFAULT_ACCURACY = 10_000
+DEFAULT_ACCURACY = 0          # > 0: seed the first pass with percentile_approx brackets
 _DEBUG = bool(os.environ.get("FITFRAME_DEBUG"))
 
 
@@ -80,7 +82,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
     if not cols:
         return {}
     want = {c: list(probs[c]) if isinstance(probs, Mapping) else list(probs) for c in cols}
-    margin = 3.0 / accuracy
+    margin = 3.0 / accuracy if accuracy else 0.0
 
     # pass A: count / min / max and approximate brackets around every p
     aggs = []
@@ -89,8 +91,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
         x = _clean(c)
         bp = sorted({min(1.0, max(0.0, p + d)) for p in want[c] for d in (-margin, margin)})
         bracket_probs[c] = bp
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.percentile_approx(x, bp, accuracy).alias(f"b{i}")]
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        if accuracy:
+            aggs.append(F.percentile_approx(x, bp, accuracy).alias(f"b{i}"))
     extra_aggs = dict(extra_aggs or {})
     aggs += [e.alias(f"_e_{k}") for k, e in extra_aggs.items()]
     _t = time.time()
@@ -101,7 +104,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
     if _DEBUG:
         print(f"pass A: {time.time() - _t:.2f}s")
     st = {c: (int(row[f"n{i}"]), row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
-    brk = {c: dict(zip(bracket_probs[c], row[f"b{i}"] or [])) for i, c in enumerate(cols)}
+    brk = {c: dict(zip(bracket_probs[c], row[f"b{i}"] or [])) if accuracy else {} for i, c in enumerate(cols)}
 
     plan: dict[str, list[tuple[int, int, float]]] = {}
     ranks: dict[tuple[str, int], float | None] = {}
@@ -122,7 +125,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
             bhi = brk[c].get(min(1.0, max(0.0, p + margin)))
             blo = lo if blo is None else max(lo, blo)
             bhi = hi if bhi is None else min(hi, bhi)
-            expect = min(n, 2 * margin * n + 2 * n / accuracy + 1)
+            expect = min(n, 2 * margin * n + 2 * n / accuracy + 1) if accuracy else n
             for r in (r0, r1):
                 if lo == hi:
                     ranks[(c, r)] = lo

@@ -4,8 +4,10 @@ Numeric columns: PSI on reference-decile bins, exact two-sample KS distance
 and Wasserstein-1 distance divided by the reference std.  Categorical
 columns: Jensen-Shannon distance (natural log) and PSI on category shares.
 Both sides are first reduced to ``(column, value, side)`` counts, so a hot
-value is one row; cumulative distributions use the range-bucketed running
-total, never a window over raw rows or over one whole column in one task.
+value is one row; that table is materialised once (a local relation when
+small, a checkpoint otherwise), and cumulative distributions use the
+range-bucketed running total, never a window over raw rows or over one whole
+column in one task.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from ..functions import exprs
 from ..functions.names import sanitize_metric_name
 from ..functions.ordered import running_totals
 from ..functions.quantiles import exact_quantiles
+from ..functions.sizing import materialize_state
 
 EPS = 1e-4
 
@@ -90,7 +93,7 @@ def js_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int
 
 def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov distance ``sup |F_ref - F_cur|``."""
-    counts = _tagged_counts(ref, cur, cols, "double")
+    counts = materialize_state(_tagged_counts(ref, cur, cols, "double")).df
     cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"])
     tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     j = cum.join(F.broadcast(tot), "column")
@@ -102,7 +105,7 @@ def wasserstein_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], normed:
                         digits: int = 6) -> DataFrame:
     """Wasserstein-1 distance ``integral |F_ref - F_cur| dx``, divided by the
     reference (population) std when ``normed``."""
-    counts = _tagged_counts(ref, cur, cols, "double")
+    counts = materialize_state(_tagged_counts(ref, cur, cols, "double")).df
     cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], with_next_key=True)
     tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     j = cum.join(F.broadcast(tot), "column")

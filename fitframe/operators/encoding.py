@@ -109,7 +109,9 @@ def fit_one_hot(df: DataFrame, columns: Iterable[str] | None = None,
     ordinal = dict(config.ORDINAL_ENCODE if ordinal is None else ordinal)
     cols = list(config.ONEHOT_COLUMNS if columns is None else columns)
     onehot = [c for c in cols if c in df.columns and c not in ordinal]
-    ords = {c: list(v) for c, v in ordinal.items() if c in df.columns}
+    # a column the typing step already mapped to numbers is already ordinal
+    ords = {c: list(v) for c, v in ordinal.items()
+            if c in df.columns and df.schema[c].dataType.simpleString() == "string"}
     return OneHotState(distinct_values(df, onehot, max_categories), ords, drop_first, naming,
                        unknown_ordinal)
 

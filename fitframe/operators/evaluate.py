@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import lag_within, running_totals
+from ..functions.sizing import materialize_state
 
 
 def confusion_metrics(df: DataFrame, label: str, pred: str, digits: int = 6) -> DataFrame:
@@ -62,6 +63,7 @@ def auc_exact(df: DataFrame, label: str, score: str, rows_per_bucket: int = 1_00
     y = F.col(label).cast("long")
     grouped = df.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(
         F.col(score).cast("double").alias("s")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    grouped = materialize_state(grouped).df
     cum = running_totals(grouped, "s", ["neg"], rows_per_bucket=rows_per_bucket)
     return cum.agg(
         (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg")))

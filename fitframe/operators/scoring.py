@@ -36,27 +36,38 @@ def preview(df: DataFrame, n: int = 100) -> tuple[DataFrame, DataFrame]:
 
 
 class Lineage:
-    """rows/columns before and after each stage; counts via ``observe``."""
+    """rows/columns before and after each stage.
+
+    Column lists are schema facts, recorded for free.  Row counts are taken
+    only where rows can change and the data is materialised anyway (a count
+    of a cached frame), or, at scoring, with ``DataFrame.observe`` on the
+    final output so no extra job runs.  Observation nodes are not stacked
+    inside fit chains: they would sit between later fits and the scan.
+    """
 
     def __init__(self):
-        self.stages: list[tuple[str, list[str], list[str], Observation]] = []
+        self.stages: list[list] = []      # [name, cols_before, cols_after, rows_after | Observation | None]
+
+    def record(self, name: str, before: DataFrame, after: DataFrame, rows: int | None = None) -> None:
+        self.stages.append([name, list(before.columns), list(after.columns), rows])
 
     def track(self, name: str, before: DataFrame, after: DataFrame) -> DataFrame:
         obs = Observation(name)
         observed = after.observe(obs, F.count(F.lit(1)).alias("rows"))
-        self.stages.append((name, list(before.columns), list(after.columns), obs))
+        self.stages.append([name, list(before.columns), list(after.columns), obs])
         return observed
 
     def table(self, spark, rows_in: int | None = None) -> DataFrame:
         out = []
         prev_rows = rows_in
-        for name, cb, ca, obs in self.stages:
-            try:
-                rows = obs.get.get("rows")
-            except Exception:  # noqa: BLE001 - not yet observed
-                rows = None
+        for name, cb, ca, rows in self.stages:
+            if isinstance(rows, Observation):
+                try:
+                    rows = rows.get.get("rows")
+                except Exception:  # noqa: BLE001 - not yet observed
+                    rows = None
             removed = sorted(set(cb) - set(ca))
             out.append((name, prev_rows, rows, len(cb), len(ca), ",".join(removed)))
-            prev_rows = rows
+            prev_rows = rows if rows is not None else prev_rows
         return spark.createDataFrame(out, "stage string, rows_before long, rows_after long, "
                                           "cols_before int, cols_after int, removed_columns string")

@@ -108,13 +108,16 @@ SELECT o_totalprice_binned, o_orderpriority, nation,
 FROM relabeled GROUP BY o_totalprice_binned, o_orderpriority, nation
 """)
 def q_prep_chain(spark: SparkSession, sf: str) -> DataFrame:
-    base = prep_chain_input(spark, sf)
-    imp = impute.fit_impute(base, {"o_totalprice": "median"},
-                            {"o_orderpriority": {"strategy": "mode"}}).transform(base)
-    clipped = outliers.fit_clip(imp, ["o_totalprice", "c_acctbal"]).transform(imp)
-    binned = binning.fit_bins(clipped, {"o_totalprice": {
-        "strategy": "quantile", "bins": 4, "labels": PRICE_LABELS}}).transform(clipped)
-    relabeled = rare.fit_rare(binned, {"n_name": {"threshold": 0.035, "new_name": "OTHER"}}).transform(binned)
+    from .pipeline import Chain, Step
+    chain = Chain([
+        Step("impute", lambda d, p: impute.fit_impute(d, {"o_totalprice": "median"},
+                                                      {"o_orderpriority": {"strategy": "mode"}})),
+        Step("clip", lambda d, p: outliers.fit_clip(d, ["o_totalprice", "c_acctbal"])),
+        Step("bin", lambda d, p: binning.fit_bins(d, {"o_totalprice": {
+            "strategy": "quantile", "bins": 4, "labels": PRICE_LABELS}})),
+        Step("rare", lambda d, p: rare.fit_rare(d, {"n_name": {"threshold": 0.035, "new_name": "OTHER"}})),
+    ], materialize="cache")
+    _, relabeled = chain.fit_transform(prep_chain_input(spark, sf))
     return (relabeled.groupBy("o_totalprice_binned", "o_orderpriority", F.col("n_name").alias("nation"))
             .agg(F.count(F.lit(1)).alias("n_orders"),
                  F.round(F.avg("o_totalprice"), 6).alias("avg_totalprice"),

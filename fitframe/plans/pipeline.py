@@ -48,14 +48,21 @@ class Step:
 class FittedChain:
     steps: list                       # [(Step, fitted)]
     lineage: scoring.Lineage = field(default_factory=scoring.Lineage)
+    scoring_lineage: scoring.Lineage | None = None
 
     def transform(self, df: DataFrame, track: bool = False) -> DataFrame:
-        """Replay every fitted step (scoring mode)."""
+        """Replay every fitted step (scoring mode).  ``track`` records the
+        stage columns and observes the output row count on the final frame
+        (in ``scoring_lineage``; the fit lineage stays in ``lineage``)."""
+        lin = scoring.Lineage() if track else None
         for step, fitted in self.steps:
             before = df
             df = step.run(fitted, df, False)
-            if track:
-                df = self.lineage.track(step.name, before, df)
+            if lin is not None:
+                lin.record(step.name, before, df)
+        if lin is not None:
+            df = lin.track("output", df, df)
+            self.scoring_lineage = lin
         return df
 
     def state(self, name: str):
@@ -80,9 +87,11 @@ class Chain:
             prior[step.name] = fitted
             before = data
             data = step.run(fitted, data, True)
-            data = lineage.track(step.name, before, data)
+            rows = None
             if step.materialize_after:
                 data = materialize(data, self.materialize)
+                rows = data.count() if self.materialize else None
+            lineage.record(step.name, before, data, rows)
             fitted_steps.append((step, fitted))
         return FittedChain(fitted_steps, lineage), data
 
@@ -135,7 +144,7 @@ def lead_chain(target: str = config.TARGET, key: str | None = "prospect_id", top
         Step("1_clean", lambda d, p: cleaning.fit_clean(d, keep_cols=keep_cols, target=target,
                                                      static_drop=_static_drop(key)),
              lambda f, d, training: f.transform(d, dedup=training), materialize_after=True),
-        Step("2_type_convert", lambda d, p: None, lambda f, d, t: cleaning.convert_types(d)),
+        Step("2_type_convert", lambda d, p: None, lambda f, d, t: _typed(d, target)),
         Step("3_impute", lambda d, p: impute.fit_impute(d)),
         Step("4_outlier", lambda d, p: outliers.fit_clip(d, exclude=protect)),
         Step("5_engineer", lambda d, p: features.fit_features(d)),
@@ -154,6 +163,14 @@ def lead_chain(target: str = config.TARGET, key: str | None = "prospect_id", top
     return Chain(steps, materialize_how)
 
 
+def _typed(df: DataFrame, target: str) -> DataFrame:
+    """T1-T3 plus the target as a nullable int (D1's cast)."""
+    out = cleaning.convert_types(df)
+    if target in out.columns:
+        out = out.withColumn(target, F.col(target).cast("string").try_cast("double").cast("int"))
+    return out
+
+
 def _static_drop(key: str | None) -> set[str]:
     from ..functions.names import drop_list_names
     drop = drop_list_names(config.ID_COLS + config.CONST_COLS + config.HIGH_MISS_COLS)

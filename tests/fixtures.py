@@ -46,7 +46,7 @@ def lead_table(n: int = 600, seed: int = 42) -> pd.DataFrame:
     visits_txt = visits.astype(object)
     visits_txt[rng.random(n) < 0.03] = "abc"
     visits_txt[rng.random(n) < 0.05] = None
-    conv = (rng.random(n) < 0.25 + 0.3 * (time_spent > 500)).astype(object)
+    conv = (rng.random(n) < 0.25 + 0.3 * (time_spent > 500)).astype(int).astype(str).astype(object)
     conv[rng.random(n) < 0.01] = None
     df = pd.DataFrame({
         "Prospect ID": [f"p-{i:05d}" for i in range(n)],
