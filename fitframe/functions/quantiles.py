@@ -46,6 +46,19 @@ DEFAULT_ACCURACY = 0          # > 0: seed the first pass with percentile_approx
 _DEBUG = bool(os.environ.get("FITFRAME_DEBUG"))
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _dlit(v: float) -> str:
+    """A double literal in SQL text that parses back to exactly ``v``."""
+    v = float(v)
+    if math.isinf(v):
+        return "CAST('Infinity' AS DOUBLE)" if v > 0 else "CAST('-Infinity' AS DOUBLE)"
+    r = repr(v)
+    return f"({r}D)" if ("e" in r or "E" in r or "." in r) else f"({r}.0D)"
+
+
 def _clean(c: str):
     x = F.col(c).cast("double")
     return F.when(~F.isnan(x), x)
@@ -159,34 +172,33 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
         # compact per-row code: the segment of x is a sum of comparisons, the
         # bucket reads its interval from literal arrays (no nested CASE, so
         # whole-stage codegen stays within its method-size limits)
+        # Per-row code is generated as SQL text (one parse per column instead
+        # of thousands of driver->JVM calls).  The segment of x is a sum of
+        # comparisons computed once in its own projection; the bucket reads its
+        # interval from literal arrays, so no nested CASE grows with the number
+        # of intervals and the stage stays inside whole-stage codegen.
         col_ids = {c: i for i, c in enumerate(segs)}
-        base = df.select(*[_clean(c).alias(f"_x{i}") for c, i in col_ids.items()])
-        seg_cols = []
-        for c, ivs in segs.items():
-            x = F.col(f"_x{col_ids[c]}")
-            seg = None
-            for lo, hi, _size, _mode in ivs:
-                term = (x >= F.lit(lo)).cast("int") + (x > F.lit(hi)).cast("int")
-                seg = term if seg is None else seg + term
-            seg_cols.append(seg.alias(f"_g{col_ids[c]}"))
-        # the segment is its own projection so it is computed once per row
-        base = base.select("*", *seg_cols)
+        xs = [f"CASE WHEN isnan(CAST({_q(c)} AS DOUBLE)) THEN NULL ELSE CAST({_q(c)} AS DOUBLE) END AS _x{i}"
+              for c, i in col_ids.items()]
+        gs = []
         structs = []
         for c, ivs in segs.items():
             i = col_ids[c]
-            x, seg = F.col(f"_x{i}"), F.col(f"_g{i}")
-            j = F.shiftright(seg, 1)
-            los = F.array(*[F.lit(float(iv[0])) for iv in ivs])
-            widths = F.array(*[F.lit(float(iv[1] - iv[0]) or 1.0) for iv in ivs])
-            flags = F.array(*[F.lit(iv[3] == "collect") for iv in ivs])
-            bucket = F.least(F.floor((x - F.get(los, j)) / F.get(widths, j) * F.lit(buckets)),
-                             F.lit(buckets - 1)).cast("double")
-            k = F.when(seg % 2 == 1, F.when(F.get(flags, j), x).otherwise(bucket))
-            structs.append(F.when(x.isNotNull(), F.struct(F.lit(i).alias("c"), seg.alias("g"),
-                                                          k.alias("k"), x.alias("x"))))
+            gs.append(" + ".join(f"CAST(_x{i} >= {_dlit(lo)} AS INT) + CAST(_x{i} > {_dlit(hi)} AS INT)"
+                                 for lo, hi, _size, _mode in ivs) + f" AS _g{i}")
+            los = ", ".join(_dlit(iv[0]) for iv in ivs)
+            widths = ", ".join(_dlit(float(iv[1] - iv[0]) or 1.0) for iv in ivs)
+            flags = ", ".join("true" if iv[3] == "collect" else "false" for iv in ivs)
+            j = f"shiftright(_g{i}, 1)"
+            bucket = (f"CAST(least(floor((_x{i} - get(array({los}), {j})) / get(array({widths}), {j}) "
+                      f"* {buckets}), {buckets - 1}) AS DOUBLE)")
+            k = f"CASE WHEN _g{i} % 2 = 1 THEN (CASE WHEN get(array({flags}), {j}) THEN _x{i} ELSE {bucket} END) END"
+            structs.append(f"CASE WHEN _x{i} IS NOT NULL THEN named_struct('c', {i}, 'g', _g{i}, 'k', {k}, "
+                           f"'x', _x{i}) END")
+        base = df.selectExpr(*xs).selectExpr("*", *gs)
         # explode, then drop NULL entries: a higher-order ``filter`` would
         # leave whole-stage codegen for the interpreted path
-        agg = (base.select(F.explode(F.array(*structs)).alias("s")).where(F.col("s").isNotNull())
+        agg = (base.selectExpr(f"explode(array({', '.join(structs)})) AS s").where("s IS NOT NULL")
                .groupBy(F.col("s.c").alias("c"), F.col("s.g").alias("g"), F.col("s.k").alias("k"))
                .agg(F.count(F.lit(1)).alias("cnt"), F.min("s.x").alias("mn"), F.max("s.x").alias("mx")))
         got: dict[int, list] = {}

@@ -908,3 +908,159 @@ def q_top_k_importance(spark, sf):
                                               (F.col("l_returnflag") == "R").cast("double").alias("y"))
     imp = selection.corr_importance(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "y")
     return selection.top_k(imp, 2).select("feature", F.round("importance", 6).alias("importance"))
+
+
+# ---------------------------------------------------------------------------
+# Feature engineering
+# ---------------------------------------------------------------------------
+
+from ..operators import features as feats  # noqa: E402
+
+
+@query("prefix_ordinal", """
+WITH t AS (SELECT o_orderkey, replace(o_orderpriority, '-', '.') AS prio FROM orders)
+SELECT o_orderkey,
+       CAST(try_cast(trim(split_part(prio, '.', 1)) AS INTEGER) AS DOUBLE) AS prio_ordinal
+FROM t""")
+def q_prefix_ordinal(spark, sf):
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.regexp_replace("o_orderpriority", "-", ".").alias("prio"))
+    st = feats.fit_features(o, ["prio"], ratios=[], both_flags=[], collapse={}, equals=[])
+    return st.transform(o)
+
+
+@query("ratio_flag", """
+SELECT l_orderkey, l_linenumber,
+       coalesce(l_extendedprice, 0) / (CASE WHEN l_discount * 100 = 0 THEN 1 ELSE l_discount * 100 END)
+         AS price_per_discount,
+       CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 1 ELSE 0 END AS returned_final,
+       CASE WHEN l_tax = 0.08 THEN 1 ELSE 0 END AS top_tax
+FROM lineitem""")
+def q_ratio_flag(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_discount") * 100).alias("disc_pct"),
+        (F.col("l_returnflag") == "R").cast("int").alias("is_r"),
+        (F.col("l_linestatus") == "F").cast("int").alias("is_f"), "l_tax")
+    st = feats.FeatureState({}, ratios=[["price_per_discount", "l_extendedprice", "disc_pct"]],
+                            both_flags=[["returned_final", "is_r", "is_f"]], collapse={},
+                            equals=[["top_tax", "l_tax", 0.08]])
+    return st.transform(li).select("l_orderkey", "l_linenumber", "price_per_discount", "returned_final",
+                                   "top_tax")
+
+
+@query("channel_collapse", """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_tax = 0 THEN 'no_tax'
+            WHEN l_discount = 0 THEN 'no_discount'
+            WHEN l_quantity >= 40 THEN 'bulk'
+            ELSE 'Other_Source' END AS channel
+FROM lineitem""")
+def q_channel_collapse(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        (F.col("l_quantity") >= 40).cast("int").alias("bulk"),
+        (F.col("l_discount") == 0).cast("int").alias("no_discount"),
+        (F.col("l_tax") == 0).cast("int").alias("no_tax"))
+    st = feats.FeatureState({}, ratios=[], both_flags=[], equals=[],
+                            collapse={"channel": ["bulk", "no_discount", "no_tax"]})
+    return st.transform(li)
+
+
+# ---------------------------------------------------------------------------
+# Models (rows-only checks: Spark ML results have no SQL counterpart)
+# ---------------------------------------------------------------------------
+
+def doc_features(spark, sf):
+    """Per-document numeric features computed from the whole text, joined to
+    the quality label."""
+    d = table(spark, sf, "documents")
+    lab = table(spark, sf, "labels")
+    text = F.col("text")
+    f = d.select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.trim(text), r"\s+")).cast("double").alias("n_words"),
+        F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
+        (F.length(text) - F.length(F.regexp_replace(text, "[0-9]", ""))).cast("double").alias("n_digits"),
+        (F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))).cast("double").alias("n_upper"),
+        (F.col("lang") == "en").cast("double").alias("is_en"))
+    return f.join(lab.select("doc_id", "quality"), "doc_id")
+
+
+DOC_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_upper", "is_en"]
+
+
+@query("train_models")
+def q_train_models(spark, sf):
+    """M1/M2/M3/M5: tune (seeded draws + 3-fold CV), fit, stack, compare by AUC."""
+    from ..operators import training
+    res = training.train_all(doc_features(spark, sf), DOC_FEATURES, "quality", ["doc_id"],
+                             families=["LogisticRegression", "RandomForest", "GradientBoosting"],
+                             n_trials=1, stack=True)
+    return res.results
+
+
+@query("cluster_kmeans")
+def q_cluster_kmeans(spark, sf):
+    """K1/K2: engagement-style clusters of documents (suffix-matched features)."""
+    from ..operators import clustering
+    df = doc_features(spark, sf)
+    model = clustering.fit_clusters(df, ["n_chars", "n_words", "n_lines"])
+    return model.transform(df).groupBy("engagement_cluster").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+@query("rf_importance")
+def q_rf_importance(spark, sf):
+    """L3: random-forest importances, top 3."""
+    return selection.rf_importance(doc_features(spark, sf), "quality", DOC_FEATURES, k=3)
+
+
+@query("gbt_importance")
+def q_gbt_importance(spark, sf):
+    """L4 (re-aimed): boosted-tree importances."""
+    return selection.gbt_importance(doc_features(spark, sf), "quality", DOC_FEATURES, n_trees=10)
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """AUC drop per shuffled feature (3 repeats)."""
+    return selection.permutation_importance(doc_features(spark, sf), "quality", DOC_FEATURES[:3], n_repeats=3)
+
+
+@query("rfe_cv")
+def q_rfe_cv(spark, sf):
+    """L1: recursive elimination with a balanced logistic regression."""
+    _, hist = selection.rfe_cv(doc_features(spark, sf), "quality", DOC_FEATURES[:4], ["doc_id"], folds=3)
+    return hist
+
+
+@query("linear_attribution")
+def q_linear_attribution(spark, sf):
+    """L4 exact linear form: mean |w (x - mean)|."""
+    return selection.linear_attribution(doc_features(spark, sf), "quality", DOC_FEATURES)
+
+
+@query("feature_chain")
+def q_feature_chain(spark, sf):
+    """Z6 on the lineitem table: clean -> types -> impute -> clip -> bin ->
+    rare -> VIF -> one-hot -> scale, fitted and replayed as one plan."""
+    from .pipeline import Chain, Step
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        F.when(F.col("l_orderkey") % 10 == 0, F.lit("Select")).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
+        "l_linestatus", F.date_format("l_shipdate", "MMM").alias("ship_month"))
+    chain = Chain([
+        Step("clean", lambda d, p: cleaning.fit_clean(d, static_drop=[], keep_cols=["l_orderkey", "l_linenumber"],
+                                                      name_mode="simple")),
+        Step("impute", lambda d, p: impute.fit_impute(d, {}, {"l_returnflag": {"strategy": "mode"}})),
+        Step("clip", lambda d, p: outliers.fit_clip(d, ["l_extendedprice"])),
+        Step("bin", lambda d, p: binning.fit_bins(d, {"l_quantity": {"strategy": "quantile", "bins": 4,
+                                                                    "labels": VALUE_LABELS}})),
+        Step("rare", lambda d, p: rare.fit_rare(d, {"ship_month": {"threshold": 0.05, "new_name": "Other"}})),
+        Step("vif", lambda d, p: collinear.fit_vif(d.drop("l_orderkey", "l_linenumber"))),
+        Step("encode", lambda d, p: encoding.fit_one_hot(d, ["l_returnflag", "l_linestatus", "ship_month",
+                                                             "l_quantity_binned"], ordinal={})),
+        Step("scale", lambda d, p: scaling.fit_scaler(d, ["l_extendedprice"], [], [], skewed_to_robust=True,
+                                                      target="l_orderkey")),
+    ], materialize="cache")
+    fitted, _ = chain.fit_transform(li)
+    return fitted.transform(li)
