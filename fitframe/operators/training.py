@@ -157,21 +157,31 @@ class StackModel:
 
 
 def fit_stack(train: DataFrame, bases: list, features: list[str], k: int = 5,
-              seed: int = config.SEED) -> StackModel:
+              seed: int = config.SEED, parallelism: int = 4) -> StackModel:
+    """Out-of-fold base probabilities (fold fits run as concurrent Spark jobs,
+    like ``CrossValidator(parallelism=...)``) + passthrough features -> LR."""
+    from concurrent.futures import ThreadPoolExecutor
     names = [n for n, _ in bases]
-    folded = train.withColumn("_sfold", F.floor(F.rand(seed) * k).cast("int"))
-    oof = None
-    for f in range(k):
-        part = folded.where(F.col("_sfold") == f)
-        scored = part
-        for nm, est in bases:
-            m = est.fit(folded.where(F.col("_sfold") != f))
-            scored = m.transform(scored).select(*scored.columns,
-                                                vector_to_array("probability")[1].alias(f"p_{nm}"))
-        oof = scored if oof is None else oof.unionByName(scored)
-    meta_cols = [f"p_{n}" for n in names] + features
-    va = VectorAssembler(inputCols=meta_cols, outputCol="_meta", handleInvalid="keep")
-    lr = LogisticRegression(featuresCol="_meta", labelCol="label", maxIter=100)
-    meta = Pipeline(stages=[va, lr]).fit(oof.drop("features"))
-    full = [est.fit(train) for _, est in bases]
+    folded = train.withColumn("_sfold", F.floor(F.rand(seed) * k).cast("int")).persist()
+
+    def fit_fold(f):
+        rest = folded.where(F.col("_sfold") != f)
+        return f, [est.fit(rest) for _, est in bases]
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        fold_models = dict(pool.map(fit_fold, range(k)))
+        full_future = pool.submit(lambda: [est.fit(train) for _, est in bases])
+        oof = None
+        for f in range(k):
+            scored = folded.where(F.col("_sfold") == f)
+            for nm, m in zip(names, fold_models[f]):
+                scored = m.transform(scored).select(*scored.columns,
+                                                    vector_to_array("probability")[1].alias(f"p_{nm}"))
+            oof = scored if oof is None else oof.unionByName(scored)
+        meta_cols = [f"p_{n}" for n in names] + features
+        va = VectorAssembler(inputCols=meta_cols, outputCol="_meta", handleInvalid="keep")
+        lr = LogisticRegression(featuresCol="_meta", labelCol="label", maxIter=100)
+        meta = Pipeline(stages=[va, lr]).fit(oof.drop("features"))
+        full = full_future.result()
+    folded.unpersist()
     return StackModel(full, meta, names)
