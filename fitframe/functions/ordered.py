@@ -24,9 +24,14 @@ DEFAULT_ROWS_PER_BUCKET = 1_000_000
 
 
 def assign_buckets(df: DataFrame, key: str, by: Sequence[str] = (),
-                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, bool]:
-    """Add ``_bucket`` (key range id within ``by``); returns (frame, split?)."""
+                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                   n_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_bucket`` (key range id within ``by``); returns (frame, split?).
+    ``n_rows`` (an exact row count already known, e.g. of a materialised
+    state) skips the sizing job when the whole table fits one range."""
     by = list(by)
+    if n_rows is not None and n_rows <= rows_per_bucket:
+        return df.withColumn("_bucket", F.lit(0)), False
     if by:
         counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
         top = counts.agg(F.max("_n").alias("m")).first()["m"] or 0
@@ -56,7 +61,7 @@ def assign_buckets(df: DataFrame, key: str, by: Sequence[str] = (),
 
 def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[str] = (),
                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                   with_next_key: bool = False) -> DataFrame:
+                   with_next_key: bool = False, n_rows: int | None = None) -> DataFrame:
     """Add ``cum_<s>`` (sum of ``s`` over rows with key <= this key, within
     ``by``) for every ``s`` in ``sums``; optionally ``next_key`` (the next
     larger key within ``by``, NULL for the last).
@@ -65,7 +70,7 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[st
     """
     by = list(by)
     sums = list(sums)
-    bucketed, split = assign_buckets(df, key, by, rows_per_bucket)
+    bucketed, split = assign_buckets(df, key, by, rows_per_bucket, n_rows)
     w = Window.partitionBy(*by, "_bucket").orderBy(key)
     wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not split:

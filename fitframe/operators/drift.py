@@ -93,8 +93,9 @@ def js_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int
 
 def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov distance ``sup |F_ref - F_cur|``."""
-    counts = materialize_state(_tagged_counts(ref, cur, cols, "double")).df
-    cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"])
+    sized = materialize_state(_tagged_counts(ref, cur, cols, "double"))
+    counts = sized.df
+    cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], n_rows=sized.rows)
     tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     j = cum.join(F.broadcast(tot), "column")
     d = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur"))
@@ -105,8 +106,10 @@ def wasserstein_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], normed:
                         digits: int = 6) -> DataFrame:
     """Wasserstein-1 distance ``integral |F_ref - F_cur| dx``, divided by the
     reference (population) std when ``normed``."""
-    counts = materialize_state(_tagged_counts(ref, cur, cols, "double")).df
-    cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], with_next_key=True)
+    sized = materialize_state(_tagged_counts(ref, cur, cols, "double"))
+    counts = sized.df
+    cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], with_next_key=True,
+                         n_rows=sized.rows)
     tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     j = cum.join(F.broadcast(tot), "column")
     step = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur")) * \

@@ -63,8 +63,8 @@ def auc_exact(df: DataFrame, label: str, score: str, rows_per_bucket: int = 1_00
     y = F.col(label).cast("long")
     grouped = df.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(
         F.col(score).cast("double").alias("s")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    grouped = materialize_state(grouped).df
-    cum = running_totals(grouped, "s", ["neg"], rows_per_bucket=rows_per_bucket)
+    sized = materialize_state(grouped)
+    cum = running_totals(sized.df, "s", ["neg"], rows_per_bucket=rows_per_bucket, n_rows=sized.rows)
     return cum.agg(
         (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg")))
          / (F.sum("pos") * F.sum("neg"))).alias("auc"))
