@@ -91,7 +91,14 @@ def fit_clean(df: DataFrame, drop_high_missing: bool = True, dynamic_var_drop: b
               missing_threshold: float = config.MISSING_THRESHOLD,
               variance_threshold: float = config.VARIANCE_THRESHOLD,
               name_mode: str = "split_capitals") -> CleanState:
-    """Learn which columns to drop, in one aggregation job."""
+    """Learn which columns to drop, in one aggregation job.
+
+    C1/C1b rename; C3 static drop lists (matched under both naming rules);
+    C4 null share > ``missing_threshold`` and C5 sample variance <
+    ``variance_threshold`` measured in the same aggregation, before the
+    placeholders become NULL; C6 ``keep_cols`` veto; C7 leak names.  The
+    transform applies C8 placeholders, C9 whole-row dedup (training only)
+    and C10 ordinal maps."""
     original = list(df.columns)
     fn = names.standardize_name if name_mode == "split_capitals" else names.simple_name
     renamed = [fn(c) for c in original]

@@ -97,3 +97,17 @@ def fit_features(df: DataFrame, ordinal_cols: Iterable[str] = config.PREFIX_ORDI
         for r in ok.limit(ISIN_MAX * len(cols) + 1).collect():
             values[r["c"]].append(r["v"])
     return FeatureState({c: sorted(v) for c, v in values.items() if v}, **kw)
+
+
+def full_feature_engineering(df: DataFrame, target: str, importance: bool = True, n_repeats: int = 10,
+                             **kw):
+    """Engineer features (F1-F5), then boosted-tree importances (L4) and
+    permutation importances (L5) of the numeric features.  Returns the
+    engineered frame and the two importance tables (``None`` when skipped)."""
+    from .selection import gbt_importance, permutation_importance
+    out = fit_features(df, **kw).transform(df)
+    if not importance or target not in out.columns:
+        return out, None, None
+    num = [c for c in exprs.numeric_columns(out) if c != target]
+    return (out, gbt_importance(out, target, num),
+            permutation_importance(out, target, num, n_repeats=n_repeats))

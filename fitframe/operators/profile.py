@@ -167,3 +167,17 @@ def target_rate(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s"))
     return st.groupBy(F.col("s.c").alias("column"), F.col("s.v").alias("value")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("_y"), 6).alias("target_mean"))
+
+
+def notebook_profile(df: DataFrame) -> dict[str, DataFrame]:
+    """P10: null counts and describe of every column (numeric and categorical)."""
+    return {"missing": missing_report(df), "numeric": describe_numeric(df),
+            "categorical": describe_categorical(df)}
+
+
+def eda_summary(df: DataFrame, target: str) -> dict[str, DataFrame]:
+    """P1-P6 in one call: shape, missing, dtypes, target shares, describes."""
+    return {"shape": shape(df), "missing": missing_report(df), "dtypes": dtype_frequency(df),
+            "target": target_distribution(df, target),
+            "numeric": describe_numeric(df, [c for c in exprs.numeric_columns(df) if c != target]),
+            "categorical": describe_categorical(df)}

@@ -78,8 +78,10 @@ class ScaleState(Fitted):
 def fit_scaler(df: DataFrame, standard: Iterable[str] = (), robust: Iterable[str] = (),
                minmax: Iterable[str] = (), skewed_to_robust: bool = False,
                target: str | None = None, skew_threshold: float = config.SKEW_THRESHOLD) -> ScaleState:
-    """X2-X5.  ``skewed_to_robust`` adds every other numeric column with
-    |skew| > threshold to the robust list (the router)."""
+    """X2 standard ``(x - mean) / std_pop``, X3 robust ``(x - median) / IQR``
+    (interpolated quartiles), X4 min-max ``(x - min) / (max - min)``; a zero
+    scale becomes 1.  X5: ``skewed_to_robust`` adds every other numeric
+    column with |skew| > threshold to the robust list (the router)."""
     have = set(df.columns)
     standard = [c for c in standard if c in have and c != target]
     robust = [c for c in robust if c in have and c != target]
