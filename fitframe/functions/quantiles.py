@@ -23,8 +23,9 @@ finds the exact order statistics by *bucket refinement*:
    rows.  A bracket that misses its rank (not expected) falls back to the
    whole column.
 
-The driver only ever sees ``#intervals x buckets`` (or ``collect_rows``)
-rows.  Interpolation is linear between the two neighbouring order
+The driver reads at most ``driver_rows`` rows per pass however many columns
+and probabilities are asked for (bucket counts shrink as intervals grow in
+number).  Interpolation is linear between the two neighbouring order
 statistics, as in pandas ``quantile``, Spark ``percentile`` and DuckDB
 ``quantile_cont``.
 """
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 4096
 DEFAULT_COLLECT_ROWS = 50_000
 DEFAULT_MAX_PASSES = 12
+DEFAULT_DRIVER_ROWS = 400_000   # rows the driver reads per pass, all columns together
 DEFAULT_ACCURACY = 0          # > 0: seed the first pass with percentile_approx brackets
 _DEBUG = bool(os.environ.get("FITFRAME_DEBUG"))
 
@@ -80,6 +82,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                     collect_rows: int = DEFAULT_COLLECT_ROWS,
                     max_passes: int = DEFAULT_MAX_PASSES,
                     accuracy: int = DEFAULT_ACCURACY,
+                    driver_rows: int = DEFAULT_DRIVER_ROWS,
                     stats: Mapping[str, tuple[int, float, float]] | None = None,
                     extra_aggs: Mapping | None = None,
                     extra_out: dict | None = None,
@@ -166,12 +169,20 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                     m[1] = max(m[1], hi)
                 else:
                     merged.append([lo, hi, size])
-            for m in merged:
-                m.append("collect" if force or m[2] <= collect_rows or m[0] == m[1] else "bucket")
             segs[c] = merged
-        # compact per-row code: the segment of x is a sum of comparisons, the
-        # bucket reads its interval from literal arrays (no nested CASE, so
-        # whole-stage codegen stays within its method-size limits)
+        # The driver reads at most ``driver_rows`` rows per pass: intervals are
+        # grouped by value (smallest first) while their sizes fit half of
+        # that budget; the others share it as buckets.
+        ivs_all = sorted((iv for ivs in segs.values() for iv in ivs), key=lambda iv: iv[2])
+        budget = driver_rows // 2
+        for iv in ivs_all:
+            if force or iv[0] == iv[1] or (iv[2] <= collect_rows and iv[2] <= budget):
+                iv.append("collect")
+                budget -= 0 if iv[0] == iv[1] else iv[2]
+            else:
+                iv.append("bucket")
+        n_bucketed = sum(1 for iv in ivs_all if iv[3] == "bucket")
+        nb = max(16, min(buckets, (driver_rows // 2) // max(1, n_bucketed)))
         # Per-row code is generated as SQL text (one parse per column instead
         # of thousands of driver->JVM calls).  The segment of x is a sum of
         # comparisons computed once in its own projection; the bucket reads its
@@ -191,7 +202,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
             flags = ", ".join("true" if iv[3] == "collect" else "false" for iv in ivs)
             j = f"shiftright(_g{i}, 1)"
             bucket = (f"CAST(least(floor((_x{i} - get(array({los}), {j})) / get(array({widths}), {j}) "
-                      f"* {buckets}), {buckets - 1}) AS DOUBLE)")
+                      f"* {nb}), {nb - 1}) AS DOUBLE)")
             k = f"CASE WHEN _g{i} % 2 = 1 THEN (CASE WHEN get(array({flags}), {j}) THEN _x{i} ELSE {bucket} END) END"
             structs.append(f"CASE WHEN _x{i} IS NOT NULL THEN named_struct('c', {i}, 'g', _g{i}, 'k', {k}, "
                            f"'x', _x{i}) END")

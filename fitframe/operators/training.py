@@ -109,18 +109,19 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     train, test = stratified_split(data, "label", keys, test_size, seed)
     train = train.persist()
     families = families or FAMILIES
-    results, trials, models = [], [], []
+    results, trials, models, tuned = [], [], [], {}
     n = train.count()
     for name in families:
         params, rows = tune(train, name, n_trials, folds, seed)
         trials += rows
+        tuned[name] = params
         model = make_estimator(name, params, n).fit(train)
         models.append((name, model))
         results.append((name, *_test_metrics(model.transform(test))))
     best_i = max(range(len(results)), key=lambda i: results[i][4] if results[i][4] is not None else -1.0)
     best_name, best_model = models[best_i]
     if stack and len(models) > 1:
-        st = fit_stack(train, [(nm, make_estimator(nm, {}, n)) for nm, _ in models], features,
+        st = fit_stack(train, [(nm, make_estimator(nm, tuned[nm], n)) for nm, _ in models], features,
                        k=config.STACK_FOLDS, seed=seed)
         met = _test_metrics(st.transform(test))
         results.append(("StackingEnsemble", *met))

@@ -1065,3 +1065,73 @@ def q_feature_chain(spark, sf):
     ], materialize="cache")
     fitted, _ = chain.fit_transform(li)
     return fitted.transform(li)
+
+
+# ---------------------------------------------------------------------------
+# Reports with SQL counterparts: cleaning report, residual bins, D3 columns
+# ---------------------------------------------------------------------------
+
+@query("clean_report", f"""
+WITH g AS ({_GAPS_SQL}),
+d AS (SELECT * FROM g UNION ALL SELECT * FROM g WHERE o_orderkey % 4 = 0),
+m AS (SELECT 'o_orderkey' AS c, avg(CASE WHEN o_orderkey IS NULL THEN 1.0 ELSE 0.0 END) AS share FROM d UNION ALL
+      SELECT 'o_custkey', avg(CASE WHEN o_custkey IS NULL THEN 1.0 ELSE 0.0 END) FROM d UNION ALL
+      SELECT 'o_totalprice', avg(CASE WHEN o_totalprice IS NULL THEN 1.0 ELSE 0.0 END) FROM d UNION ALL
+      SELECT 'o_orderpriority', avg(CASE WHEN o_orderpriority IS NULL THEN 1.0 ELSE 0.0 END) FROM d UNION ALL
+      SELECT 'o_orderstatus', avg(CASE WHEN o_orderstatus IS NULL THEN 1.0 ELSE 0.0 END) FROM d UNION ALL
+      SELECT 'o_orderdate', avg(CASE WHEN o_orderdate IS NULL THEN 1.0 ELSE 0.0 END) FROM d),
+kept AS (SELECT o_orderkey, o_custkey, o_totalprice,
+                CASE WHEN o_orderpriority IN ({_sql_list(config.PLACEHOLDERS)}) THEN NULL ELSE o_orderpriority END
+                  AS o_orderpriority,
+                CASE WHEN o_orderstatus IN ({_sql_list(config.PLACEHOLDERS)}) THEN NULL ELSE o_orderstatus END
+                  AS o_orderstatus FROM d)
+SELECT 'rows_before' AS item, CAST(count(*) AS VARCHAR) AS value FROM d
+UNION ALL SELECT 'rows_after', CAST(count(*) AS VARCHAR) FROM (SELECT DISTINCT * FROM kept)
+UNION ALL SELECT 'dropped_columns', string_agg(c, ',' ORDER BY c) FROM m WHERE share > 0.5
+UNION ALL SELECT 'leak_columns', ''
+UNION ALL SELECT 'original_columns', 'o_orderkey,o_custkey,o_totalprice,o_orderpriority,o_orderstatus,o_orderdate'
+UNION ALL SELECT 'final_columns', (SELECT string_agg(c, ',' ORDER BY CASE c WHEN 'o_orderkey' THEN 1
+      WHEN 'o_custkey' THEN 2 WHEN 'o_totalprice' THEN 3 WHEN 'o_orderpriority' THEN 4 WHEN 'o_orderstatus' THEN 5
+      ELSE 6 END) FROM m WHERE share <= 0.5)""")
+def q_clean_report(spark, sf):
+    """C11: rows before/after the cleaning (duplicates added with UNION ALL)
+    and the column lists decided at fit."""
+    g = _orders_with_gaps(spark, sf)
+    doubled = g.unionByName(g.where(F.col("o_orderkey") % 4 == 0))
+    st = cleaning.fit_clean(doubled, dynamic_var_drop=False, static_drop=[], name_mode="simple")
+    return cleaning.clean_report(doubled, st)
+
+
+@query("residual_hist", f"""
+WITH j AS ({_ORDER_EST_SQL}),
+r AS (SELECT y - p AS residual FROM j),
+s AS (SELECT min(residual) AS lo, max(residual) AS hi FROM r),
+b AS (SELECT least(floor((residual - lo) / ((hi - lo) / 20)), 19)::INT AS bin, lo, (hi - lo) / 20 AS w
+      FROM r, s WHERE residual IS NOT NULL)
+SELECT 'residual' AS "column", bin, round(lo + bin * w, 6) AS lo, round(lo + (bin + 1) * w, 6) AS hi,
+       count(*) AS n
+FROM b GROUP BY bin, lo, w""")
+def q_residual_hist(spark, sf):
+    """M8: residuals of the lineitem-based order total, as 20 equal-width bins."""
+    return evaluate.residual_table(_order_estimates(spark, sf), "y", "p", 20)
+
+
+@query("variant_columns", """
+WITH t AS (SELECT o_custkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS parity,
+                  CASE WHEN year(o_orderdate) < 1999 THEN 0 ELSE 1 END AS side FROM orders),
+s AS (SELECT side, stddev_samp(o_custkey) AS a, stddev_samp(o_totalprice) AS b,
+             stddev_samp(CASE WHEN side = 0 THEN parity ELSE 0 END) AS c FROM t GROUP BY side)
+SELECT column_name FROM (
+  SELECT 'o_custkey' AS column_name, min(a) > 0 AS ok FROM s UNION ALL
+  SELECT 'o_totalprice', min(b) > 0 FROM s UNION ALL
+  SELECT 'parity', min(c) > 0 FROM s) WHERE ok""")
+def q_variant_columns(spark, sf):
+    """D3: numeric columns with a positive std on both sides (a column made
+    constant on the current side drops out)."""
+    o = table(spark, sf, "orders")
+    base = o.select("o_custkey", "o_totalprice", (F.col("o_orderkey") % 2 == 0).cast("int").alias("parity"),
+                    F.year("o_orderdate").alias("yr"))
+    ref = base.where(F.col("yr") < 1999).drop("yr")
+    cur = base.where(F.col("yr") >= 1999).drop("yr").withColumn("parity", F.lit(0))
+    cols = split.variant_columns(ref, cur)
+    return spark.createDataFrame([(c,) for c in cols], "column_name string")

@@ -25,12 +25,23 @@ from ..session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame, how: str | None) -> DataFrame:
+    """Cache (or checkpoint) the input of iterative fits.
+
+    An input with fewer partitions than the cluster's default parallelism
+    (one Parquet row group, a small dimension join) is spread round-robin
+    first, so each of the many fit passes uses every core; inputs that are
+    already wide are left as they are (no extra shuffle at scale)."""
+    if how is None:
+        return df
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        df = df.repartition(parallelism)
     if how == "cache":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
-    return df
+    raise ValueError(f"unknown materialize mode {how!r}")
 
 
 @dataclass
