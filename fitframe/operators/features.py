@@ -64,7 +64,9 @@ class FeatureState(Fitted):
         extra: dict[str, Column] = {}
         for c, vals in self.ordinal_values.items():
             if c in have and vals:
-                seen = F.col(c).cast("string").isin(vals) if len(vals) <= ISIN_MAX else F.lit(True)
+                # "*": more parseable values than fit in a hash set; the fitted
+                # map is then the prefix rule itself (unseen values parse too)
+                seen = F.lit(True) if vals == "*" else F.col(c).cast("string").isin(vals)
                 extra[f"{c}_ordinal"] = F.when(seen, prefix_int(c)).cast("double")
                 drop.add(c)
         for name, a, b in self.ratios:
@@ -94,9 +96,15 @@ def fit_features(df: DataFrame, ordinal_cols: Iterable[str] = config.PREFIX_ORDI
             F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s")
         ).select("s.c", "s.v").where(F.col("v").isNotNull()).distinct()
         ok = st.where(prefix_int("v").isNotNull())
-        for r in ok.limit(ISIN_MAX * len(cols) + 1).collect():
-            values[r["c"]].append(r["v"])
-    return FeatureState({c: sorted(v) for c, v in values.items() if v}, **kw)
+        counts = {r["c"]: r["n"] for r in ok.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+        small = [c for c in cols if 0 < counts.get(c, 0) <= ISIN_MAX]
+        if small:
+            for r in ok.where(F.col("c").isin(small)).collect():
+                values[r["c"]].append(r["v"])
+        for c in cols:
+            if counts.get(c, 0) > ISIN_MAX:
+                values[c] = "*"
+    return FeatureState({c: (v if v == "*" else sorted(v)) for c, v in values.items() if v}, **kw)
 
 
 def full_feature_engineering(df: DataFrame, target: str, importance: bool = True, n_repeats: int = 10,

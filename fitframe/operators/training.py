@@ -73,6 +73,9 @@ class TrainResult:
     trials: DataFrame         # model, trial, params, cv_auc
     best_name: str
     best_model: object
+    drift: DataFrame | None = None      # train-vs-test drift scores (D3 columns)
+    encoder: object = None              # target encoder fitted on train (E4)
+    scaler: object = None               # standard scaler fitted on train (X2)
 
 
 def tune(train: DataFrame, name: str, n_trials: int, folds: int = config.CV_FOLDS,
@@ -99,15 +102,38 @@ def tune(train: DataFrame, name: str, n_trials: int, folds: int = config.CV_FOLD
 def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
               families: list[str] | None = None, n_trials: int = 2, folds: int = config.CV_FOLDS,
               test_size: float = config.TEST_SIZE, seed: int = config.SEED,
-              stack: bool = True) -> TrainResult:
-    """M1/M2/M3/M5: split, tune every family, fit on train, score on test,
-    stack, and compare by AUC."""
-    from .split import stratified_split
+              stack: bool = True, categorical: list[str] | None = None,
+              drift_report: bool = True) -> TrainResult:
+    """M1/M2/M3/M5 with the original's preparation: drop NULL targets (D1),
+    stratified split (D2), drift of train vs test on columns with spread on
+    both sides (D3, Q2), target encoding of the categorical features and a
+    standard scaler, both fitted on the train side only (E4, X2); then tune
+    every family, fit on train, score on test, stack, and compare by AUC."""
+    from .drift import drift_scores
+    from .encoding import fit_target_encoder
+    from .scaling import fit_scaler
+    from .split import drop_null_target, stratified_split, variant_columns
     spark = df.sparkSession
-    data = assemble(df.where(F.col(target).isNotNull()), features, target)
+    categorical = [c for c in (categorical or []) if c in df.columns]
+    numeric = [c for c in features if c not in categorical]
+    data = drop_null_target(df, target).withColumn("label", F.col(target).cast("double"))
     data = fold_column(data, keys, folds, seed)
     train, test = stratified_split(data, "label", keys, test_size, seed)
-    train = train.persist()
+    drift = None
+    if drift_report:
+        safe = variant_columns(train.select(*numeric), test.select(*numeric))
+        cols = safe + categorical
+        if cols:
+            drift = drift_scores(train.select(*cols), test.select(*cols))
+    encoder = None
+    if categorical:
+        encoder = fit_target_encoder(train, categorical, "label")
+        train, test = encoder.transform(train), encoder.transform(test)
+    scaler = fit_scaler(train, standard=features)
+    train, test = scaler.transform(train), scaler.transform(test)
+    va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    train = va.transform(train).persist()
+    test = va.transform(test)
     families = families or FAMILIES
     results, trials, models, tuned = [], [], [], {}
     n = train.count()
@@ -131,7 +157,7 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     res = spark.createDataFrame(results, "model string, accuracy double, precision double, "
                                          "recall double, roc_auc double")
     tri = spark.createDataFrame(trials, "model string, trial int, params string, cv_auc double")
-    return TrainResult(res, tri, best_name, best_model)
+    return TrainResult(res, tri, best_name, best_model, drift, encoder, scaler)
 
 
 def _test_metrics(scored: DataFrame) -> tuple:

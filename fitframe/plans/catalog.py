@@ -982,7 +982,7 @@ def doc_features(spark, sf):
         F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
         (F.length(text) - F.length(F.regexp_replace(text, "[0-9]", ""))).cast("double").alias("n_digits"),
         (F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))).cast("double").alias("n_upper"),
-        (F.col("lang") == "en").cast("double").alias("is_en"))
+        (F.col("lang") == "en").cast("double").alias("is_en"), "lang", "source")
     return f.join(lab.select("doc_id", "quality"), "doc_id")
 
 
@@ -995,8 +995,9 @@ def q_train_models(spark, sf):
     AUC.  Linear and forest families here; the boosted family (many Spark
     jobs per fit) is exercised by ``gbt_importance`` and the unit tests."""
     from ..operators import training
-    res = training.train_all(doc_features(spark, sf), DOC_FEATURES, "quality", ["doc_id"],
-                             families=["LogisticRegression", "RandomForest"], n_trials=1, stack=True)
+    res = training.train_all(doc_features(spark, sf), DOC_FEATURES + ["source"], "quality", ["doc_id"],
+                             families=["LogisticRegression", "RandomForest"], n_trials=1, stack=True,
+                             categorical=["source"])
     return res.results
 
 

@@ -13,13 +13,16 @@ def test_model_trainer_runs_on_random_matrix(spark):
     pdf = random_matrix(60)
     pdf["label"] = (pdf["y"] > 0.5).astype(int)
     pdf["id"] = range(len(pdf))
+    pdf["grp"] = ["g%d" % (i % 3) for i in range(len(pdf))]
     df = spark.createDataFrame(pdf)
-    res = training.train_all(df, ["a", "b", "c"], "label", ["id"], families=["LogisticRegression"],
-                             n_trials=2, stack=False)
+    res = training.train_all(df, ["a", "b", "c", "grp"], "label", ["id"], families=["LogisticRegression"],
+                             n_trials=2, stack=False, categorical=["grp"])
     rows = res.results.collect()
     assert len(rows) == 1 and rows[0].model == "LogisticRegression"
     assert res.trials.count() == 2
     assert hasattr(res.best_model, "transform")
+    assert {r.column for r in res.drift.collect()} == {"a", "b", "c", "grp"}
+    assert res.encoder.columns == ["grp"] and set(res.scaler.order) == {"a", "b", "c", "grp"}
 
 
 def test_param_mapping_and_draws():
