@@ -2,10 +2,10 @@
 
 A fitted state (rare-label list, target-encoding table, category list) is
 usually tiny, but its size grows with the cardinality of a column, not with a
-constant.  ``materialize_state`` counts it once: up to ``max_local_rows`` rows
-it becomes a local relation (exact size known to Catalyst, safe to
-broadcast); beyond that it is checkpointed to the shared checkpoint folder
-and joined with a shuffle join (AQE splits skewed keys).
+constant.  ``materialize_state`` computes it once and counts it: a small
+state becomes a local relation, a medium one stays cached and is broadcast,
+a large one is checkpointed to the shared checkpoint folder and joined with a
+shuffle join (AQE splits skewed keys).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-MAX_LOCAL_ROWS = 100_000
+MAX_LOCAL_ROWS = 20_000
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -32,11 +32,28 @@ class SizedFrame:
         return F.broadcast(self.df) if self.rows <= max_broadcast_rows else self.df
 
 
-def materialize_state(df: DataFrame, max_local_rows: int = MAX_LOCAL_ROWS) -> SizedFrame:
-    rows = df.limit(max_local_rows + 1).collect()
-    if len(rows) <= max_local_rows:
-        spark = df.sparkSession
-        return SizedFrame(spark.createDataFrame(rows, df.schema), len(rows), True)
+def materialize_state(df: DataFrame, max_local_rows: int = MAX_LOCAL_ROWS,
+                      max_cached_rows: int = MAX_BROADCAST_ROWS) -> SizedFrame:
+    """Run the state's aggregation once, count it, and keep it in the form its
+    size calls for:
+
+    * up to ``max_local_rows`` rows: a local relation (exact size known to
+      Catalyst, safe to broadcast);
+    * up to ``max_cached_rows``: the cached result (``MEMORY_AND_DISK``; a
+      lost block is recomputed from its short lineage: scan + aggregate);
+    * beyond: a checkpoint in the shared ``spark.checkpoint.dir`` (lineage
+      cut, survives executor loss), joined with a shuffle join.
+    """
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    if n <= max_local_rows:
+        out = SizedFrame(df.sparkSession.createDataFrame(cached.collect(), df.schema), n, True)
+        cached.unpersist()
+        return out
+    if n <= max_cached_rows:
+        return SizedFrame(cached, n, False)
     ensure_checkpoint_dir(df.sparkSession)
-    ck = df.checkpoint(eager=True)
-    return SizedFrame(ck, ck.count(), False)
+    ck = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return SizedFrame(ck, n, False)
