@@ -49,13 +49,15 @@ def psi_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = 10,
     parts = []
     for c in cols:
         cuts = sorted(set(v for v in q[c] if v is not None))
-        b = F.size(F.filter(F.array(*[F.lit(float(x)) for x in cuts]), lambda e: e < F.col(c).cast("double"))) \
-            if cuts else F.lit(0)
+        x = F.col(c).cast("double")
+        b = F.lit(0)
+        for e in cuts:                      # bin = number of cuts below x
+            b = b + (x > F.lit(float(e))).cast("int")
         parts.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("c"), b.alias("b"))))
 
     def long(df, side):
-        return df.select(F.lit(side).alias("side"), F.explode(
-            F.filter(F.array(*parts), lambda s: s.isNotNull())).alias("s"))
+        return df.select(F.lit(side).alias("side"), F.explode(F.array(*parts)).alias("s")).where(
+            F.col("s").isNotNull())
     counts = long(ref, 0).unionByName(long(cur, 1)).groupBy(
         F.col("s.c").alias("column"), F.col("s.b").alias("bin")).agg(
         F.sum((F.col("side") == 0).cast("long")).alias("n_ref"),

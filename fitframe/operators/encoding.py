@@ -167,8 +167,20 @@ class TargetEncodeState(Fitted):
                      .drop(f"_tv_{c}", f"_te_{c}")
         return out
 
-    def state_frame(self, spark):
-        return super().state_frame(spark)
+
+
+def load_target_encoder(spark, path: str) -> TargetEncodeState:
+    """Reload a saved target encoder: scalars from ``_state``, one Parquet
+    table per encoded column."""
+    import json
+    import os
+    rows = {r["key"]: json.loads(r["value"]) for r in spark.read.parquet(os.path.join(path, "_state")).collect()}
+    tables = {}
+    for c in rows["columns"]:
+        t = spark.read.parquet(os.path.join(path, f"table_{c}"))
+        tables[c] = SizedFrame(t, t.count(), False)
+    return TargetEncodeState(rows["columns"], rows["prior"], tables, rows["smoothing"],
+                             rows["min_samples_leaf"], rows["suffix"])
 
 
 def fit_target_encoder(df: DataFrame, columns: Iterable[str], target: str,

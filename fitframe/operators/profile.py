@@ -125,7 +125,7 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 30) -> D
                                                                   F.lit(lo).alias("_lo"), F.lit(width).alias("_w"))))
     if not parts:
         return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, n long")
-    st_df = df.select(F.explode(F.filter(F.array(*parts), lambda s: s.isNotNull())).alias("s"))
+    st_df = df.select(F.explode(F.array(*parts)).alias("s")).where(F.col("s").isNotNull())
     return (st_df.groupBy("s.column", "s.bin", "s._lo", "s._w").agg(F.count(F.lit(1)).alias("n"))
             .select("column", "bin", F.round(F.col("_lo") + F.col("bin") * F.col("_w"), 6).alias("lo"),
                     F.round(F.col("_lo") + (F.col("bin") + 1) * F.col("_w"), 6).alias("hi"), "n"))

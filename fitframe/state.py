@@ -71,6 +71,9 @@ def load(spark: SparkSession, path: str) -> Fitted:
     if not rows:
         raise FileNotFoundError(f"empty fitted state at {path}")
     cls = _REGISTRY[rows[0]["step"]]
+    if cls.__name__ == "TargetEncodeState":
+        from .operators.encoding import load_target_encoder
+        return load_target_encoder(spark, path)
     kwargs = {r["key"]: json.loads(r["value"]) for r in rows}
     for f in dataclasses.fields(cls):
         if f.name not in kwargs:
