@@ -2,10 +2,11 @@
 
 The variance inflation factor of column i in a no-intercept regression on the
 other columns is ``G_ii / SSR_i`` with ``G = X'X`` and
-``SSR_i = G_ii - g_i' pinv(G_-i) g_i``.  ``G`` comes from ONE distributed
-aggregation of ``k(k+1)/2`` product sums over the median-filled columns; the
-greedy removal of the largest VIF then works on sub-matrices of ``G`` on the
-driver (k x k numbers), so no removal round rescans the data.
+``SSR_i = G_ii - g_i' pinv(G_-i) g_i``.  ``G`` of the median-filled columns
+comes from product and missing-pattern sums that ride along in the first pass
+of the exact median search (no scan of its own); the greedy removal of the
+largest VIF then works on sub-matrices of ``G`` on the driver (k x k
+numbers), so no removal round rescans the data.
 """
 
 from __future__ import annotations
@@ -60,6 +61,49 @@ def gram_matrix(df: DataFrame, cols: list[str], fills: dict | None = None) -> np
     return g
 
 
+def gram_moments(cols: list[str]) -> dict:
+    """Aggregates from which ``X'X`` of the median-filled columns follows for
+    any fill values: with ``f(x) = x`` or ``m`` when missing,
+    ``sum f(xi) f(xj) = S_ij + m_j A_ij + m_i B_ij + m_i m_j C_ij`` where
+    ``S`` sums products over rows with both present, ``A`` sums ``xi`` where
+    only ``xj`` is missing, ``B`` the reverse and ``C`` counts rows with both
+    missing.  They ride along in the first pass of the median search, so the
+    Gram matrix costs no scan of its own."""
+    xs = [F.col(c) for c in cols]
+    out = {}
+    for i in range(len(cols)):
+        for j in range(i, len(cols)):
+            out[f"s{i}_{j}"] = F.sum(xs[i] * xs[j])
+            out[f"c{i}_{j}"] = F.count(F.when(xs[i].isNull() & xs[j].isNull(), F.lit(1)))
+            if i != j:
+                out[f"a{i}_{j}"] = F.sum(F.when(xs[j].isNull(), xs[i]))
+                out[f"b{i}_{j}"] = F.sum(F.when(xs[i].isNull(), xs[j]))
+    return out
+
+
+def gram_from_moments(mom: dict, cols: list[str], fills: dict) -> np.ndarray:
+    k = len(cols)
+    m = [float(fills.get(c) or 0.0) for c in cols]
+    g = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            v = (mom[f"s{i}_{j}"] or 0.0) + m[i] * m[j] * (mom[f"c{i}_{j}"] or 0)
+            if i != j:
+                v += m[j] * (mom[f"a{i}_{j}"] or 0.0) + m[i] * (mom[f"b{i}_{j}"] or 0.0)
+            g[i, j] = g[j, i] = v
+    return g
+
+
+def _median_and_gram(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Median fill values and the filled Gram matrix from one quantile search
+    (NaN and +-inf count as missing)."""
+    clean = df.select(*[F.when(F.isnan(F.col(c).cast("double")) | (F.abs(F.col(c).cast("double")) == float("inf")),
+                               F.lit(None)).otherwise(F.col(c).cast("double")).alias(c) for c in cols])
+    mom: dict = {}
+    med = exact_quantiles(clean, cols, [0.5], extra_aggs=gram_moments(cols), extra_out=mom)
+    return gram_from_moments(mom, cols, {c: med[c][0] for c in cols})
+
+
 def vif_from_gram(g: np.ndarray) -> np.ndarray:
     k = g.shape[0]
     out = np.empty(k)
@@ -103,10 +147,7 @@ class VifState(Fitted):
 def vif_table(df: DataFrame, cols: list[str]) -> DataFrame:
     """V2, one round: VIF of every listed column against the others
     (median-filled), as ``(feature, vif)``."""
-    med = exact_quantiles(df.select(*[
-        F.when(F.abs(F.col(c).cast("double")) == float("inf"), F.lit(None))
-        .otherwise(F.col(c).cast("double")).alias(c) for c in cols]), cols, [0.5])
-    v = vif_from_gram(gram_matrix(df, cols, {c: med[c][0] for c in cols}))
+    v = vif_from_gram(_median_and_gram(df, cols))
     return df.sparkSession.createDataFrame([(c, float(x)) for c, x in zip(cols, v)],
                                            "feature string, vif double")
 
@@ -119,10 +160,7 @@ def fit_vif(df: DataFrame, cols: list[str] | None = None, threshold: float = con
     cols = usable_numeric(renamed, cols, min_unique)
     if not cols:
         return VifState([], [], {})
-    med = exact_quantiles(renamed.select(*[
-        F.when(F.abs(F.col(c).cast("double")) == float("inf"), F.lit(None))
-        .otherwise(F.col(c).cast("double")).alias(c) for c in cols]), cols, [0.5])
-    g = gram_matrix(renamed, cols, {c: med[c][0] for c in cols})
+    g = _median_and_gram(renamed, cols)
     live = list(range(len(cols)))
     dropped = []
     while True:

@@ -22,7 +22,7 @@ from ..functions import exprs
 from ..functions.names import sanitize_metric_name
 from ..functions.ordered import running_totals
 from ..functions.quantiles import exact_quantiles
-from ..functions.sizing import materialize_state
+from ..functions.sizing import SizedFrame, materialize_state
 
 EPS = 1e-4
 
@@ -33,11 +33,27 @@ def common_columns(ref: DataFrame, cur: DataFrame) -> list[str]:
 
 
 def _tagged_counts(ref: DataFrame, cur: DataFrame, cols: list[str], cast: str) -> DataFrame:
+    num, cat = (cols, []) if cast == "double" else ([], cols)
+    counts = _counts_both(ref, cur, num, cat)
+    return counts.select("column", F.col("vd" if cast == "double" else "vs").alias("value"), "n_ref", "n_cur")
+
+
+def _counts_both(ref: DataFrame, cur: DataFrame, num: list[str], cat: list[str]) -> DataFrame:
+    """``(column, vd, vs, n_ref, n_cur)``: per-value counts of both sides for
+    numeric (``vd``) and categorical (``vs``) columns from one scan per side
+    and one shuffle, NULLs left out."""
+    def cell(c, numeric):
+        vd = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
+        vs = F.lit(None).cast("string") if numeric else F.col(c).cast("string")
+        return F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("c"), vd.alias("vd"), vs.alias("vs")))
+
+    cells = [cell(c, True) for c in num] + [cell(c, False) for c in cat]
+
     def long(df, side):
-        return df.select(F.lit(side).alias("side"), F.explode(F.array(*[
-            F.struct(F.lit(c).alias("c"), F.col(c).cast(cast).alias("v")) for c in cols])).alias("s"))
-    both = long(ref, 0).unionByName(long(cur, 1)).where(F.col("s.v").isNotNull())
-    return both.groupBy(F.col("s.c").alias("column"), F.col("s.v").alias("value")).agg(
+        return df.select(F.lit(side).alias("side"), F.explode(F.array(*cells)).alias("s")).where(
+            F.col("s").isNotNull())
+    return long(ref, 0).unionByName(long(cur, 1)).groupBy(
+        F.col("s.c").alias("column"), F.col("s.vd").alias("vd"), F.col("s.vs").alias("vs")).agg(
         F.sum((F.col("side") == 0).cast("long")).alias("n_ref"),
         F.sum((F.col("side") == 1).cast("long")).alias("n_cur"))
 
@@ -73,14 +89,16 @@ def _psi_from_counts(counts: DataFrame, digits: int) -> DataFrame:
     return j.groupBy("column").agg(F.round(F.sum((a - e) * F.log(a / e)), digits).alias("psi"))
 
 
-def psi_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    counts = _tagged_counts(ref, cur, cols, "string").withColumnRenamed("value", "bin")
+def psi_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6,
+                    counts: DataFrame | None = None) -> DataFrame:
+    counts = (_tagged_counts(ref, cur, cols, "string") if counts is None else counts).withColumnRenamed("value", "bin")
     return _psi_from_counts(counts, digits)
 
 
-def js_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+def js_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6,
+                   counts: DataFrame | None = None) -> DataFrame:
     """Jensen-Shannon distance (sqrt of the divergence, natural log)."""
-    counts = _tagged_counts(ref, cur, cols, "string")
+    counts = _tagged_counts(ref, cur, cols, "string") if counts is None else counts
     tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     j = counts.join(F.broadcast(tot), "column")
     p = F.col("n_ref") / F.col("t_ref")
@@ -93,9 +111,10 @@ def js_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int
         F.round(F.sqrt(F.greatest(F.sum(kl(p) + kl(q)) / 2, F.lit(0.0))), digits).alias("js"))
 
 
-def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6,
+               sized=None) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov distance ``sup |F_ref - F_cur|``."""
-    sized = materialize_state(_tagged_counts(ref, cur, cols, "double"))
+    sized = sized or materialize_state(_tagged_counts(ref, cur, cols, "double"))
     counts = sized.df
     cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], n_rows=sized.rows)
     tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
@@ -105,10 +124,11 @@ def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6)
 
 
 def wasserstein_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], normed: bool = True,
-                        digits: int = 6) -> DataFrame:
+                        digits: int = 6, sized=None) -> DataFrame:
     """Wasserstein-1 distance ``integral |F_ref - F_cur| dx``, divided by the
-    reference (population) std when ``normed``."""
-    sized = materialize_state(_tagged_counts(ref, cur, cols, "double"))
+    reference (population) std when ``normed``; the std comes from the same
+    per-value counts (two-pass: mean, then squared deviations)."""
+    sized = sized or materialize_state(_tagged_counts(ref, cur, cols, "double"))
     counts = sized.df
     cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], with_next_key=True,
                          n_rows=sized.rows)
@@ -119,11 +139,13 @@ def wasserstein_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], normed:
     w = j.groupBy("column").agg(F.sum(F.coalesce(step, F.lit(0.0))).alias("w"))
     if not normed:
         return w.select("column", F.round("w", digits).alias("wasserstein"))
-    sd = ref.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in cols]).collect()[0]
-    sds = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(sd[c]))])
-    return w.select("column", F.round(F.when(sds[F.col("column")] == 0, F.lit(None))
-                                      .otherwise(F.col("w") / sds[F.col("column")]), digits)
-                    .alias("wasserstein"))
+    mean = counts.groupBy("column").agg((F.sum(F.col("n_ref") * F.col("value")) / F.sum("n_ref")).alias("_m"))
+    sd = (counts.join(F.broadcast(mean), "column")
+          .groupBy("column").agg(F.sqrt(F.sum(F.col("n_ref") * (F.col("value") - F.col("_m"))
+                                              * (F.col("value") - F.col("_m"))) / F.sum("n_ref")).alias("_sd")))
+    return (w.join(F.broadcast(sd), "column")
+            .select("column", F.round(F.when(F.col("_sd") == 0, F.lit(None))
+                                      .otherwise(F.col("w") / F.col("_sd")), digits).alias("wasserstein")))
 
 
 def drift_scores(ref: DataFrame, cur: DataFrame, numeric_method: str = "wasserstein",
@@ -132,15 +154,24 @@ def drift_scores(ref: DataFrame, cur: DataFrame, numeric_method: str = "wasserst
     cols = list(columns) if columns is not None else common_columns(ref, cur)
     num = [c for c in exprs.numeric_columns(ref) if c in cols]
     cat = [c for c in cols if c not in set(num)]
+    # one scan per side and one shuffle give the per-value counts of every column
+    both = materialize_state(_counts_both(ref, cur, num if numeric_method != "psi" else [], cat))
     parts = []
     if num:
-        fn = {"wasserstein": wasserstein_numeric, "ks": ks_numeric, "psi": psi_numeric}[numeric_method]
-        s = fn(ref, cur, num)
+        if numeric_method == "psi":
+            s = psi_numeric(ref, cur, num)
+        else:
+            fn = {"wasserstein": wasserstein_numeric, "ks": ks_numeric}[numeric_method]
+            nsized = SizedFrame(both.df.where(F.col("vd").isNotNull()).select(
+                "column", F.col("vd").alias("value"), "n_ref", "n_cur"), both.rows, both.local)
+            s = fn(ref, cur, num, sized=nsized)
         parts.append(s.select("column", F.lit("num").alias("kind"), F.lit(numeric_method).alias("method"),
                               F.col(s.columns[1]).alias("score")))
     if cat:
         fn = {"js": js_categorical, "psi": psi_categorical}[categorical_method]
-        s = fn(ref, cur, cat)
+        ccounts = both.df.where(F.col("vs").isNotNull()).select("column", F.col("vs").alias("value"),
+                                                                "n_ref", "n_cur")
+        s = fn(ref, cur, cat, counts=ccounts)
         parts.append(s.select("column", F.lit("cat").alias("kind"), F.lit(categorical_method).alias("method"),
                               F.col(s.columns[1]).alias("score")))
     out = parts[0]

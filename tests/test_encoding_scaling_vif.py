@@ -90,3 +90,16 @@ def test_vif_matches_regression_and_greedy_drop(spark):
     assert st.dropped == ["c"] and sorted(st.selected) == ["a", "b"]
     out = st.transform(df.withColumn("onehot__z", df.a))
     assert out.columns[:2] == st.selected and "c" not in out.columns and "z" in out.columns
+
+
+def test_gram_with_missing_values_matches_filled_matrix(spark):
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(120, 3))
+    X[rng.random((120, 3)) < 0.2] = np.nan
+    X[5, 1] = np.inf
+    df = spark.createDataFrame(pd.DataFrame(X, columns=["a", "b", "c"]))   # NaN and inf count as missing
+    g = collinear._median_and_gram(df, ["a", "b", "c"])
+    F = np.where(np.isfinite(X), X, np.nan)
+    med = np.nanmedian(F, axis=0)
+    F = np.where(np.isnan(F), med, F)
+    assert np.allclose(g, F.T @ F)
