@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-MAX_LOCAL_ROWS = 20_000
+MAX_LOCAL_ROWS = 5_000
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -46,11 +46,11 @@ def materialize_state(df: DataFrame, max_local_rows: int = MAX_LOCAL_ROWS,
     """
     from pyspark import StorageLevel
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    if n <= max_local_rows:
-        out = SizedFrame(df.sparkSession.createDataFrame(cached.collect(), df.schema), n, True)
+    head = cached.limit(max_local_rows + 1).collect()      # one job when the state is small
+    if len(head) <= max_local_rows:
         cached.unpersist()
-        return out
+        return SizedFrame(df.sparkSession.createDataFrame(head, df.schema), len(head), True)
+    n = cached.count()                                      # reuses the cached partitions
     if n <= max_cached_rows:
         return SizedFrame(cached, n, False)
     ensure_checkpoint_dir(df.sparkSession)
