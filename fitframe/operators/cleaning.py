@@ -198,24 +198,29 @@ def complete_cases(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 # ---- schema conformance (C2, G5) ---------------------------------------------
 
 def conform(df: DataFrame, expected: Mapping[str, str] = config.EXPECTED_RAW_SCHEMA,
-            types: Mapping[str, str] | None = None) -> DataFrame:
+            types: Mapping[str, str] | None = None, output: str = "standard") -> DataFrame:
     """Rename known columns, add missing ones as NULL, drop unknown ones,
     and fix the order, in one ``select``.  Incoming names are matched by the
-    simple naming rule (C1b) of the raw names."""
+    simple naming rule (C1b) of the raw names.  ``output="raw"`` names the
+    result by the raw names, so a chain fitted on raw input (which applies
+    C1 itself) sees exactly the names it was fitted on (W8)."""
     types = types or {}
     raw_to_std = {names.simple_name(k): v for k, v in expected.items()}
+    std_to_raw = {v: k for k, v in expected.items()}
     present = {}
     for c in df.columns:
-        std = raw_to_std.get(names.simple_name(c))
+        std = raw_to_std.get(names.simple_name(c)) or (names.simple_name(c) if names.simple_name(c) in std_to_raw
+                                                        else None)
         if std is not None and std not in present:
             present[std] = c
     sel = []
     for std in expected.values():
         t = types.get(std, "string")
+        out = std_to_raw[std] if output == "raw" else std
         if std in present:
-            sel.append(F.col(present[std]).alias(std))
+            sel.append(F.col(present[std]).alias(out))
         else:
-            sel.append(F.lit(None).cast(t).alias(std))
+            sel.append(F.lit(None).cast(t).alias(out))
     return df.select(*sel)
 
 

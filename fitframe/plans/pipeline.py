@@ -196,7 +196,7 @@ def score_batch(raw: DataFrame, chain: FittedChain, model, features: list[str],
     model's features, predict, and format; every input row is kept (keyed)."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
-    conformed = cleaning.conform(raw)
+    conformed = cleaning.conform(raw, output="raw")
     prepared = chain.transform(conformed)
     aligned = scoring.align_features(prepared, features, keep=[key])
     vec = VectorAssembler(inputCols=features, outputCol="features").transform(aligned)

@@ -66,3 +66,25 @@ def test_entry_contract(spark):
     o = e.oracle_sql()
     assert set(o) <= set(q)
     assert "prep_chain" in q
+
+
+def test_score_batch_keeps_every_row_and_formats(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from fitframe.operators.scoring import align_features, preview
+    raw = spark.createDataFrame(lead_table(300, seed=3))
+    chain = lead_chain(key="prospect_i_d", top_k=12, importance_trees=3)
+    fitted, train = chain.fit_transform(raw)
+    feats = [f.name for f in train.schema.fields if f.name not in ("converted", "prospect_i_d")
+             and f.dataType.simpleString() in ("double", "int", "bigint")]
+    labelled = train.where("converted IS NOT NULL").withColumn("label", train["converted"].cast("double"))
+    data = VectorAssembler(inputCols=feats, outputCol="features").transform(
+        align_features(labelled, feats, keep=["label"]))
+    model = LogisticRegression(maxIter=20).fit(data)
+    batch = raw.drop("Converted").withColumn("Unknown Extra", raw["City"])
+    scored = score_batch(batch, fitted, model, feats, key="prospect_i_d")
+    rows = scored.collect()
+    assert len(rows) == batch.count()
+    assert all(r.conversion_probability.endswith("%") and r.predicted_label in (0, 1) for r in rows)
+    head, total = preview(scored, 100)
+    assert head.count() == 100 and total.first().total_rows == batch.count()
