@@ -88,3 +88,16 @@ def test_jdbc_options():
         jdbc.writer_options("u", "s", "t", if_exists="merge")
     with pytest.raises(ValueError):
         jdbc.reader_options("u", "s", "t", partition_column="id")
+
+
+def test_ml_target_encoder_mode_and_clusters(spark):
+    from fitframe.operators import clustering, encoding
+    rows = [("a", 1.0, 1.0)] * 20 + [("b", 0.0, 5.0)] * 20 + [("c", 1.0, 9.0)] * 5
+    df = spark.createDataFrame(rows, "c string, y double, total_visits double")
+    model = encoding.fit_ml_target_encoder(df, ["c"], "y", smoothing=1.0)
+    out = {r.c: r.c__te for r in model.transform(df).dropDuplicates(["c"]).collect()}
+    assert out["a"] > out["c"] - 1 and out["b"] < out["a"]
+    km = clustering.fit_clusters(df, ["total_visits"], k=2)
+    labels = {r.total_visits: r.engagement_cluster for r in km.transform(df).dropDuplicates(["total_visits"]).collect()}
+    assert labels[1.0] != labels[9.0] and km.inertia() >= 0.0
+    assert km.centers(spark).count() == 2
