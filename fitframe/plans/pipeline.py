@@ -33,8 +33,12 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
     already wide are left as they are (no extra shuffle at scale)."""
     if how is None:
         return df
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < parallelism
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
+        narrow = False
+    if narrow:
         df = df.repartition(parallelism)
     if how == "cache":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
