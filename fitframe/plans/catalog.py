@@ -497,6 +497,19 @@ def q_target_profile(spark, sf):
     return profile.target_profile(j, "quality", ["n_chars", "lang", "source"])
 
 
+@query("target_rate_bins", """
+WITH j AS (SELECT d.n_chars::DOUBLE AS x, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+s AS (SELECT min(x) AS lo, max(x) AS hi FROM j),
+b AS (SELECT least(floor((x - lo) / ((hi - lo) / 10)), 9)::INT AS bin, quality FROM j, s WHERE x IS NOT NULL)
+SELECT 'n_chars' AS "column", bin, count(*) AS n, round(avg(quality), 6) AS target_mean FROM b GROUP BY bin""")
+def q_target_rate_bins(spark, sf):
+    """P9 (numeric): conversion-style target mean per equal-width bin."""
+    d = table(spark, sf, "documents")
+    lab = table(spark, sf, "labels")
+    j = d.join(lab, "doc_id").select("n_chars", "quality")
+    return profile.target_rate_by_bin(j, "quality", ["n_chars"], 10)
+
+
 @query("target_rate", """
 WITH j AS (SELECT d.lang, d.source, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
 SELECT 'lang' AS "column", lang AS value, count(*) AS n, round(avg(quality), 6) AS target_mean

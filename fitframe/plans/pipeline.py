@@ -64,6 +64,13 @@ class FittedChain:
     steps: list                       # [(Step, fitted)]
     lineage: scoring.Lineage = field(default_factory=scoring.Lineage)
     scoring_lineage: scoring.Lineage | None = None
+    materialized: list = field(default_factory=list)   # cached frames of the fit
+
+    def release(self) -> None:
+        """Drop the fit-time caches once the fitted output is no longer read."""
+        for d in self.materialized:
+            d.unpersist()
+        self.materialized = []
 
     def transform(self, df: DataFrame, track: bool = False) -> DataFrame:
         """Replay every fitted step (scoring mode).  ``track`` records the
@@ -95,6 +102,7 @@ class Chain:
     def fit_transform(self, df: DataFrame) -> tuple[FittedChain, DataFrame]:
         lineage = scoring.Lineage()
         data = materialize(df, self.materialize)
+        held = [data] if self.materialize == "cache" else []
         fitted_steps = []
         prior: dict = {}
         for step in self.steps:
@@ -105,10 +113,12 @@ class Chain:
             rows = None
             if step.materialize_after:
                 data = materialize(data, self.materialize)
+                if self.materialize == "cache":
+                    held.append(data)
                 rows = data.count() if self.materialize else None
             lineage.record(step.name, before, data, rows)
             fitted_steps.append((step, fitted))
-        return FittedChain(fitted_steps, lineage), data
+        return FittedChain(fitted_steps, lineage, materialized=held), data
 
     def fit(self, df: DataFrame) -> FittedChain:
         return self.fit_transform(df)[0]
