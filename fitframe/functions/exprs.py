@@ -105,7 +105,3 @@ def bin_label(c: Column | str, edges: list[float], labels: list[str],
     for i in range(n_bins):
         expr = expr.when(col <= F.lit(edges[i + 1]), F.lit(labels[i]))
     return expr.otherwise(F.lit(unknown))
-
-
-def round_half_up(c: Column, digits: int = 6) -> Column:
-    return F.round(c, digits)

@@ -11,7 +11,6 @@ numbers), so no removal round rescans the data.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,30 +36,6 @@ def usable_numeric(df: DataFrame, cols: list[str] | None = None, min_unique: int
             if row[f"d{i}"] > min_unique and row[f"s{i}"] is not None and row[f"s{i}"] > 0]
 
 
-def gram_matrix(df: DataFrame, cols: list[str], fills: dict | None = None) -> np.ndarray:
-    """``X'X`` of the (filled) columns in one aggregation."""
-    fills = fills or {}
-    xs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        x = F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(None)).otherwise(x)
-        if fills.get(c) is not None:
-            x = F.coalesce(x, F.lit(float(fills[c])))
-        xs.append(x)
-    k = len(cols)
-    aggs = []
-    for i in range(k):
-        for j in range(i, k):
-            aggs.append(F.sum(xs[i] * xs[j]).alias(f"g{i}_{j}"))
-    row = df.agg(*aggs).collect()[0]
-    g = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            v = row[f"g{i}_{j}"] or 0.0
-            g[i, j] = g[j, i] = v
-    return g
-
-
 def gram_moments(cols: list[str]) -> dict:
     """Aggregates from which ``X'X`` of the median-filled columns follows for
     any fill values: with ``f(x) = x`` or ``m`` when missing,
