@@ -179,7 +179,7 @@ l AS (
   SELECT 'o_orderpriority', m_o_orderpriority, n FROM m UNION ALL
   SELECT 'o_orderstatus', m_o_orderstatus, n FROM m UNION ALL
   SELECT 'o_orderdate', m_o_orderdate, n FROM m)
-SELECT column_name, missing_count, round(missing_count * 100.0 / n, 6) AS missing_pct,
+SELECT column_name, missing_count::BIGINT AS missing_count, round(missing_count * 100.0 / n, 6) AS missing_pct,
        missing_count * 1.0 / n > 0.5 AS dropped
 FROM l WHERE missing_count > 0""")
 def q_high_missing_report(spark, sf):
@@ -408,7 +408,7 @@ WITH v AS (
   SELECT 'c_name', c_name FROM customer),
 c AS (SELECT column_name, value, count(*) AS n FROM v WHERE value IS NOT NULL GROUP BY column_name, value),
 r AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS rn FROM c)
-SELECT column_name AS "column", sum(n) AS "count", count(*) AS "unique",
+SELECT column_name AS "column", sum(n)::BIGINT AS "count", count(*) AS "unique",
        max(CASE WHEN rn = 1 THEN value END) AS top, max(CASE WHEN rn = 1 THEN n END) AS freq
 FROM r GROUP BY column_name""")
 def q_describe_categorical(spark, sf):
@@ -419,11 +419,11 @@ def q_describe_categorical(spark, sf):
 @query("missing_report", f"""
 WITH g AS ({_GAPS_SQL}),
 m AS (SELECT count(*) AS n,
-        sum(CASE WHEN o_totalprice IS NULL THEN 1 ELSE 0 END) AS a,
-        sum(CASE WHEN o_orderpriority IS NULL THEN 1 ELSE 0 END) AS b,
-        sum(CASE WHEN o_orderstatus IS NULL THEN 1 ELSE 0 END) AS c,
-        sum(CASE WHEN o_orderdate IS NULL THEN 1 ELSE 0 END) AS d,
-        sum(CASE WHEN o_custkey IS NULL THEN 1 ELSE 0 END) AS e FROM g)
+        sum(CASE WHEN o_totalprice IS NULL THEN 1 ELSE 0 END)::BIGINT AS a,
+        sum(CASE WHEN o_orderpriority IS NULL THEN 1 ELSE 0 END)::BIGINT AS b,
+        sum(CASE WHEN o_orderstatus IS NULL THEN 1 ELSE 0 END)::BIGINT AS c,
+        sum(CASE WHEN o_orderdate IS NULL THEN 1 ELSE 0 END)::BIGINT AS d,
+        sum(CASE WHEN o_custkey IS NULL THEN 1 ELSE 0 END)::BIGINT AS e FROM g)
 SELECT * FROM (
   SELECT 'o_totalprice' AS "column", a AS missing_count, round(a * 100.0 / n, 6) AS missing_pct FROM m UNION ALL
   SELECT 'o_orderpriority', b, round(b * 100.0 / n, 6) FROM m UNION ALL
@@ -484,12 +484,12 @@ def q_category_counts(spark, sf):
 @query("target_profile", """
 WITH j AS (SELECT d.n_chars, d.lang, d.source, l.quality
            FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
-SELECT 'n_chars' AS "column", sum(CASE WHEN n_chars IS NULL THEN 1 ELSE 0 END) AS missing,
+SELECT 'n_chars' AS "column", sum(CASE WHEN n_chars IS NULL THEN 1 ELSE 0 END)::BIGINT AS missing,
        count(DISTINCT n_chars) AS "distinct", round(corr(n_chars, quality), 6) AS target_corr FROM j
 UNION ALL
-SELECT 'lang', sum(CASE WHEN lang IS NULL THEN 1 ELSE 0 END), count(DISTINCT lang), NULL FROM j
+SELECT 'lang', sum(CASE WHEN lang IS NULL THEN 1 ELSE 0 END)::BIGINT, count(DISTINCT lang), NULL FROM j
 UNION ALL
-SELECT 'source', sum(CASE WHEN source IS NULL THEN 1 ELSE 0 END), count(DISTINCT source), NULL FROM j""")
+SELECT 'source', sum(CASE WHEN source IS NULL THEN 1 ELSE 0 END)::BIGINT, count(DISTINCT source), NULL FROM j""")
 def q_target_profile(spark, sf):
     d = table(spark, sf, "documents")
     lab = table(spark, sf, "labels")
@@ -676,10 +676,10 @@ def _doc_labels(spark, sf):
 
 @query("confusion_metrics", f"""
 WITH j AS ({_DOC_LABEL_SQL}),
-c AS (SELECT sum(CASE WHEN quality = 0 AND pred = 0 THEN 1 ELSE 0 END) AS tn,
-             sum(CASE WHEN quality = 0 AND pred = 1 THEN 1 ELSE 0 END) AS fp,
-             sum(CASE WHEN quality = 1 AND pred = 0 THEN 1 ELSE 0 END) AS fn,
-             sum(CASE WHEN quality = 1 AND pred = 1 THEN 1 ELSE 0 END) AS tp FROM j)
+c AS (SELECT sum(CASE WHEN quality = 0 AND pred = 0 THEN 1 ELSE 0 END)::BIGINT AS tn,
+             sum(CASE WHEN quality = 0 AND pred = 1 THEN 1 ELSE 0 END)::BIGINT AS fp,
+             sum(CASE WHEN quality = 1 AND pred = 0 THEN 1 ELSE 0 END)::BIGINT AS fn,
+             sum(CASE WHEN quality = 1 AND pred = 1 THEN 1 ELSE 0 END)::BIGINT AS tp FROM j)
 SELECT tn, fp, fn, tp,
        round((tp + tn) * 1.0 / (tp + tn + fp + fn), 6) AS accuracy,
        round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp * 1.0 / (tp + fp) END, 6) AS precision,
@@ -859,7 +859,7 @@ nc AS (SELECT v, lead(v) OVER (ORDER BY v) AS nv,
 wn AS (SELECT sum(coalesce(abs(cr / tr - cc / tc) * (nv - v), 0)) AS w FROM nc, ntt),
 sd AS (SELECT stddev_pop(o_totalprice) AS s FROM t WHERE side = 0),
 scores AS (SELECT "column", score FROM js UNION ALL SELECT 'o_totalprice', round(w / s, 6) FROM wn, sd)
-SELECT sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) AS n_drifted, count(*) AS n_columns,
+SELECT sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END)::BIGINT AS n_drifted, count(*) AS n_columns,
        round(sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) * 1.0 / count(*), 6) AS share,
        sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) * 1.0 / count(*) >= 0.5 AS drift_detected
 FROM scores""")

@@ -102,7 +102,7 @@ def _compat(dtype: str):
     d = dtype.upper()
     return {"BIGINT": ["bigint"], "INTEGER": ["int"], "DOUBLE": ["double"], "VARCHAR": ["string"],
             "BOOLEAN": ["boolean"], "FLOAT": ["float"], "TIMESTAMP": ["timestamp", "timestamp_ntz"],
-            "HUGEINT": ["bigint", "decimal"], "DATE": ["date"]}.get(d.split("(")[0], [d.lower()])
+            "DATE": ["date"]}.get(d.split("(")[0], [d.lower()])
 
 
 if __name__ == "__main__":
