@@ -48,3 +48,20 @@ def stage_dump(df: DataFrame, root: str, stage: str, enabled: bool = False) -> D
     path = f"{root.rstrip('/')}/{stage}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_POLICY = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
+
+
+def load_csv_to_catalog(spark: SparkSession, csv_path: str, table_name: str, if_exists: str = "replace",
+                        schema: StructType | str | None = None, path: str | None = None) -> None:
+    """S3 without a database: CSV -> catalog table with the same if-exists
+    policy (``replace`` / ``append`` / ``fail``); partitions write in parallel
+    where the original wrote 1000-row chunks.  ``path`` makes it an external
+    table in a chosen (shared) folder."""
+    if if_exists not in _POLICY:
+        raise ValueError(f"if_exists must be one of {sorted(_POLICY)}")
+    w = read_csv(spark, csv_path, schema).write.mode(_POLICY[if_exists]).format("parquet")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table_name)

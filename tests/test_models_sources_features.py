@@ -101,3 +101,18 @@ def test_ml_target_encoder_mode_and_clusters(spark):
     labels = {r.total_visits: r.engagement_cluster for r in km.transform(df).dropDuplicates(["total_visits"]).collect()}
     assert labels[1.0] != labels[9.0] and km.inertia() >= 0.0
     assert km.centers(spark).count() == 2
+
+
+def test_csv_to_catalog_policies(spark):
+    root = tempfile.mkdtemp(prefix="fitframe-cat-")
+    src = os.path.join(root, "in")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string").write.option("header", True).csv(src)
+    target = os.path.join(root, "tbl")
+    files.load_csv_to_catalog(spark, src, "ff_leads", "replace", "id int, v string", path=target)
+    files.load_csv_to_catalog(spark, src, "ff_leads", "append", "id int, v string", path=target)
+    assert spark.table("ff_leads").count() == 4
+    with pytest.raises(Exception):
+        files.load_csv_to_catalog(spark, src, "ff_leads", "fail", "id int, v string", path=target)
+    files.load_csv_to_catalog(spark, src, "ff_leads", "replace", "id int, v string", path=target)
+    assert spark.table("ff_leads").count() == 2
+    spark.sql("DROP TABLE IF EXISTS ff_leads")
