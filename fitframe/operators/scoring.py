@@ -1,14 +1,13 @@
 """Batch scoring helpers.
 
 Scoring never removes rows (W2): every output row carries the caller's key.
-Stage lineage counts rows with ``DataFrame.observe`` so no extra job runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,33 +38,29 @@ class Lineage:
     """rows/columns before and after each stage.
 
     Column lists are schema facts, recorded for free.  Row counts are taken
-    only where rows can change and the data is materialised anyway (a count
-    of a cached frame), or, at scoring, with ``DataFrame.observe`` on the
-    final output so no extra job runs.  Observation nodes are not stacked
-    inside fit chains: they would sit between later fits and the scan.
+    where rows can change and the data is materialised anyway (a count of a
+    cached frame), or on request for a tracked output frame (one ``count``
+    job when the table is built).  ``DataFrame.observe`` is avoided: an
+    observation attaches state to the session that Spark ML models then fail
+    to serialise.
     """
 
     def __init__(self):
-        self.stages: list[list] = []      # [name, cols_before, cols_after, rows_after | Observation | None]
+        self.stages: list[list] = []      # [name, cols_before, cols_after, rows_after | DataFrame | None]
 
     def record(self, name: str, before: DataFrame, after: DataFrame, rows: int | None = None) -> None:
         self.stages.append([name, list(before.columns), list(after.columns), rows])
 
     def track(self, name: str, before: DataFrame, after: DataFrame) -> DataFrame:
-        obs = Observation(name)
-        observed = after.observe(obs, F.count(F.lit(1)).alias("rows"))
-        self.stages.append([name, list(before.columns), list(after.columns), obs])
-        return observed
+        self.stages.append([name, list(before.columns), list(after.columns), after])
+        return after
 
     def table(self, spark, rows_in: int | None = None) -> DataFrame:
         out = []
         prev_rows = rows_in
         for name, cb, ca, rows in self.stages:
-            if isinstance(rows, Observation):
-                try:
-                    rows = rows.get.get("rows")
-                except Exception:  # noqa: BLE001 - not yet observed
-                    rows = None
+            if isinstance(rows, DataFrame):
+                rows = rows.count()
             removed = sorted(set(cb) - set(ca))
             out.append((name, prev_rows, rows, len(cb), len(ca), ",".join(removed)))
             prev_rows = rows if rows is not None else prev_rows

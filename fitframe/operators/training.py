@@ -135,15 +135,23 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     train = va.transform(train).persist()
     test = va.transform(test)
     families = families or FAMILIES
-    results, trials, models, tuned = [], [], [], {}
     n = train.count()
-    for name in families:
+
+    def run_family(name):
         params, rows = tune(train, name, n_trials, folds, seed)
+        model = make_estimator(name, params, n).fit(train)
+        return name, params, rows, model, _test_metrics(model.transform(test))
+
+    # families are tuned as concurrent Spark jobs (results kept in family order)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(len(families), 4)) as pool:
+        done = list(pool.map(run_family, families))
+    results, trials, models, tuned = [], [], [], {}
+    for name, params, rows, model, met in done:
         trials += rows
         tuned[name] = params
-        model = make_estimator(name, params, n).fit(train)
         models.append((name, model))
-        results.append((name, *_test_metrics(model.transform(test))))
+        results.append((name, *met))
     best_i = max(range(len(results)), key=lambda i: results[i][4] if results[i][4] is not None else -1.0)
     best_name, best_model = models[best_i]
     if stack and len(models) > 1:

@@ -74,8 +74,9 @@ class FittedChain:
 
     def transform(self, df: DataFrame, track: bool = False) -> DataFrame:
         """Replay every fitted step (scoring mode).  ``track`` records the
-        stage columns and observes the output row count on the final frame
-        (in ``scoring_lineage``; the fit lineage stays in ``lineage``)."""
+        stage columns and the output frame, whose rows are counted when the
+        lineage table is built (in ``scoring_lineage``; the fit lineage stays
+        in ``lineage``)."""
         lin = scoring.Lineage() if track else None
         for step, fitted in self.steps:
             before = df
