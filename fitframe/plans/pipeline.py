@@ -145,7 +145,11 @@ class _TopK:
         return df.select(*[c for c in df.columns if c in set(self.keep)])
 
 
-def lead_chain(target: str = config.TARGET, key: str | None = "prospect_id", top_k: int = config.TOP_K_IMPORTANCE,
+# C1 name of the raw "Prospect ID" column, the key carried through the chain
+LEAD_KEY = "prospect_i_d"
+
+
+def lead_chain(target: str = config.TARGET, key: str | None = LEAD_KEY, top_k: int = config.TOP_K_IMPORTANCE,
                materialize_how: str | None = "cache", importance_trees: int = 20) -> Chain:
     """Clean -> types -> impute -> outliers -> engineer -> bin -> rare ->
     VIF -> encode -> scale -> importance -> cluster -> select."""
@@ -205,7 +209,7 @@ def _static_drop(key: str | None) -> set[str]:
 
 # ---- batch scoring (Z1) --------------------------------------------------------
 
-def score_batch(raw: DataFrame, chain: FittedChain, model, features: list[str], key: str = "prospect_id",
+def score_batch(raw: DataFrame, chain: FittedChain, model, features: list[str], key: str = LEAD_KEY,
                 threshold: float = 0.5) -> DataFrame:
     """Conform the raw schema, replay the fitted chain, align to the
     model's features, predict, and format; every input row is kept (keyed)."""
