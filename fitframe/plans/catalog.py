@@ -1149,3 +1149,19 @@ def q_variant_columns(spark, sf):
     cur = base.where(F.col("yr") >= 1999).drop("yr").withColumn("parity", F.lit(0))
     cols = split.variant_columns(ref, cur)
     return spark.createDataFrame([(c,) for c in cols], "column_name string")
+
+
+_CONFORM_SCHEMA = {"O OrderKey": "o_orderkey", "O-Total Price": "o_totalprice",
+                   "O Order Status": "o_orderstatus", "Sales Channel": "sales_channel"}
+
+
+@query("conform_schema", """
+SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(NULL AS VARCHAR) AS sales_channel FROM orders""")
+def q_conform_schema(spark, sf):
+    """Incoming columns named loosely (case, spaces, dashes) are matched
+    by the simple naming rule, unknown ones dropped, missing ones added as
+    NULL, order fixed."""
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderstatus").alias("o order status"), F.col("o_orderkey").alias("O_ORDERKEY"),
+        F.col("o_totalprice").alias("o total-price"), F.col("o_custkey").alias("junk"))
+    return cleaning.conform(o, _CONFORM_SCHEMA)
