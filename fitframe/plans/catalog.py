@@ -1165,3 +1165,23 @@ def q_conform_schema(spark, sf):
         F.col("o_orderstatus").alias("o order status"), F.col("o_orderkey").alias("O_ORDERKEY"),
         F.col("o_totalprice").alias("o total-price"), F.col("o_custkey").alias("junk"))
     return cleaning.conform(o, _CONFORM_SCHEMA)
+
+
+@query("complete_cases", f"""
+WITH g AS ({_GAPS_SQL})
+SELECT o_orderkey, o_totalprice, o_orderpriority FROM g
+WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL""")
+def q_complete_cases(spark, sf):
+    """Rows with every listed feature present (derived gaps in orders)."""
+    g = _orders_with_gaps(spark, sf).select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return cleaning.complete_cases(g, ["o_totalprice", "o_orderpriority"])
+
+
+@query("prefix_coerce", """
+SELECT event_id, try_cast(props AS DOUBLE) AS p_props, try_cast(event_type AS DOUBLE) AS p_type, value
+FROM events""")
+def q_prefix_coerce(spark, sf):
+    """Numeric coercion of every column whose name has a prefix."""
+    e = table(spark, sf, "events").select("event_id", F.col("props").alias("p_props"),
+                                          F.col("event_type").alias("p_type"), "value")
+    return cleaning.coerce_prefix(e, "p_")
