@@ -29,9 +29,12 @@ def format_scores(df: DataFrame, prob: str = "probability", threshold: float = 0
                      (p > F.lit(threshold)).cast("int").alias("predicted_label"))
 
 
-def preview(df: DataFrame, n: int = 100) -> tuple[DataFrame, DataFrame]:
-    """The first ``n`` rows (a limit is the feature here) and the total."""
-    return df.limit(n), df.select(F.count(F.lit(1)).alias("total_rows"))
+def preview(df: DataFrame, n: int = 100, order_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The first ``n`` rows (a limit is the feature here) and the total.
+    With ``order_by`` the head is deterministic (a per-partition top-n merged
+    on the driver, no global sort)."""
+    head = df.orderBy(*order_by).limit(n) if order_by else df.limit(n)
+    return head, df.select(F.count(F.lit(1)).alias("total_rows"))
 
 
 class Lineage:

@@ -1185,3 +1185,16 @@ def q_prefix_coerce(spark, sf):
     e = table(spark, sf, "events").select("event_id", F.col("props").alias("p_props"),
                                           F.col("event_type").alias("p_type"), "value")
     return cleaning.coerce_prefix(e, "p_")
+
+
+@query("score_preview", """
+SELECT l_orderkey, l_linenumber, (l_quantity / 50.0)::DOUBLE AS probability,
+       printf('%.2f%%', l_quantity / 50.0 * 100) AS conversion_probability,
+       CASE WHEN l_quantity / 50.0 > 0.5 THEN 1 ELSE 0 END AS predicted_label
+FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 100""")
+def q_score_preview(spark, sf):
+    """The first 100 scored rows in key order (the limit is the feature)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
+                                              (F.col("l_quantity") / 50.0).alias("probability"))
+    head, _ = scoring.preview(scoring.format_scores(li, "probability"), 100, ["l_orderkey", "l_linenumber"])
+    return head
