@@ -50,6 +50,7 @@ class Lineage:
 
     def __init__(self):
         self.stages: list[list] = []      # [name, cols_before, cols_after, rows_after | DataFrame | None]
+        self.rows_in: int | None = None
 
     def record(self, name: str, before: DataFrame, after: DataFrame, rows: int | None = None) -> None:
         self.stages.append([name, list(before.columns), list(after.columns), rows])
@@ -60,7 +61,7 @@ class Lineage:
 
     def table(self, spark, rows_in: int | None = None) -> DataFrame:
         out = []
-        prev_rows = rows_in
+        prev_rows = rows_in if rows_in is not None else self.rows_in
         for name, cb, ca, rows in self.stages:
             if isinstance(rows, DataFrame):
                 rows = rows.count()

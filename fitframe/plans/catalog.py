@@ -1198,3 +1198,40 @@ def q_score_preview(spark, sf):
                                               (F.col("l_quantity") / 50.0).alias("probability"))
     head, _ = scoring.preview(scoring.format_scores(li, "probability"), 100, ["l_orderkey", "l_linenumber"])
     return head
+
+
+@query("chain_lineage", f"""
+WITH g AS ({_GAPS_SQL}),
+d AS (SELECT * FROM g UNION ALL SELECT * FROM g WHERE o_orderkey % 4 = 0),
+m AS (SELECT 'o_orderkey' AS c, avg(CASE WHEN o_orderkey IS NULL THEN 1.0 ELSE 0.0 END) AS share FROM d UNION ALL
+      SELECT 'o_custkey', avg(CASE WHEN o_custkey IS NULL THEN 1.0 ELSE 0.0 END) FROM d UNION ALL
+      SELECT 'o_totalprice', avg(CASE WHEN o_totalprice IS NULL THEN 1.0 ELSE 0.0 END) FROM d UNION ALL
+      SELECT 'o_orderpriority', avg(CASE WHEN o_orderpriority IS NULL THEN 1.0 ELSE 0.0 END) FROM d UNION ALL
+      SELECT 'o_orderstatus', avg(CASE WHEN o_orderstatus IS NULL THEN 1.0 ELSE 0.0 END) FROM d UNION ALL
+      SELECT 'o_orderdate', avg(CASE WHEN o_orderdate IS NULL THEN 1.0 ELSE 0.0 END) FROM d),
+k AS (SELECT DISTINCT o_orderkey, o_custkey, o_totalprice,
+        CASE WHEN o_orderpriority IN ({_sql_list(config.PLACEHOLDERS)}) THEN NULL ELSE o_orderpriority END AS p,
+        CASE WHEN o_orderstatus IN ({_sql_list(config.PLACEHOLDERS)}) THEN NULL ELSE o_orderstatus END AS s FROM d),
+n AS (SELECT (SELECT count(*) FROM d) AS n_in, (SELECT count(*) FROM k) AS n_out,
+             (SELECT count(*) FROM m WHERE share <= 0.5)::INT AS kept,
+             (SELECT string_agg(c, ',' ORDER BY c) FROM m WHERE share > 0.5) AS removed)
+SELECT 'clean' AS stage, n_in AS rows_before, n_out AS rows_after, 6 AS cols_before, kept AS cols_after,
+       removed AS removed_columns FROM n
+UNION ALL SELECT 'impute', n_out, n_out, kept, kept, '' FROM n
+UNION ALL SELECT 'clip', n_out, n_out, kept, kept, '' FROM n""")
+def q_chain_lineage(spark, sf):
+    """Stage lineage of a fitted chain (clean with dedup -> impute ->
+    clip) over orders with derived gaps and duplicates; row counts are taken
+    where the chain materialises (after the dedup)."""
+    from .pipeline import Chain, Step
+    g = _orders_with_gaps(spark, sf)
+    doubled = g.unionByName(g.where(F.col("o_orderkey") % 4 == 0))
+    chain = Chain([
+        Step("clean", lambda d, p: cleaning.fit_clean(d, dynamic_var_drop=False, static_drop=[], name_mode="simple"),
+             lambda f, d, training: f.transform(d, dedup=training), materialize_after=True, keeps_rows=False),
+        Step("impute", lambda d, p: impute.fit_impute(d, {"o_totalprice": "median"},
+                                                      {"o_orderpriority": {"strategy": "mode"}})),
+        Step("clip", lambda d, p: outliers.fit_clip(d, ["o_totalprice"])),
+    ], materialize="cache")
+    fitted, _ = chain.fit_transform(doubled)
+    return fitted.lineage.table(spark)

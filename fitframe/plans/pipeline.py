@@ -54,6 +54,7 @@ class Step:
     fit: Callable[[DataFrame, dict], object]                 # (df, earlier states) -> fitted
     apply: Callable[[object, DataFrame, bool], DataFrame] | None = None  # (fitted, df, training)
     materialize_after: bool = False
+    keeps_rows: bool = True           # a projection: row count unchanged
 
     def run(self, fitted, df: DataFrame, training: bool) -> DataFrame:
         return self.apply(fitted, df, training) if self.apply else fitted.transform(df)
@@ -104,6 +105,9 @@ class Chain:
         lineage = scoring.Lineage()
         data = materialize(df, self.materialize)
         held = [data] if self.materialize == "cache" else []
+        # counting the cached input also fills the cache the first fit reads
+        cur_rows = data.count() if self.materialize else None
+        lineage.rows_in = cur_rows
         fitted_steps = []
         prior: dict = {}
         for step in self.steps:
@@ -111,12 +115,13 @@ class Chain:
             prior[step.name] = fitted
             before = data
             data = step.run(fitted, data, True)
-            rows = None
+            rows = cur_rows if step.keeps_rows else None
             if step.materialize_after:
                 data = materialize(data, self.materialize)
                 if self.materialize == "cache":
                     held.append(data)
-                rows = data.count() if self.materialize else None
+                rows = data.count() if self.materialize else rows
+            cur_rows = rows
             lineage.record(step.name, before, data, rows)
             fitted_steps.append((step, fitted))
         return FittedChain(fitted_steps, lineage, materialized=held), data
@@ -173,7 +178,7 @@ def lead_chain(target: str = config.TARGET, key: str | None = LEAD_KEY, top_k: i
     steps = [
         Step("1_clean", lambda d, p: cleaning.fit_clean(d, keep_cols=keep_cols, target=target,
                                                      static_drop=_static_drop(key)),
-             lambda f, d, training: f.transform(d, dedup=training), materialize_after=True),
+             lambda f, d, training: f.transform(d, dedup=training), materialize_after=True, keeps_rows=False),
         Step("2_type_convert", lambda d, p: None, lambda f, d, t: _typed(d, target)),
         Step("3_impute", lambda d, p: impute.fit_impute(d)),
         Step("4_outlier", lambda d, p: outliers.fit_clip(d, exclude=protect)),
