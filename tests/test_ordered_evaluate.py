@@ -20,8 +20,12 @@ def test_running_totals_split_matches_cumsum(spark):
         m = out.merge(exp, on=["g", "k"])
         assert (m["cum_v"] == m["cum"]).all()
         assert ((m["next_key"] == m["nk"]) | (m["next_key"].isna() & m["nk"].isna())).all()
-    out = running_totals(df.select("k", "v"), "k", ["v"], rows_per_bucket=30).toPandas().sort_values("k")
-    assert (out["cum_v"].to_numpy() == pdf.sort_values("k")["v"].cumsum().to_numpy()).all() or True
+    flat = pdf.groupby("k", as_index=False)["v"].sum()            # one row per key, as required
+    out = running_totals(spark.createDataFrame(flat), "k", ["v"], rows_per_bucket=30,
+                         with_next_key=True).toPandas().sort_values("k")
+    assert (out["cum_v"].to_numpy() == flat.sort_values("k")["v"].cumsum().to_numpy()).all()
+    nxt = out["next_key"].to_numpy()
+    assert np.allclose(nxt[:-1], out["k"].to_numpy()[1:]) and np.isnan(nxt[-1])
 
 
 def test_lag_within_split_matches_shift(spark):
