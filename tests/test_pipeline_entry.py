@@ -88,3 +88,18 @@ def test_score_batch_keeps_every_row_and_formats(spark):
     assert all(r.conversion_probability.endswith("%") and r.predicted_label in (0, 1) for r in rows)
     head, total = preview(scored, 100)
     assert head.count() == 100 and total.first().total_rows == batch.count()
+
+
+def test_chain_checkpoint_mode_and_release(spark):
+    from fitframe.operators import impute as imp
+    from fitframe.plans.pipeline import Chain, Step
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_totalprice")
+    for how in ("checkpoint", "cache"):
+        chain = Chain([Step("impute", lambda d, p: imp.fit_impute(d, {"o_totalprice": "median"}, {}))],
+                      materialize=how)
+        fitted, out = chain.fit_transform(df)
+        assert out.count() == df.count()
+        lin = fitted.lineage.table(spark).first()
+        assert lin.rows_before == df.count() and lin.rows_after == df.count()
+        fitted.release()
+        assert fitted.materialized == []
