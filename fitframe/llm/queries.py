@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from fitframe.llm import ngram_join
+from fitframe.llm import ngram_join, quality_model, quality_rules
 
 QUERIES = {
     "op6_ngram_jaccard": ngram_join.run_query,
+    "op7_quality_qda": quality_model.run_query,
+    "op8_quality_rules": quality_rules.run_query,
 }
 
 # Operators whose result SQL can state; the others are held against
