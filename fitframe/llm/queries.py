@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from fitframe.llm import ngram_join, quality_model, quality_rules
+from fitframe.llm import (decontamination, ngram_join, quality_model, quality_rules, secret_scan, sentencepiece_bpe,
+                           token_count)
 
 QUERIES = {
+    "op2_secret_scan": secret_scan.run_query,
+    "op3_decontamination": decontamination.run_query,
+    "op4_sentencepiece": sentencepiece_bpe.run_query,
+    "op5_token_counts": token_count.run_query,
     "op6_ngram_jaccard": ngram_join.run_query,
     "op7_quality_qda": quality_model.run_query,
     "op8_quality_rules": quality_rules.run_query,
