@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from fitframe.llm import (decontamination, ngram_join, quality_model, quality_rules, secret_scan, sentencepiece_bpe,
-                           token_count)
+                           token_count, warc)
 
 QUERIES = {
+    "op1_warc": warc.run_query,
     "op2_secret_scan": secret_scan.run_query,
     "op3_decontamination": decontamination.run_query,
     "op4_sentencepiece": sentencepiece_bpe.run_query,
@@ -18,5 +19,6 @@ QUERIES = {
 # Operators whose result SQL can state; the others are held against
 # brute-force versions in tests/llm.
 ORACLE = {
+    "op1_warc": warc.ORACLE,
     "op6_ngram_jaccard": ngram_join.ORACLE,
 }
