@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from fitframe.llm import (decontamination, ngram_join, quality_model, quality_rules, secret_scan, sentencepiece_bpe,
-                           token_count, warc)
+from fitframe.llm import (decontamination, language_id, ngram_join, quality_model, quality_rules, quote_linking,
+                           secret_scan, sentencepiece_bpe, token_count, warc)
 
 QUERIES = {
     "op1_warc": warc.run_query,
@@ -14,6 +14,8 @@ QUERIES = {
     "op6_ngram_jaccard": ngram_join.run_query,
     "op7_quality_qda": quality_model.run_query,
     "op8_quality_rules": quality_rules.run_query,
+    "op9_quote_linking": quote_linking.run_query,
+    "op10_language_id": language_id.run_query,
 }
 
 # Operators whose result SQL can state; the others are held against
