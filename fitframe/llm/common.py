@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +45,30 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that long texts fit in a worker."""
+    """Prepare a session for Python in tasks: bound the rows of an Arrow batch,
+    so that long texts fit in a worker, and give workers this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Add this package to the Python files of the session, once, unless
+    workers find it on PYTHONPATH."""
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root in on_path or getattr(sc, "_fitframe_shipped", False):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="fitframe-"), "fitframe.zip")  # on the driver, which serves it
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(archive)
+    sc._fitframe_shipped = True
 
 
 def bounded(ids: DataFrame, n_rows: int) -> DataFrame:

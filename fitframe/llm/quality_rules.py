@@ -168,3 +168,55 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: rules over all documents."""
     return apply_rules(table(spark, sf_dir, "documents"))
+
+
+def oracle() -> str:
+    """The rules in SQL, with the constants of this module."""
+    def rate(part, whole, unit, added):
+        return f"(({part}) * {unit} // ({whole} + {added}))::BIGINT"
+
+    metrics = {"m_word_len": rate("word_chars + 100", "n_words", 100, 20), "m_symbols": rate("n_symbols", "n_words", 1000, 20),
+               "m_dup_lines": rate("n_dup_lines", "n_lines", 1000, 10), "m_repeats": rate("n_repeat_words", "n_words", 1000, 20),
+               "m_upper": rate("upper", "letters", 1000, 100), "m_marks": rate("marks", "n_words", 1000, 20),
+               "m_twice": rate("twice", "n_words", 1000, 20)}
+    without = lambda chars: f"len(t) - len(translate(t, '{chars}', ''))"
+    fences = []
+    for m, slack in SLACK.items():
+        reach = f"greatest({FENCE} * ({m}_q3 - {m}_q1), {slack})"
+        fences.append(f"{m} <= {m}_q3 + {reach}" + (f" AND {m} >= {m}_q1 - {reach}" if m in LOWER else ""))
+
+    def quartiles(name, by):
+        group = ", ".join([*by, "metric"])
+        return f"""
+{name}_c AS (SELECT {group}, b, sum(n) AS n FROM sketch GROUP BY {group}, b),
+{name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {group} ORDER BY b) AS run, sum(n) OVER (PARTITION BY {group}) AS total FROM {name}_c),
+{name}_q AS (SELECT {group}, max(total) AS total, min(b) FILTER (4 * run >= total) AS b1, min(b) FILTER (4 * run >= 3 * total) AS b3
+  FROM {name}_r GROUP BY {group})"""
+    top = lambda b: f"((({b} % 64) + 1) << ({b} // 64)::INT) - 1"
+    chosen = lambda q: f"CASE WHEN o.total >= {MIN_GROUP} THEN o.{q} WHEN l.total >= {MIN_GROUP} THEN l.{q} ELSE c.{q} END"
+    wide = ", ".join(f"max({top('b1')}) FILTER (metric = '{m}') AS {m}_q1, max({top('b3')}) FILTER (metric = '{m}') AS {m}_q3" for m in SLACK)
+    stacked = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {m} AS v FROM measured WHERE NOT base_failed" for m in SLACK)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM documents),
+windows AS (SELECT r, i, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+hits AS (SELECT r, unnest(range(i, i + 5)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT r, count(DISTINCT p) AS n FROM hits GROUP BY r),
+twins AS (SELECT r, count(*) AS n FROM (SELECT r, w, unnest(range(2, len(w) + 1)) AS i FROM d WHERE len(w) >= 2) WHERE w[i] = w[i - 1] GROUP BY r),
+counts AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: len(x))), 0)::BIGINT AS word_chars,
+    ({without(SYMBOLS)})::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
+    coalesce(repeats.n, 0)::BIGINT AS n_repeat_words, coalesce(twins.n, 0) AS twice, ({without("!?")}) AS marks,
+    len(t) - len(regexp_replace(t, '[A-ZÀ-ÖØ-Þ]', '', 'g')) AS upper, len(t) - len(regexp_replace(t, '[A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g')) AS letters
+  FROM d LEFT JOIN repeats USING (r) LEFT JOIN twins USING (r)),
+measured AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {', '.join(f'{v} AS {k}' for k, v in metrics.items())} FROM counts),
+shifted AS (SELECT lang, source, metric, v, greatest(len(bin(v)) - 6, 0) AS s FROM ({stacked})),
+sketch AS (SELECT lang, source, metric, s * 64 + (v >> s::INT) AS b, count(*) AS n FROM shifted GROUP BY ALL),
+{quartiles('own', ['lang', 'source'])}, {quartiles('lng', ['lang'])}, {quartiles('crp', [])},
+limits AS (SELECT o.lang, o.source, o.metric, {chosen('b1')} AS b1, {chosen('b3')} AS b3 FROM own_q o
+  JOIN lng_q l ON o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric JOIN crp_q c ON o.metric = c.metric),
+wide AS (SELECT lang AS t_lang, source AS t_source, {wide} FROM limits GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  CASE WHEN base_failed THEN false ELSE coalesce({' AND '.join(fences)}, true) END AS kept
+FROM measured LEFT JOIN wide ON lang IS NOT DISTINCT FROM t_lang AND source IS NOT DISTINCT FROM t_source
+"""

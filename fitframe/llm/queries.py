@@ -23,4 +23,5 @@ QUERIES = {
 ORACLE = {
     "op1_warc": warc.ORACLE,
     "op6_ngram_jaccard": ngram_join.ORACLE,
+    "op8_quality_rules": quality_rules.oracle(),
 }
