@@ -28,7 +28,7 @@ UNITS = ("kg", "g", "mg", "t", "lb", "oz", "km", "m", "cm", "mm", "ft", "in", "m
          "kw", "v", "a", "j", "n", "pa", "k", "usd", "eur", "gbp", "dollars", "euros", "cents", "percent", "degrees")
 
 
-def canonical(text: Column) -> Column:
+def canonical(text: Column, names: bool = True) -> Column:
     """The text with placeholders, lower-cased, outer punctuation removed;
     word by word aligned with the text."""
     t = F.coalesce(text, F.lit(""))
@@ -36,7 +36,8 @@ def canonical(text: Column) -> Column:
     t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])[+-]?\d+(?:[.,:/-]\d+)*%?", NUM)
     t = F.regexp_replace(t, rf"(?i)(?<={NUM} ?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
     t = F.regexp_replace(t, rf"[$€£](?={NUM})", UNIT)
-    t = F.regexp_replace(t, r"(?<=[^\s.!?:;] )\p{Lu}\p{Ll}+(?!\p{L})", NAME)
+    if names:
+        t = F.regexp_replace(t, r"(?<=[^\s.!?:;] )\p{Lu}\p{Ll}+(?!\p{L})", NAME)
     t = F.regexp_replace(t, r"(?<!\S)[\"'(\[{]+(?=\S)", "")
     return F.lower(F.regexp_replace(t, r"(?<=\S)[.,;:!?\"')\]}]+(?!\S)", ""))
 
@@ -56,9 +57,12 @@ def windows(tokens: Column, lengths: list[int]) -> Column:
 
 
 def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """Tokens of the items; items with names once more with the names as
+    words, for copies in other case."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("t")).dropna().distinct()
-    return (items.select("item", F.xxhash64("t").alias("item_key"), _split(canonical(F.col("t"))).alias("tokens"),
-                         _split(F.col("t")).alias("raw"))
+    forms = F.array_distinct(F.array(*[_split(canonical(F.col("t"), names)) for names in (True, False)]))
+    return (items.select("item", "t", F.explode(forms).alias("tokens"))
+            .select("item", F.xxhash64("t", "tokens").alias("item_key"), "tokens", _split(F.col("t")).alias("raw"))
             .withColumn("len", F.size("tokens")).where(F.col("len") >= SHORTEST))
 
 
