@@ -40,8 +40,8 @@ def placeholder_to_null(c: Column | str, placeholders: Iterable[str]) -> Column:
 
 
 def try_double(c: Column | str) -> Column:
-    """Numeric coercion; text that does not parse becomes NULL."""
-    return as_col(c).try_cast("double")
+    """Numeric coercion; text that does not parse, or says NaN, becomes NULL."""
+    return nan_to_null(as_col(c).try_cast("double"))
 
 
 def map_values(c: Column | str, mapping: Mapping, out_type: str | None = None) -> Column:
@@ -57,8 +57,9 @@ def map_values(c: Column | str, mapping: Mapping, out_type: str | None = None) -
 
 
 def clip(c: Column | str, lo, hi) -> Column:
-    """O2: clip to [lo, hi]; NULL stays NULL (bare least/greatest would fill it)."""
-    col = as_col(c)
+    """O2: clip to [lo, hi]; NULL and NaN give NULL (bare least/greatest would
+    fill NULL, and NaN counts as the largest value)."""
+    col = nan_to_null(c)
     inner = col
     if lo is not None:
         inner = F.greatest(inner, F.lit(float(lo)))
@@ -68,16 +69,38 @@ def clip(c: Column | str, lo, hi) -> Column:
 
 
 def log1p_floor0(c: Column | str) -> Column:
-    """O3: log1p after flooring at 0 (NULL stays NULL)."""
-    col = as_col(c)
-    return F.when(col.isNotNull(), F.log1p(F.greatest(col.cast("double"), F.lit(0.0))))
+    """O3: log1p after flooring at 0 (NULL and NaN give NULL)."""
+    col = number(c)
+    return F.when(col.isNotNull(), F.log1p(F.greatest(col, F.lit(0.0))))
 
 
 def nan_to_null(c: Column | str) -> Column:
+    """NaN counts as missing, as everywhere in this library."""
     col = as_col(c)
     return F.when(~F.isnan(col), col)
 
 
+def number(c: Column | str) -> Column:
+    """A numeric column as double, NaN as NULL."""
+    return nan_to_null(as_col(c).cast("double"))
+
+
+def missing(df: DataFrame, c: str) -> Column:
+    """True where a cell is NULL or NaN."""
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        return F.col(c).isNull() | F.isnan(F.col(c))
+    return F.col(c).isNull()
+
+
+def filled(df: DataFrame, c: str, value) -> Column:
+    """Missing cells replaced by ``value``."""
+    col = nan_to_null(c) if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else F.col(c)
+    kind = df.schema[c].dataType
+    if isinstance(value, str) and not isinstance(kind, T.StringType):
+        return F.coalesce(col, F.lit(value).cast(kind))   # a date or time saved as text
+    return F.coalesce(col, F.lit(value))
+
+
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
     """coalesce(num, 0) / (den with 0 -> 1); NULL den -> NULL."""
     n = F.coalesce(as_col(num).cast("double"), F.lit(0.0))

@@ -13,23 +13,22 @@ from pyspark.sql import functions as F
 
 from .. import config
 
-_NON_ALNUM = re.compile(r"[^0-9a-zA-Z]+")
-_BEFORE_CAPITAL = re.compile(r"(?<!^)(?=[A-Z])")
-_MULTI_UNDERSCORE = re.compile(r"__+")
+# A word of a name: a capital with the lower-case letters and digits after
+# it, or such letters and digits without one.
+_WORD = re.compile(r"[A-Z][0-9a-z]*|[0-9a-z]+")
+_ALNUM_RUN = re.compile(r"[0-9a-zA-Z]+")
 
 
 def standardize_name(name: str) -> str:
-    """Non-alnum runs -> ``_``, ``_`` before each non-initial capital,
-    collapse repeated ``_``, lower-case, strip ``_`` at both ends."""
-    out = _NON_ALNUM.sub("_", name)
-    out = _BEFORE_CAPITAL.sub("_", out)
-    out = _MULTI_UNDERSCORE.sub("_", out)
-    return out.lower().strip("_")
+    """The words of a name, every capital beginning one, in lower case and
+    joined by ``_``."""
+    return "_".join(word.lower() for word in _WORD.findall(name))
 
 
 def simple_name(name: str) -> str:
-    """Non-alnum runs -> ``_``, lower-case, strip; capitals not split."""
-    return _NON_ALNUM.sub("_", str(name)).lower().strip("_")
+    """Runs of letters and digits in lower case, joined by ``_``;
+    capitals are not split."""
+    return "_".join(run.lower() for run in _ALNUM_RUN.findall(str(name)))
 
 
 def standardize_columns(df: DataFrame, mode: str = "split_capitals") -> DataFrame:

@@ -19,10 +19,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
 
 
+def range_key(df: DataFrame, key: str):
+    """A double that never falls as ``key`` rises, whatever its type: ranges
+    are cut on it, while rows within a range are ordered by the key itself."""
+    kind, c = df.schema[key].dataType, F.col(key)
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    if isinstance(kind, T.BooleanType):
+        return c.cast("int").cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', `{key}`)").cast("double")
+    # text and binary are ordered by their bytes: the first six as a number
+    head = F.hex(F.substring(c.cast("binary"), 1, 6))
+    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+
+
 def assign_buckets(df: DataFrame, key: str, by: Sequence[str] = (),
                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                    n_rows: int | None = None) -> tuple[DataFrame, bool]:
@@ -42,7 +62,7 @@ def assign_buckets(df: DataFrame, key: str, by: Sequence[str] = (),
         return df.withColumn("_bucket", F.lit(0)), False
     nb = math.ceil(top / rows_per_bucket)
     fracs = [i / nb for i in range(1, nb)]
-    kd = F.col(key).cast("double")
+    kd = range_key(df, key)
     if not by:
         cuts = sorted(set(df.agg(F.percentile_approx(kd, fracs, 10000)).first()[0] or []))
         b = None

@@ -13,16 +13,20 @@ finds the exact order statistics by *bucket refinement*:
 2. every pass handles all columns at once: each value falls in one segment of
    its column (a gap or an open interval); gaps are only counted, intervals
    holding at most ``collect_rows`` rows are grouped by value (which resolves
-   the rank), larger ones are split into ``buckets`` equal-width buckets
-   aggregated as ``count, min, max`` (one shuffle of at most
-   ``#intervals x buckets`` groups, map-side combined, so a hot value costs
-   one row per map task);
+   the rank), larger ones are split into ``buckets`` buckets aggregated as
+   ``count, min, max`` (one shuffle of at most ``#intervals x buckets`` groups,
+   map-side combined, so a hot value costs one row per map task).  An interval
+   within a factor of two is cut at equal widths, a wider one by the logarithm
+   of the magnitude, so whatever the range, a few passes reach single values;
 3. on the driver, the bucket that holds each wanted rank becomes the next
    interval ``[bucket min, bucket max]``; it is resolved when its min equals
    its max, or by grouping by value once it holds at most ``collect_rows``
    rows.  A bracket that misses its rank (not expected) falls back to the
    whole column.
 
+Infinities are counted in the first pass and take the lowest and highest
+ranks; the search runs over the finite values.
+
 The driver reads at most ``driver_rows`` rows per pass however many columns
 and probabilities are asked for (bucket counts shrink as intervals grow in
 number).  Interpolation is linear between the two neighbouring order
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 4096
 DEFAULT_COLLECT_ROWS = 50_000
-DEFAULT_MAX_PASSES = 12
+MAX_PASSES = 40               # far above the 6 or 7 that any doubles need
 DEFAULT_DRIVER_ROWS = 400_000   # rows the driver reads per pass, all columns together
 DEFAULT_ACCURACY = 0          # > 0: seed the first pass with percentile_approx brackets
 _DEBUG = bool(os.environ.get("FITFRAME_DEBUG"))
@@ -62,8 +66,28 @@ def _dlit(v: float) -> str:
 
 
 def _clean(c: str):
+    """Finite value of a column, else NULL."""
     x = F.col(c).cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+
+
+def _infinite(c: str, sign: float):
+    return F.sum((F.col(c).cast("double") == F.lit(sign * math.inf)).cast("long"))
+
+
+def _magnitude(v: float) -> float:
+    """A monotone map of all doubles to about [-2200, 2200]: sign times the
+    binary logarithm of the magnitude, shifted past the smallest."""
+    return 0.0 if v == 0 else math.copysign(math.log2(abs(v)) + 1100.0, v)
+
+
+def _magnitude_sql(x: str) -> str:
+    return f"(CASE WHEN {x} = 0 THEN 0D ELSE sign({x}) * (log2(abs({x})) + 1100D) END)"
+
+
+def _wide(lo: float, hi: float) -> bool:
+    """Whether an interval spans more than a factor of two (or zero)."""
+    return lo <= 0 <= hi or max(abs(lo), abs(hi)) > 2 * min(abs(lo), abs(hi))
 
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, float, float]]:
@@ -80,19 +104,16 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                     probs: Sequence[float] | Mapping[str, Sequence[float]],
                     buckets: int = DEFAULT_BUCKETS,
                     collect_rows: int = DEFAULT_COLLECT_ROWS,
-                    max_passes: int = DEFAULT_MAX_PASSES,
                     accuracy: int = DEFAULT_ACCURACY,
                     driver_rows: int = DEFAULT_DRIVER_ROWS,
-                    stats: Mapping[str, tuple[int, float, float]] | None = None,
                     extra_aggs: Mapping | None = None,
                     extra_out: dict | None = None,
                     ) -> dict[str, list[float | None]]:
     """Return ``{col: [quantile(p) for p in probs[col]]}``; NULL/NaN ignored.
 
-    A column without values gets ``None`` for every probability.  ``stats``
-    is accepted for API symmetry; the first pass always recomputes it together
-    with the approximate brackets.  ``extra_aggs`` (name -> aggregate Column)
-    ride along in that first pass; their values land in ``extra_out``.
+    A column without values gets ``None`` for every probability.
+    ``extra_aggs`` (name -> aggregate Column) ride along in the first pass;
+    their values land in ``extra_out``.
     """
     cols = list(dict.fromkeys(cols))
     if not cols:
@@ -107,7 +128,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
         x = _clean(c)
         bp = sorted({min(1.0, max(0.0, p + d)) for p in want[c] for d in (-margin, margin)})
         bracket_probs[c] = bp
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 _infinite(c, -1.0).alias(f"u{i}"), _infinite(c, 1.0).alias(f"v{i}")]
         if accuracy:
             aggs.append(F.percentile_approx(x, bp, accuracy).alias(f"b{i}"))
     extra_aggs = dict(extra_aggs or {})
@@ -120,6 +142,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
     if _DEBUG:
         print(f"pass A: {time.time() - _t:.2f}s")
     st = {c: (int(row[f"n{i}"]), row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
+    below = {c: int(row[f"u{i}"] or 0) for i, c in enumerate(cols)}    # rows at -Infinity
+    total = {c: st[c][0] + below[c] + int(row[f"v{i}"] or 0) for i, c in enumerate(cols)}
     brk = {c: dict(zip(bracket_probs[c], row[f"b{i}"] or [])) if accuracy else {} for i, c in enumerate(cols)}
 
     plan: dict[str, list[tuple[int, int, float]]] = {}
@@ -130,19 +154,23 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
         n, lo, hi = st[c]
         rows = []
         for p in want[c]:
-            if n == 0:
+            if total[c] == 0:
                 rows.append((-1, -1, 0.0))
                 continue
-            pos = float(p) * (n - 1)
+            pos = float(p) * (total[c] - 1)
             r0 = int(math.floor(pos))
-            r1 = min(r0 + 1, n - 1)
+            r1 = min(r0 + 1, total[c] - 1)
             rows.append((r0, r1, pos - r0))
+            if n == 0:
+                continue
             blo = brk[c].get(min(1.0, max(0.0, p - margin)))
             bhi = brk[c].get(min(1.0, max(0.0, p + margin)))
             blo = lo if blo is None else max(lo, blo)
             bhi = hi if bhi is None else min(hi, bhi)
             expect = min(n, 2 * margin * n + 2 * n / accuracy + 1) if accuracy else n
-            for r in (r0, r1):
+            for r in (r0 - below[c], r1 - below[c]):   # ranks among the finite values
+                if not 0 <= r < n:
+                    continue
                 if lo == hi:
                     ranks[(c, r)] = lo
                 elif (c, r) not in open_t:
@@ -153,7 +181,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
     passes = 0
     while open_t:
         passes += 1
-        force = passes >= max_passes
+        if passes > MAX_PASSES:
+            raise RuntimeError(f"quantile search not settled after {MAX_PASSES} passes")
         # per column: disjoint sorted intervals (overlapping target intervals merged)
         segs: dict[str, list[list]] = {}
         for (c, _r), (lo, hi, size) in open_t.items():
@@ -176,7 +205,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
         ivs_all = sorted((iv for ivs in segs.values() for iv in ivs), key=lambda iv: iv[2])
         budget = driver_rows // 2
         for iv in ivs_all:
-            if force or iv[0] == iv[1] or (iv[2] <= collect_rows and iv[2] <= budget):
+            if iv[0] == iv[1] or (iv[2] <= collect_rows and iv[2] <= budget):
                 iv.append("collect")
                 budget -= 0 if iv[0] == iv[1] else iv[2]
             else:
@@ -189,20 +218,23 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
         # interval from literal arrays, so no nested CASE grows with the number
         # of intervals and the stage stays inside whole-stage codegen.
         col_ids = {c: i for i, c in enumerate(segs)}
-        xs = [f"CASE WHEN isnan(CAST({_q(c)} AS DOUBLE)) THEN NULL ELSE CAST({_q(c)} AS DOUBLE) END AS _x{i}"
-              for c, i in col_ids.items()]
+        xs = [f"CASE WHEN isnan(CAST({_q(c)} AS DOUBLE)) OR abs(CAST({_q(c)} AS DOUBLE)) = {_dlit(math.inf)} THEN NULL "
+              f"ELSE CAST({_q(c)} AS DOUBLE) END AS _x{i}" for c, i in col_ids.items()]
         gs = []
         structs = []
         for c, ivs in segs.items():
             i = col_ids[c]
             gs.append(" + ".join(f"CAST(_x{i} >= {_dlit(lo)} AS INT) + CAST(_x{i} > {_dlit(hi)} AS INT)"
                                  for lo, hi, _size, _mode in ivs) + f" AS _g{i}")
-            los = ", ".join(_dlit(iv[0]) for iv in ivs)
-            widths = ", ".join(_dlit(float(iv[1] - iv[0]) or 1.0) for iv in ivs)
+            ends = [tuple(map(_magnitude, iv[:2])) if _wide(iv[0], iv[1]) else (iv[0], iv[1]) for iv in ivs]
+            los = ", ".join(_dlit(lo) for lo, _ in ends)
+            widths = ", ".join(_dlit(float(hi - lo) or 1.0) for lo, hi in ends)
             flags = ", ".join("true" if iv[3] == "collect" else "false" for iv in ivs)
+            logs = ", ".join("true" if _wide(iv[0], iv[1]) else "false" for iv in ivs)
             j = f"shiftright(_g{i}, 1)"
-            bucket = (f"CAST(least(floor((_x{i} - get(array({los}), {j})) / get(array({widths}), {j}) "
-                      f"* {nb}), {nb - 1}) AS DOUBLE)")
+            scaled = f"(CASE WHEN get(array({logs}), {j}) THEN {_magnitude_sql(f'_x{i}')} ELSE _x{i} END)"
+            bucket = (f"CAST(greatest(least(floor(({scaled} - get(array({los}), {j})) / get(array({widths}), {j}) "
+                      f"* {nb}), {nb - 1}), 0) AS DOUBLE)")
             k = f"CASE WHEN _g{i} % 2 = 1 THEN (CASE WHEN get(array({flags}), {j}) THEN _x{i} ELSE {bucket} END) END"
             structs.append(f"CASE WHEN _x{i} IS NOT NULL THEN named_struct('c', {i}, 'g', _g{i}, 'k', {k}, "
                            f"'x', _x{i}) END")
@@ -262,11 +294,21 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
             if r0 < 0:
                 vals.append(None)
                 continue
-            v0, v1 = ranks[(c, r0)], ranks[(c, r1)]
-            vals.append(v0 if frac == 0 or v0 == v1 else v0 + (v1 - v0) * frac)
+            v0, v1 = (_ranked(ranks, c, r - below[c], st[c][0]) for r in (r0, r1))
+            if frac == 0 or v0 == v1:
+                vals.append(v0)
+            elif math.isinf(v0) or math.isinf(v1):   # between a number and an infinity
+                vals.append(v0 if math.isinf(v0) else v1)
+            else:
+                vals.append(v0 + (v1 - v0) * frac if math.isfinite(v1 - v0) else v0 * (1 - frac) + v1 * frac)
         out[c] = vals
     return out
 
 
+def _ranked(ranks: dict, c: str, r: int, n: int) -> float:
+    """Value at a rank counted from the first finite value."""
+    return -math.inf if r < 0 else math.inf if r >= n else ranks[(c, r)]
+
+
 def exact_median(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:
     return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5], **kw).items()}

@@ -2,58 +2,70 @@
 
 A fitted state (rare-label list, target-encoding table, category list) is
 usually tiny, but its size grows with the cardinality of a column, not with a
-constant.  ``materialize_state`` computes it once and counts it: a small
-state becomes a local relation, a medium one stays cached and is broadcast,
-a large one is checkpointed to the shared checkpoint folder and joined with a
-shuffle join (AQE splits skewed keys).
+constant.  ``materialize_state`` computes it once into the shared checkpoint
+folder and measures it, in rows and bytes: a small state becomes a local
+relation, a medium one is broadcast from its checkpoint, a large one is joined
+with a shuffle (AQE splits skewed keys).  Nothing stays cached on executors.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 MAX_LOCAL_ROWS = 5_000
+MAX_LOCAL_BYTES = 4 << 20
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def row_bytes(df: DataFrame):
+    """Bytes of a row: 8 for each column and the length of texts."""
+    total = F.lit(8 * len(df.columns))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+    return total
 
 
 class SizedFrame:
-    """A materialised state table plus its exact row count."""
+    """A materialised state table with its exact rows and bytes."""
 
-    def __init__(self, df: DataFrame, rows: int, local: bool):
+    def __init__(self, df: DataFrame, rows: int, local: bool, size: int | None = None):
         self.df = df
         self.rows = rows
         self.local = local
+        self.size = size
+
+    @property
+    def small(self) -> bool:
+        """Within the bounds of a broadcast."""
+        if self.size is None:
+            self.size = self.df.agg(F.coalesce(F.sum(row_bytes(self.df)), F.lit(0))).first()[0]
+        return self.rows <= MAX_BROADCAST_ROWS and self.size <= MAX_BROADCAST_BYTES
+
+    def for_join(self) -> DataFrame:
+        """Broadcast only when the measured size is within the bounds."""
+        return F.broadcast(self.df) if self.small else self.df
+
+
+def measure(df: DataFrame) -> SizedFrame:
+    """A frame that is stored already, with its rows and bytes."""
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return SizedFrame(df, n, False, size)
+
 
-    def for_join(self, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-        """Broadcast only when the counted size is within the bound."""
-        return F.broadcast(self.df) if self.rows <= max_broadcast_rows else self.df
-
-
-def materialize_state(df: DataFrame, max_local_rows: int = MAX_LOCAL_ROWS,
-                      max_cached_rows: int = MAX_BROADCAST_ROWS) -> SizedFrame:
-    """Run the state's aggregation once, count it, and keep it in the form its
-    size calls for:
-
-    * up to ``max_local_rows`` rows: a local relation (exact size known to
-      Catalyst, safe to broadcast);
-    * up to ``max_cached_rows``: the cached result (``MEMORY_AND_DISK``; a
-      lost block is recomputed from its short lineage: scan + aggregate);
-    * beyond: a checkpoint in the shared ``spark.checkpoint.dir`` (lineage
-      cut, survives executor loss), joined with a shuffle join.
-    """
-    from pyspark import StorageLevel
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    head = cached.limit(max_local_rows + 1).collect()      # one job when the state is small
-    if len(head) <= max_local_rows:
-        cached.unpersist()
-        return SizedFrame(df.sparkSession.createDataFrame(head, df.schema), len(head), True)
-    n = cached.count()                                      # reuses the cached partitions
-    if n <= max_cached_rows:
-        return SizedFrame(cached, n, False)
+def materialize_state(df: DataFrame, max_local_rows: int = MAX_LOCAL_ROWS) -> SizedFrame:
+    """Run the state's aggregation once, into ``spark.checkpoint.dir`` (lineage
+    cut, survives executor loss), and measure it.  Up to ``max_local_rows``
+    rows and MAX_LOCAL_BYTES it comes back as a local relation, whose exact
+    size Catalyst knows."""
     ensure_checkpoint_dir(df.sparkSession)
-    ck = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return SizedFrame(ck, n, False)
+    stored = df.checkpoint(eager=True)
+    sized = measure(stored)
+    if sized.rows <= max_local_rows and sized.size <= MAX_LOCAL_BYTES:
+        return SizedFrame(df.sparkSession.createDataFrame(stored.collect(), df.schema), sized.rows, True, sized.size)
+    return sized

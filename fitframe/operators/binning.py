@@ -32,7 +32,7 @@ class BinState(Fitted):
         extra = []
         for c, e in self.edges.items():
             if c in df.columns:
-                val = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+                val = F.coalesce(exprs.number(c), F.lit(0.0))
                 extra.append(exprs.bin_label(val, e, self.labels[c], self.unknown).alias(c + self.suffix))
         names = {c + self.suffix for c in self.edges}
         return df.select(*[c for c in df.columns if c not in names], *extra)
@@ -56,7 +56,7 @@ def fit_bins(df: DataFrame, cfg: Mapping | None = None) -> BinState:
     """B1/B2: learn edges for the configured numeric columns present."""
     cfg = dict(config.BINNING if cfg is None else cfg)
     cols = [c for c in cfg if c in df.columns]
-    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    filled = df.select(*[F.coalesce(exprs.number(c), F.lit(0.0)).alias(c) for c in cols])
     qcols = [c for c in cols if cfg[c]["strategy"] == "quantile"]
     ucols = [c for c in cols if cfg[c]["strategy"] == "uniform"]
     bad = [c for c in cols if cfg[c]["strategy"] not in ("quantile", "uniform")]

@@ -27,10 +27,7 @@ def missing_fractions(df: DataFrame, cols: Iterable[str] | None = None) -> dict[
         return {}
     aggs = []
     for i, c in enumerate(cols):
-        isnull = F.col(c).isNull()
-        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-            isnull = isnull | F.isnan(F.col(c))
-        aggs.append(F.avg(isnull.cast("double")).alias(f"m{i}"))
+        aggs.append(F.avg(exprs.missing(df, c).cast("double")).alias(f"m{i}"))
     row = df.agg(*aggs).collect()[0]
     return {c: (row[f"m{i}"] if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(cols)}
 
@@ -115,13 +112,10 @@ def fit_clean(df: DataFrame, drop_high_missing: bool = True, dynamic_var_drop: b
     aggs = []
     if drop_high_missing:
         for i, c in enumerate(renamed):
-            isnull = F.col(c).isNull()
-            if isinstance(sdf.schema[c].dataType, (T.FloatType, T.DoubleType)):
-                isnull = isnull | F.isnan(F.col(c))
-            aggs.append(F.avg(isnull.cast("double")).alias(f"m{i}"))
+            aggs.append(F.avg(exprs.missing(sdf, c).cast("double")).alias(f"m{i}"))
     if dynamic_var_drop:
         for i, c in enumerate(numeric):
-            aggs.append(F.var_samp(F.col(c).cast("double")).alias(f"v{i}"))
+            aggs.append(F.var_samp(exprs.number(c)).alias(f"v{i}"))
     if aggs:
         row = sdf.agg(*aggs).collect()[0]
         if drop_high_missing:
@@ -191,7 +185,7 @@ def coerce_prefix(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def complete_cases(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Rows where every listed column is non-NULL."""
+    """Rows where every listed column is neither NULL nor NaN."""
     return df.dropna(how="any", subset=list(cols))
 
 

@@ -23,15 +23,21 @@ from ..functions.quantiles import exact_quantiles
 from ..state import Fitted, register
 
 
+def _finite(c: str):
+    """A number, with NaN and infinities as missing."""
+    x = exprs.number(c)
+    return F.when(F.abs(x) != float("inf"), x)
+
+
 def usable_numeric(df: DataFrame, cols: list[str] | None = None, min_unique: int = 2) -> list[str]:
     """V1: numeric columns with more than ``min_unique`` distinct values and
     a positive standard deviation (one aggregation)."""
     cols = exprs.numeric_columns(df) if cols is None else cols
     if not cols:
         return []
-    row = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]
-                 ).collect()[0]
+    finite = [_finite(c) for c in cols]
+    row = df.agg(*[F.approx_count_distinct(x).alias(f"d{i}") for i, x in enumerate(finite)],
+                 *[F.stddev_samp(x).alias(f"s{i}") for i, x in enumerate(finite)]).collect()[0]
     return [c for i, c in enumerate(cols)
             if row[f"d{i}"] > min_unique and row[f"s{i}"] is not None and row[f"s{i}"] > 0]
 
@@ -72,24 +78,27 @@ def gram_from_moments(mom: dict, cols: list[str], fills: dict) -> np.ndarray:
 def _median_and_gram(df: DataFrame, cols: list[str]) -> np.ndarray:
     """Median fill values and the filled Gram matrix from one quantile search
     (NaN and +-inf count as missing)."""
-    clean = df.select(*[F.when(F.isnan(F.col(c).cast("double")) | (F.abs(F.col(c).cast("double")) == float("inf")),
-                               F.lit(None)).otherwise(F.col(c).cast("double")).alias(c) for c in cols])
+    clean = df.select(*[_finite(c).alias(c) for c in cols])
     mom: dict = {}
     med = exact_quantiles(clean, cols, [0.5], extra_aggs=gram_moments(cols), extra_out=mom)
     return gram_from_moments(mom, cols, {c: med[c][0] for c in cols})
 
 
 def vif_from_gram(g: np.ndarray) -> np.ndarray:
+    """``G_ii (G^-1)_ii`` for every column, from one inverse of the scaled Gram
+    matrix.  Where columns depend on each other exactly, the inverse is
+    unusable; those are found by their share in the null space and are
+    infinite, the others take the pseudo-inverse."""
     k = g.shape[0]
-    out = np.empty(k)
-    for i in range(k):
-        if k == 1:
-            out[i] = 1.0
-            continue
-        rest = [j for j in range(k) if j != i]
-        gi = g[rest, i]
-        ssr = g[i, i] - gi @ np.linalg.pinv(g[np.ix_(rest, rest)]) @ gi
-        out[i] = np.inf if ssr <= 1e-12 * max(g[i, i], 1e-300) else g[i, i] / ssr
+    if k == 1:
+        return np.ones(1)
+    d = np.sqrt(np.maximum(np.diag(g), 1e-300))
+    scaled = g / np.outer(d, d)
+    values, vectors = np.linalg.eigh((scaled + scaled.T) / 2)
+    small = values <= 1e-12 * max(values[-1], 1e-300)
+    inverse = (vectors[:, ~small] / values[~small]) @ vectors[:, ~small].T
+    out = np.diag(inverse).copy()
+    out[(vectors[:, small] ** 2).sum(axis=1) > 1e-10] = np.inf
     return out
 
 

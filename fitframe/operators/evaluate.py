@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exprs
 from ..functions.ordered import lag_within, running_totals
 from ..functions.sizing import materialize_state
 
@@ -38,9 +39,10 @@ def confusion_metrics(df: DataFrame, label: str, pred: str, digits: int = 6) ->
 
 
 def class_report(df: DataFrame, label: str, pred: str, digits: int = 6) -> DataFrame:
-    """M4 per-class report: precision, recall, f1, support per class value."""
-    y = F.col(label).cast("int")
-    p = F.col(pred).cast("int")
+    """M4 per-class report: precision, recall, f1, support per class value,
+    of any type."""
+    y = F.col(label)
+    p = F.col(pred).cast(df.schema[label].dataType)
     st = df.select(F.explode(F.array(
         F.struct(y.alias("cls"), F.lit(1).alias("is_true"), (p == y).cast("int").alias("hit")),
         F.struct(p.alias("cls"), F.lit(0).alias("is_true"), (p == y).cast("int").alias("hit")))).alias("s"))
@@ -59,15 +61,21 @@ def class_report(df: DataFrame, label: str, pred: str, digits: int = 6) -> DataF
 
 
 def auc_exact(df: DataFrame, label: str, score: str, rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """M4: exact ROC AUC with ties counted half, as one-row DataFrame ``auc``."""
+    """M4: exact ROC AUC with ties counted half, as one-row DataFrame ``auc``;
+    NULL when one class is absent."""
+    return auc_by(df, [], label, score, rows_per_bucket)
+
+
+def auc_by(df: DataFrame, by: list[str], label: str, score: str, rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """``auc_exact`` for every group of ``by`` in one set of jobs."""
     y = F.col(label).cast("long")
-    grouped = df.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(
-        F.col(score).cast("double").alias("s")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    s = exprs.number(score)
+    grouped = df.where(s.isNotNull() & y.isNotNull()).groupBy(*by, s.alias("s")).agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     sized = materialize_state(grouped)
-    cum = running_totals(sized.df, "s", ["neg"], rows_per_bucket=rows_per_bucket, n_rows=sized.rows)
-    return cum.agg(
-        (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg")))
-         / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    cum = running_totals(sized.df, "s", ["neg"], by=by, rows_per_bucket=rows_per_bucket, n_rows=sized.rows)
+    area = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg")))
+    return cum.groupBy(*by).agg(F.try_divide(area, F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str, digits: int = 6) -> DataFrame:

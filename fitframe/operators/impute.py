@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config
 from ..functions import exprs
@@ -33,7 +34,7 @@ class ImputeState(Fitted):
             if info is None or info["value"] is None:
                 sel.append(F.col(c))
             else:
-                sel.append(F.coalesce(F.col(c), F.lit(info["value"])).alias(c))
+                sel.append(exprs.filled(df, c, info["value"]).alias(c))
         return df.select(*sel)
 
 
@@ -51,7 +52,7 @@ def fit_impute(df: DataFrame, numeric_config: Mapping | None = None,
     medians = [c for c, s in num.items() if s == "median"]
     means = [c for c, s in num.items() if s == "mean"]
     med = exact_quantiles(df, medians, [0.5]) if medians else {}
-    mean_row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in means]).collect()[0] if means else {}
+    mean_row = df.agg(*[F.avg(exprs.number(c)).alias(c) for c in means]).collect()[0] if means else {}
     for c, s in num.items():
         v = med[c][0] if s == "median" else (mean_row[c] if s == "mean" else 0)
         fills[c] = {"strategy": s, "value": v}
@@ -71,19 +72,32 @@ def fit_impute(df: DataFrame, numeric_config: Mapping | None = None,
 
 
 def column_modes(df: DataFrame, cols: list[str]) -> dict:
-    """Most frequent non-NULL value per column; ties -> smallest value (as
-    text; numeric columns are cast back)."""
+    """Most frequent non-missing value per column; ties -> smallest value (as
+    text), given back in the column's own type."""
     if not cols:
         return {}
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s"))
+        F.struct(F.lit(c).alias("c"), F.when(~exprs.missing(df, c), F.col(c).cast("string")).alias("v")) for c in cols])).alias("s"))
     counts = (stacked.where(F.col("s.v").isNotNull())
               .groupBy(F.col("s.c").alias("c"), F.col("s.v").alias("v")).count())
     best = counts.groupBy("c").agg(
         F.min(F.struct((-F.col("count")).alias("nc"), F.col("v").alias("v"))).alias("b"))
     got = {r["c"]: r["b"]["v"] for r in best.collect()}
-    numeric = set(exprs.numeric_columns(df))
-    return {c: (float(got[c]) if c in numeric and got.get(c) is not None else got.get(c)) for c in cols}
+    return {c: _typed_value(df.schema[c].dataType, got.get(c)) for c in cols}
+
+
+def _typed_value(kind: T.DataType, text: str | None):
+    """A fill value that keeps the column's type and saves as JSON; dates and
+    times stay text, which the column's type reads back."""
+    if text is None:
+        return None
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return float(text)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return int(text)
+    if isinstance(kind, T.BooleanType):
+        return text == "true"
+    return text
 
 
 def impute_missing(df: DataFrame, **kw) -> DataFrame:

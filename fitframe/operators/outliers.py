@@ -7,6 +7,7 @@ learned on the scale the clip is applied to: after the optional log (W7).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -31,7 +32,7 @@ class ClipState(Fitted):
         for c in df.columns:
             e = exprs.log1p_floor0(c) if c in logs else F.col(c)
             b = self.bounds.get(c) if apply_clip else None
-            if b is not None and b[0] is not None:
+            if b is not None and b != [None, None]:
                 e = exprs.clip(e, b[0], b[1])
             sel.append(e.alias(c))
         return df.select(*sel)
@@ -50,7 +51,9 @@ def iqr_bounds(df: DataFrame, cols: list[str], k: float = config.IQR_K, **kw) ->
             out[c] = [None, None]
         else:
             iqr = q3 - q1
-            out[c] = [q1 - k * iqr, q3 + k * iqr]
+            bounds = [q1 - k * iqr, q3 + k * iqr]
+            # quartiles at infinity leave no bound on that side
+            out[c] = [None if math.isnan(b) or math.isinf(b) else b for b in bounds]
     return out
 
 

@@ -34,7 +34,7 @@ def missing_report(df: DataFrame, cols: Iterable[str] | None = None) -> DataFram
     """Missing count and percent per column, only > 0, most missing first."""
     cols = list(cols) if cols is not None else df.columns
     agg = df.agg(F.count(F.lit(1)).alias("_n"), *[
-        F.sum(F.col(c).isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)])
+        F.sum(exprs.missing(df, c).cast("long")).alias(f"m{i}") for i, c in enumerate(cols)])
     long = agg.select("_n", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count"))
         for i, c in enumerate(cols)])).alias("s"))
@@ -55,11 +55,11 @@ def dtype_frequency(df: DataFrame) -> DataFrame:
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
     """Share of each target value, NULLs excluded."""
-    nn = df.where(F.col(target).isNotNull())
-    total = nn.count()
-    counts = nn.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.col(target).alias("value"), "n",
-                         F.round(F.col("n") / F.lit(float(max(total, 1))), 6).alias("share"))
+    counts = df.where(~exprs.missing(df, target)).groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("_one", F.lit(1))
+    total = counts.groupBy("_one").agg(F.sum("n").alias("_total"))   # of the counts, not of the rows
+    return counts.join(F.broadcast(total), "_one").select(
+        F.col(target).alias("value"), "n", F.round(F.col("n") / F.col("_total"), 6).alias("share"))
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
@@ -70,7 +70,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, digits: int =
         return spark.createDataFrame([], _DESC_SCHEMA)
     extra = {}
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = exprs.number(c)
         extra.update({f"n{i}": F.count(x), f"a{i}": F.avg(x), f"s{i}": F.stddev_samp(x),
                       f"lo{i}": F.min(x), f"hi{i}": F.max(x)})
     row: dict = {}
@@ -146,18 +146,21 @@ def target_profile(df: DataFrame, target: str, cols: list[str] | None = None) ->
     (numeric) or NULL (categorical)."""
     cols = [c for c in (df.columns if cols is None else cols) if c != target]
     numeric = set(exprs.numeric_columns(df))
-    y = F.col(target).cast("double")
+    y = exprs.number(target)
+    # one stacked groupBy counts distinct values; several count_distinct in one
+    # aggregation would copy every row once per column
+    distinct = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.when(
+        ~exprs.missing(df, c), F.col(c).cast("string")).alias("v")) for c in cols])).alias("s"))
+        .groupBy("s.c", "s.v").agg(F.lit(1).alias("one")).groupBy("c").agg(F.count("v").alias("distinct")))
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.sum(F.col(c).isNull().cast("long")).alias(f"m{i}"),
-                 F.count_distinct(F.col(c)).alias(f"d{i}")]
-        aggs.append(F.corr(F.col(c).cast("double"), y).alias(f"r{i}") if c in numeric
-                    else F.lit(None).cast("double").alias(f"r{i}"))
-    agg = df.agg(*aggs)
-    return agg.select(F.explode(F.array(*[
+        aggs.append(F.sum(exprs.missing(df, c).cast("long")).alias(f"m{i}"))
+        aggs.append(F.corr(exprs.number(c), y).alias(f"r{i}") if c in numeric else F.lit(None).cast("double").alias(f"r{i}"))
+    rest = df.agg(*aggs).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing"),
-                 F.col(f"d{i}").alias("distinct"), F.round(F.col(f"r{i}"), 6).alias("target_corr"))
-        for i, c in enumerate(cols)])).alias("s")).select("s.*")
+                 F.round(exprs.nan_to_null(f"r{i}"), 6).alias("target_corr")) for i, c in enumerate(cols)])).alias("s")).select("s.*")
+    return (rest.join(F.broadcast(distinct), F.col("column") == F.col("c"), "left")
+            .select("column", "missing", F.coalesce("distinct", F.lit(0)).alias("distinct"), "target_corr"))
 
 
 def target_rate(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
@@ -182,7 +185,9 @@ def target_rate_by_bin(df: DataFrame, target: str, cols: list[str], bins: int =
         x = F.col(c).cast("double")
         b = (F.least(F.floor((x - F.lit(lo)) / F.lit((hi - lo) / bins)), F.lit(bins - 1)).cast("int")
              if hi > lo else F.lit(0))
-        parts.append(F.when(x.isNotNull(), F.struct(F.lit(c).alias("column"), b.alias("bin"))))
+        parts.append(F.when(exprs.nan_to_null(x).isNotNull(), F.struct(F.lit(c).alias("column"), b.alias("bin"))))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column string, bin int, n long, target_mean double")
     long = df.select(y.alias("_y"), F.explode(F.array(*parts)).alias("s")).where(F.col("s").isNotNull())
     return long.groupBy("s.column", "s.bin").agg(F.count(F.lit(1)).alias("n"),
                                                  F.round(F.avg("_y"), 6).alias("target_mean"))

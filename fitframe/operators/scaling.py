@@ -35,8 +35,8 @@ def skewness_table(df: DataFrame, cols: list[str] | None = None) -> dict[str, fl
     cols = exprs.numeric_columns(df) if cols is None else cols
     if not cols:
         return {}
-    row = df.agg(*[F.skewness(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)],
-                 *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
+    row = df.agg(*[F.skewness(exprs.number(c)).alias(f"s{i}") for i, c in enumerate(cols)],
+                 *[F.count(exprs.number(c)).alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
     return {c: adjusted_skew(row[f"s{i}"], row[f"n{i}"]) for i, c in enumerate(cols)}
 
 
@@ -58,7 +58,7 @@ class ScaleState(Fitted):
         for c in self.order:
             if c in df.columns:
                 p = self.params[c]
-                sel.append(((F.col(c).cast("double") - F.lit(p["center"])) / F.lit(p["scale"])).alias(c))
+                sel.append(((exprs.number(c) - F.lit(p["center"])) / F.lit(p["scale"])).alias(c))
         done = set(self.order)
         return df.select(*sel, *[F.col(c) for c in df.columns if c not in done])
 
@@ -94,10 +94,10 @@ def fit_scaler(df: DataFrame, standard: Iterable[str] = (), robust: Iterable[str
     if standard or minmax:
         aggs = []
         for i, c in enumerate(standard):
-            x = F.col(c).cast("double")
+            x = exprs.number(c)
             aggs += [F.avg(x).alias(f"a{i}"), F.stddev_pop(x).alias(f"s{i}")]
         for i, c in enumerate(minmax):
-            x = F.col(c).cast("double")
+            x = exprs.number(c)
             aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
         row = df.agg(*aggs).collect()[0]
         for i, c in enumerate(standard):

@@ -1,10 +1,12 @@
 """Splits and folds.
 
 The stratified split needs no sort and no per-class task: every row gets a
-seeded hash of its key, and the per-class cut at the wanted train fraction is
-found with the exact distributed quantile search (one column per class, so all
-classes resolve together).  The split is then a filter, so train and test are
-two lazy views of the same scan.
+hash of its key, salted by purpose and seed, and the per-class cuts are found
+with the exact distributed quantile search (one column per class, so all
+classes resolve together).  The split is then a filter and a fold a ``CASE``,
+so train and test are two lazy views of the same scan.  The salts of split,
+cross-validation and stacking differ, so folds of a train side are not cut by
+the split.
 """
 
 from __future__ import annotations
@@ -24,33 +26,56 @@ def drop_null_target(df: DataFrame, target: str) -> DataFrame:
     return df.where(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("int"))
 
 
-def hash_key(keys: Iterable[str], seed: int = config.SEED):
-    """Seeded 64-bit hash of the key columns mapped to [0, 1)."""
-    h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return (F.abs(h % F.lit(1_000_000_007)) / F.lit(1_000_000_007.0))
+# Classes that a stratified split may have: one quantile column each.
+MAX_CLASSES = 1000
+
+
+def hash_key(keys: Iterable[str], salt: str, seed: int = config.SEED):
+    """Hash of the key columns in [0, 1): the first 13 hexadecimal digits of
+    the MD5 of ``key|key|salt|seed`` over 2**52, which any engine can repeat."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(salt), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
+
+
+def _class_cuts(df: DataFrame, target: str, u, probs: list[float]) -> dict:
+    """Per class of ``target``: the values of ``u`` at ``probs``."""
+    classes = [r[0] for r in df.select(target).where(F.col(target).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()]
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{target} has more than {MAX_CLASSES} classes; a stratified split needs classes, not a number")
+    probe = df.select(*[F.when(F.col(target) == F.lit(c), u).alias(f"_h{i}") for i, c in enumerate(classes)])
+    q = exact_quantiles(probe, [f"_h{i}" for i in range(len(classes))], probs)
+    return {c: q[f"_h{i}"] for i, c in enumerate(classes)}
 
 
 def stratified_split(df: DataFrame, target: str, keys: Iterable[str], test_size: float = config.TEST_SIZE,
                      seed: int = config.SEED) -> tuple[DataFrame, DataFrame]:
     """Per-class hash cut so each class keeps ``1 - test_size`` of its rows
     in train (up to hash ties)."""
-    keys = list(keys)
-    u = hash_key(keys, seed)
-    classes = [r[0] for r in df.select(target).where(F.col(target).isNotNull()).distinct().collect()]
-    probe = df.select(*[F.when(F.col(target) == F.lit(c), u).alias(f"_h{i}") for i, c in enumerate(classes)])
-    q = exact_quantiles(probe, [f"_h{i}" for i in range(len(classes))], [1 - test_size])
-    cut = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(q[f"_h{i}"][0]))])
-    tagged = df.withColumn("_u", u).withColumn("_cut", cut[F.col(target)])
+    u = hash_key(list(keys), "split", seed)
+    cuts = _class_cuts(df, target, u, [1 - test_size])
+    cut = F.lit(None).cast("double")
+    for c, v in cuts.items():
+        cut = F.when(F.col(target) == F.lit(c), F.lit(v[0])).otherwise(cut)
+    tagged = df.withColumn("_u", u).withColumn("_cut", cut)
     train = tagged.where(F.col("_u") <= F.col("_cut")).drop("_u", "_cut")
     test = tagged.where(F.col("_u") > F.col("_cut")).drop("_u", "_cut")
     return train, test
 
 
-def fold_column(df: DataFrame, keys: Iterable[str], k: int, seed: int = config.SEED,
-                name: str = "fold") -> DataFrame:
-    """Fold id in ``[0, k)`` from the seeded key hash (stratification by the
-    hash is uniform within every class)."""
-    return df.withColumn(name, F.floor(hash_key(keys, seed) * k).cast("int"))
+def fold_column(df: DataFrame, keys: Iterable[str], k: int, target: str, seed: int = config.SEED,
+                name: str = "fold", salt: str = "cv") -> DataFrame:
+    """Stratified fold id in ``[0, k)``: within every class of ``target`` the
+    folds are cut at the k-quantiles of the salted hash, so their sizes differ
+    by one row at most (up to hash ties).  Rows without a class have no fold."""
+    u = hash_key(list(keys), salt, seed)
+    cuts = _class_cuts(df, target, u, [i / k for i in range(1, k)])
+    fold = F.lit(None).cast("int")
+    for c, v in cuts.items():
+        above = F.lit(0)
+        for edge in v:
+            above = above + (F.col("_u") > F.lit(edge)).cast("int")
+        fold = F.when(F.col(target) == F.lit(c), above).otherwise(fold)
+    return df.withColumn("_u", u).withColumn(name, fold).drop("_u")
 
 
 def variant_columns(train: DataFrame, test: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -58,6 +83,6 @@ def variant_columns(train: DataFrame, test: DataFrame, exclude: Iterable[str] =
     cols = [c for c in exprs.numeric_columns(train, exclude) if c in test.columns]
     if not cols:
         return []
-    a = train.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in cols]).collect()[0]
-    b = test.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in cols]).collect()[0]
+    a = train.agg(*[F.stddev_samp(exprs.number(c)).alias(c) for c in cols]).collect()[0]
+    b = test.agg(*[F.stddev_samp(exprs.number(c)).alias(c) for c in cols]).collect()[0]
     return [c for c in cols if (a[c] or 0) > 0 and (b[c] or 0) > 0]

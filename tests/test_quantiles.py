@@ -38,3 +38,19 @@ def test_constant_empty_and_nan(spark):
 def test_interpolation_example(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (10.0,)], "x double")
     assert exact_quantiles(df, ["x"], [0.25, 0.75])["x"] == [1.75, 5.5]
+
+
+def test_infinities_wide_ranges_and_nan(spark):
+    """+-Infinity take the outer ranks; a range from 5e-324 to 1e308 resolves in a few passes."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(size=3000) * 10.0 ** rng.integers(-300, 300, 3000), [5e-324, -5e-324, 1.7e308, -1.7e308, 0.0],
+                        [np.inf] * 40, [-np.inf] * 25, [np.nan] * 30])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = exact_quantiles(df, ["x"], [0.0, 0.003, 0.1, 0.25, 0.5, 0.9, 1.0], buckets=64, collect_rows=20, driver_rows=400)["x"]
+    s = np.sort(x[~np.isnan(x)])
+    for p, g in zip([0.0, 0.003, 0.1, 0.25, 0.5, 0.9, 1.0], got):
+        pos = p * (len(s) - 1)
+        lo, hi = s[int(np.floor(pos))], s[min(int(np.floor(pos)) + 1, len(s) - 1)]
+        assert lo <= g <= hi
+    only = spark.createDataFrame([(float("inf"),), (float("nan"),), (None,)], "x double")
+    assert exact_quantiles(only, ["x"], [0.5])["x"] == [float("inf")]
