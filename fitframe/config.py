@@ -137,6 +137,7 @@ MINMAX_SCALE_COLS: list = []
 SKEW_THRESHOLD = 1.0
 CLUSTER_FEATURES = ["total_visits", "total_time_spent_on_website", "time_per_visit"]
 CLUSTER_K = 4
+CLUSTER_MAX_ITER = 300
 SEED = 42
 
 # ---- fixed values: collinearity and selection -------------------------------

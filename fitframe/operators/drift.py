@@ -41,11 +41,12 @@ def _tagged_counts(ref: DataFrame, cur: DataFrame, cols: list[str], cast: str) -
 def _counts_both(ref: DataFrame, cur: DataFrame, num: list[str], cat: list[str]) -> DataFrame:
     """``(column, vd, vs, n_ref, n_cur)``: per-value counts of both sides for
     numeric (``vd``) and categorical (``vs``) columns from one scan per side
-    and one shuffle, NULLs left out."""
+    and one shuffle, NULL and NaN left out."""
     def cell(c, numeric):
         vd = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
         vs = F.lit(None).cast("string") if numeric else F.col(c).cast("string")
-        return F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("c"), vd.alias("vd"), vs.alias("vs")))
+        present = exprs.number(c).isNotNull() if numeric else F.col(c).isNotNull()
+        return F.when(present, F.struct(F.lit(c).alias("c"), vd.alias("vd"), vs.alias("vs")))
 
     cells = [cell(c, True) for c in num] + [cell(c, False) for c in cat]
 
@@ -65,11 +66,11 @@ def psi_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = 10,
     parts = []
     for c in cols:
         cuts = sorted(set(v for v in q[c] if v is not None))
-        x = F.col(c).cast("double")
+        x = exprs.number(c)
         b = F.lit(0)
         for e in cuts:                      # bin = number of cuts below x
             b = b + (x > F.lit(float(e))).cast("int")
-        parts.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("c"), b.alias("b"))))
+        parts.append(F.when(x.isNotNull(), F.struct(F.lit(c).alias("c"), b.alias("b"))))
 
     def long(df, side):
         return df.select(F.lit(side).alias("side"), F.explode(F.array(*parts)).alias("s")).where(
@@ -81,9 +82,15 @@ def psi_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = 10,
     return _psi_from_counts(counts, digits)
 
 
-def _psi_from_counts(counts: DataFrame, digits: int) -> DataFrame:
+def _totals(counts: DataFrame) -> DataFrame:
+    """Values per column and side, of columns with values on both sides: a
+    distance to an empty side is not defined, such columns have no score."""
     tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    j = counts.join(F.broadcast(tot), "column")
+    return tot.where("t_ref > 0 and t_cur > 0")
+
+
+def _psi_from_counts(counts: DataFrame, digits: int) -> DataFrame:
+    j = counts.join(F.broadcast(_totals(counts)), "column")
     e = F.greatest(F.col("n_ref") / F.col("t_ref"), F.lit(EPS))
     a = F.greatest(F.col("n_cur") / F.col("t_cur"), F.lit(EPS))
     return j.groupBy("column").agg(F.round(F.sum((a - e) * F.log(a / e)), digits).alias("psi"))
@@ -99,8 +106,7 @@ def js_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int
                    counts: DataFrame | None = None) -> DataFrame:
     """Jensen-Shannon distance (sqrt of the divergence, natural log)."""
     counts = _tagged_counts(ref, cur, cols, "string") if counts is None else counts
-    tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    j = counts.join(F.broadcast(tot), "column")
+    j = counts.join(F.broadcast(_totals(counts)), "column")
     p = F.col("n_ref") / F.col("t_ref")
     q = F.col("n_cur") / F.col("t_cur")
     m = (p + q) / 2
@@ -117,8 +123,7 @@ def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6,
     sized = sized or materialize_state(_tagged_counts(ref, cur, cols, "double"))
     counts = sized.df
     cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], n_rows=sized.rows)
-    tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    j = cum.join(F.broadcast(tot), "column")
+    j = cum.join(F.broadcast(_totals(counts)), "column")
     d = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur"))
     return j.groupBy("column").agg(F.round(F.max(d), digits).alias("ks"))
 
@@ -132,17 +137,16 @@ def wasserstein_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], normed:
     counts = sized.df
     cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], with_next_key=True,
                          n_rows=sized.rows)
-    tot = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    j = cum.join(F.broadcast(tot), "column")
+    j = cum.join(F.broadcast(_totals(counts)), "column")
     step = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur")) * \
         (F.col("next_key") - F.col("value"))
     w = j.groupBy("column").agg(F.sum(F.coalesce(step, F.lit(0.0))).alias("w"))
     if not normed:
         return w.select("column", F.round("w", digits).alias("wasserstein"))
-    mean = counts.groupBy("column").agg((F.sum(F.col("n_ref") * F.col("value")) / F.sum("n_ref")).alias("_m"))
+    mean = counts.groupBy("column").agg(F.try_divide(F.sum(F.col("n_ref") * F.col("value")), F.sum("n_ref")).alias("_m"))
     sd = (counts.join(F.broadcast(mean), "column")
-          .groupBy("column").agg(F.sqrt(F.sum(F.col("n_ref") * (F.col("value") - F.col("_m"))
-                                              * (F.col("value") - F.col("_m"))) / F.sum("n_ref")).alias("_sd")))
+          .groupBy("column").agg(F.sqrt(F.try_divide(F.sum(F.col("n_ref") * (F.col("value") - F.col("_m"))
+                                                           * (F.col("value") - F.col("_m"))), F.sum("n_ref"))).alias("_sd")))
     return (w.join(F.broadcast(sd), "column")
             .select("column", F.round(F.when(F.col("_sd") == 0, F.lit(None))
                                       .otherwise(F.col("w") / F.col("_sd")), digits).alias("wasserstein")))
@@ -150,12 +154,17 @@ def wasserstein_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], normed:
 
 def drift_scores(ref: DataFrame, cur: DataFrame, numeric_method: str = "wasserstein",
                  categorical_method: str = "js", columns: Iterable[str] | None = None) -> DataFrame:
-    """Q2: one score per common column ``(column, kind, method, score)``."""
+    """Q2: one row per common column ``(column, kind, method, score, status)``.
+
+    NULL and NaN cells are left out.  ``status`` is ``ok``, or ``empty`` where
+    neither side has a value, or ``one_side_empty``; the score of both is NULL.
+    No common column gives no row."""
     cols = list(columns) if columns is not None else common_columns(ref, cur)
     num = [c for c in exprs.numeric_columns(ref) if c in cols]
     cat = [c for c in cols if c not in set(num)]
+    spark = ref.sparkSession
     # one scan per side and one shuffle give the per-value counts of every column
-    both = materialize_state(_counts_both(ref, cur, num if numeric_method != "psi" else [], cat))
+    both = materialize_state(_counts_both(ref, cur, num, cat)) if cols else None
     parts = []
     if num:
         if numeric_method == "psi":
@@ -163,31 +172,41 @@ def drift_scores(ref: DataFrame, cur: DataFrame, numeric_method: str = "wasserst
         else:
             fn = {"wasserstein": wasserstein_numeric, "ks": ks_numeric}[numeric_method]
             nsized = SizedFrame(both.df.where(F.col("vd").isNotNull()).select(
-                "column", F.col("vd").alias("value"), "n_ref", "n_cur"), both.rows, both.local)
+                "column", F.col("vd").alias("value"), "n_ref", "n_cur"), both.rows, both.local, both.size)
             s = fn(ref, cur, num, sized=nsized)
-        parts.append(s.select("column", F.lit("num").alias("kind"), F.lit(numeric_method).alias("method"),
-                              F.col(s.columns[1]).alias("score")))
+        parts.append(s.select("column", F.col(s.columns[1]).alias("score")))
     if cat:
         fn = {"js": js_categorical, "psi": psi_categorical}[categorical_method]
         ccounts = both.df.where(F.col("vs").isNotNull()).select("column", F.col("vs").alias("value"),
                                                                 "n_ref", "n_cur")
         s = fn(ref, cur, cat, counts=ccounts)
-        parts.append(s.select("column", F.lit("cat").alias("kind"), F.lit(categorical_method).alias("method"),
-                              F.col(s.columns[1]).alias("score")))
-    out = parts[0]
+        parts.append(s.select("column", F.col(s.columns[1]).alias("score")))
+    wanted = spark.createDataFrame([(c, "num" if c in set(num) else "cat", numeric_method if c in set(num) else categorical_method)
+                                    for c in cols], "column string, kind string, method string")
+    if not parts:
+        return wanted.select("*", F.lit(None).cast("double").alias("score"), F.lit("empty").alias("status"))
+    scores = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(sanitize_metric_name("column").alias("column"), "kind", "method", "score")
+        scores = scores.unionByName(p)
+    filled = both.df.groupBy("column").agg(F.max(F.col("n_ref") > 0).alias("r"), F.max(F.col("n_cur") > 0).alias("c"))
+    status = (F.when(F.col("r") & F.col("c"), F.lit("ok")).when(F.col("r") | F.col("c"), F.lit("one_side_empty"))
+              .otherwise(F.lit("empty")))
+    return (wanted.join(F.broadcast(filled), "column", "left").join(scores, "column", "left")
+            .select(sanitize_metric_name("column").alias("column"), "kind", "method", "score", status.alias("status")))
 
 
 def drift_summary(scores: DataFrame, column_threshold: float = config.DRIFT_COLUMN_THRESHOLD,
                   share_threshold: float = config.DRIFT_SHARE_THRESHOLD) -> DataFrame:
-    """Q3 + Q6: drifted column count, share, and the dataset gate."""
-    drifted = (F.col("score") >= F.lit(column_threshold)).cast("long")
-    agg = scores.agg(F.sum(drifted).alias("n_drifted"), F.count(F.lit(1)).alias("n_columns"))
-    share = F.col("n_drifted") / F.col("n_columns")
+    """Q3 + Q6: drifted column count, share, and the dataset gate.  A column
+    that lost all its values on one side has drifted; one without a score
+    otherwise has not.  No column: share NULL, no drift."""
+    drifted = F.coalesce(exprs.nan_to_null("score") >= F.lit(column_threshold), F.lit(False))
+    if "status" in scores.columns:
+        drifted = drifted | (F.col("status") == "one_side_empty")
+    agg = scores.agg(F.coalesce(F.sum(drifted.cast("long")), F.lit(0)).alias("n_drifted"), F.count(F.lit(1)).alias("n_columns"))
+    share = F.try_divide(F.col("n_drifted"), F.col("n_columns"))
     return agg.select("n_drifted", "n_columns", F.round(share, 6).alias("share"),
-                      (share >= F.lit(share_threshold)).alias("drift_detected"))
+                      F.coalesce(share >= F.lit(share_threshold), F.lit(False)).alias("drift_detected"))
 
 
 def side_summary(ref: DataFrame, cur: DataFrame) -> DataFrame:
@@ -198,6 +217,19 @@ def side_summary(ref: DataFrame, cur: DataFrame) -> DataFrame:
                                     F.lit(len(cur.columns)).alias("n_columns"))))
 
 
+def side_profile(ref: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:
+    """Q4: missing report, numeric and categorical describe of both sides,
+    each with a ``side`` column."""
+    from . import profile
+    sides = [("reference", ref), ("current", cur)]
+
+    def stacked(fn):
+        parts = [fn(df).withColumn("side", F.lit(name)) for name, df in sides]
+        return parts[0].unionByName(parts[1])
+    return {"missing": stacked(profile.missing_report), "numeric": stacked(profile.describe_numeric),
+            "categorical": stacked(profile.describe_categorical)}
+
+
 def monitor_drift(ref: DataFrame, cur: DataFrame, **kw) -> bool:
     """Q6: True when the share of drifted columns reaches the threshold."""
     return bool(drift_summary(drift_scores(ref, cur, **kw)).first()["drift_detected"])

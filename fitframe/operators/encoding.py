@@ -1,10 +1,12 @@
 """Encoding (E1-E6).
 
 One-hot: the sorted distinct values of each column are learned in one
-``groupBy(column, value)`` job whose size is checked (the number of output
-columns must stay bounded); the first category is dropped, unknown values get
-all zeros, and the output is a ``select`` of ``CASE`` expressions.  ML's
-``OneHotEncoder`` drops the *last* category, so it is not used for this form.
+``groupBy(column, value)`` job; the first category is dropped, unknown values
+get all zeros, and the output is a ``select`` of ``CASE`` expressions, one
+column per category.  A column of very many categories has the sparse form
+instead: ``fit_one_hot_index`` numbers the sorted categories in a state table,
+whatever their number, and the row carries the index of its one.  ML's
+``OneHotEncoder`` drops the *last* category, so it is not used for either.
 
 Target encoding: ``groupBy(value).agg(count, avg(y))`` blended with the prior,
 ``lambda = 1 / (1 + exp(-(n - min_samples_leaf) / smoothing))``; applied with a
@@ -20,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.sizing import SizedFrame, materialize_state
+from ..functions import exprs
+from ..functions.ordered import running_totals
+from ..functions.sizing import SizedFrame, materialize_state, measure
 from ..state import Fitted, register
 
-MAX_CATEGORIES = 1000
-
 
 @register
 @dataclass
@@ -76,34 +78,64 @@ class OneHotState(Fitted):
         return out
 
 
-def distinct_values(df: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
-    """Sorted distinct values per column (NULL last when present).
+def _distinct(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s")).select("s.c", "s.v").distinct()
+
 
-    Raises when a column has more than ``max_categories`` values: one output
-    column per value would not be a bounded plan.
-    """
-    if not cols:
-        return {}
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s"))
-    dist = stacked.select("s.c", "s.v").distinct()
-    limit = max_categories * len(cols) + 1
-    rows = dist.limit(limit).collect()
+def distinct_values(df: DataFrame, cols: list[str]) -> dict[str, list]:
+    """Sorted distinct values per column (NULL last when present).  Each
+    becomes an output column, so this suits columns whose categories can be
+    columns; ``fit_one_hot_index`` has no such limit."""
     out: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
+    for r in _distinct(df, cols).collect() if cols else []:
         out[r["c"]].append(r["v"])
-    for c, vals in out.items():
-        if len(vals) > max_categories or len(rows) >= limit:
-            raise ValueError(f"column {c} has more than {max_categories} categories")
-        non_null = sorted(v for v in vals if v is not None)
-        out[c] = non_null + ([None] if any(v is None for v in vals) else [])
-    return out
+    return {c: sorted(v for v in vals if v is not None) + [None] * (None in vals) for c, vals in out.items()}
+
+
+@register
+@dataclass
+class OneHotIndexState(Fitted):
+    """E1, sparse: ``<c>_index`` is the place of the row's category among the
+    columns that the wide form would have (from 0; NULL where all would be 0),
+    ``<c>_size`` their number."""
+    columns: list
+    sizes: dict                 # column -> number of one-hot columns
+    table: object               # SizedFrame (c, v, idx), the first category left out
+
+    @classmethod
+    def _from_state(cls, kw):
+        return cls(kw["columns"], kw["sizes"], measure(kw["table"]))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = df
+        for c in self.columns:
+            if c in df.columns:
+                side = self.table.df.where(F.col("c") == c).select(F.col("v").alias(f"_iv_{c}"), F.col("idx").alias(f"{c}_index"))
+                side = F.broadcast(side) if self.table.small else side
+                out = (out.join(side, F.col(c).cast("string").eqNullSafe(F.col(f"_iv_{c}")), "left").drop(f"_iv_{c}")
+                       .withColumn(f"{c}_size", F.lit(self.sizes.get(c, 0)).cast("long")))
+        return out.drop(*self.columns)
+
+
+def fit_one_hot_index(df: DataFrame, columns: Iterable[str], drop_first: bool = True) -> OneHotIndexState:
+    """Number the sorted categories of each column (NULL last) in Spark: a
+    running count by (column, value), cut into ranges where there are many."""
+    cols = [c for c in columns if c in df.columns]
+    values = materialize_state(_distinct(df, cols).withColumn("one", F.lit(1)))
+    known = running_totals(values.df.where("v is not null"), "v", ["one"], by=["c"], n_rows=values.rows)
+    sizes = {r["c"]: r["n"] for r in values.df.groupBy("c").agg(F.count("*").alias("n")).collect()}
+    last = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(int(sizes.get(c, 0))))])
+    every = known.select("c", "v", F.col("cum_one").alias("place")).unionByName(
+        values.df.where("v is null").select("c", "v", last[F.col("c")].cast("long").alias("place")))
+    first = 1 if drop_first else 0
+    table = materialize_state(every.where(F.col("place") > first).select("c", "v", (F.col("place") - 1 - first).cast("long").alias("idx")))
+    return OneHotIndexState(cols, {c: max(int(sizes.get(c, 0)) - first, 0) for c in cols}, table)
 
 
 def fit_one_hot(df: DataFrame, columns: Iterable[str] | None = None,
                 ordinal: Mapping | None = None, drop_first: bool = True,
-                naming: str = "plain", max_categories: int = MAX_CATEGORIES,
-                unknown_ordinal: str = "error") -> OneHotState:
+                naming: str = "plain", unknown_ordinal: str = "error") -> OneHotState:
     """Learn categories of nominal columns; ordinal columns keep the
     declared order."""
     ordinal = dict(config.ORDINAL_ENCODE if ordinal is None else ordinal)
@@ -112,8 +144,7 @@ def fit_one_hot(df: DataFrame, columns: Iterable[str] | None = None,
     # a column the typing step already mapped to numbers is already ordinal
     ords = {c: list(v) for c, v in ordinal.items()
             if c in df.columns and df.schema[c].dataType.simpleString() == "string"}
-    return OneHotState(distinct_values(df, onehot, max_categories), ords, drop_first, naming,
-                       unknown_ordinal)
+    return OneHotState(distinct_values(df, onehot), ords, drop_first, naming, unknown_ordinal)
 
 
 def to_numeric(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
@@ -178,7 +209,7 @@ def load_target_encoder(spark, path: str) -> TargetEncodeState:
     tables = {}
     for c in rows["columns"]:
         t = spark.read.parquet(os.path.join(path, f"table_{c}"))
-        tables[c] = SizedFrame(t, t.count(), False)
+        tables[c] = measure(t)
     return TargetEncodeState(rows["columns"], rows["prior"], tables, rows["smoothing"],
                              rows["min_samples_leaf"], rows["suffix"])
 
@@ -189,15 +220,17 @@ def fit_target_encoder(df: DataFrame, columns: Iterable[str], target: str,
                        suffix: str = "") -> TargetEncodeState:
     """Smoothed mean encoding; NULL is a category of its own."""
     cols = [c for c in columns if c in df.columns]
-    y = F.col(target).cast("double")
-    prior = df.agg(F.avg(y)).collect()[0][0]
-    tables = {}
-    for c in cols:
-        stats = df.groupBy(F.col(c).cast("string").alias("value")).agg(
-            F.count(F.lit(1)).alias("n"), F.avg(y).alias("m"))
-        lam = 1.0 / (1.0 + F.exp(-(F.col("n") - F.lit(float(min_samples_leaf))) / F.lit(float(smoothing))))
-        enc = stats.select("value", (F.lit(prior) * (1 - lam) + F.col("m") * lam).alias("enc"))
-        tables[c] = materialize_state(enc)
+    y = exprs.number(target)
+    # one stacked pass for all columns; the prior is the total of any of them
+    stacked = df.select(y.alias("y"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("value")) for c in cols])).alias("s"))
+    stats = materialize_state(stacked.groupBy("s.c", "s.value").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("y").alias("m"), F.sum("y").alias("sy"), F.count("y").alias("ny")))
+    total = stats.df.where(F.col("c") == cols[0]).agg(F.sum("sy"), F.sum("ny")).first() if cols else (None, 0)
+    prior = total[0] / total[1] if total[1] else None
+    lam = 1.0 / (1.0 + F.exp(-(F.col("n") - F.lit(float(min_samples_leaf))) / F.lit(float(smoothing))))
+    enc = stats.df.select("c", "value", (F.lit(prior) * (1 - lam) + F.col("m") * lam).alias("enc"))
+    tables = {c: SizedFrame(enc.where(F.col("c") == c).select("value", "enc"), stats.rows, stats.local, stats.size) for c in cols}
     return TargetEncodeState(cols, prior, tables, smoothing, min_samples_leaf, suffix)
 
 

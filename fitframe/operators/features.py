@@ -1,8 +1,9 @@
 """Domain features.
 
 F1 learns, per configured column, the values whose text before the first
-``.`` parses as an integer; every other step is a pure column expression, so
-the whole set is one ``select``.
+``.`` parses as an integer; a value not seen at fit gives NULL.  A list that
+fits a hash set is one; a longer one is a state table joined on the value,
+with the same result.  Every other step is a pure column expression.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs
+from ..functions.sizing import SizedFrame, materialize_state, measure
 from ..state import Fitted, register
 
 ISIN_MAX = 20_000
+TABLE = "*"      # stands for a list that is held as a table
 
 
 def prefix_int(c: Column | str) -> Column:
@@ -57,16 +60,30 @@ class FeatureState(Fitted):
     both_flags: list = field(default_factory=lambda: [["no_contact_allowed", "do_not_email", "do_not_call"]])
     collapse: dict = field(default_factory=lambda: {"lead_source_channel": list(config.LEAD_SOURCE_DUMMIES)})
     equals: list = field(default_factory=lambda: [["is_from_india", "country", "India"]])
+    ordinal_table: object = None         # SizedFrame (c, v) of the lists marked TABLE
+
+    @classmethod
+    def _from_state(cls, kw):
+        if isinstance(kw.get("ordinal_table"), DataFrame):
+            kw = {**kw, "ordinal_table": measure(kw["ordinal_table"])}
+        return cls(**kw)
 
     def transform(self, df: DataFrame) -> DataFrame:
         have = set(df.columns)
         drop: set[str] = set()
         extra: dict[str, Column] = {}
+        marks = []
         for c, vals in self.ordinal_values.items():
             if c in have and vals:
-                # "*": more parseable values than fit in a hash set; the fitted
-                # map is then the prefix rule itself (unseen values parse too)
-                seen = F.lit(True) if vals == "*" else F.col(c).cast("string").isin(vals)
+                if vals == TABLE:
+                    sized: SizedFrame = self.ordinal_table
+                    side = sized.df.where(F.col("c") == c).select(F.col("v").alias(f"_ov_{c}"), F.lit(True).alias(f"_of_{c}"))
+                    side = F.broadcast(side) if sized.small else side
+                    df = df.join(side, F.col(c).cast("string") == F.col(f"_ov_{c}"), "left")
+                    marks += [f"_ov_{c}", f"_of_{c}"]
+                    seen = F.col(f"_of_{c}")
+                else:
+                    seen = F.col(c).cast("string").isin(vals)
                 extra[f"{c}_ordinal"] = F.when(seen, prefix_int(c)).cast("double")
                 drop.add(c)
         for name, a, b in self.ratios:
@@ -82,29 +99,29 @@ class FeatureState(Fitted):
         for name, c, v in self.equals:
             if c in have:
                 extra[name] = equals_flag(c, v)
-        keep = [c for c in df.columns if c not in drop and c not in extra]
+        keep = [c for c in df.columns if c not in drop and c not in extra and c not in marks]
         return df.select(*keep, *[e.alias(n) for n, e in extra.items()])
 
 
 def fit_features(df: DataFrame, ordinal_cols: Iterable[str] = config.PREFIX_ORDINAL_COLS,
-                 **kw) -> FeatureState:
+                 isin_max: int = ISIN_MAX, **kw) -> FeatureState:
     """F1 fit: distinct values of each column whose prefix parses (one job)."""
     cols = [c for c in ordinal_cols if c in df.columns]
     values: dict = {c: [] for c in cols}
+    table = None
     if cols:
         st = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s")
         ).select("s.c", "s.v").where(F.col("v").isNotNull()).distinct()
-        ok = st.where(prefix_int("v").isNotNull())
-        counts = {r["c"]: r["n"] for r in ok.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-        small = [c for c in cols if 0 < counts.get(c, 0) <= ISIN_MAX]
-        if small:
-            for r in ok.where(F.col("c").isin(small)).collect():
+        sized = materialize_state(st.where(prefix_int("v").isNotNull()))
+        if sized.rows <= isin_max and sized.small:
+            for r in sized.df.collect():
                 values[r["c"]].append(r["v"])
-        for c in cols:
-            if counts.get(c, 0) > ISIN_MAX:
-                values[c] = "*"
-    return FeatureState({c: (v if v == "*" else sorted(v)) for c, v in values.items() if v}, **kw)
+        else:
+            table = sized
+            for r in sized.df.select("c").distinct().collect():
+                values[r["c"]] = TABLE
+    return FeatureState({c: (v if v == TABLE else sorted(v)) for c, v in values.items() if v}, ordinal_table=table, **kw)
 
 
 def full_feature_engineering(df: DataFrame, target: str, importance: bool = True, n_repeats: int = 10,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.sizing import SizedFrame, materialize_state
+from ..functions.sizing import SizedFrame, materialize_state, measure
 from ..state import Fitted, register
 
 ISIN_MAX = 20_000
@@ -27,18 +27,15 @@ ISIN_MAX = 20_000
 @dataclass
 class RareState(Fitted):
     rules: dict          # column -> {"threshold": t, "new_name": s}
-    rare: object         # SizedFrame / DataFrame: (c string, v string) ; v NULL = the NULL value
-    rows: int = 0
+    rare: object         # SizedFrame: (c string, v string) ; v NULL = the NULL value
 
     @classmethod
     def _from_state(cls, kw):
-        df = kw["rare"]
-        n = df.count()
-        return cls(kw["rules"], SizedFrame(df, n, True), kw.get("rows", 0))
+        return cls(kw["rules"], measure(kw["rare"]))
 
     def rare_lists(self) -> dict[str, list] | None:
         sf: SizedFrame = self.rare
-        if sf.rows > ISIN_MAX:
+        if sf.rows > ISIN_MAX or not sf.small:
             return None
         out: dict[str, list] = {c: [] for c in self.rules}
         for r in sf.df.collect():
@@ -69,7 +66,7 @@ class RareState(Fitted):
                 continue
             side = sf.df.where(F.col("c") == c).select(
                 F.col("v").alias(f"_rv_{c}"), F.lit(True).alias(f"_rf_{c}"))
-            side = F.broadcast(side) if sf.rows <= 1_000_000 else side
+            side = F.broadcast(side) if sf.small else side
             out = out.join(side, F.col(c).cast("string").eqNullSafe(F.col(f"_rv_{c}")), "left")
             out = out.withColumn(
                 c, F.when(F.col(f"_rf_{c}"), F.lit(rule["new_name"])).otherwise(F.col(c).cast("string"))
@@ -92,7 +89,7 @@ def fit_rare(df: DataFrame, rules: Mapping | None = None) -> RareState:
     if not rules:
         spark = df.sparkSession
         empty = spark.createDataFrame([], "c string, v string")
-        return RareState(rules, SizedFrame(empty, 0, True), 0)
+        return RareState(rules, SizedFrame(empty, 0, True, 0))
     counts = label_shares(df, list(rules))
     # every column sees every row, so the per-column total is the row count;
     # the total comes from the same counts (one job, the shuffle is reused)
@@ -100,7 +97,7 @@ def fit_rare(df: DataFrame, rules: Mapping | None = None) -> RareState:
     thr = F.create_map(*[x for c, r in rules.items() for x in (F.lit(c), F.lit(float(r["threshold"])))])
     rare = (counts.join(F.broadcast(totals), "c")
             .where((F.col("cnt") / F.col("tot")) < thr[F.col("c")]).select("c", "v"))
-    return RareState(rules, materialize_state(rare), 0)
+    return RareState(rules, materialize_state(rare))
 
 
 def apply_rare_label_encoding(df: DataFrame, rules: Mapping | None = None) -> DataFrame:

@@ -1,16 +1,20 @@
 """Feature selection and importance.
 
 Importances come from Spark ML models (``featureImportances``) or from exact
-aggregations; the permutation test shuffles one column *within* each
-partition with a seeded Arrow-batched ``mapInPandas`` (the row order inside a
-partition is what a permutation breaks; no global sort, no driver loop over
-rows), then scores with the exact distributed AUC.
+aggregations.  The permutation test permutes a column over the whole table:
+rows are ranked by a salted hash of their key, and a row takes the value of
+the row some seeded number of ranks further on.  That is a join of ranks, the
+same for any partitioning; the repeats of a feature are scored as one job with
+the exact distributed AUC.
 """
 
 from __future__ import annotations
 
+import random
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,7 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from .evaluate import auc_exact
+from ..functions import exprs
+from ..functions.ordered import running_totals
+from ..functions.sizing import materialize_state
+from ..session import ensure_checkpoint_dir
+from .evaluate import auc_by, auc_exact
 from .split import fold_column
 
 
@@ -40,7 +48,7 @@ def select_top_k(df: DataFrame, importance: DataFrame, k: int = config.TOP_K_IMP
 def corr_importance(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """|Pearson correlation| with the target, all features in one aggregation."""
     y = F.col(target).cast("double")
-    row = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(f"r{i}") for i, c in enumerate(features)]).collect()[0]
+    row = df.agg(*[F.corr(exprs.number(c), y).alias(f"r{i}") for i, c in enumerate(features)]).collect()[0]
     spark = df.sparkSession
     return spark.createDataFrame([(c, abs(row[f"r{i}"]) if row[f"r{i}"] is not None else 0.0)
                                   for i, c in enumerate(features)], "feature string, importance double")
@@ -83,39 +91,61 @@ def linear_attribution(df: DataFrame, target: str, features: list[str]) -> DataF
     return spark.createDataFrame([(c, float(row[c] or 0.0)) for c in features], "feature string, importance double")
 
 
-def _shuffle_within_partitions(df: DataFrame, col: str, seed: int) -> DataFrame:
-    schema = df.schema
+def hash_ranked(df: DataFrame, keys: Iterable[str], seed: int = config.SEED, rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """``df`` with ``_rank``, 1 to n in the order of a salted hash of ``keys``,
+    which identify a row.  The hashes are counted in key ranges, never in one
+    task; rows that share a key share a rank, and then the next rank is
+    missing."""
+    order = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys],
+                              F.lit("rank"), F.lit(str(seed))).cast("binary"))
+    counts = materialize_state(df.groupBy(order.alias("_o")).agg(F.count(F.lit(1)).alias("_n")))
+    ranks = running_totals(counts.df, "_o", ["_n"], rows_per_bucket=rows_per_bucket, n_rows=counts.rows)
+    return df.withColumn("_o", order).join(ranks.select("_o", F.col("cum__n").alias("_rank")), "_o").drop("_o")
+
 
-    def fn(batches):
-        from pyspark import TaskContext
-        ctx = TaskContext.get()
-        rng = np.random.default_rng([seed, ctx.partitionId() if ctx else 0])
-        for pdf in batches:
-            pdf = pdf.copy()
-            pdf[col] = pd.Series(rng.permutation(pdf[col].to_numpy()), index=pdf.index)
-            yield pdf
-    return df.mapInPandas(fn, schema)
+def permuted(ranked: DataFrame, col: str, n: int, shift: int) -> DataFrame:
+    """``ranked`` with the values of ``col`` moved by ``shift`` of ``n`` ranks:
+    a permutation of the column when ranks are unique."""
+    source = ranked.select(F.col(col).alias("_v"), ((F.col("_rank") - 1 + F.lit(n - shift)) % F.lit(n) + 1).alias("_rank"))
+    return ranked.drop(col).join(source, "_rank").withColumnRenamed("_v", col)
 
 
 def permutation_importance(df: DataFrame, target: str, features: list[str], n_repeats: int = 10,
-                           seed: int = config.SEED, model=None) -> DataFrame:
-    """AUC drop when one feature is shuffled, mean and population std over
-    ``n_repeats`` seeded shuffles."""
+                           seed: int = config.SEED, model=None, keys: Iterable[str] | None = None,
+                           n_trees: int = 100) -> DataFrame:
+    """AUC drop when one feature is permuted over the whole table, mean
+    and population std over ``n_repeats`` seeded permutations.  ``keys``
+    identify a row; without them, rows are numbered once into the shared
+    folder."""
     spark = df.sparkSession
+    if keys is None:
+        df, keys = df.withColumn("_row", F.monotonically_increasing_id()), ["_row"]
+    keys = list(keys)
+    ensure_checkpoint_dir(spark)
     clean = df.dropna(how="any", subset=[*features, target]).select(
-        *features, F.col(target).cast("double").alias("label"))
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *features,
+        F.col(target).cast("double").alias("label")).checkpoint(eager=True)
     va = VectorAssembler(inputCols=features, outputCol="features")
     if model is None:
-        model = GBTClassifier(maxIter=20, seed=seed, labelCol="label").fit(va.transform(clean))
-
-    def score(d):
-        s = model.transform(va.transform(d)).select("label", vector_to_array("probability")[1].alias("p"))
-        return auc_exact(s, "label", "p").first()["auc"]
-    base = score(clean)
+        model = GBTClassifier(maxIter=n_trees, seed=seed, labelCol="label").fit(va.transform(clean))
+    ranked = hash_ranked(clean, [f"_key{i}" for i in range(len(keys))], seed).checkpoint(eager=True)
+    n = ranked.count()
+
+    def scored(frame, rep):
+        return model.transform(va.transform(frame)).select(
+            F.lit(rep).alias("rep"), "label", vector_to_array("probability")[1].alias("p"))
+    base = auc_exact(scored(clean, 0), "label", "p").first()["auc"]
     rows = []
     for j, c in enumerate(features):
-        drops = [base - score(_shuffle_within_partitions(clean, c, seed + 1000 * j + r)) for r in range(n_repeats)]
-        rows.append((c, float(np.mean(drops)), float(np.std(drops))))
+        rng = random.Random(f"{seed}-{j}")
+        shifts = [rng.randrange(1, n) if n > 1 else 0 for _ in range(n_repeats)]
+        stacked = None
+        for r, s in enumerate(shifts):
+            part = scored(permuted(ranked, c, n, s), r)
+            stacked = part if stacked is None else stacked.unionByName(part)
+        aucs = [r["auc"] for r in auc_by(stacked, ["rep"], "label", "p").collect()] if base is not None else []
+        drops = [base - a for a in aucs if a is not None]
+        rows.append((c, float(np.mean(drops)) if drops else None, float(np.std(drops)) if drops else None))
     return spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
 
 
@@ -128,27 +158,32 @@ def rfe_cv(df: DataFrame, target: str, features: list[str], keys: list[str], fol
         *keys, *features, F.col(target).cast("double").alias("label"))
     pos = base.agg(F.avg("label")).first()[0] or 0.5
     w = F.when(F.col("label") == 1, F.lit(0.5 / pos)).otherwise(F.lit(0.5 / (1 - pos)))
-    data = fold_column(base.withColumn("_w", w), keys, folds, seed).persist()
+    ensure_checkpoint_dir(spark)
+    data = fold_column(base.withColumn("_w", w), keys, folds, "label", seed).checkpoint(eager=True)
     live = list(features)
     history = []
     best, best_auc = list(live), float("-inf")
     while live:
-        va = VectorAssembler(inputCols=live, outputCol="features")
-        vd = va.transform(data)
-        aucs = []
-        for f in range(folds):
+        vd = VectorAssembler(inputCols=live, outputCol="features").transform(data)
+
+        def fold_scores(f):
             m = LogisticRegression(maxIter=100, weightCol="_w", labelCol="label").fit(vd.where(F.col("fold") != f))
-            s = m.transform(vd.where(F.col("fold") == f)).select(
-                "label", vector_to_array("probability")[1].alias("p"))
-            aucs.append(auc_exact(s, "label", "p").first()["auc"] or 0.0)
-        mean_auc = float(np.mean(aucs))
-        history.append((len(live), ",".join(live), mean_auc))
+            return m.transform(vd.where(F.col("fold") == f)).select(
+                F.lit(f).alias("fold"), "label", vector_to_array("probability")[1].alias("p"))
+        # the folds are fitted as concurrent jobs and scored as one
+        with ThreadPoolExecutor(max_workers=min(folds, 5)) as pool:
+            parts = list(pool.map(fold_scores, range(folds)))
+        stacked = parts[0]
+        for p in parts[1:]:
+            stacked = stacked.unionByName(p)
+        # a fold with one class has no AUC and does not count
+        aucs = [r["auc"] for r in auc_by(stacked, ["fold"], "label", "p").collect() if r["auc"] is not None]
+        mean_auc = float(np.mean(aucs)) if aucs else float("nan")
+        history.append((len(live), ",".join(live), mean_auc if aucs else None))
         if mean_auc > best_auc:
             best_auc, best = mean_auc, list(live)
         if len(live) == 1:
             break
         full = LogisticRegression(maxIter=100, weightCol="_w", labelCol="label").fit(vd)
-        coef = np.abs(full.coefficients.toArray())
-        live.pop(int(np.argmin(coef)))
-    data.unpersist()
+        live.pop(int(np.argmin(np.abs(full.coefficients.toArray()))))
     return best, spark.createDataFrame(history, "n_features int, features string, cv_auc double")

@@ -3,8 +3,8 @@
 The three third-party boosters of the original map to ``GBTClassifier``
 settings (they are single-machine libraries).  The adaptive sampler is
 replaced by seeded random draws inside the declared ranges, evaluated with
-``CrossValidator`` on a hash fold column (so folds are stable and stratified
-by construction), in parallel.
+``CrossValidator`` on a stratified fold column cut from a hash salted apart
+from the split's, in parallel.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..session import ensure_checkpoint_dir
 from .evaluate import auc_exact, confusion_metrics
 from .split import fold_column
 
@@ -70,7 +71,7 @@ def assemble(df: DataFrame, features: list[str], label: str) -> DataFrame:
 @dataclass
 class TrainResult:
     results: DataFrame        # model, accuracy, precision, recall, roc_auc
-    trials: DataFrame         # model, trial, params, cv_auc
+    trials: DataFrame         # model, trial, params, cv_auc, error
     best_name: str
     best_model: object
     drift: DataFrame | None = None      # train-vs-test drift scores (D3 columns)
@@ -80,7 +81,8 @@ class TrainResult:
 
 def tune(train: DataFrame, name: str, n_trials: int, folds: int = config.CV_FOLDS,
          seed: int = config.SEED, parallelism: int = 4):
-    """M2: random-draw trials scored by k-fold AUC; failed trials get -inf."""
+    """M2: random-draw trials scored by k-fold AUC.  A failed trial scores
+    -inf and keeps the error's text; if all fail, that is an error."""
     n = train.count()
     draws = draw_params(name, n_trials, seed)
     rows, best, best_auc = [], {}, float("-inf")
@@ -90,17 +92,19 @@ def tune(train: DataFrame, name: str, n_trials: int, folds: int = config.CV_FOLD
             est = make_estimator(name, p, n)
             cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(),
                                 evaluator=ev, foldCol="fold", parallelism=parallelism, seed=seed)
-            score = float(cv.fit(train).avgMetrics[0])
-        except Exception:  # noqa: BLE001 - a failed trial scores -inf, as in the original
-            score = float("-inf")
-        rows.append((name, i, repr(p), score))
+            score, error = float(cv.fit(train).avgMetrics[0]), None
+        except Exception as e:  # noqa: BLE001 - a failed trial scores -inf, as in the original
+            score, error = float("-inf"), str(e)[:500]
+        rows.append((name, i, repr(p), score, error))
         if score > best_auc:
             best_auc, best = score, p
+    if rows and best_auc == float("-inf"):
+        raise RuntimeError(f"all {len(rows)} trials of {name} failed; the last: {rows[-1][4]}")
     return best, rows
 
 
 def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
-              families: list[str] | None = None, n_trials: int = 2, folds: int = config.CV_FOLDS,
+              families: list[str] | None = None, n_trials: int = config.N_TRIALS, folds: int = config.CV_FOLDS,
               test_size: float = config.TEST_SIZE, seed: int = config.SEED,
               stack: bool = True, categorical: list[str] | None = None,
               drift_report: bool = True) -> TrainResult:
@@ -111,14 +115,15 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     every family, fit on train, score on test, stack, and compare by AUC."""
     from .drift import drift_scores
     from .encoding import fit_target_encoder
+    from .impute import fit_median_fill
     from .scaling import fit_scaler
     from .split import drop_null_target, stratified_split, variant_columns
     spark = df.sparkSession
     categorical = [c for c in (categorical or []) if c in df.columns]
     numeric = [c for c in features if c not in categorical]
     data = drop_null_target(df, target).withColumn("label", F.col(target).cast("double"))
-    data = fold_column(data, keys, folds, seed)
     train, test = stratified_split(data, "label", keys, test_size, seed)
+    train = fold_column(train, keys, folds, "label", seed)
     drift = None
     if drift_report:
         safe = variant_columns(train.select(*numeric), test.select(*numeric))
@@ -129,11 +134,15 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     if categorical:
         encoder = fit_target_encoder(train, categorical, "label")
         train, test = encoder.transform(train), encoder.transform(test)
+    fills = fit_median_fill(train, numeric)      # no NULL or NaN reaches a model
+    train, test = fills.transform(train), fills.transform(test)
     scaler = fit_scaler(train, standard=features)
     train, test = scaler.transform(train), scaler.transform(test)
-    va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    train = va.transform(train).persist()
-    test = va.transform(test)
+    va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
+    # the prepared sides are stored once, in the shared folder
+    ensure_checkpoint_dir(spark)
+    train = va.transform(train).checkpoint(eager=True)
+    test = va.transform(test).checkpoint(eager=True)
     families = families or FAMILIES
     n = train.count()
 
@@ -156,15 +165,14 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     best_name, best_model = models[best_i]
     if stack and len(models) > 1:
         st = fit_stack(train, [(nm, make_estimator(nm, tuned[nm], n)) for nm, _ in models], features,
-                       k=config.STACK_FOLDS, seed=seed)
+                       keys, k=config.STACK_FOLDS, seed=seed)
         met = _test_metrics(st.transform(test))
         results.append(("StackingEnsemble", *met))
-        if met[3] > max(r[4] for r in results[:-1]):
+        if met[3] is not None and met[3] > max((r[4] for r in results[:-1] if r[4] is not None), default=-1.0):
             best_name, best_model = "StackingEnsemble", st
-    train.unpersist()
     res = spark.createDataFrame(results, "model string, accuracy double, precision double, "
                                          "recall double, roc_auc double")
-    tri = spark.createDataFrame(trials, "model string, trial int, params string, cv_auc double")
+    tri = spark.createDataFrame(trials, "model string, trial int, params string, cv_auc double, error string")
     return TrainResult(res, tri, best_name, best_model, drift, encoder, scaler)
 
 
@@ -182,6 +190,20 @@ class StackModel:
     def __init__(self, bases: list, meta: PipelineModel, names: list[str]):
         self.bases, self.meta, self.names = bases, meta, names
 
+    def save(self, path: str) -> None:
+        """One ML model folder per base, the meta model, and their names."""
+        SparkSession.getActiveSession().createDataFrame(list(enumerate(self.names)), "place int, name string").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{path}/names")
+        for i, m in enumerate(self.bases):
+            PipelineModel([m]).write().overwrite().save(f"{path}/base_{i}")
+        self.meta.write().overwrite().save(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> StackModel:
+        names = [r["name"] for r in spark.read.parquet(f"{path}/names").orderBy("place").collect()]
+        bases = [PipelineModel.load(f"{path}/base_{i}").stages[0] for i in range(len(names))]
+        return cls(bases, PipelineModel.load(f"{path}/meta"), names)
+
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
         for nm, m in zip(self.names, self.bases):
@@ -191,13 +213,15 @@ class StackModel:
         return self.meta.transform(out)
 
 
-def fit_stack(train: DataFrame, bases: list, features: list[str], k: int = 5,
+def fit_stack(train: DataFrame, bases: list, features: list[str], keys: list[str], k: int = 5,
               seed: int = config.SEED, parallelism: int = 4) -> StackModel:
     """Out-of-fold base probabilities (fold fits run as concurrent Spark jobs,
-    like ``CrossValidator(parallelism=...)``) + passthrough features -> LR."""
+    like ``CrossValidator(parallelism=...)``) + passthrough features -> LR.
+    The folds are stratified and cut from the hash of ``keys``."""
     from concurrent.futures import ThreadPoolExecutor
     names = [n for n, _ in bases]
-    folded = train.withColumn("_sfold", F.floor(F.rand(seed) * k).cast("int")).persist()
+    ensure_checkpoint_dir(train.sparkSession)
+    folded = fold_column(train, keys, k, "label", seed, "_sfold", "stack").checkpoint(eager=True)
 
     def fit_fold(f):
         rest = folded.where(F.col("_sfold") != f)
@@ -218,5 +242,4 @@ def fit_stack(train: DataFrame, bases: list, features: list[str], k: int = 5,
         lr = LogisticRegression(featuresCol="_meta", labelCol="label", maxIter=100)
         meta = Pipeline(stages=[va, lr]).fit(oof.drop("features"))
         full = full_future.result()
-    folded.unpersist()
     return StackModel(full, meta, names)

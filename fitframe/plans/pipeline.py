@@ -1,10 +1,10 @@
 """The step chain (Z6), batch scoring (Z1) and stage lineage.
 
 ``Chain.fit`` fits each step on the output of the previous one.  The input is
-materialised once (and again after the whole-row dedup, the only step that
-shuffles rows), so the many small fit aggregations read cached columns instead
-of recomputing the source plan; ``spark.checkpoint.dir`` is used when
-``materialize="checkpoint"``.  ``FittedChain.transform`` replays the fitted
+stored once in ``spark.checkpoint.dir`` (and again after the whole-row dedup,
+the only step that shuffles rows), so the many small fit aggregations read
+stored columns instead of recomputing the source plan; ``materialize="cache"``
+keeps them on the executors until ``release``.  ``FittedChain.transform`` replays the fitted
 states as one lazy plan: no step refits at scoring (W3, W4, W17, W18), no row
 is dropped at scoring (W2), and a failing step raises (W16).
 """
@@ -15,13 +15,14 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
 from ..operators import (binning, cleaning, clustering, collinear, encoding, features, impute, outliers,
                          rare, scaling, scoring, selection)
 from ..session import ensure_checkpoint_dir
+from ..state import Fitted, load, register
 
 
 def materialize(df: DataFrame, how: str | None) -> DataFrame:
@@ -89,6 +90,25 @@ class FittedChain:
             self.scoring_lineage = lin
         return df
 
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
+        """Every step's state below ``path``, in step order; a step
+        without a state is named only."""
+        spark = spark or SparkSession.getActiveSession()
+        spark.createDataFrame([(i, s.name, f is not None) for i, (s, f) in enumerate(self.steps)],
+                              "place int, name string, has_state boolean").coalesce(1).write.mode("overwrite").parquet(f"{path}/steps")
+        for step, fitted in self.steps:
+            if fitted is not None:
+                fitted.save(f"{path}/{step.name}", spark)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, chain: Chain) -> FittedChain:
+        """A saved chain, to be replayed by the steps of ``chain`` (the same
+        names in the same order; their fit functions are not called)."""
+        saved = spark.read.parquet(f"{path}/steps").orderBy("place").collect()
+        if [r["name"] for r in saved] != [s.name for s in chain.steps]:
+            raise ValueError(f"the chain at {path} has other steps")
+        return cls([(s, load(spark, f"{path}/{s.name}") if r["has_state"] else None) for s, r in zip(chain.steps, saved)])
+
     def state(self, name: str):
         for step, fitted in self.steps:
             if step.name == name:
@@ -97,7 +117,7 @@ class FittedChain:
 
 
 class Chain:
-    def __init__(self, steps: list[Step], materialize: str | None = "cache"):
+    def __init__(self, steps: list[Step], materialize: str | None = "checkpoint"):
         self.steps = steps
         self.materialize = materialize
 
@@ -132,19 +152,21 @@ class Chain:
 
 # ---- the default lead-conversion chain ---------------------------------------
 
-class _Importance:
+@register
+@dataclass
+class Importance(Fitted):
     """Step 11: importance table learned at fit; transform is the identity."""
-
-    def __init__(self, table: DataFrame | None):
-        self.table = table
+    table: DataFrame | None
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df
 
 
-class _TopK:
-    def __init__(self, keep: list[str]):
-        self.keep = keep
+@register
+@dataclass
+class TopK(Fitted):
+    """Step 13: the columns that are kept."""
+    keep: list
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.select(*[c for c in df.columns if c in set(self.keep)])
@@ -155,7 +177,7 @@ LEAD_KEY = "prospect_i_d"
 
 
 def lead_chain(target: str = config.TARGET, key: str | None = LEAD_KEY, top_k: int = config.TOP_K_IMPORTANCE,
-               materialize_how: str | None = "cache", importance_trees: int = 20) -> Chain:
+               materialize_how: str | None = "checkpoint", importance_trees: int = 100) -> Chain:
     """Clean -> types -> impute -> outliers -> engineer -> bin -> rare ->
     VIF -> encode -> scale -> importance -> cluster -> select."""
     protect = [c for c in (target, key) if c]
@@ -164,15 +186,15 @@ def lead_chain(target: str = config.TARGET, key: str | None = LEAD_KEY, top_k: i
         num = [c for c in df.columns if c not in protect and
                df.schema[c].dataType.simpleString() in ("double", "int", "bigint", "float")]
         if target not in df.columns or not num:
-            return _Importance(None)
-        return _Importance(selection.gbt_importance(df, target, num, n_trees=importance_trees))
+            return Importance(None)
+        return Importance(selection.gbt_importance(df, target, num, n_trees=importance_trees))
 
     def fit_top_k(df, prior):
         imp = prior["11_importance"].table if "11_importance" in prior else None
         if imp is None:
-            return _TopK(df.columns)
+            return TopK(df.columns)
         keep = [r["feature"] for r in selection.top_k(imp, top_k).collect()]
-        return _TopK(keep + [c for c in df.columns if c in protect or c == "engagement_cluster"])
+        return TopK(keep + [c for c in df.columns if c in protect or c == "engagement_cluster"])
 
     keep_cols = [key] if key else None
     steps = [

@@ -63,6 +63,12 @@ class Fitted:
             t.write.mode("overwrite").parquet(os.path.join(path, name))
 
 
+def write_values(spark: SparkSession, path: str, kind: str, values: dict) -> None:
+    """A state table of JSON values."""
+    rows = [(kind, k, json.dumps(v)) for k, v in values.items()] or [(kind, "", "null")]
+    spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def load(spark: SparkSession, path: str) -> Fitted:
     try:
         rows = spark.read.parquet(os.path.join(path, "_state")).collect()
@@ -74,7 +80,9 @@ def load(spark: SparkSession, path: str) -> Fitted:
     if cls.__name__ == "TargetEncodeState":
         from .operators.encoding import load_target_encoder
         return load_target_encoder(spark, path)
-    kwargs = {r["key"]: json.loads(r["value"]) for r in rows}
+    kwargs = {r["key"]: json.loads(r["value"]) for r in rows if r["key"]}
+    if hasattr(cls, "load_from"):
+        return cls.load_from(spark, path, kwargs)
     for f in dataclasses.fields(cls):
         if f.name not in kwargs:
             kwargs[f.name] = spark.read.parquet(os.path.join(path, f.name))

@@ -48,5 +48,37 @@ def test_stratified_split_keeps_class_shares(spark):
     assert tr[1] + te[1] == 500 and tr[0] + te[0] == 1500
     assert abs(te[1] / 500 - 0.2) < 0.01 and abs(te[0] / 1500 - 0.2) < 0.01
     assert train.join(test, "id").count() == 0
-    f = split.fold_column(df, ["id"], 5)
+    f = split.fold_column(df, ["id"], 5, "y")
     assert sorted(r.fold for r in f.select("fold").distinct().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_nan_and_empty_sides(spark):
+    base = [(float(i % 7), "a" if i % 2 else "b") for i in range(200)]
+    ref = spark.createDataFrame(base, "x double, c string")
+    one_nan = spark.createDataFrame([(float("nan"), "a")] + base[1:], "x double, c string")
+    assert drift.monitor_drift(one_nan, ref) is False
+    gone = spark.createDataFrame([(None, "a") for _ in range(5)], "x double, c string")
+    rows = {r.column: (r.score, r.status) for r in drift.drift_scores(ref, gone).collect()}
+    assert rows["x"] == (None, "one_side_empty") and rows["c"][1] == "ok"
+    nothing = gone.withColumn("c", gone.c.substr(0, 0)).selectExpr("x", "nullif(c, '') c")
+    assert {r.status for r in drift.drift_scores(nothing, nothing).collect()} == {"empty"}
+    for method in ("psi", "ks", "wasserstein"):
+        assert {r.column: r.status for r in drift.drift_scores(ref, gone, numeric_method=method).collect()}["x"] == "one_side_empty"
+    assert drift.monitor_drift(ref, ref.selectExpr("x y", "c d")) is False
+    prof = drift.side_profile(ref, one_nan)
+    assert {(r.side, r.column): r.missing_count for r in prof["missing"].collect()} == {("current", "x"): 1}
+    assert {r.side for r in prof["numeric"].collect()} == {"reference", "current"} == {r.side for r in prof["categorical"].collect()}
+
+
+def test_folds_are_exact_and_independent_of_the_split(spark):
+    df = spark.createDataFrame([(i, "p" if i % 5 == 0 else "n") for i in range(1000)], "id long, y string")
+    train, _ = split.stratified_split(df, "y", ["id"])
+    for k in (3, 5, 10):
+        got = split.fold_column(train, ["id"], k, "y").groupBy("y", "fold").count().collect()
+        for c in ("p", "n"):
+            sizes = [r["count"] for r in got if r.y == c]
+            assert len(sizes) == k and max(sizes) - min(sizes) <= 1
+    a = {r.id: r.fold for r in split.fold_column(df, ["id"], 5, "y").collect()}
+    b = {r.id: r.fold for r in split.fold_column(df.repartition(7), ["id"], 5, "y").collect()}
+    c = {r.id: r.fold for r in split.fold_column(df, ["id"], 5, "y", salt="stack").collect()}
+    assert a == b and a != c

@@ -19,10 +19,20 @@ def test_one_hot_drop_first_unknown_zero_and_names(spark):
     assert pre.columns == ["onehot__x_b", "onehot__x_c", "onehot__x_nan", "remainder__y"]
 
 
-def test_one_hot_refuses_unbounded_categories(spark):
-    df = spark.range(50).selectExpr("cast(id as string) as x")
-    with pytest.raises(ValueError):
-        encoding.fit_one_hot(df, ["x"], ordinal={}, max_categories=10)
+def test_sparse_one_hot_agrees_with_the_wide_form(spark):
+    rows = [(i, f"v{i % 37:02d}" if i % 11 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, x string")
+    wide = {r.id: r.asDict() for r in encoding.fit_one_hot(df, ["x"], ordinal={}).transform(df).collect()}
+    names = encoding.fit_one_hot(df, ["x"], ordinal={}).feature_names()
+    st = encoding.fit_one_hot_index(df, ["x"])
+    unseen = df.unionByName(spark.createDataFrame([(999, "never")], "id long, x string"))
+    for r in st.transform(unseen).collect():
+        assert r.x_size == len(names)
+        ones = [i for i, n in enumerate(names) if r.id != 999 and wide[r.id][n] == 1.0]
+        assert ones == ([] if r.x_index is None else [r.x_index])
+    many = spark.range(3000).selectExpr("id", "cast(id as string) as x")
+    assert len(encoding.fit_one_hot(many, ["x"], ordinal={}).categories["x"]) == 3000     # no cap
+    assert encoding.fit_one_hot_index(many, ["x"]).sizes == {"x": 2999}
 
 
 def test_ordinal_encoding_declared_order_and_unknown(spark):
