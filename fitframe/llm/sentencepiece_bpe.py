@@ -4,12 +4,13 @@ A text becomes characters with the space mark.  An agenda of adjacent pairs,
 ordered by the score of the merged piece and then by position, merges until
 no pair is a piece; a character that is no piece falls back to byte pieces.
 
-No piece of such a vocabulary holds a space mark after another character, or
-any character that stands in no longer piece; so a text falls into segments
-that can be encoded by themselves.  Each worker keeps the ids of the segments
-it has met, up to CACHE_SEGMENTS, and encodes only new ones.  New segments of
-an Arrow batch are checked against the sentencepiece library; a difference
-raises an error.
+Merges never cross two characters that stand side by side in no piece.  The
+characters fall into families that pieces don't mix (letters, digits, marks
+...), and no piece holds a space mark after another character; so a text falls
+into segments, space marks and a run of one family, that can be encoded by
+themselves.  Each worker keeps the ids of the segments it has met, up to
+CACHE_SEGMENTS, and encodes only new ones.  New segments of an Arrow batch are
+checked against the sentencepiece library; a difference raises an error.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from fitframe.llm.common import small_batches, table
 
 CACHE_SEGMENTS = 400_000   # segments that a worker remembers
 LONG_SEGMENT = 64          # longer ones are not remembered
+SHORT_SEGMENT = 40         # characters up to which the agenda is a plain list
+NEVER = float("-inf")      # score of a pair that is no piece
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
@@ -63,60 +66,90 @@ class Vocabulary:
                 self.bytes.append(" ⁇ ".encode())
             else:
                 self.bytes.append(p.piece.replace(SPACE, " ").encode())
-        joined = {c for piece in self.ids if len(piece) > 1 for c in piece}
-        self.alone = re.compile("[^" + re.escape("".join(sorted(joined))) + "]")
         self.inner = any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
-        # a run of space marks with the word after it; a character that no longer
-        # piece holds stands by itself
-        plain = "".join(sorted(joined - {SPACE}))
-        self.segments = re.compile(f"{SPACE}*[{re.escape(plain)}]+|{SPACE}+|[^{re.escape(plain)}{SPACE}]")
+        self.segments = re.compile("|".join([f"{SPACE}*[{re.escape(f)}]+" for f in self.families()] + [f"{SPACE}+", "(?s:.)"]))
         self.cache: dict[str, tuple[int, ...]] = {}
 
+    def families(self) -> list[str]:
+        """Characters joined by standing side by side in pieces, the largest
+        family first; a character without neighbours is in none."""
+        root: dict[str, str] = {}
+
+        def find(c):
+            while root.setdefault(c, c) != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:]):
+                if SPACE not in (a, b):
+                    root[find(a)] = find(b)
+                elif b != SPACE:
+                    find(b)
+        found: dict[str, list[str]] = {}
+        for c in root:
+            found.setdefault(find(c), []).append(c)
+        return ["".join(sorted(f)) for f in sorted(found.values(), key=lambda f: (-len(f), f))]
+
+    def _short(self, text: str) -> list[str]:
+        """The pieces of a short segment: the agenda is the list of the pairs'
+        scores in order, of which the first best is merged."""
+        get, pieces = self.scores.get, list(text)
+        agenda = [get(a + b, NEVER) for a, b in zip(pieces, pieces[1:])]
+        while agenda:
+            best = max(agenda)
+            if best == NEVER:
+                break
+            i = agenda.index(best)
+            merged = pieces[i] + pieces[i + 1]
+            pieces[i:i + 2] = [merged]
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = get(merged + pieces[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = get(pieces[i - 1] + merged, NEVER)
+        return pieces
+
     def encode_segment(self, text: str) -> tuple[int, ...]:
         """The ids of a segment, by the agenda."""
-        whole = self.ids.get(text)
-        pieces = list(text)
-        if len(pieces) > 1:
-            scores = self.scores
-            left = list(range(-1, len(pieces) - 1))
-            right = list(range(1, len(pieces))) + [-1]
-            agenda = []
-            for i in range(len(pieces) - 1):
-                s = scores.get(pieces[i] + pieces[i + 1])
-                if s is not None:
-                    agenda.append((-s, i, pieces[i] + pieces[i + 1]))
-            heapq.heapify(agenda)
-            while agenda:
-                _, i, merged = heapq.heappop(agenda)
-                j = right[i] if pieces[i] else -1
-                if j < 0 or pieces[i] + pieces[j] != merged:
-                    continue  # one side has been merged meanwhile
-                pieces[i], pieces[j] = merged, ""
-                k = right[i] = right[j]
-                if k >= 0:
-                    left[k] = i
-                    s = scores.get(merged + pieces[k])
-                    if s is not None:
-                        heapq.heappush(agenda, (-s, i, merged + pieces[k]))
-                h = left[i]
-                if h >= 0:
-                    s = scores.get(pieces[h] + merged)
-                    if s is not None:
-                        heapq.heappush(agenda, (-s, h, pieces[h] + merged))
-        elif whole is not None:
-            return (whole,)
+        pieces = self._short(text) if len(text) <= SHORT_SEGMENT else self._long(text)
+        try:
+            return tuple([self.ids[p] for p in pieces])
+        except KeyError:  # some characters are no piece
+            pass
         out = []
         for p in pieces:
-            if p:
-                i = self.ids.get(p)
-                if i is not None:
-                    out.append(i)
-                elif self.byte_ids:
-                    out.extend(self.byte_ids[b] for b in p.encode())
-                else:
-                    out.append(self.unknown)
+            i = self.ids.get(p)
+            if i is not None:
+                out.append(i)
+            elif self.byte_ids:
+                out.extend(self.byte_ids[b] for b in p.encode())
+            else:
+                out.append(self.unknown)
         return tuple(out)
 
+    def _long(self, text: str) -> list[str]:
+        """The pieces of a long segment: the agenda is a heap, the symbols a
+        linked list."""
+        pieces, scores = list(text), self.scores
+        left = list(range(-1, len(pieces) - 1))
+        right = list(range(1, len(pieces))) + [-1]
+        agenda = [(-scores[a + b], i, a + b) for i, (a, b) in enumerate(zip(pieces, pieces[1:])) if a + b in scores]
+        heapq.heapify(agenda)
+        while agenda:
+            _, i, merged = heapq.heappop(agenda)
+            j = right[i] if pieces[i] else -1
+            if j < 0 or pieces[i] + pieces[j] != merged:
+                continue  # one side has been merged meanwhile
+            pieces[i], pieces[j] = merged, ""
+            k = right[i] = right[j]
+            if k >= 0:
+                left[k] = i
+            for at, other in ((i, k), (left[i], i)):
+                if at >= 0 and other >= 0 and pieces[at] + pieces[other] in scores:
+                    heapq.heappush(agenda, (-scores[pieces[at] + pieces[other]], at, pieces[at] + pieces[other]))
+        return [p for p in pieces if p]
+
     def _check(self, fresh: list[str]) -> None:
         """Hold the cached ids of new segments against the library."""
         if not fresh:
