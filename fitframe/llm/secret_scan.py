@@ -126,8 +126,11 @@ def labelled_findings(docs: DataFrame, n_docs: int = TRAIN_DOCUMENTS) -> DataFra
     the least id hash).  Values of credential formats are labelled 1;
     digests, numbers, addresses, file names, paths and placeholders 0.
     """
-    picked = (docs.where(F.size(words(F.col("text"))) >= 8).select("id", words(F.substring("text", 1, 2000)).alias("w"))
-              .orderBy(F.xxhash64("id"), "id").limit(n_docs))
+    total = docs.count()
+    least = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # about four times the bound pass the hash filter, whatever the corpus
+    picked = (docs.where(least <= F.lit(min(1.0, 4 * n_docs / max(total, 1)))).where(F.size(words(F.col("text"))) >= 8)
+              .select("id", words(F.substring("text", 1, 2000)).alias("w")).orderBy(F.xxhash64("id"), "id").limit(n_docs))
     h = lambda salt: F.sha1(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(salt)).cast("binary"))
     mixed = lambda salt: F.regexp_replace(F.base64(F.unhex(F.concat(h(salt), h(salt + "'")))), "[+/=]", "x")
     digits = lambda salt, n: F.rpad(F.regexp_replace(h(salt), "[a-f]", ""), n, "4715903826")
