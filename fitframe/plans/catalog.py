@@ -116,7 +116,7 @@ def q_prep_chain(spark: SparkSession, sf: str) -> DataFrame:
         Step("bin", lambda d, p: binning.fit_bins(d, {"o_totalprice": {
             "strategy": "quantile", "bins": 4, "labels": PRICE_LABELS}})),
         Step("rare", lambda d, p: rare.fit_rare(d, {"n_name": {"threshold": 0.035, "new_name": "OTHER"}})),
-    ], materialize="cache")
+    ])
     _, relabeled = chain.fit_transform(prep_chain_input(spark, sf))
     return (relabeled.groupBy("o_totalprice_binned", "o_orderpriority", F.col("n_name").alias("nation"))
             .agg(F.count(F.lit(1)).alias("n_orders"),
@@ -261,7 +261,7 @@ def q_yes_no_flags(spark, sf):
 
 
 @query("leak_and_names", """
-SELECT column_name FROM (DESCRIBE orders)""")
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
 def q_leak_and_names(spark, sf):
     o = table(spark, sf, "orders")
     renamed = o.select(*[F.col(c).alias(n) for c, n in zip(
@@ -270,8 +270,7 @@ def q_leak_and_names(spark, sf):
     tagged = renamed.select("*", F.lit(1).alias("Convert Flag"), F.lit(0).alias("target_copy"))
     st = cleaning.fit_clean(tagged, drop_high_missing=False, dynamic_var_drop=False,
                             static_drop=[], name_mode="simple")
-    out = st.transform(tagged)
-    return spark.createDataFrame([(c,) for c in out.columns], "column_name string")
+    return st.transform(tagged)
 
 
 # ---------------------------------------------------------------------------
@@ -880,10 +879,12 @@ def q_drift_sides(spark, sf):
 # Splits, scoring, selection
 # ---------------------------------------------------------------------------
 
-@query("strat_split")
+@query("strat_split", f"""
+WITH h AS (SELECT doc_id, quality, ('0x' || substr(md5(doc_id || '|split|{config.SEED}'), 1, 13))::BIGINT / {2.0 ** 52} AS u FROM labels),
+c AS (SELECT quality, quantile_cont(u, {1 - config.TEST_SIZE}) AS cut FROM h GROUP BY quality)
+SELECT doc_id, h.quality, CASE WHEN u <= cut THEN 'train' ELSE 'test' END AS part FROM h JOIN c ON h.quality = c.quality""")
 def q_strat_split(spark, sf):
-    """Per-class 80/20 hash split of labelled documents (hash differs from
-    DuckDB's, so rows-only)."""
+    """Per-class 80/20 split of labelled documents by the hash of the id."""
     lab = table(spark, sf, "labels")
     train, test = split.stratified_split(lab, "quality", ["doc_id"])
     return (train.select("doc_id", "quality", F.lit("train").alias("part"))
@@ -983,20 +984,23 @@ def q_channel_collapse(spark, sf):
 # Models (rows-only checks: Spark ML results have no SQL counterpart)
 # ---------------------------------------------------------------------------
 
-def doc_features(spark, sf):
-    """Per-document numeric features computed from the whole text, joined to
-    the quality label."""
+def text_features(spark, sf):
+    """Per-document numeric features computed from the whole text."""
     d = table(spark, sf, "documents")
-    lab = table(spark, sf, "labels")
     text = F.col("text")
-    f = d.select(
+    return d.select(
         "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split(F.trim(text), r"\s+")).cast("double").alias("n_words"),
         F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
         (F.length(text) - F.length(F.regexp_replace(text, "[0-9]", ""))).cast("double").alias("n_digits"),
         (F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))).cast("double").alias("n_upper"),
         (F.col("lang") == "en").cast("double").alias("is_en"), "lang", "source")
-    return f.join(lab.select("doc_id", "quality"), "doc_id")
+
+
+def doc_features(spark, sf):
+    """Text features of the labelled documents with the quality label."""
+    lab = table(spark, sf, "labels")
+    return text_features(spark, sf).join(lab.select("doc_id", "quality"), "doc_id")
 
 
 DOC_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_upper", "is_en"]
@@ -1032,19 +1036,19 @@ def q_rf_importance(spark, sf):
 @query("gbt_importance")
 def q_gbt_importance(spark, sf):
     """L4 (re-aimed): boosted-tree importances."""
-    return selection.gbt_importance(doc_features(spark, sf), "quality", DOC_FEATURES, n_trees=10)
+    return selection.gbt_importance(doc_features(spark, sf), "quality", DOC_FEATURES, n_trees=100)
 
 
 @query("permutation_importance")
 def q_permutation_importance(spark, sf):
-    """AUC drop per shuffled feature (3 repeats)."""
-    return selection.permutation_importance(doc_features(spark, sf), "quality", DOC_FEATURES[:3], n_repeats=3)
+    """AUC drop per permuted feature (10 repeats, 100 trees)."""
+    return selection.permutation_importance(doc_features(spark, sf), "quality", DOC_FEATURES, keys=["doc_id"])
 
 
 @query("rfe_cv")
 def q_rfe_cv(spark, sf):
     """L1: recursive elimination with a balanced logistic regression."""
-    _, hist = selection.rfe_cv(doc_features(spark, sf), "quality", DOC_FEATURES[:4], ["doc_id"], folds=3)
+    _, hist = selection.rfe_cv(doc_features(spark, sf), "quality", DOC_FEATURES, ["doc_id"], folds=5)
     return hist
 
 
@@ -1076,7 +1080,7 @@ def q_feature_chain(spark, sf):
                                                              "l_quantity_binned"], ordinal={})),
         Step("scale", lambda d, p: scaling.fit_scaler(d, ["l_extendedprice"], [], [], skewed_to_robust=True,
                                                       target="l_orderkey")),
-    ], materialize="cache")
+    ])
     fitted, _ = chain.fit_transform(li)
     return fitted.transform(li)
 
@@ -1178,11 +1182,12 @@ def q_complete_cases(spark, sf):
 
 
 @query("prefix_coerce", """
-SELECT event_id, try_cast(props AS DOUBLE) AS p_props, try_cast(event_type AS DOUBLE) AS p_type, value
+SELECT event_id, try_cast(substr(props, 7, length(props) - 7) AS DOUBLE) AS p_props,
+       try_cast(event_type AS DOUBLE) AS p_type, value
 FROM events""")
 def q_prefix_coerce(spark, sf):
     """Numeric coercion of every column whose name has a prefix."""
-    e = table(spark, sf, "events").select("event_id", F.col("props").alias("p_props"),
+    e = table(spark, sf, "events").select("event_id", F.expr("substr(props, 7, length(props) - 7)").alias("p_props"),
                                           F.col("event_type").alias("p_type"), "value")
     return cleaning.coerce_prefix(e, "p_")
 
@@ -1232,6 +1237,9 @@ def q_chain_lineage(spark, sf):
         Step("impute", lambda d, p: impute.fit_impute(d, {"o_totalprice": "median"},
                                                       {"o_orderpriority": {"strategy": "mode"}})),
         Step("clip", lambda d, p: outliers.fit_clip(d, ["o_totalprice"])),
-    ], materialize="cache")
+    ])
     fitted, _ = chain.fit_transform(doubled)
     return fitted.lineage.table(spark)
+
+
+from . import catalog_checks  # noqa: E402,F401  registers more queries
