@@ -132,9 +132,11 @@ def thresholds(counts: DataFrame) -> DataFrame:
     the corpus where it has fewer than MIN_GROUP texts."""
     own = _quartiles(counts, ["lang", "source"])
     lang = _quartiles(counts, ["lang"]).select(F.col("lang").alias("l_lang"), F.col("total").alias("l_total"), F.col("q").alias("l_q"))
-    corpus = _quartiles(counts.withColumn("all", F.lit(1)), ["all"]).select("all", F.col("q").alias("c_q"))
-    wide = (own.withColumn("all", F.lit(1)).join(lang, F.col("lang").eqNullSafe(F.col("l_lang")))
-            .join(F.broadcast(corpus), "all"))  # one row
+    # one row with two numbers a metric
+    corpus = {m: (q["q1"], q["q3"]) for r in _quartiles(counts, []).collect() for m, q in (r["q"] or {}).items()}
+    whole = F.create_map(*[x for m, (a, b) in corpus.items() for x in (
+        F.lit(m), F.struct(F.lit(a).alias("q1"), F.lit(b).alias("q3")))]) if corpus else F.lit(None)
+    wide = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))).withColumn("c_q", whole.cast(own.schema["q"].dataType))
     return wide.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.when(
         F.col("total") >= MIN_GROUP, F.col("q")).when(F.col("l_total") >= MIN_GROUP, F.col("l_q"))
         .otherwise(F.col("c_q")).alias("q"))
