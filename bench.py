@@ -24,6 +24,7 @@ HEADLINE = [
     "one_hot", "target_encode", "standard_scale", "robust_scale", "skew_report", "vif_table",
     "confusion_metrics", "auc_exact", "regression_metrics", "mase", "ks_numeric",
     "wasserstein_numeric", "psi_numeric", "js_categorical", "drift_gate", "dedup", "target_profile",
+    "strat_split", "feature_chain", "vif_select", "cluster_kmeans", "rf_importance", "linear_attribution", "rfe_cv",
 ]
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import exprs
 from ..functions.quantiles import column_stats, exact_quantiles
+from ..functions.sizing import materialize_state
 
 
 def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -55,11 +56,9 @@ def dtype_frequency(df: DataFrame) -> DataFrame:
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
     """Share of each target value, NULLs excluded."""
-    counts = df.where(~exprs.missing(df, target)).groupBy(target).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("_one", F.lit(1))
-    total = counts.groupBy("_one").agg(F.sum("n").alias("_total"))   # of the counts, not of the rows
-    return counts.join(F.broadcast(total), "_one").select(
-        F.col(target).alias("value"), "n", F.round(F.col("n") / F.col("_total"), 6).alias("share"))
+    counts = materialize_state(df.where(~exprs.missing(df, target)).groupBy(target).agg(F.count(F.lit(1)).alias("n"))).df
+    total = counts.agg(F.sum("n")).first()[0] or 1      # of the counts, not of the rows
+    return counts.select(F.col(target).alias("value"), "n", F.round(F.col("n") / F.lit(float(total)), 6).alias("share"))
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:

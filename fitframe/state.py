@@ -52,7 +52,8 @@ class Fitted:
 
     def state_frame(self, spark: SparkSession) -> DataFrame:
         scalars, _ = self._split()
-        rows = [(type(self).__name__, k, json.dumps(v)) for k, v in scalars.items()]
+        # a state of tables only still names its kind
+        rows = [(type(self).__name__, k, json.dumps(v)) for k, v in scalars.items()] or [(type(self).__name__, "", "null")]
         return spark.createDataFrame(rows, STATE_SCHEMA)
 
     def save(self, path: str, spark: SparkSession | None = None) -> None:

@@ -103,3 +103,35 @@ def test_chain_checkpoint_mode_and_release(spark):
         assert lin.rows_before == df.count() and lin.rows_after == df.count()
         fitted.release()
         assert fitted.materialized == []
+
+
+def test_fitted_chain_survives_a_new_process(spark, tmp_path):
+    """Fit and save here, load and score in another Python process."""
+    import subprocess
+    import sys
+    import textwrap
+
+    from fitframe.plans.pipeline import lead_chain
+    from tests.fixtures import lead_table
+    raw = spark.createDataFrame(lead_table(300))
+    chain = lead_chain(importance_trees=3)
+    fitted, _ = chain.fit_transform(raw)
+    fitted.save(f"{tmp_path}/chain", spark)
+    raw.write.parquet(f"{tmp_path}/raw")
+    want = fitted.transform(raw)
+    code = textwrap.dedent(f"""
+        from fitframe.session import build_session
+        from fitframe.plans.pipeline import FittedChain, lead_chain
+        spark = build_session("local[2]", 4, driver_memory="2g")
+        chain = FittedChain.load(spark, "{tmp_path}/chain", lead_chain())
+        chain.transform(spark.read.parquet("{tmp_path}/raw")).write.parquet("{tmp_path}/scored")
+    """)
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=300)
+    got = spark.read.parquet(f"{tmp_path}/scored")
+    assert sorted(got.columns) == sorted(want.columns)
+    key = "prospect_i_d"
+    cols = sorted(want.columns)
+
+    def rows(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(key, *[c for c in cols if c != key]).collect())
+    assert rows(got) == rows(want)
