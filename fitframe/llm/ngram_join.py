@@ -162,8 +162,14 @@ def _hamming(a: Column, b: Column) -> Column:
     return total
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (u, v) whose shingle sets are similar enough."""
+def _verified(pairs: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs (u, v) whose shingle sets are similar enough.  The sets are
+    made anew from the texts of these documents alone: kept for all
+    candidates, they would be larger than the texts."""
+    pairs = keep(pairs, "pairs")
+    ids = keep(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct(), "pair-ids")
+    sets = (src.join(bounded(ids, ids.count()), "id", "left_semi")
+            .select("id", shingle_hashes(F.col("text"), k).alias("h")))
     a = sets.select(F.col("id").alias("u"), F.col("h").alias("ha"))
     b = sets.select(F.col("id").alias("v"), F.col("h").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
@@ -205,9 +211,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = keep(shared.select("id").distinct(), "candidates")
     n_ids = ids.count()
     near = keep(reps.select("id", "n", "sketch").join(bounded(ids, n_ids), "id", "left_semi"), "near")
-    sets = keep(src.join(bounded(ids, n_ids), "id", "left_semi")
-                .select("id", shingle_hashes(F.col("text"), k).alias("h")), "sets")
-    links = _links(shared, near, sets, num, den)
+    links = _links(shared, near, src, k, num, den)
     comp = connected_components(links)
     labelled = (members.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
                 .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
@@ -215,19 +219,23 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return labelled.unionByName(empty).withColumnRenamed("id", id_col)
 
 
-def _links(shared: DataFrame, near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _links(shared: DataFrame, near: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Verified links that connect every pair of similar sets."""
     left = near.select(F.col("id").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
     right = near.select(F.col("id").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
-    fits = _hamming(F.col("su"), F.col("sv")) <= _allowed(F.col("nu") + F.col("nv"), num, den)
+    far = _hamming(F.col("su"), F.col("sv"))
+    fits = far <= _allowed(F.col("nu") + F.col("nv"), num, den)
 
     rows = shared.withColumn("comp", F.col("id"))
     found = None
     for turn in range(HUB_ROUNDS):
         hub = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("o"), "id", "comp")).alias("hub"))
-        pairs = (rows.join(hub, "key").where("comp <> hub.comp")
-                 .select(F.least("id", "hub.id").alias("u"), F.greatest("id", "hub.id").alias("v")).distinct())
-        new = keep(_verified(pairs.join(left, "u").join(right, "v").where(fits).select("u", "v"), sets, num, den), "links")
+        pairs = rows.join(hub, "key").where("comp <> hub.comp").select(F.col("id").alias("u"), F.col("hub.id").alias("v")).distinct()
+        # of its hubs, a document is compared with the nearest by sketch; what
+        # that leaves apart is for the next turns and the last comparison
+        nearest = (pairs.join(left, "u").join(right, "v").where(fits).groupBy("u")
+                   .agg(F.min(F.struct((far / (F.col("nu") + F.col("nv"))).alias("far"), "v")).alias("best")).select("u", "best.v"))
+        new = keep(_verified(nearest, src, k, num, den), "links")
         found = new if found is None else found.unionByName(new)
         comp = keep(connected_components(found), "comps")
         rows = (rows.select("key", "id").join(comp, F.col("id") == F.col("node"), "left")
@@ -242,7 +250,7 @@ def _links(shared: DataFrame, near: DataFrame, sets: DataFrame, num: int, den: i
     a = full.select("key", F.col("id").alias("u"), F.col("comp").alias("cu"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
     b = full.select("key", F.col("id").alias("v"), F.col("comp").alias("cv"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
     rest = a.join(b, (a["key"] == b["key"]) & (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & fits)
-    new = _verified(rest.select("u", "v").distinct(), sets, num, den)
+    new = _verified(rest.select("u", "v").distinct(), src, k, num, den)
     return found.unionByName(new)
 
 
