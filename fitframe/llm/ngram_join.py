@@ -211,23 +211,38 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = keep(shared.select("id").distinct(), "candidates")
     n_ids = ids.count()
     near = keep(reps.select("id", "n", "sketch").join(bounded(ids, n_ids), "id", "left_semi"), "near")
-    links = _links(shared, near, src, k, num, den)
-    comp = connected_components(links)
+    comp = _classes(shared, near, src, k, num, den)
     labelled = (members.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
                 .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
     empty = sk.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     return labelled.unionByName(empty).withColumnRenamed("id", id_col)
 
 
-def _links(shared: DataFrame, near: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Verified links that connect every pair of similar sets."""
+def _joined(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``(node, component)`` after more links: only the components that they
+    tie together are worked on."""
+    if comp is None:
+        return keep(connected_components(links), "comps")
+    at = lambda end: comp.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+    ties = (links.join(at("u"), "u", "left").join(at("v"), "v", "left")
+            .select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
+    moved = keep(connected_components(ties), "ties")
+    relabelled = comp.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select(
+        "node", F.coalesce("to", "component").alias("component"))
+    fresh = moved.join(comp.select("node"), "node", "left_anti").select("node", "component")
+    return keep(relabelled.unionByName(fresh), "comps")
+
+
+def _classes(shared: DataFrame, near: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """``(node, component)`` of the sets that are similar to another, by
+    links that connect every pair of similar sets."""
     left = near.select(F.col("id").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
     right = near.select(F.col("id").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
     far = _hamming(F.col("su"), F.col("sv"))
     fits = far <= _allowed(F.col("nu") + F.col("nv"), num, den)
 
     rows = shared.withColumn("comp", F.col("id"))
-    found = None
+    comp = None
     for turn in range(HUB_ROUNDS):
         hub = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("o"), "id", "comp")).alias("hub"))
         pairs = rows.join(hub, "key").where("comp <> hub.comp").select(F.col("id").alias("u"), F.col("hub.id").alias("v")).distinct()
@@ -235,23 +250,20 @@ def _links(shared: DataFrame, near: DataFrame, src: DataFrame, k: int, num: int,
         # that leaves apart is for the next turns and the last comparison
         nearest = (pairs.join(left, "u").join(right, "v").where(fits).groupBy("u")
                    .agg(F.min(F.struct((far / (F.col("nu") + F.col("nv"))).alias("far"), "v")).alias("best")).select("u", "best.v"))
-        new = keep(_verified(nearest, src, k, num, den), "links")
-        found = new if found is None else found.unionByName(new)
-        comp = keep(connected_components(found), "comps")
+        comp = _joined(comp, keep(_verified(nearest, src, k, num, den), "links"))
         rows = (rows.select("key", "id").join(comp, F.col("id") == F.col("node"), "left")
                 .select("key", "id", F.coalesce("component", "id").alias("comp")))
         mixed = rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
         rows = keep(rows.join(mixed, "key", "left_semi"), "mixed")
         if rows.isEmpty():
-            return found
+            return comp
 
     # what is left: members of one key in different components, all compared
     full = rows.join(near, "id")
     a = full.select("key", F.col("id").alias("u"), F.col("comp").alias("cu"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
     b = full.select("key", F.col("id").alias("v"), F.col("comp").alias("cv"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
     rest = a.join(b, (a["key"] == b["key"]) & (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & fits)
-    new = _verified(rest.select("u", "v").distinct(), src, k, num, den)
-    return found.unionByName(new)
+    return _joined(comp, keep(_verified(rest.select("u", "v").distinct(), src, k, num, den), "links"))
 
 
 def run_query(spark, sf_dir):
