@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs
 from ..functions.ordered import lag_within, running_totals
 from ..functions.sizing import materialize_state
+from ..session import ensure_checkpoint_dir
 
 
 def confusion_metrics(df: DataFrame, label: str, pred: str, digits: int = 6) -> DataFrame:
@@ -97,8 +98,9 @@ def mase(df: DataFrame, label: str, pred: str, order: str, series: str | None =
     ranges (``lag_within``), so one series never lands in one task."""
     part = [series] if series else []
     if scale is None:
-        base = df.select(*part, order, F.col(label).cast("double").alias("_y"),
-                         F.col(pred).cast("double").alias("_p"))
+        # stored once: the lag reads it for the sizes of the series and again
+        ensure_checkpoint_dir(df.sparkSession)
+        base = df.select(*part, order, exprs.number(label).alias("_y"), exprs.number(pred).alias("_p")).checkpoint(eager=True)
         d = lag_within(base, order, "_y", part)
         agg = d.agg(F.avg(F.abs(F.col("_y") - F.col("_p"))).alias("_mae"),
                     F.avg(F.abs(F.col("_y") - F.col("prev__y"))).alias("_scale"))

@@ -69,3 +69,29 @@ def test_mase_series_and_scale(spark):
     d = pdf.groupby("s")["y"].diff().abs().dropna().mean()
     assert abs(got - round((pdf.y - pdf.p).abs().mean() / d, 6)) < 1e-9
     assert evaluate.mase(df, "y", "p", order="t", scale=0.0).first()["mase"] is None
+
+
+def test_lag_is_the_same_on_both_paths_for_every_key_type(spark):
+    """Split into key ranges or not, the previous value is the same, whatever the key's type."""
+    from pyspark.sql import functions as F
+    base = spark.range(300).select((F.col("id") % 2).alias("g"), F.col("id").alias("n"), (F.col("id") * 7 % 31).cast("double").alias("y"))
+    keys = {"long": F.col("n"), "double": F.col("n") / 3, "date": F.date_add(F.lit("1960-01-01").cast("date"), F.col("n").cast("int") * 30),
+            "timestamp": F.timestamp_seconds(F.col("n") * 86_399 - 10**8), "ntz": F.timestamp_seconds(F.col("n") * 3_601).cast("timestamp_ntz"),
+            "string": F.concat(F.lit("k"), F.lpad(F.col("n").cast("string"), 5, "0")), "digits": F.col("n").cast("string")}
+    for kind, key in keys.items():
+        df = base.withColumn("k", key)
+        whole, cut = (sorted((r.n, r.prev_y) for r in lag_within(df, "k", "y", ["g"], rows_per_bucket=b).collect() if r.prev_y is not None)
+                      for b in (10**6, 11))
+        assert whole == cut and len(whole) == 298, kind
+        flat = sorted((r.n, r.prev_y) for r in lag_within(df, "k", "y", rows_per_bucket=17).collect() if r.prev_y is not None)
+        assert flat == sorted((r.n, r.prev_y) for r in lag_within(df, "k", "y").collect() if r.prev_y is not None), kind
+
+
+def test_feature_lists_on_both_sides_of_the_hash_set(spark):
+    from fitframe.operators import features
+    df = spark.createDataFrame([(i, f"{i}.x" if i % 3 else "bad") for i in range(60)], "id long, p string")
+    new = df.unionByName(spark.createDataFrame([(999, "999.zz"), (998, None)], "id long, p string"))
+    kw = dict(ratios=[], both_flags=[], collapse={}, equals=[])
+    a, b = (features.fit_features(df, ["p"], isin_max=m, **kw).transform(new) for m in (1000, 5))
+    assert a.columns == b.columns and sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    assert {r.id: r.p_ordinal for r in b.collect()}[999] is None
