@@ -19,6 +19,9 @@ SEPARATORS = r"[\x20\x09-\x0D]+"
 # are joined with a shuffle.
 BROADCAST_IDS = 1_000_000
 
+# Bytes of an Arrow batch sent to a worker, one text at least.
+BATCH_BYTES = 32 << 20
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -45,9 +48,11 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Prepare a session for Python in tasks: bound the rows of an Arrow batch,
-    so that long texts fit in a worker, and give workers this package."""
+    """Prepare a session for Python in tasks: bound the rows and bytes of an
+    Arrow batch, so that long texts fit in a worker, and give workers this
+    package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_package(spark)
 
 
