@@ -12,9 +12,12 @@ sets A and B with Jaccard similarity of at least t differ in at most
   gives up the c segments that rank lowest by (shingles, XOR).  The ranking
   depends on content alone, so the highest-ranked agreeing segment is given
   up by neither side: no link is lost, and the least selective keys go.
-* Parity sketch.  Every shingle flips one of 1,024 bits; the Hamming distance
-  of two sketches is at most the symmetric difference, so a larger distance
-  than d rejects a pair before its shingles are read.
+* Parity sketch.  Every shingle flips one of 1,024 bits, and for sets of more
+  than WIDE_FROM one of the 2 to 4 bits per shingle of a wide sketch, which
+  the short one would be too full for.  The Hamming distance of two sketches
+  is at most the symmetric difference, so a larger distance than d rejects a
+  pair before its shingles are read.  Wide sketches have a power of two words;
+  the wider of two is folded to the other's width.
 * Verification compares the shingle sets of the pairs that are left.
 
 Equal sets are one class before all this.  Keys are range-partitioned by
@@ -36,6 +39,7 @@ from fitframe.llm.common import bounded, keep, lower_ascii, small_batches, words
 from fitframe.llm.components import connected_components
 
 SKETCH_WORDS = 16
+WIDE_FROM = 512      # shingles
 HUB_ROUNDS = 3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,6 +47,7 @@ SKETCH_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("n", T.LongType()),
     T.StructField("sig_a", T.LongType()), T.StructField("sig_b", T.LongType()),
     T.StructField("sketch", T.ArrayType(T.LongType())),
+    T.StructField("wide", T.ArrayType(T.LongType())),
     T.StructField("keys", T.ArrayType(T.LongType())),
 ])
 
@@ -110,6 +115,12 @@ def sketch_batches(num: int, den: int):
             bits = np.bincount(doc * (64 * SKETCH_WORDS) + (_mix(h, 0xC) % np.uint64(64 * SKETCH_WORDS)).astype(np.int64),
                                minlength=len(n) * 64 * SKETCH_WORDS) & 1
             sketch = np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+            width = np.where(n > WIDE_FROM, 1 << np.ceil(np.log2(np.maximum(n, 1) / 32)).astype(np.int64), 0)
+            wide_at = np.concatenate([[0], np.cumsum(width)])
+            long = width[doc] > 0
+            bit = _mix(h[long], 0xD) % (64 * width[doc[long]]).astype(np.uint64)
+            wide = np.zeros(wide_at[-1], np.uint64)
+            np.bitwise_xor.at(wide, wide_at[doc[long]] + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
             tops, diffs = band_table(int(n.max(initial=1)) * den // num + 1, num, den)
             own = np.searchsorted(tops, n)
             above = np.where((n > 0) & (n * den // num > tops[own]), own + 1, -1)
@@ -122,8 +133,9 @@ def sketch_batches(num: int, den: int):
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(n), pa.array(sig_a.view(np.int64)), pa.array(sig_b.view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * SKETCH_WORDS), pa.array(sketch)),
+                pa.ListArray.from_arrays(pa.array(wide_at.astype(np.int32)), pa.array(wide.view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
-            ], names=["id", "n", "sig_a", "sig_b", "sketch", "keys"])
+            ], names=["id", "n", "sig_a", "sig_b", "sketch", "wide", "keys"])
     return run
 
 
@@ -162,6 +174,15 @@ def _hamming(a: Column, b: Column) -> Column:
     return total
 
 
+def _wide_hamming(a: str, b: str) -> Column:
+    """Hamming distance of two wide sketches, the wider one folded; 0 where
+    one of the sets is too small to have any."""
+    m = f"least(size({a}), size({b}))"
+    fold = lambda x: (f"(CASE WHEN size({x}) = {m} THEN {x} ELSE transform(sequence(0, {m} - 1), i -> "
+                      f"aggregate(sequence(0, CAST(size({x}) / {m} AS INT) - 1), 0L, (s, j) -> s ^ get({x}, i + j * {m}))) END)")
+    return F.expr(f"CASE WHEN {m} <= 0 THEN 0 ELSE aggregate(zip_with({fold(a)}, {fold(b)}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x) END")
+
+
 def _verified(pairs: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (u, v) whose shingle sets are similar enough.  The sets are
     made anew from the texts of these documents alone: kept for all
@@ -210,7 +231,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ids = keep(shared.select("id").distinct(), "candidates")
     n_ids = ids.count()
-    near = keep(reps.select("id", "n", "sketch").join(bounded(ids, n_ids), "id", "left_semi"), "near")
+    near = keep(reps.select("id", "n", "sketch", "wide").join(bounded(ids, n_ids), "id", "left_semi"), "near")
     comp = _classes(shared, near, src, k, num, den)
     labelled = (members.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
                 .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
@@ -236,10 +257,12 @@ def _joined(comp: DataFrame | None, links: DataFrame) -> DataFrame:
 def _classes(shared: DataFrame, near: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """``(node, component)`` of the sets that are similar to another, by
     links that connect every pair of similar sets."""
-    left = near.select(F.col("id").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
-    right = near.select(F.col("id").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
-    far = _hamming(F.col("su"), F.col("sv"))
-    fits = far <= _allowed(F.col("nu") + F.col("nv"), num, den)
+    left = near.select(F.col("id").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"), F.col("wide").alias("wu"))
+    right = near.select(F.col("id").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"), F.col("wide").alias("wv"))
+    far = F.greatest(_hamming(F.col("su"), F.col("sv")), _wide_hamming("wu", "wv"))
+    limit = _allowed(F.col("nu") + F.col("nv"), num, den)
+    # the short sketch first: it is compiled, and rejects nearly all small sets
+    fits = (_hamming(F.col("su"), F.col("sv")) <= limit) & (_wide_hamming("wu", "wv") <= limit)
 
     rows = shared.withColumn("comp", F.col("id"))
     comp = None
@@ -259,11 +282,13 @@ def _classes(shared: DataFrame, near: DataFrame, src: DataFrame, k: int, num: in
             return comp
 
     # what is left: members of one key in different components, all compared
-    full = rows.join(near, "id")
+    full = rows.join(near.select("id", "n", "sketch"), "id")
     a = full.select("key", F.col("id").alias("u"), F.col("comp").alias("cu"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
     b = full.select("key", F.col("id").alias("v"), F.col("comp").alias("cv"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
-    rest = a.join(b, (a["key"] == b["key"]) & (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & fits)
-    return _joined(comp, keep(_verified(rest.select("u", "v").distinct(), src, k, num, den), "links"))
+    rest = a.join(b, (a["key"] == b["key"]) & (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv"))
+                  & (_hamming(F.col("su"), F.col("sv")) <= limit))
+    rest = rest.select("u", "v").distinct().join(left, "u").join(right, "v").where(_wide_hamming("wu", "wv") <= limit)
+    return _joined(comp, keep(_verified(rest.select("u", "v"), src, k, num, den), "links"))
 
 
 def run_query(spark, sf_dir):

@@ -38,7 +38,7 @@ def varied(seed):
     vocabulary = [f"w{i}" for i in range(300)]
     passage = rng.choices(vocabulary, k=40)
     texts = []
-    for length in (3, 9, 10, 11, 20, 40, 90, 200):
+    for length in (3, 9, 10, 11, 20, 40, 90, 200, 600, 1100):
         base = rng.choices(vocabulary, k=length)
         for copy in range(14):
             w = list(base)
@@ -78,7 +78,7 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
 def test_pigeonhole_keeps_a_common_key(num, den):
     """Two sets within the allowed difference always share a kept key."""
     rng = np.random.default_rng(3)
-    for n in [1, 2, 5, 9, 10, 19, 37, 100, 400]:
+    for n in [1, 2, 5, 9, 10, 19, 37, 100, 400, 700]:
         for _ in range(30):
             a = rng.integers(1, 2**62, n).astype(np.uint64)
             drop = int(rng.integers(0, n * (den - num) // (den + num) + 1))
@@ -94,6 +94,22 @@ def test_pigeonhole_keeps_a_common_key(num, den):
             assert far <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
+def test_wide_sketches_bound_the_difference(spark):
+    """Folded or not, the distance of wide sketches is a lower bound, and close to it."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(4)
+    base = rng.integers(1, 2**62, 1400)
+    sets = [base[:700], base[:1000], base[:1100], base[50:1100], base[:300]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))), pa.array(sets)], names=["id", "h"])
+    rows = next(ngram_join.sketch_batches(50, 100)([batch])).to_pylist()
+    assert [len(r["wide"]) for r in rows] == [32, 32, 64, 64, 0]
+    df = spark.createDataFrame([(i, j, rows[i]["wide"], rows[j]["wide"]) for i in range(5) for j in range(5)], "i int, j int, wu array<bigint>, wv array<bigint>")
+    for r in df.select("i", "j", ngram_join._wide_hamming("wu", "wv").alias("far")).collect():
+        true = len(set(sets[r.i].tolist()) ^ set(sets[r.j].tolist()))
+        assert r.far <= true and (r.far >= 0.6 * true or 4 in (r.i, r.j))
+
+
 def test_connected_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 200 + i) for i in range(50)] + [(rng.randrange(300, 360), rng.randrange(300, 360)) for _ in range(50)]
