@@ -211,7 +211,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each row's own component.  Other columns are not read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 500)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     hashed = src.select("id", shingle_hashes(F.col("text"), k).alias("h"))
     sk = keep(hashed.mapInArrow(sketch_batches(num, den), SKETCH_SCHEMA), "sketches")
