@@ -1,8 +1,9 @@
 """Secret scans with a random forest against false positives.
 
-Candidates are words that hold a value of MIN_VALUE or more key characters
-with a digit, an assignment to a credential name, or a known key prefix.
-Each becomes a row of features: length, character classes and their
+Candidates are all values that a word holds: runs of MIN_VALUE or more key
+characters with a digit, whatever is glued on, keys of a known prefix, and the
+value after the last sign.  A word may give several, also one
+inside another.  Each becomes a row of features: length, character classes and their
 transitions, coverage by words of the corpus, path marks and the neighbouring
 words.  A forest trained on labelled findings scores the candidates.
 
@@ -33,6 +34,13 @@ HARMLESS = r"(?i)(example|dummy|sample|placeholder|change_?me|your_|xxxx|test|to
 DIGEST = r"(?i)(commit|sha1|sha256|sha512|md5|checksum|digest|uuid|guid|etag|rev|hash|version|build|card|order|invoice|phone)"
 KNOWN = r"(AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-|sk_live_|AIza[A-Za-z0-9_-]{30,}"
 EDGES = r"[\"'`,;<>()\[\]{}]"
+# Inside a word: a name with its sign, and runs of key characters with the name
+# or marks before them.
+SIGN = r"[\"'`]?(?:=>|:=|==?|:(?!//))[\"'`]?"
+NAMED = rf"[A-Za-z0-9_.-]{{1,40}}{SIGN}"
+PADDED = r"(?:={1,2}(?![A-Za-z0-9+/_.~=-]))?"
+RUN = rf"(?:{NAMED}|[^\s\"'`,;&=:A-Za-z0-9+/_.~-]{{1,3}})?(?=([A-Za-z0-9+/_.~-]{{{MIN_VALUE},}}+{PADDED}))\1"
+KNOWN_KEY = rf"(?<![A-Za-z0-9])((?:{KNOWN})[A-Za-z0-9_-]*)"
 
 
 def value_of(word: Column) -> Column:
@@ -47,21 +55,52 @@ def is_candidate(word: Column, before: Column) -> Column:
             & (value.rlike(r"\d") | word.rlike(CREDENTIAL) | before.rlike(CREDENTIAL)))
 
 
+def values_in(word: Column, before: Column) -> Column:
+    """Sorted array of (value, rank, piece): the values that a word holds, each
+    with the piece of the word that names it.  Equal values may repeat."""
+    digit = r"\d"
+    whole = value_of(word)
+    row = lambda value, rank, piece: F.struct(value.alias("value"), F.lit(rank).alias("rank"), piece.alias("piece"))
+
+    def all_of(pattern: str, groups: tuple[int, ...], rank: int, fits) -> Column:
+        parts = [F.regexp_extract_all(word, F.lit(pattern), F.lit(g)) for g in (0, *groups)]
+        zipped = F.arrays_zip(*[p.alias(f"p{i}") for i, p in enumerate(parts)])
+        rows = F.transform(zipped, lambda z: row(F.concat(*[z[f"p{i + 1}"] for i in range(len(groups))]), rank, z["p0"]))
+        return F.filter(rows, lambda r: fits(r["value"], r["piece"]))
+
+    trimmed = lambda v: F.regexp_replace(v, r"^(?:[.~]+|--+)|(?:[.~]+|--+)$", "")
+    runs = F.filter(F.transform(all_of(RUN, (1,), 1, lambda v, p: v.rlike(digit)), lambda r: F.struct(
+        trimmed(r["value"]).alias("value"), r["rank"].alias("rank"), r["piece"].alias("piece"))), lambda r: F.length(r["value"]) >= MIN_VALUE)
+    long_enough = lambda v, p: F.length(v) >= MIN_VALUE
+    lists = [
+        F.when(is_candidate(word, before), F.array(row(whole, 0, word))),
+        F.when(word.rlike(digit), runs),
+        F.when(word.rlike(KNOWN), all_of(KNOWN_KEY, (1,), 5, long_enough)),
+    ]
+    none = F.array().cast("array<struct<value:string,rank:int,piece:string>>")
+    return F.array_sort(F.concat(*[F.coalesce(x, none) for x in lists]))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """Rows (id, text_key, pos, word, value, before, after) of (id, text)."""
+    """Rows (id, text_key, pos, word, value, before, after) of (id, text);
+    ``word`` is the piece of the word that names the value."""
     def around(a: Column, i: Column, steps: range) -> Column:
         return F.concat_ws(" ", *[F.get(a, i + j) for j in steps])
 
     # the cheap test comes first: few words are long and hold a digit or sign
-    found = F.transform(F.array(words(F.col("text"))), lambda a: F.filter(F.transform(
-        F.filter(F.transform(a, lambda x, i: F.struct(i.alias("pos"), x.alias("word"))),
-                 lambda s: (F.length(s["word"]) >= MIN_VALUE)
-                 & (s["word"].rlike(r"\d|[=:]") | F.concat_ws(" ", F.get(a, s["pos"] - 1), F.get(a, s["pos"] - 2)).rlike(CREDENTIAL))),
+    def worth(a: Column, s: Column) -> Column:
+        n, last = F.length(s["word"]), F.concat_ws(" ", F.get(a, s["pos"] - 1), F.get(a, s["pos"] - 2))
+        return (n >= MIN_VALUE) & (s["word"].rlike(r"\d|[=:]") | last.rlike(CREDENTIAL))
+
+    found = F.transform(F.array(words(F.col("text"))), lambda a: F.transform(
+        F.filter(F.transform(a, lambda x, i: F.struct(i.alias("pos"), x.alias("word"))), lambda s: worth(a, s)),
         lambda s: F.struct(s["pos"].alias("pos"), s["word"].alias("word"),
-                           around(a, s["pos"], range(-3, 0)).alias("before"), around(a, s["pos"], range(1, 3)).alias("after"))),
-        lambda s: is_candidate(s["word"], s["before"])))[0]
-    return (docs.select("id", F.xxhash64("text").alias("text_key"), F.explode(found).alias("c"))
-            .select("id", "text_key", "c.pos", "c.word", value_of(F.col("c.word")).alias("value"), "c.before", "c.after"))
+                           around(a, s["pos"], range(-3, 0)).alias("before"), around(a, s["pos"], range(1, 3)).alias("after"))))[0]
+    held = (docs.select("id", F.xxhash64("text").alias("text_key"), F.explode(found).alias("c"))
+            .select("id", "text_key", "c.pos", "c.before", "c.after", values_in(F.col("c.word"), F.col("c.before")).alias("all")))
+    once = F.filter("all", lambda x, i: (i == 0) | (F.get("all", i - 1)["value"] != x["value"]))
+    return (held.select("id", "text_key", "pos", "before", "after", F.explode(once).alias("v"))
+            .select("id", "text_key", "pos", F.col("v.piece").alias("word"), "v.value", "before", "after"))
 
 
 def letter_runs(value: Column) -> Column:
@@ -166,13 +205,16 @@ def labelled_findings(docs: DataFrame, n_docs: int = TRAIN_DOCUMENTS) -> DataFra
         F.concat_ws(" ", F.get("w", F.lit(5)), *([F.lit(b) if b == "commit" or len(b or "") > 1 else name(str(i))] if b else [F.get("w", F.lit(6))]),
                     *([F.lit(b)] if b in ("=", ":") else [])).alias("before"),
         F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(7))).alias("after")) for i, (label, b, w) in enumerate(made)])
-    return picked.select(F.explode(rows).alias("c")).select(
-        "c.label", "c.word", value_of(F.col("c.word")).alias("value"), "c.before", "c.after").where(is_candidate(F.col("word"), F.col("before")))
+    # one of each: the whole value first, else the longest inside the word
+    held = picked.select(F.explode(rows).alias("c")).select("c.*", values_in(F.col("c.word"), F.col("c.before")).alias("all"))
+    order = lambda x: F.struct((x["rank"] == 0).alias("whole"), F.length(x["value"]).alias("n"), x["value"].alias("value"))
+    return held.where(F.size("all") > 0).select("label", "word", F.array_max(F.transform("all", order))["value"].alias("value"), "before", "after")
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Candidates of all rows with the forest's verdict: ``(id, text_key, pos,
-    word, value, score, is_secret)``, ``pos`` counting words from 0.
+    word, value, score, is_secret)``, ``pos`` counting words from 0; a word may
+    hold several values, ``word`` is the piece of it that names the value.
 
     ``findings`` are labelled findings (word, value, before, after, label);
     without them, ``labelled_findings`` makes some.  Null and empty texts have
@@ -197,9 +239,11 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_
 
 
 def mask(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the secrets of ``found`` replaced by MASK."""
+    """``docs`` with the secrets of ``found`` replaced by MASK, a value inside
+    another after it."""
     hits = keep(found.where("is_secret").groupBy(F.col("id").alias("__id"), F.col("text_key").alias("__key"))
-                .agg(F.sort_array(F.collect_set("value"), asc=False).alias("__values")), "secrets")
+                .agg(F.transform(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False),
+                                 lambda x: x["value"]).alias("__values")), "secrets")   # the longest first
     size = hits.agg(F.coalesce(F.sum(F.size("__values")), F.lit(0))).first()[0]
     joined = docs.join(bounded(hits, size), docs[id_col].eqNullSafe(F.col("__id"))
                        & (F.xxhash64(docs[text_col]) == F.col("__key")), "left")
