@@ -1,8 +1,9 @@
 """Secret scans with a random forest against false positives.
 
 Candidates are all values that a word holds: runs of MIN_VALUE or more key
-characters with a digit, whatever is glued on, keys of a known prefix, and the
-value after the last sign.  A word may give several, also one
+characters with a digit, whatever is glued on, keys of a known prefix, values
+assigned inside the word, those of a credential name from LEAST_ASSIGNED
+characters on, and passwords of addresses.  A word may give several, also one
 inside another.  Each becomes a row of features: length, character classes and their
 transitions, coverage by words of the corpus, path marks and the neighbouring
 words.  A forest trained on labelled findings scores the candidates.
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from fitframe.llm.common import bounded, keep, table, words
 
 MIN_VALUE = 12           # key characters of a candidate value
+LEAST_ASSIGNED = 6       # characters of a value assigned to a credential name
 TRAIN_DOCUMENTS = 1500   # documents whose words surround the labelled findings
 DICTIONARY_SHARE = 1e-4  # share of documents that a dictionary word stands in ...
 DICTIONARY_LEAST = 3     # ... and the least number of them
@@ -34,12 +36,16 @@ HARMLESS = r"(?i)(example|dummy|sample|placeholder|change_?me|your_|xxxx|test|to
 DIGEST = r"(?i)(commit|sha1|sha256|sha512|md5|checksum|digest|uuid|guid|etag|rev|hash|version|build|card|order|invoice|phone)"
 KNOWN = r"(AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-|sk_live_|AIza[A-Za-z0-9_-]{30,}"
 EDGES = r"[\"'`,;<>()\[\]{}]"
-# Inside a word: a name with its sign, and runs of key characters with the name
-# or marks before them.
+# Inside a word: a name with its sign, runs of key characters with the name or
+# marks before them, assigned values, and user:password@ of an address.
 SIGN = r"[\"'`]?(?:=>|:=|==?|:(?!//))[\"'`]?"
 NAMED = rf"[A-Za-z0-9_.-]{{1,40}}{SIGN}"
 PADDED = r"(?:={1,2}(?![A-Za-z0-9+/_.~=-]))?"
 RUN = rf"(?:{NAMED}|[^\s\"'`,;&=:A-Za-z0-9+/_.~-]{{1,3}})?(?=([A-Za-z0-9+/_.~-]{{{MIN_VALUE},}}+{PADDED}))\1"
+ASSIGNED = rf"{NAMED}(?=([^\s\"'`,;&=:]++{PADDED}))"
+CREDENTIAL_SIGN = CREDENTIAL + rf"[A-Za-z0-9_.-]{{0,40}}{SIGN}"
+CREDENTIAL_VALUE = CREDENTIAL + r"[A-Za-z0-9_.-]{0,40}[\"'`]?(?:=>|:=|==?|:(?!//))(?:\"([^\"]+)\"|'([^']+)'|[\"'`]?([^\s\"'`,;&]+))"
+USER_PASSWORD = r"://[^\s/:@\"'`,;]*:([^\s/\"'`,;]+)@"
 KNOWN_KEY = rf"(?<![A-Za-z0-9])((?:{KNOWN})[A-Za-z0-9_-]*)"
 
 
@@ -58,9 +64,12 @@ def is_candidate(word: Column, before: Column) -> Column:
 def values_in(word: Column, before: Column) -> Column:
     """Sorted array of (value, rank, piece): the values that a word holds, each
     with the piece of the word that names it.  Equal values may repeat."""
-    digit = r"\d"
+    near, digit = before.rlike(CREDENTIAL), r"\d"
+    spaced = before.rlike(CREDENTIAL + r"[A-Za-z0-9_.-]{0,40}[\"'`]?\s?(?:=>|:=|==?|:)[\"'`]?$")
     whole = value_of(word)
+    quoted = F.regexp_extract(word, r"^[\"'`]([^\"'`]+)[\"'`]", 1)
     row = lambda value, rank, piece: F.struct(value.alias("value"), F.lit(rank).alias("rank"), piece.alias("piece"))
+    some = lambda test, value, rank: F.when(test, F.array(row(value, rank, word)))
 
     def all_of(pattern: str, groups: tuple[int, ...], rank: int, fits) -> Column:
         parts = [F.regexp_extract_all(word, F.lit(pattern), F.lit(g)) for g in (0, *groups)]
@@ -71,10 +80,16 @@ def values_in(word: Column, before: Column) -> Column:
     trimmed = lambda v: F.regexp_replace(v, r"^(?:[.~]+|--+)|(?:[.~]+|--+)$", "")
     runs = F.filter(F.transform(all_of(RUN, (1,), 1, lambda v, p: v.rlike(digit)), lambda r: F.struct(
         trimmed(r["value"]).alias("value"), r["rank"].alias("rank"), r["piece"].alias("piece"))), lambda r: F.length(r["value"]) >= MIN_VALUE)
-    long_enough = lambda v, p: F.length(v) >= MIN_VALUE
+    assigned = F.transform(all_of(ASSIGNED, (1,), 2, lambda v, p: (F.length(v) >= MIN_VALUE) & (v.rlike(digit) | p.rlike(CREDENTIAL))),
+                           lambda r: F.struct(r["value"].alias("value"), r["rank"].alias("rank"), F.concat(r["piece"], r["value"]).alias("piece")))
+    long_enough = lambda v, p: F.length(v) >= LEAST_ASSIGNED
     lists = [
-        F.when(is_candidate(word, before), F.array(row(whole, 0, word))),
-        F.when(word.rlike(digit), runs),
+        some(is_candidate(word, before), whole, 0),
+        some(spaced & (F.length(whole) >= LEAST_ASSIGNED) & ~whole.rlike(r"[\"'`]"), whole, 0),
+        some(spaced & (F.length(quoted) >= LEAST_ASSIGNED), quoted, 0),
+        F.when(word.rlike(digit), runs), F.when(word.rlike("[=:]"), assigned),
+        F.when(word.rlike(CREDENTIAL_SIGN), all_of(CREDENTIAL_VALUE, (2, 3, 4), 3, long_enough)),
+        F.when(word.contains("://"), all_of(USER_PASSWORD, (1,), 4, long_enough)),
         F.when(word.rlike(KNOWN), all_of(KNOWN_KEY, (1,), 5, long_enough)),
     ]
     none = F.array().cast("array<struct<value:string,rank:int,piece:string>>")
@@ -90,7 +105,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     # the cheap test comes first: few words are long and hold a digit or sign
     def worth(a: Column, s: Column) -> Column:
         n, last = F.length(s["word"]), F.concat_ws(" ", F.get(a, s["pos"] - 1), F.get(a, s["pos"] - 2))
-        return (n >= MIN_VALUE) & (s["word"].rlike(r"\d|[=:]") | last.rlike(CREDENTIAL))
+        return (((n >= LEAST_ASSIGNED + 4) & s["word"].rlike(r"\d|[=:]")) | ((n >= MIN_VALUE) & last.rlike(CREDENTIAL))
+                | ((n >= LEAST_ASSIGNED) & F.get(a, s["pos"] - 1).rlike("[=:>\"'`]$") & last.rlike(CREDENTIAL)))
 
     found = F.transform(F.array(words(F.col("text"))), lambda a: F.transform(
         F.filter(F.transform(a, lambda x, i: F.struct(i.alias("pos"), x.alias("word"))), lambda s: worth(a, s)),
@@ -186,6 +202,14 @@ def labelled_findings(docs: DataFrame, n_docs: int = TRAIN_DOCUMENTS) -> DataFra
         (1, ":", cut(mixed("e"), 16, 30, "e")),
         (1, None, join(name("f"), F.lit(":"), cut(mixed("f"), 14, 20, "f"))),
         (1, None, join(name("g"), F.lit("='"), cut(mixed("g"), 14, 20, "g"), F.lit("'"))),
+        (1, None, join(name("c8"), F.lit("="), cut(mixed("c8"), 8, 4, "c8"))),
+        (1, "=", join(F.lit('"'), cut(mixed("d8"), 8, 4, "d8"), F.lit('"'))),
+        (1, None, join(name("e8"), F.lit("="), F.base64(F.unhex(h("e8"))))),
+        (1, None, join(name("f8"), F.lit("="), F.substring(mixed("f8"), 1, 6), pick("f9", "@", "#", "^"), F.substring(h("f8"), 1, 7))),
+        (1, None, join(F.lit("://app:"), cut(mixed("g8"), 10, 10, "g8"), F.lit("@"))),
+        (0, None, join(name("h8"), F.lit("="), pick("h9", "required", "missing", "disabled", "optional", "default"))),
+        (0, "=", join(F.lit('"'), word(2), word(3), F.lit('"'))), (0, None, join(name("i8"), F.lit(":"), word(4), word(5))),
+        (0, None, join(F.lit("@"), word(1), digits("j8", 2), F.lit("."), word(2), F.lit(".com"))),
         (0, None, digits("h", 16)), (0, "commit", h("i")), (0, "sha1", h("j")), (0, "checksum", join(h("k"), F.substring(h("k2"), 1, 24))),
         (0, None, join(F.lit("sha256:"), h("l"), F.substring(h("l2"), 1, 24))),
         (0, None, F.concat_ws(".", *[F.conv(F.substring(h(f"m{i}"), 1, 2), 16, 10) for i in range(4)])),

@@ -70,3 +70,20 @@ def test_secrets_with_marks_glued_on(spark):
     assert {r.value for r in found.where("id >= 200 and is_secret").collect()} == {HEX, key}
     text = {r.doc_id: r.text for r in secret_scan.mask(docs, found).collect()}
     assert text[200] == 'we use token = "[SECRET]"### here' and text[201] == "is ([SECRET])###, live" and text[202] == "it is #[SECRET]# now"
+
+
+def test_every_assignment_of_a_word(spark):
+    value, padded = "b7db7aa4a5fcc78305", "Eby8vdM02xNOcqFlqUwJPLlmEtlCDXJ1OUzFT50uSRZ6IFsutq=="
+    cases = [f'{{"api_key":"{value}","region":"us"}}', f"https://x.org/a?token={value}&u=1", f"AccountKey={padded}", padded,
+             "postgres://app:s3cretPassw0rd99@db:5432/app", "password=Tr0ub4dor@2024xyz", "password=Abc12345", "password=x1;y=2;pwd=Zk93fQ1x"]
+    want = [value, value, padded, padded, "s3cretPassw0rd99", "Tr0ub4dor@2024xyz", "Abc12345", "Zk93fQ1x"]
+    docs = spark.createDataFrame([(i, f"it says {c} here", "a") for i, c in enumerate(cases)] + [(50, 'password = "Abc12345" here', "a"), (51, "password required here", "a")],
+                                 "id long, text string, value string")
+    got = {}
+    for r in secret_scan.candidates(docs.select("id", "text")).collect():
+        got.setdefault(r.id, []).append(r.value)
+    assert all(w in got[i] and len(set(got[i])) == len(got[i]) for i, w in enumerate(want))
+    assert got[50] == ["Abc12345"] and 51 not in got
+    told = documents(spark).select(F.col("doc_id").alias("id"), "text").unionByName(docs.select(F.col("id") + 1000, "text").toDF("id", "text"))
+    judged = {(r.id, r.value): r.is_secret for r in secret_scan.scan(told, id_col="id").collect()}
+    assert all(judged[1000 + i, want[i]] for i in (0, 1, 4, 5, 6, 7))
