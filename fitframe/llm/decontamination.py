@@ -2,7 +2,9 @@
 
 Words become template tokens: numbers, capitalised words inside a sentence
 and units after a number turn into typed placeholders, other words lose case
-and outer punctuation.  Windows of WINDOW template tokens are hashed and
+and outer punctuation.  Two more forms stand beside the template: one with
+names as words, and the plain words without any placeholder, in which windows
+need no literals.  Windows of WINDOW template tokens are hashed and
 joined between documents and benchmark items.  Matches of one item on one
 diagonal (the same shift between item and document) form an occurrence.  Its
 slots, the words behind the placeholders, must map one to one: then it is an
@@ -18,7 +20,7 @@ from fitframe.llm.common import SEPARATORS, bounded, keep, table
 
 WINDOW = 8         # template tokens; an item of 5 to 7 tokens is one window
 SHORTEST = 5       # shorter items can't be told from ordinary text
-LITERALS = 4       # literal tokens that a window needs
+LITERALS = 4       # literal tokens that a window of the template forms needs
 ENOUGH = 13        # covered tokens, or half of the item, make an occurrence
 
 NUM, NAME, UNIT = "\u0001", "\u0002", "\u0003"
@@ -28,42 +30,75 @@ UNITS = ("kg", "g", "mg", "t", "lb", "oz", "km", "m", "cm", "mm", "ft", "in", "m
          "kw", "v", "a", "j", "n", "pa", "k", "usd", "eur", "gbp", "dollars", "euros", "cents", "percent", "degrees")
 
 
-def canonical(text: Column, names: bool = True) -> Column:
+NUMBER = r"(?<![\p{L}\p{N}])[+-]?\d+(?:[.,:/-]\d+)*%?"
+
+
+def _stripped(t: Column) -> Column:
+    t = F.regexp_replace(t, r"(?<!\S)[\"'(\[{]+(?=\S)", "")
+    return F.lower(F.regexp_replace(t, r"(?<=\S)[.,;:!?\"')\]}]+(?!\S)", ""))
+
+
+def _clean(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0003]", "?")
+
+
+def canonical(text: Column) -> Column:
     """The text with placeholders, lower-cased, outer punctuation removed;
     word by word aligned with the text."""
-    t = F.coalesce(text, F.lit(""))
-    t = F.regexp_replace(t, "[\u0001-\u0003]", "?")
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])[+-]?\d+(?:[.,:/-]\d+)*%?", NUM)
+    t = F.regexp_replace(_clean(text), NUMBER, NUM)
     t = F.regexp_replace(t, rf"(?i)(?<={NUM} ?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
     t = F.regexp_replace(t, rf"[$€£](?={NUM})", UNIT)
-    if names:
-        t = F.regexp_replace(t, r"(?<=[^\s.!?:;] )\p{Lu}\p{Ll}+(?!\p{L})", NAME)
-    t = F.regexp_replace(t, r"(?<!\S)[\"'(\[{]+(?=\S)", "")
-    return F.lower(F.regexp_replace(t, r"(?<=\S)[.,;:!?\"')\]}]+(?!\S)", ""))
+    return _stripped(F.regexp_replace(t, r"(?<=[^\s.!?:;] )\p{Lu}\p{Ll}+(?!\p{L})", NAME))
+
+
+def plain(text: Column) -> Column:
+    """The text without placeholders, else as ``canonical``."""
+    return _stripped(_clean(text))
+
+
+def with_names(tokens: Column, words: Column) -> Column:
+    """Template tokens with the names as words; ``words`` are the plain ones."""
+    return F.zip_with(tokens, words, lambda a, b: F.when(a.contains(NAME), F.regexp_replace(b, NUMBER, NUM)).otherwise(a))
 
 
 def _split(t: Column) -> Column:
     return F.filter(F.split(t, SEPARATORS), lambda x: x != "")
 
 
+WINDOW_TYPE = "array<struct<k:int,pos:int,h:bigint>>"
+
+
+def _hashed(h: Column, k: int, places: Column) -> Column:
+    return F.transform(places, lambda i: F.struct(
+        F.lit(k).alias("k"), i.alias("pos"), F.xxhash64(F.lit(k), *[F.get(h, i + j) for j in range(k)]).alias("h")))
+
+
 def windows(tokens: Column, lengths: list[int]) -> Column:
     """Array of (k, pos, h): the windows of these lengths at every position."""
     hashes = F.transform(F.array(F.transform(tokens, lambda x: F.xxhash64(x))), lambda h: F.concat(*[
-        F.when(F.size(h) < k, F.array().cast("array<struct<k:int,pos:int,h:bigint>>")).otherwise(
-            F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.struct(
-                F.lit(k).alias("k"), i.alias("pos"), F.xxhash64(F.lit(k), *[F.get(h, i + j) for j in range(k)]).alias("h"))))
+        F.when(F.size(h) < k, F.array().cast(WINDOW_TYPE)).otherwise(_hashed(h, k, F.sequence(F.lit(0), F.size(h) - k)))
         for k in lengths]))
     return hashes[0]
 
 
+def other_windows(tokens: Column, base: Column, lengths: list[int]) -> Column:
+    """The windows of ``tokens`` that differ from those of ``base``."""
+    changed = F.filter(F.transform(F.zip_with(tokens, base, lambda a, b: a != b), lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
+    both = F.transform(F.array(F.struct(F.transform(tokens, lambda x: F.xxhash64(x)).alias("h"), changed.alias("at"))), lambda s: F.concat(*[
+        F.when((F.size(s["h"]) < k) | (F.size(s["at"]) == 0), F.array().cast(WINDOW_TYPE)).otherwise(_hashed(s["h"], k, F.array_distinct(
+            F.flatten(F.transform(s["at"], lambda p: F.sequence(F.greatest(F.lit(0), F.least(p - (k - 1), F.size(s["h"]) - k)), F.least(p, F.size(s["h"]) - k)))))))
+        for k in lengths]))
+    return both[0]
+
+
 def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """Tokens of the items; items with names once more with the names as
-    words, for copies in other case."""
+    """Items with the tokens of their forms: ``tokens``, with names as words
+    (``worded``), and the plain words."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("t")).dropna().distinct()
-    forms = F.array_distinct(F.array(*[_split(canonical(F.col("t"), names)) for names in (True, False)]))
-    return (items.select("item", "t", F.explode(forms).alias("tokens"))
-            .select("item", F.xxhash64("t", "tokens").alias("item_key"), "tokens", _split(F.col("t")).alias("raw"))
-            .withColumn("len", F.size("tokens")).where(F.col("len") >= SHORTEST))
+    items = items.select("item", F.xxhash64("t").alias("item_key"), _split(canonical(F.col("t"))).alias("tokens"),
+                         _split(plain(F.col("t"))).alias("plain"), _split(F.col("t")).alias("raw"))
+    return items.withColumn("worded", with_names(F.col("tokens"), F.col("plain"))).withColumn(
+        "len", F.size("tokens")).where(F.col("len") >= SHORTEST)
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -72,24 +107,27 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     items that stand in documents, one row per document, text and item.
 
     Null and empty texts and items never match; neither do items of fewer
-    than SHORTEST words.  Repeated rows of one id and text give one row.  A
+    than SHORTEST words, not even as copies.  Repeated rows of one id and text give one row.  A
     null id is kept.  Items may repeat.  Empty tables give an empty result,
     and other columns are not read.
     """
     items = keep(_items(benchmark, item_col, item_text_col), "items")
     lengths = sorted(r[0] for r in items.select(F.least("len", F.lit(WINDOW))).distinct().collect()) or [WINDOW]
     is_slot = lambda x: x.rlike("[\u0001-\u0003]")
-    wanted = (items.select("item", "item_key", F.size("tokens").alias("len"), "tokens",
-                           F.explode(windows(F.col("tokens"), lengths)).alias("w"))
+    form = lambda c, literals: F.struct(F.col(c).alias("tokens"), F.lit(literals).alias("literals"))
+    forms = items.select("item", "item_key", "len", F.explode(F.array(*[form(c, LITERALS) for c in ("tokens", "worded")], form("plain", 0))).alias("f"))
+    wanted = (forms.select("item", "item_key", "len", "f.tokens", "f.literals", F.explode(windows(F.col("f.tokens"), lengths)).alias("w"))
               .withColumn("k", F.least("len", F.lit(WINDOW)))
               .withColumn("part", F.expr("slice(tokens, w.pos + 1, k)"))
               .where("w.k = k")
-              .where(F.size(F.filter("part", lambda x: ~is_slot(x))) >= LITERALS)
+              .where(F.size(F.filter("part", lambda x: ~is_slot(x))) >= F.col("literals"))
               .select("item", "item_key", F.col("w.pos").alias("ipos"), F.col("w.h").alias("h")))
     wanted = keep(wanted.distinct(), "wanted")
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_key"))
-    every = src.select("id", "text_key", F.explode(windows(_split(canonical(F.col("text"))), lengths)).alias("w"))
+    told = (src.select("id", "text_key", _split(canonical(F.col("text"))).alias("tokens"), _split(plain(F.col("text"))).alias("plain")))
+    every = told.select("id", "text_key", F.explode(F.concat(
+        windows(F.col("tokens"), lengths), other_windows(F.col("plain"), F.col("tokens"), lengths))).alias("w"))
     hits = every.select("id", "text_key", "w.pos", "w.h").join(bounded(wanted, wanted.count()), "h")
     k = F.least("len", F.lit(WINDOW))
     runs = (hits.groupBy("id", "text_key", "item", "item_key", (F.col("pos") - F.col("ipos")).alias("shift"))
@@ -99,7 +137,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
             .withColumn("n_covered", F.size("covered"))
             .where((F.col("n_covered") >= ENOUGH) | (2 * F.col("n_covered") >= F.col("len"))))
     runs = keep(runs.withColumn("slots", F.filter("covered", lambda p: is_slot(F.get("tokens", p))))
-                .select("id", "text_key", "item", "shift", "n_covered", "raw", "slots"), "runs")
+                .withColumn("n_slots", F.size(F.filter("slots", lambda p: is_slot(F.get("tokens", p)))))
+                .select("id", "text_key", "item", "shift", "n_covered", "raw", "slots", "n_slots"), "runs")
 
     # the words behind the slots, of those documents that have some
     asked = runs.where(F.size("slots") > 0).select("id", "text_key").distinct()
@@ -110,7 +149,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     bare = lambda x: F.regexp_replace(F.lower(x), r"^[\"'(\[{]+|[.,;:!?\"')\]}]+$", "")
     pairs = F.array_distinct(F.transform("slots", lambda p: F.struct(
         bare(F.get("raw", p)).alias("a"), bare(F.get("words", p + F.col("shift"))).alias("b"))))
-    judged = both.select("id", "text_key", "item", "n_covered", F.size("slots").alias("n_slots"), pairs.alias("pairs"))
+    judged = both.select("id", "text_key", "item", "n_covered", "n_slots", pairs.alias("pairs"))
     one_to_one = ((F.size("pairs") == F.size(F.array_distinct(F.col("pairs.a"))))
                   & (F.size("pairs") == F.size(F.array_distinct(F.col("pairs.b")))))
     # without consistent slots, the literal words alone must be enough

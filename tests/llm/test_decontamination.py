@@ -58,3 +58,12 @@ def test_verbatim_copies_on_the_small_tables(spark):
         for i in range(len(w) - 7):
             want |= {(r.doc_id, item) for item in grams.get(tuple(w[i:i + 8]), ())}
     assert got == want
+
+
+def test_short_and_dense_items_as_verbatim_copies(spark):
+    chain, dates = "3 + 4 = 7 , 5 + 6 = 11 , 7 + 8 = 15", "Anna Berta Carl Dora Emil Franz Gerd"
+    docs, items = frames(spark, [(1, "x. What is 12 times 34? y"), (2, f"so {chain} ."), (3, f"List: {dates} end"),
+                                 (4, "x. What is 99 times 35? y"), (5, "so 3 + 4 = 7 , 5 + 6 = 12 , 7 + 9 = 15")],
+                         [(1, "What is 12 times 34?"), (2, chain), (3, dates)])
+    got = {(r.id, r.item): r.exact for r in decontamination.occurrences(docs, items).collect()}
+    assert got[1, 1] and got[2, 2] and got[3, 3] and not {i for i, _ in got} & {4}
