@@ -39,7 +39,8 @@ def _stripped(t: Column) -> Column:
 
 
 def _clean(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0003]", "?")
+    """Any blank counts as one space."""
+    return F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0003]", "?"), SEPARATORS, " ")
 
 
 def canonical(text: Column) -> Column:
@@ -93,10 +94,13 @@ def other_windows(tokens: Column, base: Column, lengths: list[int]) -> Column:
 
 def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     """Items with the tokens of their forms: ``tokens``, with names as words
-    (``worded``), and the plain words."""
+    (``worded``), with the first word as inside a sentence (``inner``), and
+    the plain words."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("t")).dropna().distinct()
+    inner = _split(canonical(F.concat(F.lit("x "), F.ltrim("t"))))
     items = items.select("item", F.xxhash64("t").alias("item_key"), _split(canonical(F.col("t"))).alias("tokens"),
-                         _split(plain(F.col("t"))).alias("plain"), _split(F.col("t")).alias("raw"))
+                         _split(plain(F.col("t"))).alias("plain"), F.slice(inner, 2, F.greatest(F.size(inner), F.lit(1))).alias("inner"),
+                         _split(F.col("t")).alias("raw"))
     return items.withColumn("worded", with_names(F.col("tokens"), F.col("plain"))).withColumn(
         "len", F.size("tokens")).where(F.col("len") >= SHORTEST)
 
@@ -115,7 +119,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     lengths = sorted(r[0] for r in items.select(F.least("len", F.lit(WINDOW))).distinct().collect()) or [WINDOW]
     is_slot = lambda x: x.rlike("[\u0001-\u0003]")
     form = lambda c, literals: F.struct(F.col(c).alias("tokens"), F.lit(literals).alias("literals"))
-    forms = items.select("item", "item_key", "len", F.explode(F.array(*[form(c, LITERALS) for c in ("tokens", "worded")], form("plain", 0))).alias("f"))
+    forms = items.select("item", "item_key", "len", F.explode(F.array(*[form(c, LITERALS) for c in ("tokens", "worded", "inner")], form("plain", 0))).alias("f"))
     wanted = (forms.select("item", "item_key", "len", "f.tokens", "f.literals", F.explode(windows(F.col("f.tokens"), lengths)).alias("w"))
               .withColumn("k", F.least("len", F.lit(WINDOW)))
               .withColumn("part", F.expr("slice(tokens, w.pos + 1, k)"))
@@ -125,18 +129,21 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     wanted = keep(wanted.distinct(), "wanted")
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_key"))
-    told = (src.select("id", "text_key", _split(canonical(F.col("text"))).alias("tokens"), _split(plain(F.col("text"))).alias("plain")))
+    told = (src.select("id", "text_key", _split(canonical(F.col("text"))).alias("tokens"), _split(plain(F.col("text"))).alias("plain"))
+            .withColumn("worded", with_names(F.col("tokens"), F.col("plain"))))
     every = told.select("id", "text_key", F.explode(F.concat(
-        windows(F.col("tokens"), lengths), other_windows(F.col("plain"), F.col("tokens"), lengths))).alias("w"))
+        windows(F.col("tokens"), lengths), other_windows(F.col("worded"), F.col("tokens"), lengths),
+        other_windows(F.col("plain"), F.col("worded"), lengths))).alias("w"))
     hits = every.select("id", "text_key", "w.pos", "w.h").join(bounded(wanted, wanted.count()), "h")
     k = F.least("len", F.lit(WINDOW))
     runs = (hits.groupBy("id", "text_key", "item", "item_key", (F.col("pos") - F.col("ipos")).alias("shift"))
             .agg(F.array_sort(F.collect_set("ipos")).alias("at"))   # at most one entry per word of the item
-            .join(items.select("item", "item_key", "tokens", "raw", "len"), ["item", "item_key"])
+            .join(items.select("item", "item_key", "tokens", "inner", "raw", "len"), ["item", "item_key"])
             .withColumn("covered", F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + k - 1)))))
             .withColumn("n_covered", F.size("covered"))
             .where((F.col("n_covered") >= ENOUGH) | (2 * F.col("n_covered") >= F.col("len"))))
-    runs = keep(runs.withColumn("slots", F.filter("covered", lambda p: is_slot(F.get("tokens", p))))
+    # a first word that is a name inside a sentence must fit too
+    runs = keep(runs.withColumn("slots", F.filter("covered", lambda p: is_slot(F.get("tokens", p)) | is_slot(F.get("inner", p))))
                 .withColumn("n_slots", F.size(F.filter("slots", lambda p: is_slot(F.get("tokens", p)))))
                 .select("id", "text_key", "item", "shift", "n_covered", "raw", "slots", "n_slots"), "runs")
 

@@ -67,3 +67,11 @@ def test_short_and_dense_items_as_verbatim_copies(spark):
                          [(1, "What is 12 times 34?"), (2, chain), (3, dates)])
     got = {(r.id, r.item): r.exact for r in decontamination.occurrences(docs, items).collect()}
     assert got[1, 1] and got[2, 2] and got[3, 3] and not {i for i, _ in got} & {4}
+
+
+def test_names_after_any_blank_and_first_words(spark):
+    docs, items = frames(spark, [(1, "the next question What is the capital city of France"), (2, "the next question What is the capital city of Spain"),
+                                 (3, "x. so when did\nAnna and  Bert see Carl again"), (4, "x. so when did\nEva and  Tim see\nKim again")],
+                         [(1, "What is the capital city of France"), (2, "so when did Anna and Bert see Carl again")])
+    got = {(r.id, r.item): r.exact for r in decontamination.occurrences(docs, items).collect()}
+    assert got == {(1, 1): True, (2, 1): False, (3, 2): True, (4, 2): False}
