@@ -1,6 +1,7 @@
 """Language identification of mixed text.
 
-Every word's script narrows the languages: a language is a candidate if
+Words are runs of letters of one script, long runs cut into pieces of
+LONG_WORD letters.  Every word's script narrows the languages: a language is a candidate if
 training saw the script in at least SCRIPT_SHARE of its letters.  The score of
 a word in a language is the log probability of its character n-grams, hashed
 to BUCKETS, less that of the mean language.  A Viterbi pass over the words
@@ -31,7 +32,7 @@ WORD_CAP = 6.0         # a word says at most so much for or against a language
 SWITCH_PENALTY = 8.0
 SCRIPT_SHARE = 0.01
 CACHE_WORDS = 300_000  # words whose scores a worker remembers
-LONG_WORD = 40         # letters that are scored of a word
+LONG_WORD = 40         # letters of a piece; longer runs are several pieces
 UNKNOWN = "und"
 # First code points of script ranges, and the script from there on.
 SCRIPTS = ((0x0041, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"),
@@ -45,6 +46,29 @@ _STARTS = [s for s, _ in SCRIPTS]
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def _ranges(script: str) -> str:
+    """The code points of a script as the inside of a character class."""
+    ends = [*_STARTS[1:], 0x110000]
+    return "".join(f"\\U{0 if i == 0 else s:08x}-\\U{e - 1:08x}" for i, ((s, name), e) in enumerate(zip(SCRIPTS, ends)) if name == script)
+
+
+PIECE = re.compile("|".join(f"[{_ranges(name)}]{{1,{LONG_WORD}}}" for name in dict.fromkeys(name for _, name in SCRIPTS)))
+NOT_LATIN = re.compile(f"[^{_ranges('Latin')}]")
+
+
+def pieces(text: str) -> list[str]:
+    """All letters of a text as runs of one script of up to LONG_WORD letters."""
+    words = WORD.findall(text)
+    if not words or (max(map(len, words)) <= LONG_WORD and (text.isascii() or not NOT_LATIN.search(text))):
+        return words
+    return [p for w in words for p in PIECE.findall(w)]
+
+
+def piece_places(text: str) -> list[tuple[int, int]]:
+    """Where the pieces of a text begin and end."""
+    return [(m.start() + p.start(), m.start() + p.end()) for m in WORD.finditer(text) for p in PIECE.finditer(m.group())]
+
+
 def script_places(words: list[str]) -> np.ndarray:
     """Place in SCRIPTS of the first letter of each word."""
     return np.maximum(np.searchsorted(_STARTS, [ord(w[0]) for w in words], side="right") - 1, 0)
@@ -53,8 +77,8 @@ def script_places(words: list[str]) -> np.ndarray:
 def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The 1- to 3-grams of lower-cased words with their edges, as flat arrays
     (place of the word, bucket)."""
-    codes = np.frombuffer("".join(f"<{w[:LONG_WORD]}>" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(words)), [min(len(w), LONG_WORD) + 2 for w in words])
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
     owners, hashes, h = [], [], np.zeros(len(codes), np.uint64)
     for k in range(3):
         h = (h[: len(codes) - k] + codes[k:] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -102,7 +126,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> La
                                               names=["lang", "word", "n"])
         for b in batches:
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
+                held.setdefault(lang, Counter()).update(pieces((text or "").lower()))
             if sum(map(len, held.values())) > CACHE_WORDS:
                 yield out()
                 held = {}
@@ -200,10 +224,10 @@ class Labeller:
         self.table = np.empty((0, len(model.languages)), np.float32)
 
     def label(self, texts: list[str]) -> list[tuple[list[str], np.ndarray]]:
-        """Per text its words and their labels."""
+        """Per text its pieces and their labels."""
         if len(self.place) > CACHE_WORDS:
             self.place, self.table = {}, self.table[:0]
-        words = [WORD.findall(t) for t in texts]
+        words = [pieces(t) for t in texts]
         lowered = ["\n".join(w).lower().split("\n") if w else [] for w in words]
         fresh = list(set().union(*lowered).difference(self.place))
         if fresh:
@@ -246,7 +270,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
                 langs.append(names[best])
                 shares.append(float(letters[best] / letters.sum()))
                 if spans:
-                    at = [m.span() for m in WORD.finditer(text)]
+                    at = piece_places(text)
                     edge = [0, *(np.flatnonzero(np.diff(labels)) + 1).tolist(), len(at)]
                     marked.append([{"start": at[x][0], "end": at[y - 1][1], "lang": names[labels[x]]} for x, y in zip(edge, edge[1:])])
                 else:

@@ -87,3 +87,13 @@ def test_spans_scripts_and_edges(spark):
     none = language_id.train(taught.limit(0))
     assert {r.lang_pred for r in language_id.identify(df, none).collect()} == {"und"}
     assert language_id.identify(df.limit(0), model).count() == 0
+
+
+def test_long_and_mixed_runs_are_scored_whole():
+    text = "hello" + "中" * 100 + "Привет " + "é" * 41
+    found = language_id.pieces(text)
+    assert found == ["hello", "中" * 40, "中" * 40, "中" * 20, "Привет", "é" * 40, "é"]
+    assert [text[a:b] for a, b in language_id.piece_places(text)] == found
+    model = language_id.LanguageModel(["en", "zh"], np.zeros((2, language_id.BUCKETS)),
+                                      {"Latin": np.array([True, False]), "Han": np.array([False, True])})
+    assert language_id.Labeller(model).label(["hello" + "中" * 100])[0][1].tolist() == [0, 1, 1, 1]
