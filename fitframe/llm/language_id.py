@@ -182,16 +182,17 @@ def viterbi(scores: list[np.ndarray], penalty: float = SWITCH_PENALTY) -> list[n
     if not len(lengths) or not lengths[0]:
         return [np.zeros(0, np.int8) for _ in scores]
     n_lang = scores[order[0]].shape[1]
+    kind = np.int8 if n_lang <= 127 else np.int32
     alive = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # texts longer than t
     starts = np.concatenate([[0], np.cumsum(alive)])
     # time-major: the t-th words of all texts longer than t stand together
     flat = np.empty((starts[-1], n_lang), np.float32)
     for rank, i in enumerate(order[: alive[0]]):
         flat[starts[: lengths[rank]] + rank] = scores[i]
-    back = np.empty((starts[-1], n_lang), np.int8)
+    back = np.empty((starts[-1], n_lang), kind)
     value = flat[: alive[0]].astype(np.float64)
     final = np.empty((alive[0], n_lang))
-    stay = np.arange(n_lang, dtype=np.int8)
+    stay = np.arange(n_lang, dtype=kind)
     for t in range(1, lengths[0]):
         a = alive[t]
         if a < len(value):
@@ -204,7 +205,7 @@ def viterbi(scores: list[np.ndarray], penalty: float = SWITCH_PENALTY) -> list[n
         value = np.where(switch, moved[:, None], value) + flat[starts[t]: starts[t] + a]
     final[: len(value)] = value
     state = final.argmax(axis=1)
-    labels = np.empty(starts[-1], np.int8)
+    labels = np.empty(starts[-1], kind)
     for t in range(lengths[0] - 1, -1, -1):
         a = alive[t]
         labels[starts[t]: starts[t] + a] = state[:a]

@@ -97,3 +97,9 @@ def test_long_and_mixed_runs_are_scored_whole():
     model = language_id.LanguageModel(["en", "zh"], np.zeros((2, language_id.BUCKETS)),
                                       {"Latin": np.array([True, False]), "Han": np.array([False, True])})
     assert language_id.Labeller(model).label(["hello" + "中" * 100])[0][1].tolist() == [0, 1, 1, 1]
+
+
+def test_more_languages_than_a_byte_holds():
+    scores = np.full((4, 300), -30, np.float32)
+    scores[[0, 1, 2, 3], [290, 290, 140, 140]] = 0
+    assert language_id.viterbi([scores])[0].tolist() == [290, 290, 140, 140]
