@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fitframe.llm import (decontamination, language_id, ngram_join, quality_model, quality_rules, quote_linking,
-                           secret_scan, sentencepiece_bpe, token_count, warc)
+                           secret_scan, sentencepiece_bpe, token_count, warc, whitening)
 
 QUERIES = {
     "op1_warc": warc.run_query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.run_query,
     "op9_quote_linking": quote_linking.run_query,
     "op10_language_id": language_id.run_query,
+    "op12_embedding_whitening": whitening.run_query,
 }
 
 # Operators whose result SQL can state; the others are held against
