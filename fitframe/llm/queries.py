@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fitframe.llm import (decontamination, language_id, ngram_join, quality_model, quality_rules, quote_linking,
+from fitframe.llm import (conversation_trie, decontamination, language_id, ngram_join, quality_model, quality_rules, quote_linking,
                            secret_scan, sentencepiece_bpe, token_count, warc, whitening)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.run_query,
     "op9_quote_linking": quote_linking.run_query,
     "op10_language_id": language_id.run_query,
+    "op11_conversation_trie": conversation_trie.run_query,
     "op12_embedding_whitening": whitening.run_query,
 }
 
@@ -25,4 +26,5 @@ ORACLE = {
     "op1_warc": warc.ORACLE,
     "op6_ngram_jaccard": ngram_join.ORACLE,
     "op8_quality_rules": quality_rules.oracle(),
+    "op11_conversation_trie": conversation_trie.ORACLE,
 }
