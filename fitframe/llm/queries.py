@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fitframe.llm import (conversation_trie, decontamination, language_id, ngram_join, quality_model, quality_rules, quote_linking,
-                           secret_scan, sentencepiece_bpe, token_count, warc, whitening)
+                           secret_scan, sentencepiece_bpe, token_count, toxicity_crf, warc, whitening)
 
 QUERIES = {
     "op1_warc": warc.run_query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_language_id": language_id.run_query,
     "op11_conversation_trie": conversation_trie.run_query,
     "op12_embedding_whitening": whitening.run_query,
+    "op13_toxicity_crf": toxicity_crf.run_query,
 }
 
 # Operators whose result SQL can state; the others are held against
