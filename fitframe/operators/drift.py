@@ -3,11 +3,11 @@
 Numeric columns: PSI on reference-decile bins, exact two-sample KS distance
 and Wasserstein-1 distance divided by the reference std.  Categorical
 columns: Jensen-Shannon distance (natural log) and PSI on category shares.
-Both sides are first reduced to ``(column, value, side)`` counts, so a hot
-value is one row; that table is materialised once (a local relation when
-small, a checkpoint otherwise), and cumulative distributions use the
-range-bucketed running total, never a window over raw rows or over one whole
-column in one task.
+Numeric distances come from segment counts refined by branch and bound
+(``functions/cdf_gap.py``): values are neither sorted nor shuffled one by one.
+Categorical sides are reduced to ``(column, value)`` counts, so a hot value is
+one row; that table is materialised once (a local relation when small, a
+checkpoint otherwise).
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs
+from ..functions.cdf_gap import cdf_gaps, side_stats
 from ..functions.names import sanitize_metric_name
-from ..functions.ordered import running_totals
 from ..functions.quantiles import exact_quantiles
-from ..functions.sizing import SizedFrame, materialize_state
+from ..functions.sizing import materialize_state
 
 EPS = 1e-4
 
@@ -33,28 +33,15 @@ def common_columns(ref: DataFrame, cur: DataFrame) -> list[str]:
 
 
 def _tagged_counts(ref: DataFrame, cur: DataFrame, cols: list[str], cast: str) -> DataFrame:
-    num, cat = (cols, []) if cast == "double" else ([], cols)
-    counts = _counts_both(ref, cur, num, cat)
-    return counts.select("column", F.col("vd" if cast == "double" else "vs").alias("value"), "n_ref", "n_cur")
-
-
-def _counts_both(ref: DataFrame, cur: DataFrame, num: list[str], cat: list[str]) -> DataFrame:
-    """``(column, vd, vs, n_ref, n_cur)``: per-value counts of both sides for
-    numeric (``vd``) and categorical (``vs``) columns from one scan per side
-    and one shuffle, NULL and NaN left out."""
-    def cell(c, numeric):
-        vd = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
-        vs = F.lit(None).cast("string") if numeric else F.col(c).cast("string")
-        present = exprs.number(c).isNotNull() if numeric else F.col(c).isNotNull()
-        return F.when(present, F.struct(F.lit(c).alias("c"), vd.alias("vd"), vs.alias("vs")))
-
-    cells = [cell(c, True) for c in num] + [cell(c, False) for c in cat]
+    """``(column, value, n_ref, n_cur)``: per-value counts of both sides from
+    one scan per side and one shuffle, NULL and NaN left out."""
+    cells = [F.when((exprs.number(c) if cast == "double" else F.col(c)).isNotNull(),
+                    F.struct(F.lit(c).alias("c"), F.col(c).cast(cast).alias("v"))) for c in cols]
 
     def long(df, side):
         return df.select(F.lit(side).alias("side"), F.explode(F.array(*cells)).alias("s")).where(
             F.col("s").isNotNull())
-    return long(ref, 0).unionByName(long(cur, 1)).groupBy(
-        F.col("s.c").alias("column"), F.col("s.vd").alias("vd"), F.col("s.vs").alias("vs")).agg(
+    return long(ref, 0).unionByName(long(cur, 1)).groupBy(F.col("s.c").alias("column"), F.col("s.v").alias("value")).agg(
         F.sum((F.col("side") == 0).cast("long")).alias("n_ref"),
         F.sum((F.col("side") == 1).cast("long")).alias("n_cur"))
 
@@ -117,39 +104,31 @@ def js_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int
         F.round(F.sqrt(F.greatest(F.sum(kl(p) + kl(q)) / 2, F.lit(0.0))), digits).alias("js"))
 
 
-def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6,
-               sized=None) -> DataFrame:
-    """Exact two-sample Kolmogorov-Smirnov distance ``sup |F_ref - F_cur|``."""
-    sized = sized or materialize_state(_tagged_counts(ref, cur, cols, "double"))
-    counts = sized.df
-    cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], n_rows=sized.rows)
-    j = cum.join(F.broadcast(_totals(counts)), "column")
-    d = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur"))
-    return j.groupBy("column").agg(F.round(F.max(d), digits).alias("ks"))
+def _gaps(ref: DataFrame, cols: list[str], gaps: dict, what: str, of) -> DataFrame:
+    rows = [(c, float(v)) for c in cols if c in gaps and (v := of(c)) is not None]
+    return ref.sparkSession.createDataFrame(rows, f"column string, {what} double")
+
+
+def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], digits: int = 6, stats=None) -> DataFrame:
+    """Exact two-sample Kolmogorov-Smirnov distance ``sup |F_ref - F_cur|``,
+    of the columns with values on both sides (``functions/cdf_gap.py``)."""
+    gaps = cdf_gaps(ref, cur, cols, ["ks"], stats)
+    return _gaps(ref, cols, gaps, "ks", lambda c: gaps[c]["ks"]).select("column", F.round("ks", digits).alias("ks"))
 
 
 def wasserstein_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], normed: bool = True,
-                        digits: int = 6, sized=None) -> DataFrame:
+                        digits: int = 6, stats=None) -> DataFrame:
     """Wasserstein-1 distance ``integral |F_ref - F_cur| dx``, divided by the
-    reference (population) std when ``normed``; the std comes from the same
-    per-value counts (two-pass: mean, then squared deviations)."""
-    sized = sized or materialize_state(_tagged_counts(ref, cur, cols, "double"))
-    counts = sized.df
-    cum = running_totals(counts, "value", ["n_ref", "n_cur"], by=["column"], with_next_key=True,
-                         n_rows=sized.rows)
-    j = cum.join(F.broadcast(_totals(counts)), "column")
-    step = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur")) * \
-        (F.col("next_key") - F.col("value"))
-    w = j.groupBy("column").agg(F.sum(F.coalesce(step, F.lit(0.0))).alias("w"))
+    reference (population) std of the finite values when ``normed``; NULL
+    where that is 0 or no reference value is finite."""
+    stats = stats or side_stats(ref, cur, cols)
+    gaps = cdf_gaps(ref, cur, cols, ["w1"], stats)
+    out = _gaps(ref, cols, gaps, "w", lambda c: gaps[c]["w1"])
     if not normed:
-        return w.select("column", F.round("w", digits).alias("wasserstein"))
-    mean = counts.groupBy("column").agg(F.try_divide(F.sum(F.col("n_ref") * F.col("value")), F.sum("n_ref")).alias("_m"))
-    sd = (counts.join(F.broadcast(mean), "column")
-          .groupBy("column").agg(F.sqrt(F.try_divide(F.sum(F.col("n_ref") * (F.col("value") - F.col("_m"))
-                                                           * (F.col("value") - F.col("_m"))), F.sum("n_ref"))).alias("_sd")))
-    return (w.join(F.broadcast(sd), "column")
-            .select("column", F.round(F.when(F.col("_sd") == 0, F.lit(None))
-                                      .otherwise(F.col("w") / F.col("_sd")), digits).alias("wasserstein")))
+        return out.select("column", F.round("w", digits).alias("wasserstein"))
+    std = ref.sparkSession.createDataFrame([(c, stats[c].std) for c in cols], "column string, std double")
+    return (out.join(F.broadcast(std), "column")
+            .select("column", F.round(F.when(F.col("std") > 0, F.col("w") / F.col("std")), digits).alias("wasserstein")))
 
 
 def drift_scores(ref: DataFrame, cur: DataFrame, numeric_method: str = "wasserstein",
@@ -163,23 +142,18 @@ def drift_scores(ref: DataFrame, cur: DataFrame, numeric_method: str = "wasserst
     num = [c for c in exprs.numeric_columns(ref) if c in cols]
     cat = [c for c in cols if c not in set(num)]
     spark = ref.sparkSession
-    # one scan per side and one shuffle give the per-value counts of every column
-    both = materialize_state(_counts_both(ref, cur, num, cat)) if cols else None
+    # numeric columns: counts of both sides; categorical ones: per-value counts
+    stats = side_stats(ref, cur, num) if num else {}
+    counts = materialize_state(_tagged_counts(ref, cur, cat, "string")).df if cat else None
     parts = []
     if num:
         if numeric_method == "psi":
             s = psi_numeric(ref, cur, num)
         else:
-            fn = {"wasserstein": wasserstein_numeric, "ks": ks_numeric}[numeric_method]
-            nsized = SizedFrame(both.df.where(F.col("vd").isNotNull()).select(
-                "column", F.col("vd").alias("value"), "n_ref", "n_cur"), both.rows, both.local, both.size)
-            s = fn(ref, cur, num, sized=nsized)
+            s = {"wasserstein": wasserstein_numeric, "ks": ks_numeric}[numeric_method](ref, cur, num, stats=stats)
         parts.append(s.select("column", F.col(s.columns[1]).alias("score")))
     if cat:
-        fn = {"js": js_categorical, "psi": psi_categorical}[categorical_method]
-        ccounts = both.df.where(F.col("vs").isNotNull()).select("column", F.col("vs").alias("value"),
-                                                                "n_ref", "n_cur")
-        s = fn(ref, cur, cat, counts=ccounts)
+        s = {"js": js_categorical, "psi": psi_categorical}[categorical_method](ref, cur, cat, counts=counts)
         parts.append(s.select("column", F.col(s.columns[1]).alias("score")))
     wanted = spark.createDataFrame([(c, "num" if c in set(num) else "cat", numeric_method if c in set(num) else categorical_method)
                                     for c in cols], "column string, kind string, method string")
@@ -188,7 +162,9 @@ def drift_scores(ref: DataFrame, cur: DataFrame, numeric_method: str = "wasserst
     scores = parts[0]
     for p in parts[1:]:
         scores = scores.unionByName(p)
-    filled = both.df.groupBy("column").agg(F.max(F.col("n_ref") > 0).alias("r"), F.max(F.col("n_cur") > 0).alias("c"))
+    filled = spark.createDataFrame([(c, stats[c].n[0] > 0, stats[c].n[1] > 0) for c in num], "column string, r boolean, c boolean")
+    if cat:
+        filled = filled.unionByName(counts.groupBy("column").agg(F.max(F.col("n_ref") > 0).alias("r"), F.max(F.col("n_cur") > 0).alias("c")))
     status = (F.when(F.col("r") & F.col("c"), F.lit("ok")).when(F.col("r") | F.col("c"), F.lit("one_side_empty"))
               .otherwise(F.lit("empty")))
     return (wanted.join(F.broadcast(filled), "column", "left").join(scores, "column", "left")
