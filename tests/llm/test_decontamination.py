@@ -36,6 +36,47 @@ def test_inconsistent_slots_are_no_template(spark):
     assert [r.id for r in decontamination.occurrences(docs, items).collect()] == [1]
 
 
+def test_anchors_lose_nothing(spark, monkeypatch):
+    """The same occurrences as when every text is put into template form, on
+    given texts whose numbers, names and other words were changed."""
+    import random
+    import re
+    sf, rng = "/root/testdata/sf0.001", random.Random(3)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    items += [(900, "Ann has 3 and Bob has 4 so Ann and Bob have 7 in all"), (901, "3 + 4 = 7 , 5 + 6 = 11 , 7 + 8 = 15"),
+              (902, "+ - * / + - * /"), (903, ITEM), (904, "Don't (ever) \"quote\" me, she said to Max"), (905, "A 1 b 2 c 3 d 4")]
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()[:60]]
+    for _, t in items:
+        for way in range(4):
+            new = re.sub(r"\d+", lambda m: str(rng.randint(1, 99)), t) if way == 1 else t.upper() if way == 2 else t
+            new = " ".join(w + rng.choice(["", ",", ".", "!"]) if way == 3 else w for w in new.split(" "))
+            at = rng.randrange(max(1, len(new) // 2))
+            texts.append(f"{rng.choice(texts[:60])} {new[at:] if way == 0 else new} {rng.choice(texts[:60])}")
+    for with_free in (False, True):  # item 902 has no anchor: then every text is looked at
+        docs, marks = frames(spark, list(enumerate(texts)), [i for i in items if with_free or i[0] != 902])
+        rows = lambda: sorted(tuple(r) for r in decontamination.occurrences(docs, marks).collect())
+        got = rows()
+        with monkeypatch.context() as m:
+            m.setattr(decontamination, "_with_anchors", lambda src, anchors: src)
+            assert got == rows()
+        assert len(got) > 3 * len(items) // 2
+
+
+def test_short_items_word_for_word(spark):
+    docs, items = frames(spark, [(1, "He said: define photosynthesis in plants, please."), (2, "x name three noble gases! y"), (3, "name four noble gases"),
+                                 (4, "He said yes to it."), (5, "So\n  Yes! \nno"), (6, "pi day"), (7, "Pi day\r"), (8, "define photosynthesis in animals"), (None, "Yes")],
+                         [(1, "Define photosynthesis in plants."), (2, "Name three noble gases"), (3, "Yes."), (4, "Pi day"), (5, "Add 3 to 4"), (6, " "), (7, "?!")])
+    got = {(r.id, r.item): r.exact for r in decontamination.occurrences(docs, items).collect()}
+    assert set(got) == {(1, 1), (2, 2), (5, 3), (6, 4), (7, 4), (None, 3)} and all(got.values())
+    kept = sorted(r.doc_id for r in decontamination.drop_contaminated(docs, items).collect())
+    assert kept == [3, 4, 8]
+
+
+def test_very_long_text(spark):
+    docs, items = frames(spark, [(1, "filler words here " * 100_000 + ITEM), (2, "filler words here " * 100_000)], [(1, ITEM)])
+    assert [(r.id, r.exact) for r in decontamination.occurrences(docs, items).collect()] == [(1, True)]
+
+
 def test_empty_tables(spark):
     docs, items = frames(spark, [(1, ITEM)], [(1, ITEM)])
     assert decontamination.occurrences(docs.limit(0), items).count() == 0
