@@ -163,8 +163,8 @@ def toxic_keys(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -
 
     Each round compares the toxic texts that no labelling key explains yet
     with all clean ones, so that the keys of a rare language or topic stand
-    out once the frequent ones are told.  A key counts for at most as many
-    toxic texts as it has surroundings in them.  At most MAX_KEYS, of the
+    out once the frequent ones are told.  To label, a key counts for at most
+    as many toxic texts as it has surroundings in them.  At most MAX_KEYS, of the
     highest likelihood ratios of each round."""
     first = keep(document_counts(toxic).where(F.col("n") >= max(2, LEAST_SHARE * n_toxic)), "toxic-keys")
     flags = bytearray(1 << FILTER_BITS)
@@ -187,13 +187,12 @@ def toxic_keys(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -
         label_g2 = LABEL_STRENGTH * math.log(max(tried.count(), 2))  # as many keys were tried
         tied = (both.withColumn("g2", g2).where((F.col("toxic") > n * share) & (F.col("g2") >= FEATURE_G2))
                 .orderBy(F.desc("g2"), "key").limit(MAX_KEYS).collect())
-        contexts = context_counts(toxic, [r["key"] for r in tied])
+        stands_out = lambda n, clean: likelihood_ratio(n, clean, share) >= label_g2 and n >= LEAST_TOXIC * (n + clean)
+        contexts = context_counts(toxic, [r["key"] for r in tied if stands_out(r["toxic"], r["clean"])])
         new = False
         for r in tied:
-            told = min(r["toxic"], contexts.get(r["key"], 0))
-            ratio = likelihood_ratio(told, r["clean"], share)
-            if ratio >= FEATURE_G2 and (len(keys) < MAX_KEYS or r["key"] in keys):
-                labels = ratio >= label_g2 and told >= LEAST_TOXIC * (told + r["clean"])
+            if len(keys) < MAX_KEYS or r["key"] in keys:
+                labels = r["key"] in contexts and stands_out(min(r["toxic"], contexts[r["key"]]), r["clean"])
                 new = new or labels and not keys.get(r["key"], False)
                 keys[r["key"]] = keys.get(r["key"], False) or labels
         if not new:
