@@ -108,12 +108,16 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                     driver_rows: int = DEFAULT_DRIVER_ROWS,
                     extra_aggs: Mapping | None = None,
                     extra_out: dict | None = None,
+                    extra_ranks=None,
+                    rank_out: dict | None = None,
                     ) -> dict[str, list[float | None]]:
     """Return ``{col: [quantile(p) for p in probs[col]]}``; NULL/NaN ignored.
 
     A column without values gets ``None`` for every probability.
     ``extra_aggs`` (name -> aggregate Column) ride along in the first pass;
-    their values land in ``extra_out``.
+    their values land in ``extra_out``.  ``extra_ranks`` (a function of the
+    numbers and the rows of a column) names ranks from 0 whose values are
+    searched along: ``rank_out[col] = (numbers, rows, {rank: value})``.
     """
     cols = list(dict.fromkeys(cols))
     if not cols:
@@ -133,6 +137,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
         if accuracy:
             aggs.append(F.percentile_approx(x, bp, accuracy).alias(f"b{i}"))
     extra_aggs = dict(extra_aggs or {})
+    if extra_ranks is not None:
+        aggs.append(F.count(F.lit(1)).alias("_rows"))
     aggs += [e.alias(f"_e_{k}") for k, e in extra_aggs.items()]
     _t = time.time()
     row = df.agg(*aggs).collect()[0]
@@ -177,6 +183,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                     ranks[(c, r)] = None
                     open_t[(c, r)] = [blo, bhi, expect]
         plan[c] = rows
+        if extra_ranks is not None:
+            asked = sorted(extra_ranks(total[c], row["_rows"]))
+            rank_out[c] = (total[c], row["_rows"], dict.fromkeys(asked))
+            for r in (r - below[c] for r in asked):
+                if 0 <= r < n and (c, r) not in ranks:
+                    ranks[(c, r)] = lo if lo == hi else None
+                    if lo != hi:
+                        open_t[(c, r)] = [lo, hi, n]
 
     passes = 0
     while open_t:
@@ -295,16 +309,23 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                 vals.append(None)
                 continue
             v0, v1 = (_ranked(ranks, c, r - below[c], st[c][0]) for r in (r0, r1))
-            if frac == 0 or v0 == v1:
-                vals.append(v0)
-            elif math.isinf(v0) or math.isinf(v1):   # between a number and an infinity
-                vals.append(v0 if math.isinf(v0) else v1)
-            else:
-                vals.append(v0 + (v1 - v0) * frac if math.isfinite(v1 - v0) else v0 * (1 - frac) + v1 * frac)
+            vals.append(interpolate(v0, v1, frac))
         out[c] = vals
+        if extra_ranks is not None:
+            for r in rank_out[c][2]:
+                rank_out[c][2][r] = _ranked(ranks, c, r - below[c], st[c][0])
     return out
 
 
+def interpolate(v0: float, v1: float, frac: float) -> float:
+    """The value a part of the way between two neighbouring order statistics."""
+    if frac == 0 or v0 == v1:
+        return v0
+    if math.isinf(v0) or math.isinf(v1):   # between a number and an infinity
+        return v0 if math.isinf(v0) else v1
+    return v0 + (v1 - v0) * frac if math.isfinite(v1 - v0) else v0 * (1 - frac) + v1 * frac
+
+
 def _ranked(ranks: dict, c: str, r: int, n: int) -> float:
     """Value at a rank counted from the first finite value."""
     return -math.inf if r < 0 else math.inf if r >= n else ranks[(c, r)]

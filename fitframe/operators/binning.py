@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs
+from ..functions.order_stats import OrderStats
 from ..functions.quantiles import exact_quantiles
 from ..state import Fitted, register
 
@@ -37,6 +38,9 @@ class BinState(Fitted):
         names = {c + self.suffix for c in self.edges}
         return df.select(*[c for c in df.columns if c not in names], *extra)
 
+    def order_effect(self, order: OrderStats) -> None:
+        order.changed(*[c + self.suffix for c in self.edges])
+
 
 def uniform_edges(lo: float, hi: float, bins: int) -> list[float]:
     """B2: equal-width edges; the lowest edge widened by 0.1 % of the range
@@ -52,8 +56,9 @@ def uniform_edges(lo: float, hi: float, bins: int) -> list[float]:
     return edges
 
 
-def fit_bins(df: DataFrame, cfg: Mapping | None = None) -> BinState:
-    """B1/B2: learn edges for the configured numeric columns present."""
+def fit_bins(df: DataFrame, cfg: Mapping | None = None, order: OrderStats | None = None) -> BinState:
+    """B1/B2: learn edges for the configured numeric columns present.  As bins
+    count missing values as 0, ``order`` serves columns without any."""
     cfg = dict(config.BINNING if cfg is None else cfg)
     cols = [c for c in cfg if c in df.columns]
     filled = df.select(*[F.coalesce(exprs.number(c), F.lit(0.0)).alias(c) for c in cols])
@@ -65,7 +70,7 @@ def fit_bins(df: DataFrame, cfg: Mapping | None = None) -> BinState:
     edges, labels = {}, {}
     if qcols:
         probs = {c: [i / cfg[c]["bins"] for i in range(cfg[c]["bins"] + 1)] for c in qcols}
-        q = exact_quantiles(filled, qcols, probs)
+        q = order.complete_quantiles(filled, qcols, probs) if order is not None else exact_quantiles(filled, qcols, probs)
         for c in qcols:
             if q[c][0] is None:
                 continue

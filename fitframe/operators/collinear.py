@@ -3,10 +3,11 @@
 The variance inflation factor of column i in a no-intercept regression on the
 other columns is ``G_ii / SSR_i`` with ``G = X'X`` and
 ``SSR_i = G_ii - g_i' pinv(G_-i) g_i``.  ``G`` of the median-filled columns
-comes from product and missing-pattern sums that ride along in the first pass
-of the exact median search (no scan of its own); the greedy removal of the
-largest VIF then works on sub-matrices of ``G`` on the driver (k x k
-numbers), so no removal round rescans the data.
+follows from the Gram matrix of the vectors ``[value or 0, missing flags]``,
+whose blocks are all the moments that any fill values need.  That matrix is
+one tree aggregation (``RowMatrix``) whose plan does not grow with the pairs of
+columns; the greedy removal of the largest VIF then works on sub-matrices on
+the driver (k x k numbers), so no removal round rescans the data.
 """
 
 from __future__ import annotations
@@ -31,57 +32,52 @@ def _finite(c: str):
 
 def usable_numeric(df: DataFrame, cols: list[str] | None = None, min_unique: int = 2) -> list[str]:
     """V1: numeric columns with more than ``min_unique`` distinct values and
-    a positive standard deviation (one aggregation)."""
+    a positive standard deviation.  Exact: one aggregation gives the least and
+    greatest value, each further one the next value above the last known."""
     cols = exprs.numeric_columns(df) if cols is None else cols
     if not cols:
         return []
-    finite = [_finite(c) for c in cols]
-    row = df.agg(*[F.approx_count_distinct(x).alias(f"d{i}") for i, x in enumerate(finite)],
-                 *[F.stddev_samp(x).alias(f"s{i}") for i, x in enumerate(finite)]).collect()[0]
-    return [c for i, c in enumerate(cols)
-            if row[f"d{i}"] > min_unique and row[f"s{i}"] is not None and row[f"s{i}"] > 0]
-
-
-def gram_moments(cols: list[str]) -> dict:
-    """Aggregates from which ``X'X`` of the median-filled columns follows for
-    any fill values: with ``f(x) = x`` or ``m`` when missing,
-    ``sum f(xi) f(xj) = S_ij + m_j A_ij + m_i B_ij + m_i m_j C_ij`` where
-    ``S`` sums products over rows with both present, ``A`` sums ``xi`` where
-    only ``xj`` is missing, ``B`` the reverse and ``C`` counts rows with both
-    missing.  They ride along in the first pass of the median search, so the
-    Gram matrix costs no scan of its own."""
-    xs = [F.col(c) for c in cols]
-    out = {}
-    for i in range(len(cols)):
-        for j in range(i, len(cols)):
-            out[f"s{i}_{j}"] = F.sum(xs[i] * xs[j])
-            out[f"c{i}_{j}"] = F.count(F.when(xs[i].isNull() & xs[j].isNull(), F.lit(1)))
-            if i != j:
-                out[f"a{i}_{j}"] = F.sum(F.when(xs[j].isNull(), xs[i]))
-                out[f"b{i}_{j}"] = F.sum(F.when(xs[i].isNull(), xs[j]))
-    return out
-
-
-def gram_from_moments(mom: dict, cols: list[str], fills: dict) -> np.ndarray:
-    k = len(cols)
-    m = [float(fills.get(c) or 0.0) for c in cols]
-    g = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            v = (mom[f"s{i}_{j}"] or 0.0) + m[i] * m[j] * (mom[f"c{i}_{j}"] or 0)
-            if i != j:
-                v += m[j] * (mom[f"a{i}_{j}"] or 0.0) + m[i] * (mom[f"b{i}_{j}"] or 0.0)
-            g[i, j] = g[j, i] = v
-    return g
+    clean = df.select(*[_finite(c).alias(f"x{i}") for i, c in enumerate(cols)])
+    row = clean.agg(*[f(f"x{i}").alias(f"{n}{i}") for i in range(len(cols)) for n, f in (("lo", F.min), ("hi", F.max), ("s", F.stddev_samp))]).first()
+    open_at = {i: row[f"lo{i}"] for i in range(len(cols)) if row[f"s{i}"] is not None and row[f"s{i}"] > 0}
+    for _ in range(min_unique - 1):    # known so far: the lowest values, and the greatest
+        if not open_at:
+            break
+        above = clean.agg(*[F.min(F.when(F.col(f"x{i}") > F.lit(v), F.col(f"x{i}"))).alias(f"n{i}") for i, v in open_at.items()]).first()
+        open_at = {i: above[f"n{i}"] for i in open_at if above[f"n{i}"] < row[f"hi{i}"]}
+    return [c for i, c in enumerate(cols) if i in open_at]
+
+
+def moment_matrix(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Gram matrix of ``[x_1 or 0, .., x_k or 0, missing_1, .., missing_k]``
+    over the rows of ``df`` (numbers, missing as NULL): the top left block
+    sums products of present pairs, the bottom right one counts rows where
+    both are missing, the others sum a column where another is missing."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
+    values = F.array(*[F.col(c) for c in cols])
+    both = F.concat(F.transform(values, lambda x: F.coalesce(x, F.lit(0.0))), F.transform(values, lambda x: F.isnull(x).cast("double")))
+    # a row of zeros adds nothing, and keeps an empty table from failing
+    nothing = df.sparkSession.range(1).select(array_to_vector(F.array_repeat(F.lit(0.0), 2 * len(cols))).alias("v"))
+    rows = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(both).alias("v")).unionByName(nothing), "v")
+    return RowMatrix(rows, 0, 2 * len(cols)).computeGramianMatrix().toArray()
+
+
+def filled_gram(moments: np.ndarray, fills: list[float]) -> np.ndarray:
+    """``X'X`` of the columns with these values in place of missing ones."""
+    k = len(fills)
+    fill = np.diag(fills)
+    cross = moments[:k, k:] @ fill
+    return moments[:k, :k] + cross + cross.T + fill @ moments[k:, k:] @ fill
 
 
 def _median_and_gram(df: DataFrame, cols: list[str]) -> np.ndarray:
-    """Median fill values and the filled Gram matrix from one quantile search
-    (NaN and +-inf count as missing)."""
+    """The Gram matrix of the columns filled with their exact medians (NaN
+    and +-inf count as missing)."""
     clean = df.select(*[_finite(c).alias(c) for c in cols])
-    mom: dict = {}
-    med = exact_quantiles(clean, cols, [0.5], extra_aggs=gram_moments(cols), extra_out=mom)
-    return gram_from_moments(mom, cols, {c: med[c][0] for c in cols})
+    med = exact_quantiles(clean, cols, [0.5])
+    return filled_gram(moment_matrix(clean, cols), [float(med[c][0] or 0.0) for c in cols])
 
 
 def vif_from_gram(g: np.ndarray) -> np.ndarray:
@@ -124,6 +120,9 @@ class VifState(Fitted):
         keep = [c for c in self.selected if c in df.columns]
         return df.select(*keep, *[c for c in df.columns if c not in set(keep) and c not in drop])
 
+    def order_effect(self, order) -> None:
+        """Columns are only left out."""
+
     def table(self, spark) -> DataFrame:
         return spark.createDataFrame([(c, float(v)) for c, v in self.vif.items()], "feature string, vif double")
 

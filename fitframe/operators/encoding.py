@@ -37,6 +37,9 @@ class OneHotState(Fitted):
     naming: str = "plain"       # "plain": <col>_<val>; "prefixed": onehot__<col>_<val>, remainder__<col>
     unknown_ordinal: str = "error"
 
+    def order_effect(self, order) -> None:
+        order.changed(*self.categories, *self.ordinal)
+
     def output_name(self, c: str, v) -> str:
         label = "nan" if v is None else str(v)
         return f"onehot__{c}_{label}" if self.naming == "prefixed" else f"{c}_{label}"

@@ -1,9 +1,8 @@
 """Imputation.
 
 Fit: medians by exact distributed quantiles, means by one ``avg``, modes by a
-``groupBy(column, value).count`` whose winner per column is picked with a
-``min(struct(-count, value))`` aggregate (partial aggregation, no window, ties
-to the smallest value).  Transform: one ``select`` of ``coalesce``.
+frequent-items summary whose candidates are counted exactly
+(``functions/modes.py``; ties to the smallest value).  Transform: one ``select`` of ``coalesce``.
 """
 
 from __future__ import annotations
@@ -17,7 +16,8 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..functions import exprs
-from ..functions.quantiles import exact_quantiles
+from ..functions.modes import exact_modes
+from ..functions.order_stats import OrderStats, quantiles_of
 from ..state import Fitted, register
 
 
@@ -37,10 +37,15 @@ class ImputeState(Fitted):
                 sel.append(exprs.filled(df, c, info["value"]).alias(c))
         return df.select(*sel)
 
+    def order_effect(self, order: OrderStats) -> None:
+        for c, info in self.fills.items():
+            order.filled(c, info["value"])
+
 
 def fit_impute(df: DataFrame, numeric_config: Mapping | None = None,
-               categorical_config: Mapping | None = None) -> ImputeState:
-    """Learn fill values for the configured columns present in ``df``."""
+               categorical_config: Mapping | None = None, order: OrderStats | None = None) -> ImputeState:
+    """Learn fill values for the configured columns present in ``df``,
+    whose order statistics may be known to ``order``."""
     numeric_config = dict(config.NUMERIC_IMPUTE if numeric_config is None else numeric_config)
     categorical_config = dict(config.CATEGORICAL_IMPUTE if categorical_config is None
                               else categorical_config)
@@ -51,7 +56,7 @@ def fit_impute(df: DataFrame, numeric_config: Mapping | None = None,
             raise ValueError(f"Unknown strategy: {s} for column: {c}")
     medians = [c for c, s in num.items() if s == "median"]
     means = [c for c, s in num.items() if s == "mean"]
-    med = exact_quantiles(df, medians, [0.5]) if medians else {}
+    med = quantiles_of(order, df, medians, [0.5]) if medians else {}
     mean_row = df.agg(*[F.avg(exprs.number(c)).alias(c) for c in means]).collect()[0] if means else {}
     for c, s in num.items():
         v = med[c][0] if s == "median" else (mean_row[c] if s == "mean" else 0)
@@ -74,16 +79,8 @@ def fit_impute(df: DataFrame, numeric_config: Mapping | None = None,
 def column_modes(df: DataFrame, cols: list[str]) -> dict:
     """Most frequent non-missing value per column; ties -> smallest value (as
     text), given back in the column's own type."""
-    if not cols:
-        return {}
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.when(~exprs.missing(df, c), F.col(c).cast("string")).alias("v")) for c in cols])).alias("s"))
-    counts = (stacked.where(F.col("s.v").isNotNull())
-              .groupBy(F.col("s.c").alias("c"), F.col("s.v").alias("v")).count())
-    best = counts.groupBy("c").agg(
-        F.min(F.struct((-F.col("count")).alias("nc"), F.col("v").alias("v"))).alias("b"))
-    got = {r["c"]: r["b"]["v"] for r in best.collect()}
-    return {c: _typed_value(df.schema[c].dataType, got.get(c)) for c in cols}
+    got = exact_modes(df, {c: F.when(~exprs.missing(df, c), F.col(c).cast("string")) for c in cols})
+    return {c: _typed_value(df.schema[c].dataType, got[c][0] if c in got else None) for c in cols}
 
 
 def _typed_value(kind: T.DataType, text: str | None):
@@ -105,7 +102,7 @@ def impute_missing(df: DataFrame, **kw) -> DataFrame:
     return fit_impute(df, **kw).transform(df)
 
 
-def fit_median_fill(df: DataFrame, cols: list[str] | None = None) -> ImputeState:
+def fit_median_fill(df: DataFrame, cols: list[str] | None = None, order: OrderStats | None = None) -> ImputeState:
     """Median fill of every numeric column."""
     cols = exprs.numeric_columns(df) if cols is None else cols
-    return fit_impute(df, numeric_config={c: "median" for c in cols}, categorical_config={})
+    return fit_impute(df, numeric_config={c: "median" for c in cols}, categorical_config={}, order=order)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs
-from ..functions.quantiles import exact_quantiles
+from ..functions.order_stats import OrderStats, quantiles_of
 from ..state import Fitted, register
 
 
@@ -37,13 +37,18 @@ class ClipState(Fitted):
             sel.append(e.alias(c))
         return df.select(*sel)
 
+    def order_effect(self, order: OrderStats) -> None:
+        order.changed(*self.log_columns)
+        for c, (lo, hi) in self.bounds.items():
+            order.mapped(c, lambda x, lo=lo, hi=hi: min(max(x, x if lo is None else lo), math.inf if hi is None else hi))
+
     def inverse_log(self, df: DataFrame) -> DataFrame:
         return inverse_log(df, self.log_columns)
 
 
-def iqr_bounds(df: DataFrame, cols: list[str], k: float = config.IQR_K, **kw) -> dict[str, list]:
+def iqr_bounds(df: DataFrame, cols: list[str], k: float = config.IQR_K, order: OrderStats | None = None, **kw) -> dict[str, list]:
     """O1: ``(Q1 - k*IQR, Q3 + k*IQR)`` with interpolated quartiles."""
-    q = exact_quantiles(df, cols, [0.25, 0.75], **kw)
+    q = quantiles_of(order, df, cols, [0.25, 0.75], **kw)
     out = {}
     for c in cols:
         q1, q3 = q[c]
@@ -59,7 +64,7 @@ def iqr_bounds(df: DataFrame, cols: list[str], k: float = config.IQR_K, **kw) ->
 
 def fit_clip(df: DataFrame, columns: Iterable[str] | None = None, k: float = config.IQR_K,
              log_columns: Iterable[str] = (), exclude: Iterable[str] = (),
-             include_binary: bool = False) -> ClipState:
+             include_binary: bool = False, order: OrderStats | None = None) -> ClipState:
     """Learn clip bounds for ``columns`` (default: every numeric column).
 
     Columns with at most two distinct values are skipped unless
@@ -70,7 +75,9 @@ def fit_clip(df: DataFrame, columns: Iterable[str] | None = None, k: float = con
     scaled = df.select(*[(exprs.log1p_floor0(c) if c in log_columns else F.col(c)).alias(c) for c in cols])
     distinct: dict = {}
     extra = {} if include_binary else {f"d{i}": F.approx_count_distinct(c) for i, c in enumerate(cols)}
-    bounds = iqr_bounds(scaled, cols, k, extra_aggs=extra, extra_out=distinct)
+    if order is not None:
+        order.changed(*log_columns)    # bounds are learned on the logged scale
+    bounds = iqr_bounds(scaled, cols, k, order, extra_aggs=extra, extra_out=distinct)
     if not include_binary:
         bounds = {c: b for i, c in enumerate(cols) if distinct[f"d{i}"] > 2 for b in [bounds[c]]}
     return ClipState(bounds, list(log_columns))

@@ -33,6 +33,9 @@ class RareState(Fitted):
     def _from_state(cls, kw):
         return cls(kw["rules"], measure(kw["rare"]))
 
+    def order_effect(self, order) -> None:
+        order.changed(*self.rules)
+
     def rare_lists(self) -> dict[str, list] | None:
         sf: SizedFrame = self.rare
         if sf.rows > ISIN_MAX or not sf.small:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs
-from ..functions.quantiles import exact_quantiles
+from ..functions.order_stats import OrderStats, quantiles_of
 from ..state import Fitted, register
 
 
@@ -62,6 +62,11 @@ class ScaleState(Fitted):
         done = set(self.order)
         return df.select(*sel, *[F.col(c) for c in df.columns if c not in done])
 
+    def order_effect(self, order: OrderStats) -> None:
+        for c in self.order:
+            p = self.params[c]
+            order.mapped(c, lambda x, p=p: (x - p["center"]) / p["scale"])
+
     def inverse(self, df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
         """Undo the scaling of the given (or all) scaled columns."""
         cols = set(self.order if cols is None else cols)
@@ -77,7 +82,8 @@ class ScaleState(Fitted):
 
 def fit_scaler(df: DataFrame, standard: Iterable[str] = (), robust: Iterable[str] = (),
                minmax: Iterable[str] = (), skewed_to_robust: bool = False,
-               target: str | None = None, skew_threshold: float = config.SKEW_THRESHOLD) -> ScaleState:
+               target: str | None = None, skew_threshold: float = config.SKEW_THRESHOLD,
+               order: OrderStats | None = None) -> ScaleState:
     """X2 standard ``(x - mean) / std_pop``, X3 robust ``(x - median) / IQR``
     (interpolated quartiles), X4 min-max ``(x - min) / (max - min)``; a zero
     scale becomes 1.  X5: ``skewed_to_robust`` adds every other numeric
@@ -109,7 +115,7 @@ def fit_scaler(df: DataFrame, standard: Iterable[str] = (), robust: Iterable[str
             rng = (hi - lo) if lo is not None else None
             params[c] = {"kind": "minmax", "center": lo or 0.0, "scale": rng if rng not in (None, 0.0) else 1.0}
     if robust:
-        q = exact_quantiles(df, robust, [0.25, 0.5, 0.75])
+        q = quantiles_of(order, df, robust, [0.25, 0.5, 0.75])
         for c in robust:
             q1, med, q3 = q[c]
             iqr = (q3 - q1) if q1 is not None else None

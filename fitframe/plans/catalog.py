@@ -111,10 +111,10 @@ def q_prep_chain(spark: SparkSession, sf: str) -> DataFrame:
     from .pipeline import Chain, Step
     chain = Chain([
         Step("impute", lambda d, p: impute.fit_impute(d, {"o_totalprice": "median"},
-                                                      {"o_orderpriority": {"strategy": "mode"}})),
-        Step("clip", lambda d, p: outliers.fit_clip(d, ["o_totalprice", "c_acctbal"])),
+                                                      {"o_orderpriority": {"strategy": "mode"}}, p["order"])),
+        Step("clip", lambda d, p: outliers.fit_clip(d, ["o_totalprice", "c_acctbal"], order=p["order"])),
         Step("bin", lambda d, p: binning.fit_bins(d, {"o_totalprice": {
-            "strategy": "quantile", "bins": 4, "labels": PRICE_LABELS}})),
+            "strategy": "quantile", "bins": 4, "labels": PRICE_LABELS}}, p["order"])),
         Step("rare", lambda d, p: rare.fit_rare(d, {"n_name": {"threshold": 0.035, "new_name": "OTHER"}})),
     ])
     _, relabeled = chain.fit_transform(prep_chain_input(spark, sf))
@@ -1071,9 +1071,9 @@ def q_feature_chain(spark, sf):
         Step("clean", lambda d, p: cleaning.fit_clean(d, static_drop=[], keep_cols=["l_orderkey", "l_linenumber"],
                                                       name_mode="simple")),
         Step("impute", lambda d, p: impute.fit_impute(d, {}, {"l_returnflag": {"strategy": "mode"}})),
-        Step("clip", lambda d, p: outliers.fit_clip(d, ["l_extendedprice"])),
+        Step("clip", lambda d, p: outliers.fit_clip(d, ["l_extendedprice"], order=p["order"])),
         Step("bin", lambda d, p: binning.fit_bins(d, {"l_quantity": {"strategy": "quantile", "bins": 4,
-                                                                    "labels": VALUE_LABELS}})),
+                                                                    "labels": VALUE_LABELS}}, p["order"])),
         Step("rare", lambda d, p: rare.fit_rare(d, {"ship_month": {"threshold": 0.05, "new_name": "Other"}})),
         Step("vif", lambda d, p: collinear.fit_vif(d.drop("l_orderkey", "l_linenumber"))),
         Step("encode", lambda d, p: encoding.fit_one_hot(d, ["l_returnflag", "l_linestatus", "ship_month",

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..operators import (binning, cleaning, clustering, collinear, encoding, features, impute, outliers,
                          rare, scaling, scoring, selection)
+from ..functions.order_stats import OrderStats
 from ..session import ensure_checkpoint_dir
 from ..state import Fitted, load, register
 
@@ -52,7 +53,7 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
 @dataclass
 class Step:
     name: str
-    fit: Callable[[DataFrame, dict], object]                 # (df, earlier states) -> fitted
+    fit: Callable[[DataFrame, dict], object]                 # (df, earlier states and "order") -> fitted
     apply: Callable[[object, DataFrame, bool], DataFrame] | None = None  # (fitted, df, training)
     materialize_after: bool = False
     keeps_rows: bool = True           # a projection: row count unchanged
@@ -129,8 +130,10 @@ class Chain:
         cur_rows = data.count() if self.materialize else None
         lineage.rows_in = cur_rows
         fitted_steps = []
+        order = OrderStats(data)      # quantiles that outlive monotone steps
         prior: dict = {}
         for step in self.steps:
+            prior["order"] = order
             fitted = step.fit(data, prior)
             prior[step.name] = fitted
             before = data
@@ -142,6 +145,7 @@ class Chain:
                     held.append(data)
                 rows = data.count() if self.materialize else rows
             cur_rows = rows
+            order = order.after(fitted, data, step.keeps_rows)
             lineage.record(step.name, before, data, rows)
             fitted_steps.append((step, fitted))
         return FittedChain(fitted_steps, lineage, materialized=held), data
@@ -202,16 +206,16 @@ def lead_chain(target: str = config.TARGET, key: str | None = LEAD_KEY, top_k: i
                                                      static_drop=_static_drop(key)),
              lambda f, d, training: f.transform(d, dedup=training), materialize_after=True, keeps_rows=False),
         Step("2_type_convert", lambda d, p: None, lambda f, d, t: _typed(d, target)),
-        Step("3_impute", lambda d, p: impute.fit_impute(d)),
-        Step("4_outlier", lambda d, p: outliers.fit_clip(d, exclude=protect)),
+        Step("3_impute", lambda d, p: impute.fit_impute(d, order=p["order"])),
+        Step("4_outlier", lambda d, p: outliers.fit_clip(d, exclude=protect, order=p["order"])),
         Step("5_engineer", lambda d, p: features.fit_features(d)),
-        Step("6_bin", lambda d, p: binning.fit_bins(d)),
+        Step("6_bin", lambda d, p: binning.fit_bins(d, order=p["order"])),
         Step("7_rare_label", lambda d, p: rare.fit_rare(d)),
         Step("8_vif", lambda d, p: collinear.fit_vif(d.drop(*[c for c in protect if c in d.columns]))),
         Step("9_encode", lambda d, p: encoding.fit_one_hot(d)),
         Step("10_scale", lambda d, p: scaling.fit_scaler(d, config.STANDARD_SCALE_COLS, config.ROBUST_SCALE_COLS,
                                                       config.MINMAX_SCALE_COLS, skewed_to_robust=True,
-                                                      target=target)),
+                                                      target=target, order=p["order"])),
         Step("11_importance", fit_importance),
         Step("12_cluster", lambda d, p: clustering.fit_clusters(d)),
         Step("13_select", fit_top_k),

@@ -8,20 +8,52 @@ one file per partition in parallel.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             header: bool = True, **options) -> DataFrame:
-    """CSV with a header; ``schema`` given -> no inference pass."""
-    r = spark.read.option("header", header)
+# Quotes are doubled inside quoted cells, as spreadsheets, pandas and most
+# databases write them; blanks around a value belong to it.
+_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# what an empty quoted cell reads as, until it becomes an empty text
+_EMPTY_CELL = "\u0000empty\u0000"
+BAD_ROW = "_bad_row"
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, header: bool = True,
+             multi_line: bool = True, bad_rows: str = "fail", **options) -> DataFrame:
+    """CSV with a header; ``schema`` given -> no inference pass.
+
+    Quoted cells may hold commas, doubled quotes and line breaks.  An empty
+    cell is NULL, an empty quoted one an empty text.  A file with line breaks
+    in cells cannot be split, so one task reads it (where rows end in CR LF,
+    line breaks in cells come back as LF); ``multi_line=False`` splits
+    files known to have none.  A row that does not fit the schema raises;
+    ``bad_rows="keep"`` gives its text in a column ``_bad_row`` instead and
+    NULL in the cells that do not fit.
+    """
+    if bad_rows not in ("fail", "keep"):
+        raise ValueError("bad_rows must be 'fail' or 'keep'")
+    r = spark.read.option("header", header).option("multiLine", multi_line).option("emptyValue", _EMPTY_CELL)
+    for k, v in _DIALECT.items():
+        r = r.option(k, v)
     if schema is not None:
-        r = r.schema(schema)
+        schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        if bad_rows == "keep":
+            schema = StructType([*schema.fields, StructField(BAD_ROW, StringType())])
+            r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
+        else:
+            r = r.option("mode", "FAILFAST")
+        r = r.schema(schema).option("enforceSchema", not header or bad_rows == "keep")
     else:
         r = r.option("inferSchema", True)
     for k, v in options.items():
         r = r.option(k, v)
-    return r.csv(path)
+    df = r.csv(path)
+    empty = options.get("emptyValue", _EMPTY_CELL)
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)} if empty == _EMPTY_CELL else set()
+    cell = {c: F.col("`" + c.replace("`", "``") + "`") for c in df.columns}
+    return df.select(*[F.when(cell[c] == _EMPTY_CELL, F.lit("")).otherwise(cell[c]).alias(c) if c in texts else cell[c] for c in df.columns])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -36,8 +68,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_scored_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Scored rows as CSV with a header."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Scored rows as CSV with a header, in the dialect of ``read_csv``:
+    NULL as an empty cell, an empty text as an empty quoted one."""
+    w = df.write.mode(mode).option("header", True).option("emptyValue", '""')
+    for k, v in _DIALECT.items():
+        w = w.option(k, v)
+    w.csv(path)
 
 
 def stage_dump(df: DataFrame, root: str, stage: str, enabled: bool = False) -> DataFrame:
