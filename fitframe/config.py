@@ -205,4 +205,5 @@ TUNING_SPACE = {
 TEST_SIZE = 0.2
 CV_FOLDS = 3
 STACK_FOLDS = 5
+TUNE_SECONDS = 600
 N_TRIALS = 15

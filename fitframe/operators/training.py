@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import math
 import random
+import threading
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..session import ensure_checkpoint_dir
 from .evaluate import auc_exact, confusion_metrics
+from .scorer import scoring_model
 from .split import fold_column
 
 FAMILIES = list(config.TUNING_SPACE)
@@ -77,24 +81,59 @@ class TrainResult:
     drift: DataFrame | None = None      # train-vs-test drift scores (D3 columns)
     encoder: object = None              # target encoder fitted on train (E4)
     scaler: object = None               # standard scaler fitted on train (X2)
+    fills: object = None                # medians of the numeric features, fitted on train (G3)
+    features: list | None = None
+
+    def scorer(self, keep: list[str] = ()):
+        """Everything between raw features and the best model's probability
+        as one ``PipelineModel`` (``operators/scorer.py``)."""
+        states = [(n, s) for n, s in (("encode", self.encoder), ("fill", self.fills), ("scale", self.scaler)) if s is not None]
+        return scoring_model(states, self.features, self.best_model, keep)
+
+
+def _cancel_after(sc, tag: str, deadline: float, ended: threading.Event) -> None:
+    """Cancel the tagged jobs from the deadline on, until the trial has ended."""
+    if ended.wait(max(0.0, deadline - time.monotonic())):
+        return
+    while not ended.is_set():
+        sc.cancelJobsWithTag(tag)
+        ended.wait(0.3)
 
 
 def tune(train: DataFrame, name: str, n_trials: int, folds: int = config.CV_FOLDS,
-         seed: int = config.SEED, parallelism: int = 4):
+         seed: int = config.SEED, parallelism: int = 4, seconds: float | None = config.TUNE_SECONDS):
     """M2: random-draw trials scored by k-fold AUC.  A failed trial scores
-    -inf and keeps the error's text; if all fail, that is an error."""
+    -inf and keeps the error's text; if all fail, that is an error.
+
+    After ``seconds`` (None: no limit) the jobs of the running trial are
+    cancelled by their tag; that trial and those not begun score -inf and say
+    so."""
+    sc = train.sparkSession.sparkContext
+    deadline = math.inf if seconds is None else time.monotonic() + seconds
+    tag = f"tune-{uuid.uuid4().hex}"
     n = train.count()
     draws = draw_params(name, n_trials, seed)
     rows, best, best_auc = [], {}, float("-inf")
     ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     for i, p in enumerate(draws):
+        if time.monotonic() >= deadline:
+            rows.append((name, i, repr(p), float("-inf"), f"not begun within {seconds} s"))
+            continue
+        ended = threading.Event()
+        if deadline < math.inf:
+            threading.Thread(target=_cancel_after, args=(sc, tag, deadline, ended), daemon=True).start()
+        sc.addJobTag(tag)
         try:
             est = make_estimator(name, p, n)
             cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(),
                                 evaluator=ev, foldCol="fold", parallelism=parallelism, seed=seed)
             score, error = float(cv.fit(train).avgMetrics[0]), None
         except Exception as e:  # noqa: BLE001 - a failed trial scores -inf, as in the original
-            score, error = float("-inf"), str(e)[:500]
+            late = time.monotonic() >= deadline
+            score, error = float("-inf"), f"cut after {seconds} s" if late else str(e)[:500]
+        finally:
+            ended.set()
+            sc.removeJobTag(tag)
         rows.append((name, i, repr(p), score, error))
         if score > best_auc:
             best_auc, best = score, p
@@ -107,7 +146,7 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
               families: list[str] | None = None, n_trials: int = config.N_TRIALS, folds: int = config.CV_FOLDS,
               test_size: float = config.TEST_SIZE, seed: int = config.SEED,
               stack: bool = True, categorical: list[str] | None = None,
-              drift_report: bool = True) -> TrainResult:
+              drift_report: bool = True, seconds: float | None = config.TUNE_SECONDS) -> TrainResult:
     """M1/M2/M3/M5 with the original's preparation: drop NULL targets (D1),
     stratified split (D2), drift of train vs test on columns with spread on
     both sides (D3, Q2), target encoding of the categorical features and a
@@ -147,7 +186,7 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     n = train.count()
 
     def run_family(name):
-        params, rows = tune(train, name, n_trials, folds, seed)
+        params, rows = tune(train, name, n_trials, folds, seed, seconds=seconds)
         model = make_estimator(name, params, n).fit(train)
         return name, params, rows, model, _test_metrics(model.transform(test))
 
@@ -173,7 +212,7 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     res = spark.createDataFrame(results, "model string, accuracy double, precision double, "
                                          "recall double, roc_auc double")
     tri = spark.createDataFrame(trials, "model string, trial int, params string, cv_auc double, error string")
-    return TrainResult(res, tri, best_name, best_model, drift, encoder, scaler)
+    return TrainResult(res, tri, best_name, best_model, drift, encoder, scaler, fills, list(features))
 
 
 def _test_metrics(scored: DataFrame) -> tuple:

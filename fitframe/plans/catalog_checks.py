@@ -91,6 +91,65 @@ def q_score_batch(spark, sf):
                       ((p > 0.5).cast("int") == F.col("predicted_label")).alias("agrees"))
 
 
+SCORE_WEIGHTS = {"value": 0.8, "user_id": -0.5}
+SCORE_BIAS = 0.25
+
+
+@query("score_probability", f"""
+WITH e AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value, user_id::DOUBLE AS user_id FROM events),
+f AS (SELECT event_id, coalesce(value, (SELECT quantile_cont(value, 0.5) FROM e)) AS value, user_id FROM e),
+q AS (SELECT quantile_cont(value, 0.25) AS v1, quantile_cont(value, 0.75) AS v3, quantile_cont(user_id, 0.25) AS u1, quantile_cont(user_id, 0.75) AS u3 FROM f),
+c AS (SELECT event_id, least(greatest(value, v1 - 1.5 * (v3 - v1)), v3 + 1.5 * (v3 - v1)) AS value,
+             least(greatest(user_id, u1 - 1.5 * (u3 - u1)), u3 + 1.5 * (u3 - u1)) AS user_id FROM f, q),
+s AS (SELECT avg(value) AS vm, stddev_pop(value) AS vs, avg(user_id) AS um, stddev_pop(user_id) AS us FROM c),
+p AS (SELECT event_id, 1 / (1 + exp(-({SCORE_WEIGHTS['value']} * (value - vm) / vs + {SCORE_WEIGHTS['user_id']} * (user_id - um) / us + {SCORE_BIAS}))) AS p FROM c, s)
+SELECT event_id, round(p, 6) AS probability, (p > 0.5)::INT AS predicted_label FROM p""")
+def q_score_probability(spark, sf):
+    """Chain, assembler and a model of given coefficients saved as
+    one artefact, loaded, and applied to all raw rows."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.linalg import DenseMatrix, Vectors
+
+    from ..operators import scorer
+    from .pipeline import Chain, Step
+    names = list(SCORE_WEIGHTS)
+    raw = table(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_id") % 10 != 0, F.col("value")).alias("value"), F.col("user_id").cast("double").alias("user_id"))
+    chain = Chain([Step("impute", lambda d, p: impute.fit_median_fill(d, ["value"], p["order"])),
+                   Step("clip", lambda d, p: outliers.fit_clip(d, names, order=p["order"])),
+                   Step("scale", lambda d, p: scaling.fit_scaler(d, names))])
+    fitted, prepared = chain.fit_transform(raw)
+    # equal lower and upper bounds give the model its coefficients
+    given = DenseMatrix(1, len(names), list(SCORE_WEIGHTS.values()))
+    bias = Vectors.dense([SCORE_BIAS])
+    train = VectorAssembler(inputCols=names, outputCol="features").transform(prepared.withColumn("label", (F.col("event_id") % 2).cast("double")))
+    model = LogisticRegression(maxIter=1, lowerBoundsOnCoefficients=given, upperBoundsOnCoefficients=given,
+                               lowerBoundsOnIntercepts=bias, upperBoundsOnIntercepts=bias).fit(train)
+    path = _folder(spark, "scorer")
+    scorer.scoring_model(fitted.states(), names, model, ["event_id"]).write().overwrite().save(path)
+    out = scorer.score(raw, PipelineModel.load(path), ["event_id"])
+    return out.select("event_id", F.round("probability", 6).alias("probability"), "predicted_label")
+
+
+@query("csv_dialect", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN '' WHEN o_orderkey % 7 = 2 THEN 'said "' || o_orderpriority || '", twice'
+  WHEN o_orderkey % 7 = 3 THEN o_orderpriority || chr(10) || o_orderstatus WHEN o_orderkey % 7 = 4 THEN '  ' || o_orderstatus || '\ '
+  WHEN o_orderkey % 7 = 5 THEN '"' ELSE o_orderpriority || ',' END AS note, o_totalprice FROM orders""")
+def q_csv_dialect(spark, sf):
+    """S8 then S1 on texts with quotes, commas, line breaks, blanks, empty
+    texts and nulls."""
+    k, p, s = F.col("o_orderkey") % 7, F.col("o_orderpriority"), F.col("o_orderstatus")
+    note = (F.when(k == 0, F.lit(None)).when(k == 1, F.lit("")).when(k == 2, F.concat(F.lit('said "'), p, F.lit('", twice')))
+            .when(k == 3, F.concat(p, F.lit("\n"), s)).when(k == 4, F.concat(F.lit("  "), s, F.lit("\\ "))).when(k == 5, F.lit('"'))
+            .otherwise(F.concat(p, F.lit(","))))
+    o = table(spark, sf, "orders").select("o_orderkey", note.alias("note"), "o_totalprice")
+    path = _folder(spark, "csv")
+    files.write_scored_csv(o, path)
+    return files.read_csv(spark, path, o.schema)
+
+
 # ---- cleaning (C1, C3, C6, C10, D1, E3, G3, G5) ---------------------------------------
 
 @query("standard_names", """

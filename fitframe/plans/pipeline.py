@@ -110,6 +110,10 @@ class FittedChain:
             raise ValueError(f"the chain at {path} has other steps")
         return cls([(s, load(spark, f"{path}/{s.name}") if r["has_state"] else None) for s, r in zip(chain.steps, saved)])
 
+    def states(self) -> list[tuple[str, object]]:
+        """Step names and states, as ``operators.scorer.scoring_model`` takes them."""
+        return [(step.name, fitted) for step, fitted in self.steps]
+
     def state(self, name: str):
         for step, fitted in self.steps:
             if step.name == name:
@@ -166,6 +170,16 @@ class Importance(Fitted):
         return df
 
 
+@register
+@dataclass
+class TypeState(Fitted):
+    """Step 2: declared types (T1-T3) and the target as a nullable int."""
+    target: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return _typed(df, self.target)
+
+
 @register
 @dataclass
 class TopK(Fitted):
@@ -205,7 +219,7 @@ def lead_chain(target: str = config.TARGET, key: str | None = LEAD_KEY, top_k: i
         Step("1_clean", lambda d, p: cleaning.fit_clean(d, keep_cols=keep_cols, target=target,
                                                      static_drop=_static_drop(key)),
              lambda f, d, training: f.transform(d, dedup=training), materialize_after=True, keeps_rows=False),
-        Step("2_type_convert", lambda d, p: None, lambda f, d, t: _typed(d, target)),
+        Step("2_type_convert", lambda d, p: TypeState(target)),
         Step("3_impute", lambda d, p: impute.fit_impute(d, order=p["order"])),
         Step("4_outlier", lambda d, p: outliers.fit_clip(d, exclude=protect, order=p["order"])),
         Step("5_engineer", lambda d, p: features.fit_features(d)),

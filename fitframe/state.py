@@ -11,9 +11,12 @@ it.  Loading a missing state raises instead of silently passing data through.
 from __future__ import annotations
 
 import dataclasses
+import importlib
 import json
 import os
+import pkgutil
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -70,14 +73,27 @@ def write_values(spark: SparkSession, path: str, kind: str, values: dict) -> Non
     spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def _kind(name: str) -> type:
+    """The registered class of a saved state; a process that only loads has
+    not imported the modules of its steps yet."""
+    if name not in _REGISTRY:
+        from . import operators
+        for module in pkgutil.iter_modules(operators.__path__):
+            importlib.import_module(f"{operators.__name__}.{module.name}")
+        importlib.import_module(f"{__package__}.plans.pipeline")
+    return _REGISTRY[name]
+
+
 def load(spark: SparkSession, path: str) -> Fitted:
     try:
         rows = spark.read.parquet(os.path.join(path, "_state")).collect()
-    except Exception as e:  # AnalysisException: path does not exist
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no fitted state at {path}") from e
     if not rows:
         raise FileNotFoundError(f"empty fitted state at {path}")
-    cls = _REGISTRY[rows[0]["step"]]
+    cls = _kind(rows[0]["step"])
     if cls.__name__ == "TargetEncodeState":
         from .operators.encoding import load_target_encoder
         return load_target_encoder(spark, path)
