@@ -71,6 +71,26 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.similar_classes(df).collect() if r.component_id is not None)
     assert got == [(0, 4, 3), (3, 4, 3), (5, 4, 3), (5, 4, 3), (7, 0, 7)]
     assert ngram_join.similar_classes(df).where("component_id is null").count() == 1
+
+
+def test_one_id_on_different_texts(spark):
+    """Rows of an id link by their own text only; rows without ids link too."""
+    long = [f"w{i}" for i in range(60)]
+    near = " ".join(long[:30] + ["x"] + long[31:])
+    other = [f"v{i}" for i in range(60)]
+    rows = [(7, " ".join(long)), (7, " ".join(other)), (3, near), (9, " ".join(other[:-1])), (None, " ".join(other[1:])),
+            (None, "q r s t u v w x y z " * 3 + "one"), (None, "q r s t u v w x y z " * 3 + "one"), (8, "alone " * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.component_id, r.group_key) for r in ngram_join.similar_classes(df, num=80).sort("n_shingles", "doc_id").collect()]
+    groups = {}
+    for i, c, g in got:
+        groups.setdefault(g, []).append((i, c))
+    found = sorted((sorted(v, key=str) for v in groups.values()), key=str)
+    assert found == sorted([[(3, 3), (7, 3)], [(7, 7), (9, 7), (None, 7)], [(None, None), (None, None)], [(8, 8)]], key=str)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.similar_classes(df.limit(0)).count() == 0
 
 
@@ -86,7 +106,7 @@ def test_pigeonhole_keeps_a_common_key(num, den):
             if den * (n - drop) < num * (n + len(b) - (n - drop)) or not len(b):
                 continue
             import pyarrow as pa
-            batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([a.view(np.int64), b.view(np.int64)])], names=["id", "h"])
+            batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([a.view(np.int64), b.view(np.int64)]), pa.array([1, 2])], names=["id", "h", "k"])
             out = next(ngram_join.sketch_batches(num, den)([batch])).to_pylist()
             assert set(out[0]["keys"]) & set(out[1]["keys"])
             bits = [np.array(r["sketch"], dtype=np.int64).view(np.uint64) for r in out]
@@ -101,7 +121,7 @@ def test_wide_sketches_bound_the_difference(spark):
     rng = np.random.default_rng(4)
     base = rng.integers(1, 2**62, 1400)
     sets = [base[:700], base[:1000], base[:1100], base[50:1100], base[:300]]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))), pa.array(sets)], names=["id", "h"])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))), pa.array(sets), pa.array(range(len(sets)))], names=["id", "h", "k"])
     rows = next(ngram_join.sketch_batches(50, 100)([batch])).to_pylist()
     assert [len(r["wide"]) for r in rows] == [32, 32, 64, 64, 0]
     df = spark.createDataFrame([(i, j, rows[i]["wide"], rows[j]["wide"]) for i in range(5) for j in range(5)], "i int, j int, wu array<bigint>, wv array<bigint>")

@@ -55,3 +55,24 @@ def test_run_on_the_tables(spark):
     got = corpus_pipeline.run(spark, SF).collect()
     ids = [r.doc_id for r in got]
     assert len(ids) == len(set(ids)) and set(ids) < docs and len(ids) > 0.6 * len(docs)
+
+
+def test_near_duplicate_stage_keeps_clean_rows_and_drops_copies(spark):
+    """Ids on several rows, missing ids and repeated rows: each row is judged
+    by its own text, and one row of each group stays."""
+    near = sentence(1).replace("lo", "lox", 1)
+    rows = [(1, sentence(1)), (7, near), (7, sentence(2)), (8, sentence(3)), (8, sentence(3)), (None, sentence(4)), (None, sentence(4)),
+            (None, sentence(1)), (9, sentence(5)), (9, sentence(5).replace("ka", "kax", 1)), (10, None), (10, None), (11, ""), (12, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()), key=str)
+    assert [g for g in got if g[0] != 9] == sorted([(1, sentence(1)), (7, sentence(2)), (8, sentence(3)), (None, sentence(4)), (10, None), (11, ""), (12, "")], key=str)
+    assert len([g for g in got if g[0] == 9]) == 1
+
+
+def test_stages_on_empty_tables(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.count() == 0, name
