@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fitframe.llm import decontamination, ngram_join, quality_model, secret_scan, sentencepiece_bpe
-from fitframe.llm.common import bounded, keep, table
+from fitframe.llm.common import keep, table
 
 # Near duplicates: shingles of five words, a Jaccard similarity of 0.8.
 SHINGLE_WORDS, SIMILAR_NUM, SIMILAR_DEN = 5, 80, 100
@@ -21,16 +21,34 @@ SHINGLE_WORDS, SIMILAR_NUM, SIMILAR_DEN = 5, 80, 100
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier rejects.  All labels teach."""
     scored = quality_model.score_documents(docs, table(spark, sf_dir, "labels"))
-    rejected = keep(scored.where("predicted = 0").select(F.col("id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "rejected")
-    return docs.join(bounded(rejected, rejected.count()), docs["doc_id"].eqNullSafe(F.col("__id"))
-                     & F.xxhash64(docs["text"]).eqNullSafe(F.col("__key")), "left_anti")
+    return _without(docs, scored.where("predicted = 0").select("id", "text_key"), "rejected")
+
+
+def _without(docs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """``docs`` without the rows of these ids and text hashes.  The list is
+    stored, so that Spark knows its bytes when it picks the join."""
+    rows = keep(rows.toDF("__id", "__key").distinct(), name)
+    return docs.join(rows, docs["doc_id"].eqNullSafe(F.col("__id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__key")), "left_anti")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the least id."""
-    groups = ngram_join.similar_classes(docs, k=SHINGLE_WORDS, num=SIMILAR_NUM, den=SIMILAR_DEN)
-    copies = keep(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "copies")
-    return docs.join(bounded(copies, copies.count()), docs["doc_id"] == F.col("__id"), "left_anti")
+    """One document of each group stays, that with the least id (of its texts,
+    the one with the least hash; a missing id goes before none).  Of rows with
+    the same id and text one stays."""
+    groups = keep(ngram_join.similar_classes(docs, k=SHINGLE_WORDS, num=SIMILAR_NUM, den=SIMILAR_DEN)
+                  .select(F.col("doc_id").alias("id"), "component_id", "text_key", "group_key"), "groups")
+    copies = groups.where("component_id is not null and not id <=> component_id").select("id", "text_key")
+    # rows of the least id itself, or of a group without ids, on several texts
+    heads = groups.where("group_key is not null and id <=> component_id")
+    several = heads.groupBy("group_key").agg(F.min("text_key").alias("first"), F.max("text_key").alias("last")).where("first <> last")
+    others = heads.join(several, "group_key").where("text_key <> first").select("id", "text_key")
+    kept = _without(docs, copies.unionByName(others), "copies")
+    repeated = keep(groups.groupBy("id", "text_key").count().where("count > 1").select("id", "text_key"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    twice = repeated.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"))
+    again = kept.join(twice, kept["doc_id"].eqNullSafe(F.col("__id")) & F.xxhash64(kept["text"]).eqNullSafe(F.col("__key")), "left_semi")
+    return _without(kept, repeated, "repeated-pairs").unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
