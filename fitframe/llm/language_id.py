@@ -1,7 +1,7 @@
 """Language identification of mixed text.
 
-Words are runs of letters of one script, long runs cut into pieces of
-LONG_WORD letters.  Every word's script narrows the languages: a language is a candidate if
+Words are runs of letters and the marks on them of one script, long runs cut
+into pieces of LONG_WORD characters; number signs are no letters.  Every word's script narrows the languages: a language is a candidate if
 training saw the script in at least SCRIPT_SHARE of its letters.  The score of
 a word in a language is the log probability of its character n-grams, hashed
 to BUCKETS, less that of the mean language.  A Viterbi pass over the words
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +44,10 @@ SCRIPTS = ((0x0041, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530,
            (0xD7B0, "Other"), (0xF900, "Han"), (0xFB00, "Latin"), (0xFB13, "Other"), (0xFF21, "Latin"), (0xFF66, "Kana"),
            (0xFFA0, "Hangul"), (0xFFE0, "Other"), (0x20000, "Han"), (0x32000, "Other"))
 _STARTS = [s for s, _ in SCRIPTS]
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+# the same where no mark and no number sign stands, and quicker
+_PLAIN_WORD = re.compile(r"[^\W\d_]+")
+_SIGNS = regex.compile(r"[\p{M}\p{Nl}\p{No}]")
 
 
 def _ranges(script: str) -> str:
@@ -56,9 +60,19 @@ PIECE = re.compile("|".join(f"[{_ranges(name)}]{{1,{LONG_WORD}}}" for name in di
 NOT_LATIN = re.compile(f"[^{_ranges('Latin')}]")
 
 
+def _word(text: str):
+    return _PLAIN_WORD if text.isascii() or not _SIGNS.search(text) else WORD
+
+
+def n_letters(piece: str) -> int:
+    """Letters of a piece, without marks."""
+    return len(piece) if piece.isalpha() else sum(map(str.isalpha, piece))
+
+
 def pieces(text: str) -> list[str]:
-    """All letters of a text as runs of one script of up to LONG_WORD letters."""
-    words = WORD.findall(text)
+    """All letters of a text, with their marks, as runs of one script of up to
+    LONG_WORD characters."""
+    words = _word(text).findall(text)
     if not words or (max(map(len, words)) <= LONG_WORD and (text.isascii() or not NOT_LATIN.search(text))):
         return words
     return [p for w in words for p in PIECE.findall(w)]
@@ -66,7 +80,7 @@ def pieces(text: str) -> list[str]:
 
 def piece_places(text: str) -> list[tuple[int, int]]:
     """Where the pieces of a text begin and end."""
-    return [(m.start() + p.start(), m.start() + p.end()) for m in WORD.finditer(text) for p in PIECE.finditer(m.group())]
+    return [(m.start() + p.start(), m.start() + p.end()) for m in _word(text).finditer(text) for p in PIECE.finditer(m.group())]
 
 
 def script_places(words: list[str]) -> np.ndarray:
@@ -139,7 +153,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> La
         for b in batches:
             langs, words, n = np.array(b.column(0).to_pylist(), object), b.column(1).to_pylist(), np.asarray(b.column(2))
             owner, bucket = ngrams(words)
-            place, letters = script_places(words), n * np.array([len(w) for w in words])
+            place, letters = script_places(words), n * np.array([n_letters(w) for w in words])
             for lang in set(langs):
                 own = langs == lang
                 hit = own[owner]
@@ -266,7 +280,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
                     shares.append(0.0)
                     marked.append([] if spans else None)
                     continue
-                letters = np.bincount(labels, weights=list(map(len, found)), minlength=len(names))
+                letters = np.bincount(labels, weights=list(map(n_letters, found)), minlength=len(names))
                 best = int(letters.argmax())
                 langs.append(names[best])
                 shares.append(float(letters[best] / letters.sum()))

@@ -103,3 +103,13 @@ def test_more_languages_than_a_byte_holds():
     scores = np.full((4, 300), -30, np.float32)
     scores[[0, 1, 2, 3], [290, 290, 140, 140]] = 0
     assert language_id.viterbi([scores])[0].tolist() == [290, 290, 140, 140]
+
+
+def test_number_signs_are_no_letters_and_marks_stay_in_words(spark):
+    model = language_id.train(spark.createDataFrame([("the man went home", "en")] * 3 + [("हिन्दी में लिखा हुआ", "hi")] * 3, "text string, lang string"))
+    df = spark.createDataFrame([(1, "½ ²"), (2, "Ⅳ 12"), (3, "①②"), (4, "हिन्दी ½"), (5, "home²"), (6, "\u0301\u0302")], "doc_id long, text string")
+    got = {r.doc_id: r for r in language_id.identify(df, model).collect()}
+    assert all((got[i].lang_pred, got[i].score, got[i].spans) == ("und", 0.0, []) for i in (1, 2, 3, 6))
+    assert got[4].lang_pred == "hi" and [(s.start, s.end) for s in got[4].spans] == [(0, 6)] and got[5].lang_pred == "en"
+    assert language_id.pieces("हिन्दी ½ e\u0301te\u0301 x²y") == ["हिन्दी", "e\u0301te\u0301", "x", "y"]
+    assert language_id.n_letters("e\u0301te\u0301") == 3
