@@ -5,7 +5,8 @@ One-hot: the sorted distinct values of each column are learned in one
 get all zeros, and the output is a ``select`` of ``CASE`` expressions, one
 column per category.  A column of very many categories has the sparse form
 instead: ``fit_one_hot_index`` numbers the sorted categories in a state table,
-whatever their number, and the row carries the index of its one.  ML's
+whatever their number, and the row carries the index of its one, or one sparse
+ML vector of all columns.  ML's
 ``OneHotEncoder`` drops the *last* category, so it is not used for either.
 
 Target encoding: ``groupBy(value).agg(count, avg(y))`` blended with the prior,
@@ -28,6 +29,10 @@ from ..functions.sizing import SizedFrame, materialize_state, measure
 from ..state import Fitted, register
 
 
+# categories of a column that may become columns of a table
+WIDE_CATEGORIES = 10_000
+
+
 @register
 @dataclass
 class OneHotState(Fitted):
@@ -36,6 +41,7 @@ class OneHotState(Fitted):
     drop_first: bool = True
     naming: str = "plain"       # "plain": <col>_<val>; "prefixed": onehot__<col>_<val>, remainder__<col>
     unknown_ordinal: str = "error"
+    others: list = field(default_factory=list)    # columns that stay, whose names are taken
 
     def order_effect(self, order) -> None:
         order.changed(*self.categories, *self.ordinal)
@@ -44,8 +50,26 @@ class OneHotState(Fitted):
         label = "nan" if v is None else str(v)
         return f"onehot__{c}_{label}" if self.naming == "prefixed" else f"{c}_{label}"
 
+    def output_names(self) -> dict:
+        """``(column, category) -> name``: as ``output_name`` has it, with
+        ``_2``, ``_3``, .. behind where two would have the same (column ``a``
+        with ``b_c`` and column ``a_b`` with ``c``) or another column has it."""
+        taken = set(self.others) | set(self.ordinal) if self.naming == "plain" else set()
+        out = {}
+        for c, cats in self.categories.items():
+            for v in cats[1:] if self.drop_first else cats:
+                plain = name = self.output_name(c, v)
+                k = 1
+                while name in taken:
+                    k += 1
+                    name = f"{plain}_{k}"
+                taken.add(name)
+                out[c, v] = name
+        return out
+
     def transform(self, df: DataFrame) -> DataFrame:
         sel, tail = [], []
+        names = self.output_names()
         for c, cats in self.categories.items():
             if c not in df.columns:
                 continue
@@ -53,7 +77,7 @@ class OneHotState(Fitted):
             kept = cats[1:] if self.drop_first else cats
             for v in kept:
                 hit = s.isNull() if v is None else (s == F.lit(v))
-                sel.append(F.when(hit, F.lit(1.0)).otherwise(F.lit(0.0)).alias(self.output_name(c, v)))
+                sel.append(F.when(hit, F.lit(1.0)).otherwise(F.lit(0.0)).alias(names[c, v]))
         for c, order in self.ordinal.items():
             if c not in df.columns:
                 continue
@@ -75,10 +99,7 @@ class OneHotState(Fitted):
         return df.select(*sel, *tail)
 
     def feature_names(self) -> list[str]:
-        out = []
-        for c, cats in self.categories.items():
-            out += [self.output_name(c, v) for v in (cats[1:] if self.drop_first else cats)]
-        return out
+        return list(self.output_names().values())
 
 
 def _distinct(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -88,10 +109,18 @@ def _distinct(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def distinct_values(df: DataFrame, cols: list[str]) -> dict[str, list]:
     """Sorted distinct values per column (NULL last when present).  Each
-    becomes an output column, so this suits columns whose categories can be
-    columns; ``fit_one_hot_index`` has no such limit."""
+    becomes an output column, so they are counted before they are read: a
+    column of more than WIDE_CATEGORIES raises, and ``fit_one_hot_index`` has
+    no such limit."""
     out: dict[str, list] = {c: [] for c in cols}
-    for r in _distinct(df, cols).collect() if cols else []:
+    if not cols:
+        return out
+    values = materialize_state(_distinct(df, cols))
+    if values.rows > WIDE_CATEGORIES:
+        big = {r["c"]: r["count"] for r in values.df.groupBy("c").count().collect() if r["count"] > WIDE_CATEGORIES}
+        if big:
+            raise ValueError(f"too many categories for a column each: {big}; use fit_one_hot_index")
+    for r in values.df.collect():
         out[r["c"]].append(r["v"])
     return {c: sorted(v for v in vals if v is not None) + [None] * (None in vals) for c, vals in out.items()}
 
@@ -120,6 +149,32 @@ class OneHotIndexState(Fitted):
                        .withColumn(f"{c}_size", F.lit(self.sizes.get(c, 0)).cast("long")))
         return out.drop(*self.columns)
 
+    def vectors(self, df: DataFrame, numeric: Iterable[str] = (), output: str = "features") -> DataFrame:
+        """``df`` with one ML vector: the ``numeric`` columns, then the ones of
+        each encoded column, sparse whatever the number of categories.  Names
+        are ML attributes where there are at most WIDE_CATEGORIES in all; the
+        state table has them in any case."""
+        from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+        cols = [c for c in self.columns if c in df.columns and self.sizes.get(c, 0) > 0]
+        own = [c for c in self.columns if c in df.columns]    # the transform leaves them out
+        row = self.transform(df.withColumn("_keep", F.struct(*[F.col(c) for c in own])) if own else df)
+        indexed = {c: f"_one_{c}" for c in cols}
+        # an index behind the last one is the category that ML leaves out: no one at all
+        row = row.select("*", *[F.coalesce(F.col(f"{c}_index"), F.lit(self.sizes[c])).cast("double").alias(i) for c, i in indexed.items()])
+        if cols:
+            widest = df.sparkSession.createDataFrame([tuple(float(self.sizes[c]) for c in cols)], list(indexed.values()))
+            encoder = OneHotEncoder(inputCols=list(indexed.values()), outputCols=[f"{i}_v" for i in indexed.values()], dropLast=True).fit(widest)
+            row = encoder.transform(row)
+        parts = [*numeric, *[f"{i}_v" for i in indexed.values()]]
+        out = VectorAssembler(inputCols=parts, outputCol=output, handleInvalid="keep").transform(row)
+        out = out.select(*[F.col(f"_keep.{c}") if c in own else F.col(c) for c in df.columns], output)
+        if sum(self.sizes[c] for c in cols) <= WIDE_CATEGORIES:
+            known = {(r["c"], r["idx"]): r["v"] for r in self.table.df.collect()}
+            names = [*numeric, *[f"{c}_{'nan' if known.get((c, k)) is None else known[c, k]}" for c in cols for k in range(self.sizes[c])]]
+            meta = {"ml_attr": {"attrs": {"numeric": [{"idx": k, "name": n} for k, n in enumerate(names)]}, "num_attrs": len(names)}}
+            out = out.withColumn(output, F.col(output).alias(output, metadata=meta))
+        return out
+
 
 def fit_one_hot_index(df: DataFrame, columns: Iterable[str], drop_first: bool = True) -> OneHotIndexState:
     """Number the sorted categories of each column (NULL last) in Spark: a
@@ -147,7 +202,8 @@ def fit_one_hot(df: DataFrame, columns: Iterable[str] | None = None,
     # a column the typing step already mapped to numbers is already ordinal
     ords = {c: list(v) for c, v in ordinal.items()
             if c in df.columns and df.schema[c].dataType.simpleString() == "string"}
-    return OneHotState(distinct_values(df, onehot), ords, drop_first, naming, unknown_ordinal)
+    others = [c for c in df.columns if c not in set(onehot) | set(ords)]
+    return OneHotState(distinct_values(df, onehot), ords, drop_first, naming, unknown_ordinal, others)
 
 
 def to_numeric(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:

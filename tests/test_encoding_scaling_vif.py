@@ -113,3 +113,44 @@ def test_gram_with_missing_values_matches_filled_matrix(spark):
     med = np.nanmedian(F, axis=0)
     F = np.where(np.isnan(F), med, F)
     assert np.allclose(g, F.T @ F)
+
+
+def test_names_that_clash_are_told_apart(spark):
+    rows = [("b_c", "c", 1.0, "x"), ("b_c", "z", 2.0, "y"), ("a", "a", 3.0, "x"), ("d", "c", 4.0, "y")]
+    df = spark.createDataFrame(rows, "a string, a_b string, k_y double, k string")
+    st = encoding.fit_one_hot(df, ["a", "a_b", "k"], ordinal={})
+    assert st.feature_names() == ["a_b_c", "a_d", "a_b_c_2", "a_b_z", "k_y_2"]
+    out = st.transform(df)
+    assert out.columns == [*st.feature_names(), "k_y"]
+    assert [tuple(r) for r in out.collect()] == [(1, 0, 1, 0, 0, 1), (1, 0, 0, 1, 1, 2), (0, 0, 0, 0, 0, 3), (0, 1, 1, 0, 1, 4)]
+
+
+def test_categories_are_counted_before_they_are_read(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "WIDE_CATEGORIES", 5)
+    df = spark.range(20).selectExpr("cast(id as string) many", "cast(id % 3 as string) few")
+    assert encoding.distinct_values(df, ["few"]) == {"few": ["0", "1", "2"]}
+    with pytest.raises(ValueError, match="many"):
+        encoding.fit_one_hot(df, ["few", "many"], ordinal={})
+
+
+def test_sparse_vectors_train_a_model_on_user_ids(spark):
+    from pyspark.ml.classification import LogisticRegression
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr("event_id", "user_id", "event_type", "value", "cast(event_id % 2 as double) label")
+    st = encoding.fit_one_hot_index(e, ["user_id", "event_type"])
+    made = st.vectors(e, numeric=["value"])
+    n_users, n_types = e.select("user_id").distinct().count(), e.select("event_type").distinct().count()
+    assert made.columns == [*e.columns, "features"] and made.count() == e.count()
+    r = made.first()
+    assert r.features.size == n_users + n_types - 1 and len(r.features.indices) <= 3
+    names = [a["name"] for a in made.schema["features"].metadata["ml_attr"]["attrs"]["numeric"]]
+    assert names[0] == "value" and len(names) == r.features.size and sum(n.startswith("user_id_") for n in names) == n_users - 1
+    users = sorted(str(x.user_id) for x in e.select("user_id").distinct().collect())
+    for r in made.limit(50).collect():
+        on = {names[i] for i, v in zip(r.features.indices, r.features.values) if v and i}
+        want = {f"user_id_{r.user_id}"} if str(r.user_id) != users[0] else set()
+        assert {n for n in on if n.startswith("user_id_")} == want
+    model = LogisticRegression(maxIter=3).fit(made)
+    assert model.coefficients.size == r.features.size
+    # a user who was not there at fitting has no one at all
+    new = st.vectors(e.limit(1).selectExpr("event_id", "-5L as user_id", "event_type", "value", "label")).first()
+    assert all(not names[i + 1].startswith("user_id_") for i in new.features.indices)
