@@ -20,6 +20,7 @@ MAX_LOCAL_ROWS = 5_000
 MAX_LOCAL_BYTES = 4 << 20
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
+ROWS_PER_FIT_TASK = 20_000
 
 
 def row_bytes(df: DataFrame):
@@ -58,6 +59,16 @@ def measure(df: DataFrame) -> SizedFrame:
     return SizedFrame(df, n, False, size)
 
 
+def stored_for_fits(df: DataFrame, rows_per_task: int = ROWS_PER_FIT_TASK) -> tuple[DataFrame, int]:
+    """The rows stored once in the shared folder, and their number.  Iterative
+    fits run a job per step, each with a task per partition: a small table gets
+    no more partitions than its rows need, a large one keeps its own."""
+    ensure_checkpoint_dir(df.sparkSession)
+    stored = df.checkpoint(eager=True)
+    n = stored.count()
+    return stored.coalesce(max(1, -(-n // rows_per_task))), n
+
+
 def materialize_state(df: DataFrame, max_local_rows: int = MAX_LOCAL_ROWS) -> SizedFrame:
     """Run the state's aggregation once, into ``spark.checkpoint.dir`` (lineage
     cut, survives executor loss), and measure it.  Up to ``max_local_rows``

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import exprs
 from ..functions.ordered import running_totals
-from ..functions.sizing import materialize_state
+from ..functions.sizing import materialize_state, stored_for_fits
 from ..session import ensure_checkpoint_dir
 from .evaluate import auc_by, auc_exact
 from .split import fold_column
@@ -55,9 +55,10 @@ def corr_importance(df: DataFrame, features: list[str], target: str) -> DataFram
 
 
 def _vec(df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """Complete rows as vectors, stored once for the many passes of a fit."""
     clean = df.dropna(how="any", subset=[*features, target])
     va = VectorAssembler(inputCols=features, outputCol="features")
-    return va.transform(clean.select(*features, F.col(target).cast("double").alias("label")))
+    return va.transform(stored_for_fits(clean.select(*features, F.col(target).cast("double").alias("label")))[0])
 
 
 def rf_importance(df: DataFrame, target: str, features: list[str], k: int = 10,
@@ -81,9 +82,9 @@ def gbt_importance(df: DataFrame, target: str, features: list[str], n_trees: int
 
 def linear_attribution(df: DataFrame, target: str, features: list[str]) -> DataFrame:
     """L4 (exact, linear models): mean |w_j (x_j - mean_j)| in one aggregation."""
-    m = LogisticRegression(maxIter=100, labelCol="label").fit(_vec(df, features, target))
+    clean = _vec(df, features, target)
+    m = LogisticRegression(maxIter=100, labelCol="label").fit(clean)
     w = m.coefficients.toArray()
-    clean = df.dropna(how="any", subset=[*features, target])
     means = clean.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features]).collect()[0]
     row = clean.agg(*[F.avg(F.abs(F.lit(float(w[i])) * (F.col(c).cast("double") - F.lit(means[c]))))
                       .alias(c) for i, c in enumerate(features)]).collect()[0]
@@ -158,8 +159,7 @@ def rfe_cv(df: DataFrame, target: str, features: list[str], keys: list[str], fol
         *keys, *features, F.col(target).cast("double").alias("label"))
     pos = base.agg(F.avg("label")).first()[0] or 0.5
     w = F.when(F.col("label") == 1, F.lit(0.5 / pos)).otherwise(F.lit(0.5 / (1 - pos)))
-    ensure_checkpoint_dir(spark)
-    data = fold_column(base.withColumn("_w", w), keys, folds, "label", seed).checkpoint(eager=True)
+    data, _ = stored_for_fits(fold_column(base.withColumn("_w", w), keys, folds, "label", seed))
     live = list(features)
     history = []
     best, best_auc = list(live), float("-inf")

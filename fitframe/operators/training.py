@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.sizing import stored_for_fits
 from ..session import ensure_checkpoint_dir
 from .evaluate import auc_exact, confusion_metrics
 from .scorer import scoring_model
@@ -179,11 +180,9 @@ def train_all(df: DataFrame, features: list[str], target: str, keys: list[str],
     train, test = scaler.transform(train), scaler.transform(test)
     va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     # the prepared sides are stored once, in the shared folder
-    ensure_checkpoint_dir(spark)
-    train = va.transform(train).checkpoint(eager=True)
-    test = va.transform(test).checkpoint(eager=True)
+    train, n = stored_for_fits(va.transform(train))
+    test, _ = stored_for_fits(va.transform(test))
     families = families or FAMILIES
-    n = train.count()
 
     def run_family(name):
         params, rows = tune(train, name, n_trials, folds, seed, seconds=seconds)

@@ -135,7 +135,7 @@ def q_score_probability(spark, sf):
 
 @query("csv_dialect", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN '' WHEN o_orderkey % 7 = 2 THEN 'said "' || o_orderpriority || '", twice'
-  WHEN o_orderkey % 7 = 3 THEN o_orderpriority || chr(10) || o_orderstatus WHEN o_orderkey % 7 = 4 THEN '  ' || o_orderstatus || '\ '
+  WHEN o_orderkey % 7 = 3 THEN o_orderpriority || chr(10) || o_orderstatus WHEN o_orderkey % 7 = 4 THEN '  ' || o_orderstatus || '\\ '
   WHEN o_orderkey % 7 = 5 THEN '"' ELSE o_orderpriority || ',' END AS note, o_totalprice FROM orders""")
 def q_csv_dialect(spark, sf):
     """S8 then S1 on texts with quotes, commas, line breaks, blanks, empty
