@@ -14,7 +14,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import files
 from ..sources.tables import table
 from ..state import load
-from .catalog import _DOC_LABEL_SQL, _GAPS_SQL, _doc_labels, _drift_sides, _orders_with_gaps, doc_features, query
+from .catalog import _DOC_LABEL_SQL, _GAPS_SQL, VALUE_LABELS, _doc_labels, _drift_sides, _orders_with_gaps, doc_features, query
 
 
 def _folder(spark, name: str) -> str:
@@ -91,6 +91,36 @@ def q_score_batch(spark, sf):
                       ((p > 0.5).cast("int") == F.col("predicted_label")).alias("agrees"))
 
 
+@query("chain_steps", f"""
+WITH b AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CASE WHEN l_orderkey % 10 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
+                  l_linestatus, strftime(l_shipdate, '%b') AS ship_month FROM lineitem),
+m AS (SELECT l_returnflag AS v FROM b WHERE l_returnflag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS p1, quantile_cont(l_extendedprice, 0.75) AS p3,
+             min(l_quantity) AS e0, quantile_cont(l_quantity, 0.25) AS e1, quantile_cont(l_quantity, 0.5) AS e2, quantile_cont(l_quantity, 0.75) AS e3 FROM b),
+r AS (SELECT ship_month AS v, count(*) * 1.0 / (SELECT count(*) FROM b) AS share FROM b GROUP BY 1)
+SELECT l_orderkey, l_linenumber, l_quantity, round(least(greatest(l_extendedprice, p1 - 1.5 * (p3 - p1)), p3 + 1.5 * (p3 - p1)), 6) AS l_extendedprice,
+       coalesce(l_returnflag, m.v) AS l_returnflag, l_linestatus, CASE WHEN share < 0.08 THEN 'Other' ELSE ship_month END AS ship_month,
+       CASE WHEN l_quantity <= e1 THEN '{VALUE_LABELS[0]}' WHEN l_quantity <= e2 THEN '{VALUE_LABELS[1]}' WHEN l_quantity <= e3 THEN '{VALUE_LABELS[2]}'
+            ELSE '{VALUE_LABELS[3]}' END AS l_quantity_binned
+FROM b, m, q, r WHERE r.v = b.ship_month""")
+def q_chain_steps(spark, sf):
+    """The deterministic steps of a chain (clean with its low-variance
+    drop, mode, clip, bins, rare labels) learned on and replayed over all line
+    items."""
+    from ..operators import rare
+    from .pipeline import Chain, Step
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        F.when(F.col("l_orderkey") % 10 == 0, F.lit("Select")).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
+        "l_linestatus", F.date_format("l_shipdate", "MMM").alias("ship_month"))
+    chain = Chain([Step("clean", lambda d, p: cleaning.fit_clean(d, static_drop=[], keep_cols=["l_orderkey", "l_linenumber"], name_mode="simple")),
+                   Step("impute", lambda d, p: impute.fit_impute(d, {}, {"l_returnflag": {"strategy": "mode"}}, p["order"])),
+                   Step("clip", lambda d, p: outliers.fit_clip(d, ["l_extendedprice"], order=p["order"])),
+                   Step("bin", lambda d, p: binning.fit_bins(d, {"l_quantity": {"strategy": "quantile", "bins": 4, "labels": VALUE_LABELS}}, p["order"])),
+                   Step("rare", lambda d, p: rare.fit_rare(d, {"ship_month": {"threshold": 0.08, "new_name": "Other"}}))])
+    return chain.fit(li).transform(li).withColumn("l_extendedprice", F.round("l_extendedprice", 6))
+
+
 SCORE_WEIGHTS = {"value": 0.8, "user_id": -0.5}
 SCORE_BIAS = 0.25
 
