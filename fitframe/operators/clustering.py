@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import exprs
 from ..functions.quantiles import exact_quantiles
-from ..session import ensure_checkpoint_dir
+from ..functions.sizing import stored_for_fits
 from ..state import register
 
 
@@ -37,6 +37,7 @@ class ClusterModel:
     stds: dict
     model: KMeansModel
     label: str = "engagement_cluster"
+    cost: float | None = None       # within-cluster sum of squares of the training data
 
     def _prepared(self, df: DataFrame) -> DataFrame:
         va = VectorAssembler(inputCols=[f"_k_{c}" for c in self.features], outputCol="_kvec")
@@ -51,7 +52,8 @@ class ClusterModel:
         """The ML model and the fill and scale values."""
         from ..state import write_values
         write_values(SparkSession.getActiveSession(), f"{path}/_state", "ClusterModel", {
-            "features": self.features, "medians": self.medians, "means": self.means, "stds": self.stds, "label": self.label})
+            "features": self.features, "medians": self.medians, "means": self.means, "stds": self.stds, "label": self.label,
+            "cost": self.cost})
         self.model.write().overwrite().save(f"{path}/model")
 
     @classmethod
@@ -65,7 +67,7 @@ class ClusterModel:
 
     def inertia(self) -> float:
         """K2: within-cluster sum of squares of the training data."""
-        return float(self.model.summary.trainingCost)
+        return self.cost
 
     def centers(self, spark) -> DataFrame:
         rows = [(i, *map(float, c)) for i, c in enumerate(self.model.clusterCenters())]
@@ -87,8 +89,8 @@ def fit_clusters(df: DataFrame, suffixes: list[str] | None = None, k: int = conf
     stds = {c: (row[f"s{i}"] if row[f"s{i}"] else 1.0) for i, c in enumerate(feats)}
     tmp = ClusterModel(feats, medians, means, stds, None)
     # KMeans passes over its input many times: store it once
-    ensure_checkpoint_dir(df.sparkSession)
-    prepared = tmp._prepared(df).select("_kvec").checkpoint(eager=True)
+    prepared, _ = stored_for_fits(tmp._prepared(df).select("_kvec"))
     km = KMeans(k=k, seed=seed, featuresCol="_kvec", predictionCol="_kcluster", maxIter=max_iter)
     tmp.model = km.fit(prepared)
+    tmp.cost = float(tmp.model.summary.trainingCost)
     return tmp

@@ -35,12 +35,8 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
     already wide are left as they are (no extra shuffle at scale)."""
     if how is None:
         return df
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < parallelism
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        narrow = False
-    if narrow:
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
         df = df.repartition(parallelism)
     if how == "cache":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -268,8 +264,4 @@ def score_batch(raw: DataFrame, chain: FittedChain, model, features: list[str],
     return scoring.format_scores(scored, "probability", threshold)
 
 
-def lineage_frame(chain: FittedChain, spark) -> DataFrame:
-    return chain.lineage.table(spark)
-
-
-__all__ = ["Chain", "FittedChain", "Step", "lead_chain", "score_batch", "lineage_frame", "materialize", "F"]
+__all__ = ["Chain", "FittedChain", "Step", "lead_chain", "score_batch", "materialize", "F"]

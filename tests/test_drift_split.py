@@ -82,3 +82,17 @@ def test_folds_are_exact_and_independent_of_the_split(spark):
     b = {r.id: r.fold for r in split.fold_column(df.repartition(7), ["id"], 5, "y").collect()}
     c = {r.id: r.fold for r in split.fold_column(df, ["id"], 5, "y", salt="stack").collect()}
     assert a == b and a != c
+
+
+def test_many_classes_are_ranked_with_the_same_result(spark, monkeypatch):
+    df = spark.createDataFrame([(i, None if i % 50 == 0 else f"c{(i * i) % 23}") for i in range(900)], "id long, y string")
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    few = [rows(f) for f in (*split.stratified_split(df, "y", ["id"]), split.fold_column(df, ["id"], 4, "y").where("fold is not null"))]
+    monkeypatch.setattr(split, "SEARCHED_CLASSES", 3)
+    many = [rows(f) for f in (*split.stratified_split(df, "y", ["id"]), split.fold_column(df, ["id"], 4, "y").where("fold is not null"))]
+    assert few == many and len(few[0]) + len(few[1]) == 882
+    assert split.fold_column(df, ["id"], 4, "y").where("fold is null").count() == 18
+    # a class for each row
+    one = spark.range(500).selectExpr("id", "cast(id as string) y")
+    train, test = split.stratified_split(one, "y", ["id"])
+    assert train.count() == 500 and test.count() == 0
