@@ -23,6 +23,7 @@ from ..operators import (binning, cleaning, clustering, collinear, encoding, fea
                          rare, scaling, scoring, selection)
 from ..functions.order_stats import OrderStats
 from ..session import ensure_checkpoint_dir
+from ..sources.files import stage_dump
 from ..state import Fitted, load, register
 
 
@@ -118,9 +119,12 @@ class FittedChain:
 
 
 class Chain:
-    def __init__(self, steps: list[Step], materialize: str | None = "checkpoint"):
+    def __init__(self, steps: list[Step], materialize: str | None = "checkpoint", dump: str | None = None):
+        """``dump``: a folder that gets the output of every step as Parquet
+        (S5), ``<dump>/<step>``; it must hold none of them yet."""
         self.steps = steps
         self.materialize = materialize
+        self.dump = dump
 
     def fit_transform(self, df: DataFrame) -> tuple[FittedChain, DataFrame]:
         lineage = scoring.Lineage()
@@ -144,6 +148,8 @@ class Chain:
                 if self.materialize == "cache":
                     held.append(data)
                 rows = data.count() if self.materialize else rows
+            if self.dump:
+                data = stage_dump(data, self.dump, step.name, enabled=True)
             cur_rows = rows
             order = order.after(fitted, data, step.keeps_rows)
             lineage.record(step.name, before, data, rows)

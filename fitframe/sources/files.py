@@ -76,13 +76,14 @@ def write_scored_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     w.csv(path)
 
 
-def stage_dump(df: DataFrame, root: str, stage: str, enabled: bool = False) -> DataFrame:
+def stage_dump(df: DataFrame, root: str, stage: str, enabled: bool = False, overwrite: bool = False) -> DataFrame:
     """Optional per-stage Parquet dump; off by default so plans stay fused.
-    When on, the stage is written once and read back (cutting the lineage)."""
+    When on, the stage is written once and read back (cutting the lineage); a
+    dump that is there already raises unless ``overwrite``."""
     if not enabled:
         return df
     path = f"{root.rstrip('/')}/{stage}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -70,6 +70,17 @@ def test_a_chain_searches_once_and_learns_the_same(spark, monkeypatch):
             assert _close(left[k], right[k]), (s.name, k)
 
 
+def test_steps_are_dumped_on_request(spark, tmp_path):
+    df = column(spark, [1.0, None, 3.0, 100.0])
+    steps = [Step("impute", lambda d, p: impute.fit_median_fill(d, ["x"], p["order"])),
+             Step("clip", lambda d, p: outliers.fit_clip(d, ["x"], order=p["order"]))]
+    _, out = Chain(steps, dump=f"{tmp_path}/stages").fit_transform(df)
+    assert sorted(r.x for r in spark.read.parquet(f"{tmp_path}/stages/impute").collect()) == [1.0, 3.0, 3.0, 100.0]
+    assert sorted(r.x for r in spark.read.parquet(f"{tmp_path}/stages/clip").collect()) == sorted(r.x for r in out.collect())
+    with pytest.raises(Exception, match="(?i)exists"):
+        Chain(steps, dump=f"{tmp_path}/stages").fit_transform(df)
+
+
 def _close(a, b):
     if isinstance(a, dict):
         return a.keys() == b.keys() and all(_close(a[k], b[k]) for k in a)
