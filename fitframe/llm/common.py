@@ -19,6 +19,9 @@ SEPARATORS = r"[\x20\x09-\x0D]+"
 # are joined with a shuffle.
 BROADCAST_IDS = 1_000_000
 
+# Stored tables of up to so many bytes may be broadcast.
+BROADCAST_BYTES = 8 << 20
+
 # Bytes of an Arrow batch sent to a worker, one text at least.
 BATCH_BYTES = 32 << 20
 
@@ -76,6 +79,14 @@ def ship_package(spark: SparkSession) -> None:
     sc._fitframe_shipped = True
 
 
+def small(stored: DataFrame) -> DataFrame:
+    """A broadcast hint for a table that ``keep`` stored, if its files have at
+    most BROADCAST_BYTES, else the table as is.  Spark knows their size from
+    listing them, so no job counts rows."""
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(stored) if size <= BROADCAST_BYTES else stored
+
+
 def bounded(ids: DataFrame, n_rows: int) -> DataFrame:
     """A broadcast hint for an id list of checked length, else ``ids`` as is."""
     return F.broadcast(ids) if n_rows <= BROADCAST_IDS else ids

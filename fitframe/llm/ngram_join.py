@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fitframe.llm.common import keep, lower_ascii, small_batches, words
+from fitframe.llm.common import keep, lower_ascii, small, small_batches, words
 from fitframe.llm.components import connected_components
 
 SKETCH_WORDS = 16
@@ -187,12 +187,11 @@ def _wide_hamming(a: str, b: str) -> Column:
 def _verified(pairs: DataFrame, near: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (u, v) of nodes whose shingle sets are similar enough.  The
     sets are made anew from the texts of these nodes alone: kept for all
-    candidates, they would be larger than the texts.  Joins with stored tables
-    are broadcast by their size in bytes, which Spark knows."""
+    candidates, they would be larger than the texts."""
     pairs = keep(pairs, "pairs")
     both = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     ids = keep(near.select("node", F.col("id").alias("of_id"), F.col("text_key").alias("of_key")).join(both, "node"), "pair-ids")
-    sets = (src.join(ids, F.col("id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_key")))
+    sets = (src.join(small(ids), F.col("id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_key")))
             .select("node", shingle_hashes(F.col("text"), k).alias("h")))
     a = sets.select(F.col("node").alias("u"), F.col("h").alias("ha"))
     b = sets.select(F.col("node").alias("v"), F.col("h").alias("hb"))
@@ -227,22 +226,22 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared_ids = keep(filled.where("id is not null").groupBy("id").agg(*[f(c).alias(f"{c}_{n}") for c in ("sig_a", "sig_b") for n, f in (("least", F.min), ("most", F.max))])
                       .where("sig_a_least <> sig_a_most or sig_b_least <> sig_b_most").select("id", F.lit(True).alias("of_several")), "shared-ids")
     odd = not shared_ids.isEmpty()
-    several = filled.join(shared_ids, "id", "left") if odd else filled.withColumn("of_several", F.lit(None).cast("boolean"))
+    several = filled.join(small(shared_ids), "id", "left") if odd else filled.withColumn("of_several", F.lit(None).cast("boolean"))
     filled = several.withColumn("node", F.when(F.col("id").isNull() | F.col("of_several"), F.xxhash64("sig_a", "sig_b", F.coalesce("id", F.lit(-1)))).otherwise(F.col("id")))
 
     classes = filled.groupBy("sig_a", "sig_b").agg(F.min("node").alias("rep"))
     members = keep(filled.select("id", "node", "n", "sig_a", "sig_b", "text_key").join(classes, ["sig_a", "sig_b"])
                    .select("id", "node", "n", "sig_a", "sig_b", "text_key", "rep"), "members")
     copies = keep(members.where("node <> rep").select("node", "sig_a", "sig_b").distinct(), "class-copies")
-    reps = filled.join(copies, ["node", "sig_a", "sig_b"], "left_anti")
+    reps = filled.join(small(copies), ["node", "sig_a", "sig_b"], "left_anti")
 
     keyed = reps.select(F.explode("keys").alias("key"), F.col("node").alias("id"))
     shared = (keyed.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
               .mapInArrow(_shared_runs, "key long, id long"))
     shared = keep(shared.distinct(), "shared")
 
-    ids = shared.select(F.col("id").alias("node")).distinct()
-    near = keep(reps.select("node", "id", "text_key", "n", "sketch", "wide").join(ids, "node", "left_semi"), "near")
+    ids = keep(shared.select(F.col("id").alias("node")).distinct(), "candidates")
+    near = keep(reps.select("node", "id", "text_key", "n", "sketch", "wide").join(small(ids), "node", "left_semi"), "near")
     comp = _classes(shared, near, src, k, num, den)
     labelled = (members.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
                 .select("id", F.col("n").alias("n_shingles"), "text_key", F.coalesce("component", "rep").alias("group_key")))
