@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fitframe.llm import decontamination, ngram_join, quality_model, secret_scan, sentencepiece_bpe
-from fitframe.llm.common import keep, table
+from fitframe.llm.common import keep, small, table
 
 # Near duplicates: shingles of five words, a Jaccard similarity of 0.8.
 SHINGLE_WORDS, SIMILAR_NUM, SIMILAR_DEN = 5, 80, 100
@@ -25,9 +25,9 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _without(docs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
-    """``docs`` without the rows of these ids and text hashes.  The list is
-    stored, so that Spark knows its bytes when it picks the join."""
-    rows = keep(rows.toDF("__id", "__key").distinct(), name)
+    """``docs`` without the rows of these ids and text hashes; the list is
+    stored, and broadcast if its files are small."""
+    rows = small(keep(rows.toDF("__id", "__key").distinct(), name))
     return docs.join(rows, docs["doc_id"].eqNullSafe(F.col("__id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__key")), "left_anti")
 
 
@@ -46,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     repeated = keep(groups.groupBy("id", "text_key").count().where("count > 1").select("id", "text_key"), "repeated")
     if repeated.isEmpty():
         return kept
-    twice = repeated.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"))
+    twice = small(repeated).select(F.col("id").alias("__id"), F.col("text_key").alias("__key"))
     again = kept.join(twice, kept["doc_id"].eqNullSafe(F.col("__id")) & F.xxhash64(kept["text"]).eqNullSafe(F.col("__key")), "left_semi")
     return _without(kept, repeated, "repeated-pairs").unionByName(again.dropDuplicates(["doc_id", "text"]))
 
