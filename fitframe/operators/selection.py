@@ -30,6 +30,8 @@ from ..session import ensure_checkpoint_dir
 from .evaluate import auc_by, auc_exact
 from .split import fold_column
 
+ROWS_PER_NARROW_TASK = 200_000   # of a fit on a few numbers a row, beyond a task a core
+
 
 def top_k(importance: DataFrame, k: int = config.TOP_K_IMPORTANCE, score: str = "importance") -> DataFrame:
     """L2: the ``k`` most important features (a top-k report: the limit is the feature)."""
@@ -153,37 +155,53 @@ def permutation_importance(df: DataFrame, target: str, features: list[str], n_re
 def rfe_cv(df: DataFrame, target: str, features: list[str], keys: list[str], folds: int = 5,
            seed: int = config.SEED) -> tuple[list[str], DataFrame]:
     """L1: recursive elimination (step 1) with a class-balanced logistic
-    regression; each subset scored by the mean fold AUC; the best subset wins."""
+    regression; each subset scored by the mean fold AUC; the best subset wins.
+
+    The features are derived once, into the shared folder.  Which feature goes
+    next is decided by the fit on all rows, so the fits on folds run beside
+    those, and every fold of every subset is scored in one set of jobs."""
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     base = df.dropna(how="any", subset=[*features, target]).select(
-        *keys, *features, F.col(target).cast("double").alias("label"))
+        *keys, *features, F.col(target).cast("double").alias("label")).checkpoint(eager=True)
     pos = base.agg(F.avg("label")).first()[0] or 0.5
     w = F.when(F.col("label") == 1, F.lit(0.5 / pos)).otherwise(F.lit(0.5 / (1 - pos)))
-    data, _ = stored_for_fits(fold_column(base.withColumn("_w", w), keys, folds, "label", seed))
+    data, n = stored_for_fits(fold_column(base.withColumn("_w", w), keys, folds, "label", seed))
+    # rows of a few numbers: a fit needs no more tasks than fill the cores
+    data = data.coalesce(min(data.rdd.getNumPartitions(),
+                             max(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_NARROW_TASK))))
+    lr = LogisticRegression(maxIter=100, weightCol="_w", labelCol="label")
+
+    def fold_scores(vd, size, f):
+        m = lr.fit(vd.where(F.col("fold") != f))
+        return m.transform(vd.where(F.col("fold") == f)).select(
+            F.lit(size).alias("size"), F.lit(f).alias("fold"), "label", vector_to_array("probability")[1].alias("p"))
+
     live = list(features)
+    subsets, parts = [], []
+    with ThreadPoolExecutor(max_workers=2 * max(folds, 2)) as pool:
+        while live:
+            vd = VectorAssembler(inputCols=live, outputCol="features").transform(data)
+            subsets.append(list(live))
+            parts += [pool.submit(fold_scores, vd, len(live), f) for f in range(folds)]
+            if len(live) == 1:
+                break
+            full = lr.fit(vd)
+            live.pop(int(np.argmin(np.abs(full.coefficients.toArray()))))
+        stacked = None
+        for part in parts:
+            stacked = part.result() if stacked is None else stacked.unionByName(part.result())
+    # a fold with one class has no AUC and does not count
+    aucs: dict[int, list] = {}
+    for r in (auc_by(stacked, ["size", "fold"], "label", "p").collect() if stacked is not None else []):
+        if r["auc"] is not None:
+            aucs.setdefault(r["size"], []).append((r["fold"], r["auc"]))
     history = []
-    best, best_auc = list(live), float("-inf")
-    while live:
-        vd = VectorAssembler(inputCols=live, outputCol="features").transform(data)
-
-        def fold_scores(f):
-            m = LogisticRegression(maxIter=100, weightCol="_w", labelCol="label").fit(vd.where(F.col("fold") != f))
-            return m.transform(vd.where(F.col("fold") == f)).select(
-                F.lit(f).alias("fold"), "label", vector_to_array("probability")[1].alias("p"))
-        # the folds are fitted as concurrent jobs and scored as one
-        with ThreadPoolExecutor(max_workers=min(folds, 5)) as pool:
-            parts = list(pool.map(fold_scores, range(folds)))
-        stacked = parts[0]
-        for p in parts[1:]:
-            stacked = stacked.unionByName(p)
-        # a fold with one class has no AUC and does not count
-        aucs = [r["auc"] for r in auc_by(stacked, ["fold"], "label", "p").collect() if r["auc"] is not None]
-        mean_auc = float(np.mean(aucs)) if aucs else float("nan")
-        history.append((len(live), ",".join(live), mean_auc if aucs else None))
+    best, best_auc = list(features), float("-inf")
+    for subset in subsets:
+        got = [a for _, a in sorted(aucs.get(len(subset), []))]
+        mean_auc = float(np.mean(got)) if got else float("nan")
+        history.append((len(subset), ",".join(subset), mean_auc if got else None))
         if mean_auc > best_auc:
-            best_auc, best = mean_auc, list(live)
-        if len(live) == 1:
-            break
-        full = LogisticRegression(maxIter=100, weightCol="_w", labelCol="label").fit(vd)
-        live.pop(int(np.argmin(np.abs(full.coefficients.toArray()))))
+            best_auc, best = mean_auc, subset
     return best, spark.createDataFrame(history, "n_features int, features string, cv_auc double")
