@@ -88,3 +88,13 @@ def test_trials_and_folds_are_fitted_at_the_same_time(spark, monkeypatch):
         est = training.make_estimator("LogisticRegression", p, 240)
         want = [ev.evaluate(est.fit(train.where(F.col("fold") != f)).transform(train.where(F.col("fold") == f))) for f in range(4)]
         assert error is None and abs(score - np.mean(want)) < 1e-9
+
+
+def test_chain_input_is_stored_in_columns(spark):
+    from fitframe.plans.pipeline import materialize
+    df = spark.createDataFrame([(1, "x", 2.5), (None, None, float("nan"))], "`a b` int, `A.c` string, `d,e` double").withColumn("none", F.lit(None))
+    got = materialize(df.repartition(9), "checkpoint")
+    assert got.dtypes == df.dtypes and got.inputFiles() and all(f.endswith(".parquet") for f in got.inputFiles())
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, df.collect()))
+    read = [x for x in got.select("`a b`")._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in x or "FileScan" in x]
+    assert read and all("c1" not in x.split("ReadSchema")[-1] for x in read)
